@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The archive publisher works in one batch pass over folders that are already
+written; it has no stream, watermark, window or state to rebuild, so nothing
+here is built (see README, "Not built").
+"""
