@@ -63,6 +63,7 @@ def publish_application(
     mapping: dict[str, str] | None = None,
     drop: Iterable[str] = ARCHIVE_COLUMNS,
     database_location: str | None = None,
+    database_prefix: str = "",
     report_path: str | None = None,
     max_workers: int = 8,
 ) -> DataFrame:
@@ -70,7 +71,9 @@ def publish_application(
     run_id = uuid.uuid4().hex
     drop = tuple(drop)
     discovered = discover_tables(spark, root)
-    plan = plan_registration(spark, discovered, replace_existing=replace_existing).collect()
+    plan = plan_registration(
+        spark, discovered, replace_existing=replace_existing, database_prefix=database_prefix
+    ).collect()
     outcomes: list[dict] = []
     todo = []
     for r in plan:
@@ -103,6 +106,7 @@ def publish_application(
             mapping=mapping,
             drop=drop,
             database_location=database_location,
+            database_prefix=database_prefix,
         )
 
     done = {}
@@ -132,6 +136,7 @@ def publish_merge(
     provenance_col: str | None = PROVENANCE_COLUMN,
     drop: Iterable[str] = ARCHIVE_COLUMNS,
     database_location: str | None = None,
+    database_prefix: str = "",
     report_path: str | None = None,
 ) -> DataFrame:
     """Publish one merged table; the report has exactly one row.
@@ -153,7 +158,9 @@ def publish_merge(
         source_paths=qualified,
     )
     group = spark.createDataFrame([(target_schema, table_name)], "schema_name string, table_name string")
-    planned = plan_registration(spark, group, replace_existing=replace_existing).first()
+    planned = plan_registration(
+        spark, group, replace_existing=replace_existing, database_prefix=database_prefix
+    ).first()
     base["catalog_table"] = f"{planned.catalog_database}.{planned.catalog_table}"
     try:
         per_source = require_files(spark, qualified).agg(
@@ -177,6 +184,7 @@ def publish_merge(
             provenance_col=provenance_col,
             drop=drop,
             database_location=database_location,
+            database_prefix=database_prefix,
         )
     except Exception as exc:  # noqa: BLE001 - reported
         row = outcome(**base, status="error", action=planned.action, error_message=str(exc).strip())

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.names import BASE_PATTERN, base_table_name, catalog_name, catalog_name_col
+from ..functions.names import BASE_PATTERN, base_table_name, catalog_name, catalog_name_col, database_name
 from ..functions.types import check_policy, conversion, exposed_sql, quote, sql_string, sql_type
 from ..operators.merge import (
     PROVENANCE_COLUMN,
@@ -112,6 +112,7 @@ def plan_registration(
     *,
     replace_existing: bool = False,
     target_schema: str | None = None,
+    database_prefix: str = "",
 ) -> DataFrame:
     """Add catalog names, ``exists`` and ``action`` (create/replace/skip).
 
@@ -119,7 +120,10 @@ def plan_registration(
     originals normalise to one catalog name.
     """
     schema_col = F.lit(target_schema) if target_schema is not None else F.col("schema_name")
-    named = tables.withColumn("catalog_database", catalog_name_col(schema_col)).withColumn(
+    prefix = catalog_name(database_prefix) if database_prefix else ""
+    named = tables.withColumn(
+        "catalog_database", F.concat(F.lit(prefix), catalog_name_col(schema_col))
+    ).withColumn(
         "catalog_table", catalog_name_col(F.col("table_name"))
     )
     clashes = (
@@ -217,6 +221,7 @@ def register_table(
     mapping: dict[str, str] | None = None,
     drop: Iterable[str] = ARCHIVE_COLUMNS,
     database_location: str | None = None,
+    database_prefix: str = "",
 ) -> Registration:
     """O17 (and O18 when the table exists): publish one table folder.
 
@@ -226,7 +231,7 @@ def register_table(
     path = fs.qualify(spark, table_path)
     schema = schema if schema is not None else scan_table(spark, path).schema
     fields = kept_fields(schema, drop)
-    db, table = catalog_name(schema_name), catalog_name(table_name)
+    db, table = database_name(schema_name, database_prefix), catalog_name(table_name)
     ensure_database(spark, db, database_location)
     previous = _current_version(spark, db, table)
     version = previous + 1
@@ -251,7 +256,7 @@ def register_table(
 
 def replace_table(spark: SparkSession, schema_name: str, table_name: str, table_path: str, **kwargs) -> Registration:
     """Atomically point an existing published table at a (new) folder."""
-    db, table = catalog_name(schema_name), catalog_name(table_name)
+    db, table = database_name(schema_name, kwargs.get("database_prefix", "")), catalog_name(table_name)
     if table_properties(spark, db, table) is None:
         raise LookupError(f"{db}.{table} does not exist")
     return register_table(spark, schema_name, table_name, table_path, **kwargs)
@@ -290,6 +295,7 @@ def register_merged(
     provenance_col: str | None = PROVENANCE_COLUMN,
     drop: Iterable[str] = ARCHIVE_COLUMNS,
     database_location: str | None = None,
+    database_prefix: str = "",
     max_workers: int = 8,
 ) -> Registration:
     """Publish one logical table merged from several applications."""
@@ -306,7 +312,7 @@ def register_merged(
     if provenance_col and any(c.name.lower() == provenance_col.lower() for c in columns):
         raise ValueError(f"a source already has a column named {provenance_col!r}; choose another provenance_col")
     table_name = sources[0].table_name
-    db, table = catalog_name(target_schema), catalog_name(table_name)
+    db, table = database_name(target_schema, database_prefix), catalog_name(table_name)
     ensure_database(spark, db, database_location)
     previous = _current_version(spark, db, table)
     version = previous + 1
@@ -341,9 +347,9 @@ def register_merged(
     return Registration(f"{db}.{table}", version, "replace" if previous else "create", fields, bases)
 
 
-def unregister(spark: SparkSession, schema_name: str, table_name: str) -> None:
+def unregister(spark: SparkSession, schema_name: str, table_name: str, database_prefix: str = "") -> None:
     """Drop a published table: the view and its base tables (files stay)."""
-    db, table = catalog_name(schema_name), catalog_name(table_name)
+    db, table = database_name(schema_name, database_prefix), catalog_name(table_name)
     if not spark.catalog.databaseExists(db):
         return
     _current_version(spark, db, table)  # refuses objects that are not ours

@@ -45,13 +45,16 @@ def stage_applications(
     *,
     n_files: int = 2,
     drop_in: dict[str, str] | None = None,
+    cast_in: dict[str, tuple[str, str]] | None = None,
     archive_column: bool = True,
     table: str = "ORDERS",
 ) -> dict[str, str]:
     """``orders`` split by ``o_orderstatus`` into applications ``appF``, ``appO``, ``appP``.
 
     Returns {application: table folder}. ``drop_in`` removes one column from
-    one application's files (e.g. {"appO": "o_orderpriority"}).
+    one application's files (e.g. {"appO": "o_orderpriority"}); ``cast_in``
+    stores one column of one application with another type
+    (e.g. {"appO": ("o_custkey", "int")}).
     """
     orders = read_table(spark, sf_dir, "orders")
     if archive_column:
@@ -62,6 +65,9 @@ def stage_applications(
         part = orders.filter(F.col("o_orderstatus") == status)
         if drop_in and app in drop_in:
             part = part.drop(drop_in[app])
+        if cast_in and app in cast_in:
+            name, dtype = cast_in[app]
+            part = part.withColumn(name, F.col(name).cast(dtype))
         out[app] = write_files(part, f"{base}/{app}/parquet/{table}.parquet", n_files)
     return out
 
