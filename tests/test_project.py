@@ -1,0 +1,146 @@
+"""Projections: archive columns (O6), type policy (O7), describe."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import json
+
+import pytest
+from conftest import SF_SMALL
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablekeep import staging
+from tablekeep.functions.types import DECLARED_TYPES, conversion, declared_type, sql_type
+from tablekeep.operators.project import NoColumnsLeftError, conform_types, describe_tables, drop_columns
+from tablekeep.sources.layout import discover_tables
+from tablekeep.sources.scan import scan_table
+
+
+def test_drop_columns_is_exact_and_case_sensitive(spark):
+    exact = spark.createDataFrame([(1, "a")], "id int, ArchiveCreationDate string")
+    other_case = spark.createDataFrame([(1, "a")], "id int, archivecreationdate string")
+    assert drop_columns(exact).columns == ["id"]
+    assert drop_columns(other_case).columns == ["id", "archivecreationdate"]  # DataFrame.drop would remove it
+
+
+def test_drop_columns_nothing_left(spark):
+    df = spark.createDataFrame([(dt.date(2024, 1, 1),)], "ArchiveCreationDate date")
+    with pytest.raises(NoColumnsLeftError):
+        drop_columns(df)
+
+
+TYPE_FIXTURE = T.StructType(
+    [
+        T.StructField("c_string", T.StringType()),
+        T.StructField("c_binary", T.BinaryType()),
+        T.StructField("c_double", T.DoubleType()),
+        T.StructField("c_float", T.FloatType()),
+        T.StructField("c_int", T.IntegerType()),
+        T.StructField("c_smallint", T.ShortType()),
+        T.StructField("c_date", T.DateType()),
+        T.StructField("c_timestamp", T.TimestampType()),
+        T.StructField("c_bigint", T.LongType()),
+        T.StructField("c_tinyint", T.ByteType()),
+        T.StructField("c_boolean", T.BooleanType()),
+        T.StructField("c_decimal", T.DecimalType(10, 2)),
+        T.StructField("c_timestamp_ntz", T.TimestampNTZType()),
+        T.StructField("c_array", T.ArrayType(T.FloatType())),
+        T.StructField("c_map", T.MapType(T.StringType(), T.IntegerType())),
+        T.StructField("c_struct", T.StructType([T.StructField("x", T.IntegerType())])),
+    ]
+)
+TYPE_ROW = (
+    "s",
+    b"\x01",
+    1.5,
+    2.5,
+    7,
+    3,
+    dt.date(2024, 1, 2),
+    dt.datetime(2024, 1, 2, 3, 4, 5),
+    9_000_000_000,
+    4,
+    True,
+    decimal.Decimal("12.34"),
+    dt.datetime(2024, 1, 2, 3, 4, 5),
+    [1.0, 2.5],
+    {"k": 1},
+    (5,),
+)
+
+
+def test_mapped_policy_over_parquet(spark, base):
+    path = f"{base}/types"
+    spark.createDataFrame([TYPE_ROW], TYPE_FIXTURE).write.parquet(path)
+    out = conform_types(scan_table(spark, path), "mapped")
+    types = {f.name: f.dataType for f in out.schema.fields}
+    for kept in ("c_string", "c_binary", "c_double", "c_float", "c_int", "c_smallint", "c_date", "c_timestamp"):
+        assert types[kept] == TYPE_FIXTURE[kept].dataType, kept
+    for text in ("c_bigint", "c_tinyint", "c_boolean", "c_decimal", "c_timestamp_ntz", "c_array", "c_map", "c_struct"):
+        assert types[text] == T.StringType(), text
+    row = out.first()
+    assert row.c_bigint == "9000000000" and row.c_boolean == "true" and row.c_decimal == "12.34"
+    assert row.c_timestamp_ntz == "2024-01-02 03:04:05"
+    assert json.loads(row.c_array) == [1.0, 2.5]
+    assert json.loads(row.c_map) == {"k": 1} and json.loads(row.c_struct) == {"x": 5}
+
+
+def test_intervals_map_to_text(spark):
+    df = spark.sql("SELECT INTERVAL '2' DAY AS d, INTERVAL '3' MONTH AS m")
+    out = conform_types(df, "mapped")
+    assert [f.dataType for f in out.schema.fields] == [T.StringType(), T.StringType()]
+    assert out.first().d == "INTERVAL '2' DAY"
+
+
+def test_native_policy_is_identity(spark):
+    df = spark.createDataFrame([TYPE_ROW], TYPE_FIXTURE)
+    assert conform_types(df, "native").schema == df.schema
+
+
+def test_declared_types_and_custom_mapping():
+    assert declared_type(T.LongType()) == "TEXT"
+    assert declared_type(T.IntegerType()) == "INTEGER"
+    assert set(DECLARED_TYPES) == {
+        "BinaryType", "StringType", "DoubleType", "DateType", "TimestampType", "IntegerType", "FloatType", "ShortType"
+    }
+    custom = {"LongType": "BIGINT"}
+    assert conversion(T.LongType(), "mapped", custom) == ("keep", T.LongType())
+    assert conversion(T.IntegerType(), "mapped", custom)[0] == "cast"  # not in the custom table -> text
+    with pytest.raises(ValueError):
+        conversion(T.LongType(), "bogus")
+
+
+def test_sql_type_quotes_nested_names():
+    dtype = T.StructType([T.StructField("a b", T.IntegerType())])
+    assert sql_type(dtype) == "STRUCT<`a b`: INT>"
+
+
+def test_embeddings_to_json_roundtrip(spark, base):
+    """Array-of-float text differs from DuckDB's rendering, so it is checked here."""
+    path = staging.stage_table(spark, SF_SMALL, base, "embeddings", n_files=2)
+    src = scan_table(spark, path)
+    out = conform_types(src, "mapped")
+    assert dict(out.dtypes)["embedding"] == "string"
+    back = out.select("vec_id", F.from_json("embedding", "array<float>").alias("embedding"))
+    diff = src.select("vec_id", "embedding").exceptAll(back)
+    assert diff.count() == 0
+
+
+def test_describe_tables_orders(spark, base):
+    root = staging.stage_archive(spark, SF_SMALL, base)
+    rows = (
+        describe_tables(spark, discover_tables(spark, root))
+        .filter(F.col("table_name") == "ORDERS")
+        .orderBy("ordinal")
+        .collect()
+    )
+    assert [(r.ordinal, r.column_name, r.spark_type, r.declared_type) for r in rows] == [
+        (1, "o_orderkey", "bigint", "TEXT"),
+        (2, "o_custkey", "bigint", "TEXT"),
+        (3, "o_orderstatus", "string", "TEXT"),
+        (4, "o_totalprice", "double", "DOUBLE PRECISION"),
+        (5, "o_orderdate", "timestamp_ntz", "TEXT"),
+        (6, "o_orderpriority", "string", "TEXT"),
+    ]
