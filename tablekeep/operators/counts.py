@@ -3,9 +3,13 @@
 All tables are counted by ONE query: a Parquet scan over every table folder
 with a dummy user schema, so no schema is inferred (sources with incompatible
 types do not clash) and the scan's ``ReadSchema`` is empty — only row-group
-metadata is read. Rows are first counted per data file (partial aggregation in
-each task, one row per file after the shuffle); only those per-file rows are
-decoded and mapped to their table, so the per-row work is one hash update.
+metadata is read. Rows are counted per data file, keyed by the raw
+``_metadata.file_path`` (partial aggregation in each task, one row per file
+after the shuffle). Files are mapped to tables by an equi-join with the file
+manifest on that same raw key, where the table of each file was derived once
+per file. Nothing derived from the path is filtered on above the per-file
+aggregate, so Catalyst has no path expression to push down into the per-row
+scan: the per-row work stays one hash update.
 """
 
 from __future__ import annotations
@@ -16,10 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import paths as P
 from ..sources import fs
-from ..sources.layout import TABLE_DIR_SCHEMA, TableDir, table_dirs
-from ..sources.manifest import LISTING_OPTIONS, assign_sources
+from ..sources.layout import TABLE_DIR_SCHEMA, TableDir, files_by_table, table_dirs
+from ..sources.manifest import LISTING_OPTIONS, manifest_by_source
 
 _DUMMY_SCHEMA = "`__tablekeep_none` int"
 
@@ -33,17 +36,15 @@ ROW_COUNT_SCHEMA = T.StructType(
 
 
 def rows_per_file(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(file_path decoded, n_rows) for every data file below ``paths``; no column is read."""
+    """(encoded_path, n_rows) for every data file below ``paths``; no column is read."""
     qualified = [fs.qualify(spark, p) for p in paths]
     scan = (
         spark.read.schema(_DUMMY_SCHEMA)
         .options(**LISTING_OPTIONS)
         .parquet(*[fs.glob_escape(p) for p in qualified])
     )
-    return (
-        scan.groupBy(F.col("_metadata.file_path").alias("encoded_path"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(P.decode_file_path(F.col("encoded_path")).alias("file_path"), "n_rows")
+    return scan.groupBy(F.col("_metadata.file_path").alias("encoded_path")).agg(
+        F.count(F.lit(1)).alias("n_rows")
     )
 
 
@@ -54,8 +55,10 @@ def row_counts_by_path(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     if not qualified:
         return requested.withColumn("row_count", F.lit(0).cast("long"))
     with_files = [p for p in qualified if fs.is_dir(spark, p)]
+    files = manifest_by_source(spark, with_files).select("encoded_path", "source_path")
     per_source = (
-        assign_sources(rows_per_file(spark, with_files), with_files)
+        rows_per_file(spark, with_files)
+        .join(files, "encoded_path")
         .groupBy("source_path")
         .agg(F.sum("n_rows").alias("row_count"))
     )
@@ -71,11 +74,10 @@ def row_counts(spark: SparkSession, root: str, dirs: list[TableDir] | None = Non
     listed = spark.createDataFrame([(d.schema_name, d.table_name, d.schema_path, d.table_path, d.schema_dir, d.table_dir) for d in dirs], TABLE_DIR_SCHEMA)
     if not dirs:
         return spark.createDataFrame([], ROW_COUNT_SCHEMA)
-    keys = P.layout_keys(P.relative_to(F.col("file_path"), root_q))
+    files = files_by_table(spark, root_q, dirs).select("encoded_path", "schema_dir", "table_dir")
     per_table = (
         rows_per_file(spark, [d.table_path for d in dirs])
-        .select("n_rows", *[c.alias(k) for k, c in keys.items()])
-        .filter(F.col("in_table"))
+        .join(files, "encoded_path")
         .groupBy("schema_dir", "table_dir")
         .agg(F.sum("n_rows").alias("row_count"))
     )

@@ -70,7 +70,10 @@ def publish_application(
     """Publish every table of an application root; returns the report."""
     run_id = uuid.uuid4().hex
     drop = tuple(drop)
-    discovered = discover_tables(spark, root)
+    # The table list is catalog metadata (one row per table folder): list once,
+    # then plan on the materialised rows instead of re-listing for every action.
+    listed = discover_tables(spark, root)
+    discovered = spark.createDataFrame(listed.collect(), listed.schema)
     plan = plan_registration(
         spark, discovered, replace_existing=replace_existing, database_prefix=database_prefix
     ).collect()
@@ -185,6 +188,7 @@ def publish_merge(
             drop=drop,
             database_location=database_location,
             database_prefix=database_prefix,
+            check_files=False,
         )
     except Exception as exc:  # noqa: BLE001 - reported
         row = outcome(**base, status="error", action=planned.action, error_message=str(exc).strip())

@@ -126,17 +126,18 @@ def plan_registration(
     ).withColumn(
         "catalog_table", catalog_name_col(F.col("table_name"))
     )
-    clashes = (
+    # One small job answers both questions: which names collide, which databases to look in.
+    groups = (
         named.groupBy("catalog_database", "catalog_table")
         .agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.concat_ws(".", schema_col, "table_name")).alias("names"))
-        .filter(F.col("n") > 1)
         .collect()
     )
+    clashes = [r for r in groups if r.n > 1]
     if clashes:
         raise NameCollisionError(
             "; ".join(f"{', '.join(sorted(r.names))} -> {r.catalog_database}.{r.catalog_table}" for r in clashes)
         )
-    dbs = [r.catalog_database for r in named.select("catalog_database").distinct().collect()]
+    dbs = sorted({r.catalog_database for r in groups})
     existing = existing_tables(spark, dbs).withColumn("exists", F.lit(True))
     planned = named.join(existing, ["catalog_database", "catalog_table"], "left").withColumn(
         "exists", F.coalesce("exists", F.lit(False))
@@ -297,11 +298,16 @@ def register_merged(
     database_location: str | None = None,
     database_prefix: str = "",
     max_workers: int = 8,
+    check_files: bool = True,
 ) -> Registration:
-    """Publish one logical table merged from several applications."""
+    """Publish one logical table merged from several applications.
+
+    ``check_files=False`` skips the O3 listing when the caller already did it.
+    """
     check_policy(policy)
     sources = merge_sources(spark, paths)
-    require_files(spark, [s.path for s in sources])
+    if check_files:
+        require_files(spark, [s.path for s in sources])
     frames = parallel_map(lambda s: scan_table(spark, s.path), sources, max_workers)
     for df in frames:
         if isinstance(df, Exception):

@@ -28,6 +28,7 @@ LISTING_OPTIONS = {"recursiveFileLookup": "true", "pathGlobFilter": DATA_FILE_GL
 MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("file_path", T.StringType(), False),
+        T.StructField("encoded_path", T.StringType(), False),
         T.StructField("n_bytes", T.LongType(), False),
         T.StructField("modified_at", T.TimestampType(), True),
     ]
@@ -42,9 +43,11 @@ class MissingDataFilesError(ValueError):
 
 
 def file_manifest(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """One row per data file below ``paths``: (file_path, n_bytes, modified_at).
+    """One row per data file below ``paths``: (file_path, encoded_path, n_bytes, modified_at).
 
-    ``file_path`` is the qualified, decoded path (``file:/a b/x.parquet``).
+    ``file_path`` is the qualified, decoded path (``file:/a b/x.parquet``);
+    ``encoded_path`` is the same file as Spark's ``_metadata.file_path`` spells
+    it (URL-encoded), the key that ties per-file scan results to the manifest.
     """
     paths = [fs.qualify(spark, p) for p in paths]
     if not paths:
@@ -55,6 +58,7 @@ def file_manifest(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         .load([fs.glob_escape(p) for p in paths])
         .select(
             F.col("path").alias("file_path"),
+            F.col("_metadata.file_path").alias("encoded_path"),
             F.col("length").alias("n_bytes"),
             F.col("modificationTime").alias("modified_at"),
         )
@@ -89,20 +93,28 @@ def manifest_by_source(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 def require_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """O3 contract: every requested folder must hold at least one data file.
 
-    Returns the per-source file counts; raises naming every empty or missing
-    folder (the whole group fails, as the archive tool does).
+    Returns the per-source (source_path, n_files, n_bytes) from one listing job
+    as a small local DataFrame; raises naming every empty or missing folder
+    (the whole group fails, as the archive tool does).
     """
     qualified = [fs.qualify(spark, p) for p in paths]
     missing = [p for p in qualified if not fs.is_dir(spark, p)]
     if missing:
         raise MissingDataFilesError(f"not a directory: {', '.join(missing)}")
-    per_source = (
-        manifest_by_source(spark, qualified)
-        .groupBy("source_path")
-        .agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_bytes").alias("n_bytes"))
+    per_source = manifest_by_source(spark, qualified).groupBy("source_path").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("n_bytes").alias("n_bytes")
     )
     requested = spark.createDataFrame([(p,) for p in qualified], "source_path string")
-    empty = [r.source_path for r in requested.join(per_source, "source_path", "left_anti").collect()]
+    rows = (
+        requested.join(per_source, "source_path", "left")
+        .select(
+            "source_path",
+            F.coalesce("n_files", F.lit(0)).cast("long").alias("n_files"),
+            F.coalesce("n_bytes", F.lit(0)).cast("long").alias("n_bytes"),
+        )
+        .collect()
+    )
+    empty = sorted(r.source_path for r in rows if r.n_files == 0)
     if empty:
-        raise MissingDataFilesError(f"no Parquet files found in: {', '.join(sorted(empty))}")
-    return per_source
+        raise MissingDataFilesError(f"no Parquet files found in: {', '.join(empty)}")
+    return spark.createDataFrame(rows, "source_path string, n_files long, n_bytes long")

@@ -61,7 +61,8 @@ def _stage_many(spark, root, n_schemas, per_schema=10):
 
 def test_many_tables_constant_jobs(spark, base):
     """Scale check: discovery and counts run the same few jobs for 40 or 80
-    tables (one parallel listing + aggregation stages), never one per table."""
+    tables, never one per table. Counts: two parallel listings (data scan and
+    manifest) plus the aggregation/join stages AQE runs as separate jobs."""
     small, large = f"{base}/forty", f"{base}/eighty"
     _stage_many(spark, small, 4)
     _stage_many(spark, large, 8)
@@ -72,5 +73,5 @@ def test_many_tables_constant_jobs(spark, base):
             _jobs(spark, lambda: row_counts(spark, root).collect()),
         )
     assert jobs["small"] == jobs["large"], jobs
-    assert max(jobs["large"]) <= 6, jobs
+    assert max(jobs["large"]) <= 8, jobs
     assert sum(r.row_count for r in row_counts(spark, large).collect()) == 800
