@@ -22,7 +22,6 @@ then the reported warm round. Steps:
 from __future__ import annotations
 
 import json
-import math
 import os
 import re
 import sys
@@ -42,24 +41,11 @@ from tablekeep.session import local_session  # noqa: E402
 from tablekeep.sources.layout import discover_tables  # noqa: E402
 from tablekeep.sources.scan import scan_tables  # noqa: E402
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings "
-    "pages benchmark labels conversations"
-).split()
 ROWS_PER_FILE = 25_000
 
 
 def stage(spark, sf_dir: str, base: str) -> tuple[str, dict[str, str], dict]:
-    root = f"{base}/archive"
-    stats = {"tables": 0, "files": 0, "rows": 0}
-    for name in TABLES:
-        df = staging.with_archive_column(staging.read_table(spark, sf_dir, name))
-        rows = df.count()
-        n_files = max(1, min(32, math.ceil(rows / ROWS_PER_FILE)))
-        staging.write_files(df, f"{root}/parquet/{name.upper()}.parquet", n_files)
-        stats["tables"] += 1
-        stats["files"] += n_files
-        stats["rows"] += rows
+    root, stats = staging.stage_all_tables(spark, sf_dir, base, name="archive", rows_per_file=ROWS_PER_FILE)
     apps = staging.stage_applications(spark, sf_dir, f"{base}/apps", n_files=4)
     return root, apps, stats
 

@@ -147,3 +147,70 @@ def stage_schema_drift(spark: SparkSession, sf_dir: str, base: str, *, app: str
     write_files(orders.filter(F.col("o_orderstatus") != "O"), f"{path}/with_priority", 2)
     write_files(orders.filter(F.col("o_orderstatus") == "O").drop("o_orderpriority"), f"{path}/without_priority", 1)
     return path
+
+
+def stage_split(
+    spark: SparkSession,
+    sf_dir: str,
+    base: str,
+    source: str,
+    by: str,
+    *,
+    app_prefix: str,
+    table: str | None = None,
+    n_files: int = 2,
+    archive_column: bool = True,
+) -> dict[str, str]:
+    """A driver table split into one application per value of column ``by``.
+
+    Returns {application: table folder}; application = ``app_prefix + value``.
+    Every row lands in exactly one application (``by`` must not be NULL).
+    """
+    df = read_table(spark, sf_dir, source)
+    if archive_column:
+        df = with_archive_column(df)
+    table = table or source.upper()
+    values = sorted(r[0] for r in df.select(by).distinct().collect())  # a handful of split values
+    out = {}
+    for value in values:
+        app = f"{app_prefix}{value}"
+        out[app] = write_files(df.filter(F.col(by) == value), f"{base}/{app}/parquet/{table}.parquet", n_files)
+    return out
+
+
+DRIVER_TABLES = (
+    "region",
+    "nation",
+    "customer",
+    "supplier",
+    "part",
+    "orders",
+    "lineitem",
+    "events",
+    "documents",
+    "embeddings",
+    "pages",
+    "benchmark",
+    "labels",
+    "conversations",
+)
+
+
+def stage_all_tables(
+    spark: SparkSession, sf_dir: str, base: str, name: str = "warehouse", rows_per_file: int = 25_000
+) -> tuple[str, dict]:
+    """Every driver table in one root schema, split into part files by row count.
+
+    Returns (root, {"tables", "files", "rows"}).
+    """
+    root = f"{base}/{name}"
+    stats = {"tables": 0, "files": 0, "rows": 0}
+    for source in DRIVER_TABLES:
+        df = with_archive_column(read_table(spark, sf_dir, source))
+        rows = df.count()
+        n_files = max(1, min(32, -(-rows // rows_per_file)))
+        write_files(df, f"{root}/parquet/{source.upper()}.parquet", n_files)
+        stats["tables"] += 1
+        stats["files"] += n_files
+        stats["rows"] += rows
+    return root, stats
