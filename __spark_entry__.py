@@ -458,7 +458,7 @@ SELECT CASE table_name {schema_of} END AS schema_name,
        CASE data_type WHEN 'INTEGER' THEN 'INTEGER' WHEN 'DOUBLE' THEN 'DOUBLE PRECISION' ELSE 'TEXT' END
            AS declared_type
 FROM information_schema.columns
-WHERE table_name IN ({names})
+WHERE table_name IN ({names}) AND table_schema = current_schema()
 """
 
 
@@ -472,7 +472,7 @@ def _publish_all_sql() -> str:
     return "\nUNION ALL\n".join(
         f"SELECT 'warehouse' AS schema_name, '{t.upper()}' AS table_name, 'success' AS status, "
         f"'create' AS action, (SELECT CAST(count(*) AS INTEGER) FROM information_schema.columns "
-        f"WHERE table_name = '{t}') AS n_columns, count(*) AS row_count FROM {t}"
+        f"WHERE table_name = '{t}' AND table_schema = current_schema()) AS n_columns, count(*) AS row_count FROM {t}"
         for t in _DRIVER_TABLES
     )
 

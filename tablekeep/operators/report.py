@@ -39,6 +39,9 @@ REPORT_SCHEMA = T.StructType(
         T.StructField("source_applications", T.ArrayType(T.StringType()), True),
         T.StructField("source_paths", T.ArrayType(T.StringType()), True),
         T.StructField("version", T.IntegerType(), True),
+        T.StructField("source_root", T.StringType(), True),
+        T.StructField("started_at", T.TimestampType(), True),
+        T.StructField("finished_at", T.TimestampType(), True),
     ]
 )
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +34,28 @@ PROCESS_APPLICATION = "External Table Creation"
 PROCESS_MERGE = "External Table Creation - Merge Applications"
 
 
-def _finish(spark: SparkSession, report: DataFrame, report_path: str | None) -> DataFrame:
+def _now() -> datetime:
+    """UTC now at millisecond precision (what the JSON report keeps)."""
+    now = datetime.now(timezone.utc)
+    return now.replace(microsecond=now.microsecond // 1000 * 1000)
+
+
+def _finish(
+    spark: SparkSession,
+    report: DataFrame,
+    report_path: str | None,
+    *,
+    source_root: str | None,
+    started_at: datetime,
+    n_rows: int,
+) -> DataFrame:
+    """Materialise the report (running the verified counts) and stamp the run."""
     work_dir(spark)  # makes sure a (shared) checkpoint folder is set
-    report = report.checkpoint(eager=True)
-    if report_path:
+    report = report.withColumn("source_root", F.lit(source_root).cast("string")).withColumn(
+        "started_at", F.lit(started_at)
+    )
+    report = report.checkpoint(eager=True).withColumn("finished_at", F.lit(_now()))
+    if report_path and n_rows:  # like the archive tool: no report when nothing was processed
         write_report(report, report_path)
     return report
 
@@ -68,6 +87,7 @@ def publish_application(
     max_workers: int = 8,
 ) -> DataFrame:
     """Publish every table of an application root; returns the report."""
+    started_at = _now()
     run_id = uuid.uuid4().hex
     drop = tuple(drop)
     # The table list is catalog metadata (one row per table folder): list once,
@@ -123,7 +143,14 @@ def publish_application(
         )
         done[r.table_path] = (r.schema_name, r.table_name)
     counts = _counts(spark, done) if verify_row_count else None
-    return _finish(spark, load_report(spark, outcomes, counts), report_path)
+    return _finish(
+        spark,
+        load_report(spark, outcomes, counts),
+        report_path,
+        source_root=root,
+        started_at=started_at,
+        n_rows=len(outcomes),
+    )
 
 
 def publish_merge(
@@ -147,9 +174,16 @@ def publish_merge(
     An invalid merge group (O13) raises before anything is registered; a
     failure after validation is an ``error`` row.
     """
+    started_at = _now()
     sources = merge_sources(spark, paths)
     table_name = sources[0].table_name
     qualified = [s.path for s in sources]
+
+    def finish(row: dict, counts: DataFrame | None = None) -> DataFrame:
+        return _finish(
+            spark, load_report(spark, [row], counts), report_path, source_root=None, started_at=started_at, n_rows=1
+        )
+
     base = dict(
         run_id=uuid.uuid4().hex,
         process=PROCESS_MERGE,
@@ -171,11 +205,9 @@ def publish_merge(
         ).first()
         base.update(n_files=int(per_source.n_files), n_bytes=int(per_source.n_bytes))
     except Exception as exc:  # noqa: BLE001 - reported
-        row = outcome(**base, status="error", action=planned.action, error_message=str(exc).strip())
-        return _finish(spark, load_report(spark, [row]), report_path)
+        return finish(outcome(**base, status="error", action=planned.action, error_message=str(exc).strip()))
     if planned.action == "skip":
-        row = outcome(**base, status="skipped", action="skip", skip_reason=SKIP_REASON_EXISTS)
-        return _finish(spark, load_report(spark, [row]), report_path)
+        return finish(outcome(**base, status="skipped", action="skip", skip_reason=SKIP_REASON_EXISTS))
     try:
         res = register_merged(
             spark,
@@ -191,8 +223,7 @@ def publish_merge(
             check_files=False,
         )
     except Exception as exc:  # noqa: BLE001 - reported
-        row = outcome(**base, status="error", action=planned.action, error_message=str(exc).strip())
-        return _finish(spark, load_report(spark, [row]), report_path)
+        return finish(outcome(**base, status="error", action=planned.action, error_message=str(exc).strip()))
     cols = column_list(res.columns, mapping)
     row = outcome(**base, status="success", action=res.action, n_columns=len(cols), columns=cols, version=res.version)
     counts = None
@@ -200,5 +231,5 @@ def publish_merge(
         counts = spark.createDataFrame(
             [(target_schema, table_name, spark.table(res.catalog_table).count())], ROW_COUNT_SCHEMA
         )
-    return _finish(spark, load_report(spark, [row], counts), report_path)
+    return finish(row, counts)
 

@@ -75,3 +75,17 @@ def test_many_tables_constant_jobs(spark, base):
     assert jobs["small"] == jobs["large"], jobs
     assert max(jobs["large"]) <= 8, jobs
     assert sum(r.row_count for r in row_counts(spark, large).collect()) == 800
+
+
+def test_no_path_parsing_below_the_per_file_aggregate(spark, base):
+    """Regression guard: path decoding/splitting must run once per file, never per row.
+
+    The only operators between the Parquet scan and the first aggregate are
+    projections of ``_metadata``; a Filter there would mean a path expression
+    was pushed into the per-row scan.
+    """
+    root = staging.stage_archive(spark, SF_SMALL, base)
+    plan = plan_text(row_counts(spark, root))
+    below = plan.split("FileScan parquet")[0].rsplit("HashAggregate", 1)[-1]  # nodes between scan and aggregate
+    assert "Project" in below
+    assert "UrlCodec" not in below and "split(" not in below and "Filter" not in below

@@ -140,3 +140,11 @@ def test_manifest_reads_no_file_content(spark, base):
     root = staging.stage_archive(spark, SF_SMALL, base)
     plan = plan_text(file_manifest(spark, [f"{root}/parquet/REGION.parquet"]))
     assert "content" not in plan.split("ReadSchema:")[1]
+
+
+def test_o2_single_file_manifest(spark, base):
+    """O2 also takes one file."""
+    folder = write_df(spark, [(1,), (2,)], "id int", f"{base}/one")
+    part = next(e.path for e in fs.children(spark, folder) if e.name.endswith(".parquet"))
+    rows = file_manifest(spark, [part]).collect()
+    assert len(rows) == 1 and rows[0].file_path == part and rows[0].n_bytes > 0
