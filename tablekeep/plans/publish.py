@@ -25,7 +25,7 @@ from ..operators.counts import ROW_COUNT_SCHEMA, row_counts_by_path
 from ..operators.merge import PROVENANCE_COLUMN, merge_sources
 from ..operators.project import ARCHIVE_COLUMNS, column_list, parallel_map
 from ..operators.report import SKIP_REASON_EXISTS, load_report, outcome, write_report
-from ..session import work_dir
+from ..session import count_scan_conf, scoped_conf, work_dir
 from ..sources.layout import discover_tables
 from ..sources.manifest import require_files
 from .registration import plan_registration, register_merged, register_table
@@ -61,15 +61,19 @@ def _finish(
 
 
 def _counts(spark: SparkSession, keyed_paths: dict[str, tuple[str, str]]) -> DataFrame:
-    """Row counts of registered folders as (schema_name, table_name, row_count)."""
+    """Row counts of registered folders as (schema_name, table_name, row_count).
+
+    Run now, as one scan with footer-sized splits; the result is one row per table.
+    """
     if not keyed_paths:
         return spark.createDataFrame([], ROW_COUNT_SCHEMA)
     keys = spark.createDataFrame(
         [(p, s, t) for p, (s, t) in keyed_paths.items()], "source_path string, schema_name string, table_name string"
     )
-    return row_counts_by_path(spark, list(keyed_paths)).join(keys, "source_path").select(
-        "schema_name", "table_name", "row_count"
-    )
+    counts = row_counts_by_path(spark, list(keyed_paths)).join(keys, "source_path")
+    with scoped_conf(spark, count_scan_conf(spark)):
+        rows = counts.select("schema_name", "table_name", "row_count").collect()
+    return spark.createDataFrame(rows, ROW_COUNT_SCHEMA)
 
 
 def publish_application(
@@ -228,8 +232,8 @@ def publish_merge(
     row = outcome(**base, status="success", action=res.action, n_columns=len(cols), columns=cols, version=res.version)
     counts = None
     if verify_row_count:
-        counts = spark.createDataFrame(
-            [(target_schema, table_name, spark.table(res.catalog_table).count())], ROW_COUNT_SCHEMA
-        )
+        with scoped_conf(spark, count_scan_conf(spark)):
+            n_rows = spark.table(res.catalog_table).count()
+        counts = spark.createDataFrame([(target_schema, table_name, n_rows)], ROW_COUNT_SCHEMA)
     return finish(row, counts)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -50,3 +51,33 @@ def local_session(cores: int | str = "*", app: str = "tablekeep", **conf) -> Spa
     spark.sparkContext.setLogLevel("ERROR")
     work_dir(spark)
     return spark
+
+
+@contextmanager
+def scoped_conf(spark: SparkSession, conf: dict[str, str]):
+    """Set session confs for the actions run inside the block, then restore them."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+# A count-only scan reads footers, not column bytes: 1 GiB splits cut the task
+# count 8x against the 128 MiB default without adding memory per task.
+COUNT_SCAN_SPLIT_BYTES = 1 << 30
+
+
+def count_scan_conf(spark: SparkSession) -> dict[str, str]:
+    """Split size for a count-only scan: at least 1 GiB, never below the session's."""
+    try:
+        current = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    except Exception:  # noqa: BLE001 - no JVM session (Spark Connect): keep the session's value
+        return {}
+    return {"spark.sql.files.maxPartitionBytes": str(max(current, COUNT_SCAN_SPLIT_BYTES))}
