@@ -5,6 +5,9 @@ from .registration import (
     existing_tables,
     plan_registration,
     register_merged,
+    registered_tables,
+    schema_exists,
+    table_exists,
     register_table,
     replace_table,
     table_properties,
@@ -17,6 +20,9 @@ __all__ = [
     "existing_tables",
     "plan_registration",
     "register_merged",
+    "registered_tables",
+    "schema_exists",
+    "table_exists",
     "register_table",
     "replace_table",
     "table_properties",

@@ -89,6 +89,60 @@ def table_properties(spark: SparkSession, db: str, table: str) -> dict[str, str]
     return {r.key: r.value for r in rows}
 
 
+def schema_exists(spark: SparkSession, schema_name: str, database_prefix: str = "") -> bool:
+    """Does the catalog database of a schema folder exist?"""
+    return bool(spark.catalog.databaseExists(database_name(schema_name, database_prefix)))
+
+
+def table_exists(spark: SparkSession, schema_name: str, table_name: str, database_prefix: str = "") -> bool:
+    """Is there any table or view under the catalog name of (schema, table)?"""
+    return table_properties(spark, database_name(schema_name, database_prefix), catalog_name(table_name)) is not None
+
+
+REGISTRY_SCHEMA = T.StructType(
+    [
+        T.StructField("catalog_database", T.StringType(), False),
+        T.StructField("catalog_table", T.StringType(), False),
+        T.StructField("schema_name", T.StringType(), True),
+        T.StructField("table_name", T.StringType(), True),
+        T.StructField("version", T.IntegerType(), True),
+        T.StructField("policy", T.StringType(), True),
+        T.StructField("merged", T.BooleanType(), True),
+        T.StructField("sources", T.ArrayType(T.StringType()), True),
+    ]
+)
+
+
+def registered_tables(spark: SparkSession, databases: Iterable[str]) -> DataFrame:
+    """Tables published by tablekeep in ``databases``, with their original names.
+
+    Read from the public views' properties (catalog metadata, one call per view).
+    """
+    rows = []
+    for db in sorted(set(databases)):
+        if not spark.catalog.databaseExists(db):
+            continue
+        for t in spark.sql(f"SHOW TABLES IN {quote(db)}").filter(~F.col("isTemporary")).collect():
+            if BASE_PATTERN.match(t.tableName):
+                continue
+            props = table_properties(spark, db, t.tableName) or {}
+            if VERSION_KEY not in props:
+                continue
+            rows.append(
+                (
+                    db,
+                    t.tableName,
+                    props.get(KEY + "schema_name"),
+                    props.get(KEY + "table_name"),
+                    int(props[VERSION_KEY]),
+                    props.get(KEY + "policy"),
+                    props.get(KEY + "merged") == "true",
+                    json.loads(props.get(KEY + "sources", "[]")),
+                )
+            )
+    return spark.createDataFrame(rows, REGISTRY_SCHEMA)
+
+
 def existing_tables(spark: SparkSession, databases: Iterable[str]) -> DataFrame:
     """O12 as a DataFrame: (catalog_database, catalog_table) of every table/view."""
     frames = [

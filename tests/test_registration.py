@@ -14,7 +14,10 @@ from tablekeep.plans.registration import (
     plan_registration,
     register_merged,
     register_table,
+    registered_tables,
     replace_table,
+    schema_exists,
+    table_exists,
     table_properties,
     unregister,
 )
@@ -141,3 +144,16 @@ def test_unregister_keeps_files(spark, base, prefix):
     unregister(spark, "geo", "REGION", database_prefix=prefix)
     assert spark.sql(f"SHOW TABLES IN {prefix}geo").count() == 0
     assert spark.read.parquet(path).count() == 5
+
+
+def test_existence_and_registry(spark, base, prefix):
+    path = staging.stage_table(spark, SF_SMALL, base, "region", app="geo")
+    assert not schema_exists(spark, "Geo Data", prefix)
+    register_table(spark, "Geo Data", "Region-List", path, database_prefix=prefix, database_location=base)
+    assert schema_exists(spark, "Geo Data", prefix) and table_exists(spark, "Geo Data", "Region-List", prefix)
+    assert not table_exists(spark, "Geo Data", "Other", prefix)
+    rows = registered_tables(spark, [f"{prefix}geo_data"]).collect()
+    assert [(r.catalog_table, r.schema_name, r.table_name, r.version, r.merged) for r in rows] == [
+        ("region_list", "Geo Data", "Region-List", 1, False)
+    ]
+    assert rows[0].sources[0].endswith("geo/parquet/REGION.parquet")
