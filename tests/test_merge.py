@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tablekeep import staging
 from tablekeep.operators.merge import MergeConflictError, MergeGroupError, merge_group, merge_sources, merge_tables
 from tablekeep.operators.project import NoColumnsLeftError
+from tablekeep.plans.registration import register_merged
 from tablekeep.sources import fs
 from tablekeep.sources.scan import scan_tables
 
@@ -125,3 +126,17 @@ def test_merge_with_spaces_in_application(spark, base):
     assert rows == [(1, "app one"), (2, "app+two%")]
     scanned = scan_tables(spark, [a, b], provenance={a: "one", b: "two"})
     assert sorted(tuple(r) for r in scanned.collect()) == [(1, "one"), (2, "two")]
+
+
+def test_b2_partitioned_sources_keep_partition_column(spark, base, prefix):
+    """B2 in merge mode: each partitioned source is read alone, so the column survives."""
+    a = staging.stage_partitioned(spark, SF_SMALL, base, app="appX")
+    b = staging.stage_partitioned(spark, SF_SMALL, base, app="appY")
+    df = merge_tables(spark, [a, b])
+    assert "o_orderstatus" in df.columns and df.count() == 3000
+    reg = register_merged(spark, "m", [a, b], database_prefix=prefix, database_location=base)
+    view = spark.table(reg.catalog_table)
+    assert view.filter(F.col("o_orderstatus") == "F").count() == 2 * spark.read.parquet(
+        f"{SF_SMALL}/orders.parquet"
+    ).filter(F.col("o_orderstatus") == "F").count()
+    assert "PartitionFilters: [isnotnull(o_orderstatus" in plan_text(view.filter(F.col("o_orderstatus") == "F"))

@@ -114,3 +114,12 @@ def test_report_name_is_utc():
 def test_missing_root_raises(spark, base):
     with pytest.raises(FileNotFoundError):
         publish_application(spark, f"{base}/nothing")
+
+
+def test_root_without_schemas(spark, base, prefix):
+    fs.mkdirs(spark, f"{base}/bare/notes")
+    report = publish_application(
+        spark, f"{base}/bare", database_prefix=prefix, database_location=base, report_path=f"{base}/rep"
+    )
+    assert report.count() == 0
+    assert not fs.exists(spark, f"{base}/rep")  # nothing processed, no report written
