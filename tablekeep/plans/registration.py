@@ -255,7 +255,7 @@ def _create_base(spark: SparkSession, db: str, name: str, path: str, schema: T.S
     spark.sql(f"DROP TABLE IF EXISTS {quote(db)}.{quote(name)}")  # leftover of a failed run
     spark.catalog.createTable(
         f"{db}.{name}",
-        path=path,
+        path=fs.glob_escape(path),  # the location is globbed when resolved: keep it literal
         source="parquet",
         schema=schema,
         **reader_options(spark, path, merge_schema=False),

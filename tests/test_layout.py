@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tablekeep import staging
 from tablekeep.operators.counts import row_counts
+from tablekeep.operators.merge import merge_tables
+from tablekeep.plans.registration import register_merged
 from tablekeep.sources import fs
 from tablekeep.sources.layout import DuplicateTableError, discover_schemas, discover_tables, empty_tables
 from tablekeep.sources.manifest import MissingDataFilesError, file_manifest, require_files
@@ -148,3 +150,15 @@ def test_o2_single_file_manifest(spark, base):
     part = next(e.path for e in fs.children(spark, folder) if e.name.endswith(".parquet"))
     rows = file_manifest(spark, [part]).collect()
     assert len(rows) == 1 and rows[0].file_path == part and rows[0].n_bytes > 0
+
+
+def test_glob_characters_in_folder_names(spark, base, prefix):
+    """Folder names with [ ] { } ? * are taken literally everywhere, registration included."""
+    root = f"{base}/root[1]"
+    a = write_df(spark, [(1,), (2,), (3,)], "id int", f"{root}/app{{a,b}}/parquet/T*x.parquet")
+    b = write_df(spark, [(4,)], "id int", f"{root}/app?c/parquet/T*x.parquet")
+    assert _names(discover_tables(spark, root)) == [("app?c", "T*x"), ("app{a,b}", "T*x")]
+    assert sorted((r.schema_name, r.row_count) for r in row_counts(spark, root).collect()) == [("app?c", 1), ("app{a,b}", 3)]
+    assert merge_tables(spark, [a, b]).count() == 4
+    reg = register_merged(spark, "g", [a, b], database_prefix=prefix, database_location=base)
+    assert sorted(r.id for r in spark.table(reg.catalog_table).collect()) == [1, 2, 3, 4]
