@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STATUSES = ("success", "skipped", "error")
+
+# Fixed values (report texts that must read like the archive tool's reports):
+PROCESS_APPLICATION = "External Table Creation"
+PROCESS_MERGE = "External Table Creation - Merge Applications"
+MERGED_SCHEMA_PATH = "Merged Applications"
 SKIP_REASON_EXISTS = "Table already exists and replace_existing is false"
+NO_FILES_MESSAGE = "Parquet files not found in {path}"
 
 REPORT_SCHEMA = T.StructType(
     [

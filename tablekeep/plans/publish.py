@@ -24,15 +24,21 @@ from pyspark.sql import functions as F
 from ..operators.counts import ROW_COUNT_SCHEMA, row_counts_by_path
 from ..operators.merge import PROVENANCE_COLUMN, merge_sources
 from ..operators.project import ARCHIVE_COLUMNS, column_list, parallel_map
-from ..operators.report import SKIP_REASON_EXISTS, load_report, outcome, write_report
+from ..operators.report import (
+    MERGED_SCHEMA_PATH,
+    NO_FILES_MESSAGE,
+    PROCESS_APPLICATION,
+    PROCESS_MERGE,
+    SKIP_REASON_EXISTS,
+    load_report,
+    outcome,
+    write_report,
+)
 from ..session import count_scan_conf, scoped_conf, work_dir
 from ..sources.layout import discover_tables
 from ..sources.manifest import require_files
 from .registration import plan_registration, register_merged, register_table
 
-PROCESS_APPLICATION = "External Table Creation"
-PROCESS_MERGE = "External Table Creation - Merge Applications"
-
 
 def _now() -> datetime:
     """UTC now at millisecond precision (what the JSON report keeps)."""
@@ -60,20 +66,38 @@ def _finish(
     return report
 
 
-def _counts(spark: SparkSession, keyed_paths: dict[str, tuple[str, str]]) -> DataFrame:
-    """Row counts of registered folders as (schema_name, table_name, row_count).
+def _counts(
+    spark: SparkSession, keyed_paths: dict[str, tuple[str, str]], max_workers: int = 8
+) -> tuple[DataFrame, dict[tuple[str, str], str]]:
+    """Row counts of registered folders: ((schema_name, table_name, row_count), errors).
 
-    Run now, as one scan with footer-sized splits; the result is one row per table.
+    Run now, as ONE scan over every folder with footer-sized splits. Only if
+    that job fails (say a file vanished after listing) are the folders counted
+    one by one, so that the failure lands on its own table's report row.
     """
     if not keyed_paths:
-        return spark.createDataFrame([], ROW_COUNT_SCHEMA)
-    keys = spark.createDataFrame(
-        [(p, s, t) for p, (s, t) in keyed_paths.items()], "source_path string, schema_name string, table_name string"
-    )
-    counts = row_counts_by_path(spark, list(keyed_paths)).join(keys, "source_path")
-    with scoped_conf(spark, count_scan_conf(spark)):
-        rows = counts.select("schema_name", "table_name", "row_count").collect()
-    return spark.createDataFrame(rows, ROW_COUNT_SCHEMA)
+        return spark.createDataFrame([], ROW_COUNT_SCHEMA), {}
+
+    def count(paths: list[str]) -> list:
+        keys = spark.createDataFrame(
+            [(p, *keyed_paths[p]) for p in paths], "source_path string, schema_name string, table_name string"
+        )
+        counts = row_counts_by_path(spark, paths).join(keys, "source_path")
+        return counts.select("schema_name", "table_name", "row_count").collect()
+
+    errors: dict[tuple[str, str], str] = {}
+    with scoped_conf(spark, count_scan_conf(spark)):  # set once: threads below share the session
+        try:
+            rows = count(list(keyed_paths))
+        except Exception:  # noqa: BLE001 - isolate the failing table(s)
+            rows = []
+            paths = list(keyed_paths)
+            for p, res in zip(paths, parallel_map(lambda q: count([q]), paths, max_workers)):
+                if isinstance(res, Exception):
+                    errors[keyed_paths[p]] = str(res).strip()
+                else:
+                    rows.extend(res)
+    return spark.createDataFrame(rows, ROW_COUNT_SCHEMA), errors
 
 
 def publish_application(
@@ -116,7 +140,7 @@ def publish_application(
             n_bytes=r.n_bytes,
         )
         if r.n_files == 0:
-            outcomes.append(outcome(**base, status="error", error_message=f"Parquet files not found in {r.table_path}"))
+            outcomes.append(outcome(**base, status="error", error_message=NO_FILES_MESSAGE.format(path=r.table_path)))
         elif r.action == "skip":
             outcomes.append(outcome(**base, status="skipped", action="skip", skip_reason=SKIP_REASON_EXISTS))
         else:
@@ -146,7 +170,13 @@ def publish_application(
             outcome(**base, status="success", action=res.action, n_columns=len(cols), columns=cols, version=res.version)
         )
         done[r.table_path] = (r.schema_name, r.table_name)
-    counts = _counts(spark, done) if verify_row_count else None
+    counts = None
+    if verify_row_count:
+        counts, count_errors = _counts(spark, done, max_workers)
+        for o in outcomes:
+            failure = count_errors.get((o["schema_name"], o["table_name"]))
+            if failure:
+                o.update(status="error", error_message=f"row count failed: {failure}")
     return _finish(
         spark,
         load_report(spark, outcomes, counts),
@@ -193,7 +223,7 @@ def publish_merge(
         process=PROCESS_MERGE,
         schema_name=target_schema,
         table_name=table_name,
-        schema_path="Merged Applications",
+        schema_path=MERGED_SCHEMA_PATH,
         merge=True,
         source_applications=[s.application for s in sources],
         source_paths=qualified,

@@ -123,3 +123,26 @@ def test_root_without_schemas(spark, base, prefix):
     )
     assert report.count() == 0
     assert not fs.exists(spark, f"{base}/rep")  # nothing processed, no report written
+
+
+def test_count_failure_isolated_to_its_table(spark, base, prefix, monkeypatch):
+    """If the one count job fails, folders are counted one by one and only the
+    failing table becomes an error row (the others keep their counts)."""
+    import tablekeep.plans.publish as publish_mod
+
+    real = publish_mod.row_counts_by_path
+
+    def flaky(spark_, paths):
+        if len(paths) > 1 or paths[0].endswith("NATION.parquet"):
+            raise RuntimeError("file vanished")
+        return real(spark_, paths)
+
+    monkeypatch.setattr(publish_mod, "row_counts_by_path", flaky)
+    root = staging.stage_archive(spark, SF_SMALL, base)
+    rows = _by_table(
+        publish_application(spark, root, verify_row_count=True, database_prefix=prefix, database_location=base)
+    )
+    nation = rows[("archive", "NATION")]
+    assert nation.status == "error" and "row count failed: file vanished" in nation.error_message
+    assert rows[("archive", "REGION")].row_count == 5 and rows[("archive", "REGION")].status == "success"
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") in ("134217728b", "134217728", "128MB")
