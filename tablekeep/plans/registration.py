@@ -222,8 +222,11 @@ def _base_tables(spark: SparkSession, db: str, table: str) -> list[tuple[str, in
 
 
 def _drop(spark: SparkSession, db: str, names: Iterable[str]) -> None:
-    for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS {quote(db)}.{quote(name)}")
+    """Drop base tables (external: the files stay); tries all, then raises the first failure."""
+    results = parallel_map(lambda n: spark.sql(f"DROP TABLE IF EXISTS {quote(db)}.{quote(n)}"), list(names))
+    failures = [r for r in results if isinstance(r, Exception)]
+    if failures:
+        raise failures[0]
 
 
 def _properties_sql(props: dict[str, str]) -> str:
@@ -377,14 +380,13 @@ def register_merged(
     previous = _current_version(spark, db, table)
     version = previous + 1
     bases = [base_table_name(table, version, s.ordinal) for s in sources]
-    created: list[str] = []
-    try:
-        for s, base, schema in zip(sources, bases, schemas):
-            _create_base(spark, db, base, s.path, schema)
-            created.append(base)
-    except Exception:
-        _drop(spark, db, created + [bases[len(created)]])
-        raise
+    results = parallel_map(
+        lambda k: _create_base(spark, db, bases[k], sources[k].path, schemas[k]), range(len(sources)), max_workers
+    )
+    failures = [r for r in results if isinstance(r, Exception)]
+    if failures:
+        _drop(spark, db, bases)
+        raise failures[0]
     union = " UNION ALL ".join(
         _branch_sql(db, base, k, columns, s.application, provenance_col)
         for k, (s, base) in enumerate(zip(sources, bases))
