@@ -167,7 +167,8 @@ def align_schemas(
     return out
 
 
-def _source_name(schema: T.StructType, name: str) -> str:
+def source_name(schema: T.StructType, name: str) -> str:
+    """The spelling a source uses for a (case-insensitively matched) merged column."""
     for f in schema.fields:
         if f.name.lower() == name.lower():
             return f.name
@@ -182,7 +183,7 @@ def aligned_branch(df: DataFrame, k: int, columns: Sequence[AlignedColumn]) -> l
         if src_type is None:
             exprs.append(F.lit(None).cast(c.dtype).alias(c.name))
             continue
-        col = F.col(quote(_source_name(df.schema, c.name)))
+        col = F.col(quote(source_name(df.schema, c.name)))
         if c.as_text:
             kind, _ = conversion(src_type, "mapped", {})
             col = F.to_json(col) if kind == "json" else col.cast(T.StringType())

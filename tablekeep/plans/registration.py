@@ -36,6 +36,7 @@ from ..operators.merge import (
     AlignedColumn,
     align_schemas,
     merge_sources,
+    source_name,
 )
 from ..operators.project import ARCHIVE_COLUMNS, kept_fields, parallel_map
 from ..sources import fs
@@ -203,6 +204,7 @@ def plan_registration(
 
 
 def _current_version(spark: SparkSession, db: str, table: str) -> int:
+    """Version the public view serves (0 when absent); refuses objects not made here."""
     props = table_properties(spark, db, table)
     if props is None:
         return 0
@@ -211,6 +213,12 @@ def _current_version(spark: SparkSession, db: str, table: str) -> int:
     return int(props[VERSION_KEY])
 
 
+def _next_version(spark: SparkSession, db: str, table: str, current: int) -> int:
+    """A version above the served one and above any base left by an unfinished run,
+    so creating it never touches a table another run may still point at."""
+    return max([current, *(v for _, v in _base_tables(spark, db, table))]) + 1
+
+
 def _base_tables(spark: SparkSession, db: str, table: str) -> list[tuple[str, int]]:
     rows = spark.sql(f"SHOW TABLES IN {quote(db)} LIKE {sql_string(table + '__v*')}").collect()
     out = []
@@ -229,6 +237,14 @@ def _drop(spark: SparkSession, db: str, names: Iterable[str]) -> None:
         raise failures[0]
 
 
+def _drop_quietly(spark: SparkSession, db: str, names: Iterable[str]) -> None:
+    """Best-effort cleanup on a failure path: the original error is what gets raised."""
+    try:
+        _drop(spark, db, names)
+    except Exception:  # noqa: BLE001
+        pass
+
+
 def _properties_sql(props: dict[str, str]) -> str:
     return ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in props.items())
 
@@ -249,13 +265,12 @@ def _swap_view(
             f"TBLPROPERTIES ({_properties_sql(props)}) AS {body}"
         )
     except Exception:
-        _drop(spark, db, new_bases)
+        _drop_quietly(spark, db, new_bases)
         raise
-    _drop(spark, db, [name for name, v in _base_tables(spark, db, table) if v != version])
+    _drop(spark, db, [name for name, v in _base_tables(spark, db, table) if v < version])
 
 
 def _create_base(spark: SparkSession, db: str, name: str, path: str, schema: T.StructType) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {quote(db)}.{quote(name)}")  # leftover of a failed run
     spark.catalog.createTable(
         f"{db}.{name}",
         path=fs.glob_escape(path),  # the location is globbed when resolved: keep it literal
@@ -292,12 +307,12 @@ def register_table(
     db, table = database_name(schema_name, database_prefix), catalog_name(table_name)
     ensure_database(spark, db, database_location)
     previous = _current_version(spark, db, table)
-    version = previous + 1
+    version = _next_version(spark, db, table, previous)
     base = base_table_name(table, version)
     try:
         _create_base(spark, db, base, path, schema)
     except Exception:
-        _drop(spark, db, [base])
+        _drop_quietly(spark, db, [base])
         raise
     select = ", ".join(exposed_sql(f.name, f.dataType, policy, mapping) for f in fields)
     props = {
@@ -323,20 +338,30 @@ def replace_table(spark: SparkSession, schema_name: str, table_name: str, table_
 # ---------------------------------------------------------------- merged table
 
 
-def _branch_sql(db: str, base: str, k: int, columns: Sequence[AlignedColumn], app: str, provenance_col: str | None) -> str:
+def _branch_sql(
+    db: str,
+    base: str,
+    k: int,
+    schema: T.StructType,
+    columns: Sequence[AlignedColumn],
+    app: str,
+    provenance_col: str | None,
+) -> str:
+    """SELECT of source ``k`` in merged column order (names as the source spells them)."""
     parts = []
     for c in columns:
         src = c.per_source[k]
-        q = quote(c.name)
         if src is None:
-            parts.append(f"CAST(NULL AS {sql_type(c.dtype)}) AS {q}")
-        elif c.as_text:
+            parts.append(f"CAST(NULL AS {sql_type(c.dtype)}) AS {quote(c.name)}")
+            continue
+        own, name = quote(source_name(schema, c.name)), quote(c.name)
+        if c.as_text:
             kind, _ = conversion(src, "mapped", {})
-            parts.append(f"to_json({q}) AS {q}" if kind == "json" else f"CAST({q} AS STRING) AS {q}")
+            parts.append(f"to_json({own}) AS {name}" if kind == "json" else f"CAST({own} AS STRING) AS {name}")
         elif src.simpleString() != c.dtype.simpleString():
-            parts.append(f"CAST({q} AS {sql_type(c.dtype)}) AS {q}")
+            parts.append(f"CAST({own} AS {sql_type(c.dtype)}) AS {name}")
         else:
-            parts.append(q)
+            parts.append(own if own == name else f"{own} AS {name}")
     if provenance_col:
         parts.append(f"{sql_string(app)} AS {quote(provenance_col)}")
     return f"SELECT {', '.join(parts)} FROM {quote(db)}.{quote(base)}"
@@ -378,17 +403,17 @@ def register_merged(
     db, table = database_name(target_schema, database_prefix), catalog_name(table_name)
     ensure_database(spark, db, database_location)
     previous = _current_version(spark, db, table)
-    version = previous + 1
+    version = _next_version(spark, db, table, previous)
     bases = [base_table_name(table, version, s.ordinal) for s in sources]
     results = parallel_map(
         lambda k: _create_base(spark, db, bases[k], sources[k].path, schemas[k]), range(len(sources)), max_workers
     )
     failures = [r for r in results if isinstance(r, Exception)]
     if failures:
-        _drop(spark, db, bases)
+        _drop_quietly(spark, db, bases)
         raise failures[0]
     union = " UNION ALL ".join(
-        _branch_sql(db, base, k, columns, s.application, provenance_col)
+        _branch_sql(db, base, k, schemas[k], columns, s.application, provenance_col)
         for k, (s, base) in enumerate(zip(sources, bases))
     )
     outer = [exposed_sql(c.name, c.dtype, policy, mapping) for c in columns]

@@ -21,6 +21,7 @@ from tablekeep.plans.registration import (
     table_properties,
     unregister,
 )
+from tablekeep.session import scoped_conf
 from tablekeep.sources import fs
 from tablekeep.sources.layout import discover_tables
 
@@ -157,3 +158,24 @@ def test_existence_and_registry(spark, base, prefix):
         ("region_list", "Geo Data", "Region-List", 1, False)
     ]
     assert rows[0].sources[0].endswith("geo/parquet/REGION.parquet")
+
+
+def test_unfinished_run_leftover_is_skipped_not_dropped_first(spark, base, prefix):
+    """A base left by an unfinished run is never reused: the new version goes above it,
+    and the leftover is retired only after the swap."""
+    path = staging.stage_table(spark, SF_SMALL, base, "region")
+    register_table(spark, "geo", "REGION", path, database_prefix=prefix, database_location=base)
+    spark.catalog.createTable(f"{prefix}geo.region__v2", path=path, source="parquet")  # stray leftover
+    reg = register_table(spark, "geo", "REGION", path, database_prefix=prefix, database_location=base)
+    assert reg.version == 3 and spark.table(reg.catalog_table).count() == 5
+    names = {r.tableName for r in spark.sql(f"SHOW TABLES IN {prefix}geo").collect()}
+    assert names == {"region", "region__v3"}
+
+
+def test_merged_view_with_case_different_spellings(spark, base, prefix):
+    a = write_df(spark, [(1, "x")], "ID int, name string", f"{base}/A/parquet/T.parquet")
+    b = write_df(spark, [(2, "y")], "id int, NAME string", f"{base}/B/parquet/T.parquet")
+    with scoped_conf(spark, {"spark.sql.caseSensitive": "true"}):
+        reg = register_merged(spark, "m", [a, b], database_prefix=prefix, database_location=base)
+        rows = sorted(tuple(r) for r in spark.table(reg.catalog_table).collect())
+    assert rows == [(1, "x", "A"), (2, "y", "B")]
