@@ -54,6 +54,15 @@ REPORT_SCHEMA = T.StructType(
 TOTALS_SCHEMA = "tables_total long, tables_succeeded long, tables_failed long, tables_skipped long"
 
 
+def error_text(exc: BaseException, limit: int = 2000) -> str:
+    """Report text of a failure: the message without a JVM stack trace, bounded."""
+    text = str(exc).strip()
+    for marker in ("\n\tat ", "\nJVM stacktrace:"):
+        if marker in text:
+            text = text.split(marker, 1)[0].rstrip()
+    return text if len(text) <= limit else text[: limit - 3] + "..."
+
+
 def outcome(**fields) -> dict:
     """One report row as a dict; unspecified fields are NULL."""
     row = {f.name: None for f in REPORT_SCHEMA.fields}

@@ -30,6 +30,7 @@ from ..operators.report import (
     PROCESS_APPLICATION,
     PROCESS_MERGE,
     SKIP_REASON_EXISTS,
+    error_text,
     load_report,
     outcome,
     write_report,
@@ -94,7 +95,7 @@ def _counts(
             paths = list(keyed_paths)
             for p, res in zip(paths, parallel_map(lambda q: count([q]), paths, max_workers)):
                 if isinstance(res, Exception):
-                    errors[keyed_paths[p]] = str(res).strip()
+                    errors[keyed_paths[p]] = error_text(res)
                 else:
                     rows.extend(res)
     return spark.createDataFrame(rows, ROW_COUNT_SCHEMA), errors
@@ -163,7 +164,7 @@ def publish_application(
     done = {}
     for (r, base), res in zip(todo, parallel_map(publish_one, todo, max_workers)):
         if isinstance(res, Exception):
-            outcomes.append(outcome(**base, status="error", action=r.action, error_message=str(res).strip()))
+            outcomes.append(outcome(**base, status="error", action=r.action, error_message=error_text(res)))
             continue
         cols = column_list(res.columns, mapping)
         outcomes.append(
@@ -239,7 +240,7 @@ def publish_merge(
         ).first()
         base.update(n_files=int(per_source.n_files), n_bytes=int(per_source.n_bytes))
     except Exception as exc:  # noqa: BLE001 - reported
-        return finish(outcome(**base, status="error", action=planned.action, error_message=str(exc).strip()))
+        return finish(outcome(**base, status="error", action=planned.action, error_message=error_text(exc)))
     if planned.action == "skip":
         return finish(outcome(**base, status="skipped", action="skip", skip_reason=SKIP_REASON_EXISTS))
     try:
@@ -257,13 +258,17 @@ def publish_merge(
             check_files=False,
         )
     except Exception as exc:  # noqa: BLE001 - reported
-        return finish(outcome(**base, status="error", action=planned.action, error_message=str(exc).strip()))
+        return finish(outcome(**base, status="error", action=planned.action, error_message=error_text(exc)))
     cols = column_list(res.columns, mapping)
     row = outcome(**base, status="success", action=res.action, n_columns=len(cols), columns=cols, version=res.version)
     counts = None
     if verify_row_count:
-        with scoped_conf(spark, count_scan_conf(spark)):
-            n_rows = spark.table(res.catalog_table).count()
-        counts = spark.createDataFrame([(target_schema, table_name, n_rows)], ROW_COUNT_SCHEMA)
+        try:
+            with scoped_conf(spark, count_scan_conf(spark)):
+                n_rows = spark.table(res.catalog_table).count()
+        except Exception as exc:  # noqa: BLE001 - reported on the table's row
+            row.update(status="error", error_message=f"row count failed: {error_text(exc)}")
+        else:
+            counts = spark.createDataFrame([(target_schema, table_name, n_rows)], ROW_COUNT_SCHEMA)
     return finish(row, counts)
 

@@ -146,3 +146,10 @@ def test_count_failure_isolated_to_its_table(spark, base, prefix, monkeypatch):
     assert nation.status == "error" and "row count failed: file vanished" in nation.error_message
     assert rows[("archive", "REGION")].row_count == 5 and rows[("archive", "REGION")].status == "success"
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") in ("134217728b", "134217728", "128MB")
+
+
+def test_error_text_drops_jvm_trace():
+    from tablekeep.operators.report import error_text
+
+    assert error_text(RuntimeError("boom\n: java.io.IOException: gone\n\tat x.y(z)")) == "boom\n: java.io.IOException: gone"
+    assert len(error_text(RuntimeError("x" * 5000))) == 2000
