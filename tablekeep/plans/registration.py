@@ -298,11 +298,16 @@ def register_table(
 ) -> Registration:
     """O17 (and O18 when the table exists): publish one table folder.
 
-    ``schema`` is the folder's merged schema when already known (saves a footer job).
+    ``schema`` is the folder's merged schema when already known (saves a footer
+    job). Either way the folder must hold data files: a catalog table over a
+    missing or empty location would silently read zero rows (trap T4).
     """
     check_policy(policy)
     path = fs.qualify(spark, table_path)
-    schema = schema if schema is not None else scan_table(spark, path).schema
+    if schema is None:
+        schema = scan_table(spark, path).schema  # fails on a missing or file-less folder
+    else:
+        require_files(spark, [path])
     fields = kept_fields(schema, drop)
     db, table = database_name(schema_name, database_prefix), catalog_name(table_name)
     ensure_database(spark, db, database_location)

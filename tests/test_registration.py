@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from conftest import SF_SMALL, plan_text, write_df
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablekeep import staging
 from tablekeep.plans.registration import (
@@ -24,6 +25,7 @@ from tablekeep.plans.registration import (
 from tablekeep.session import scoped_conf
 from tablekeep.sources import fs
 from tablekeep.sources.layout import discover_tables
+from tablekeep.sources.manifest import MissingDataFilesError
 
 
 def test_register_creates_external_base_and_view(spark, base, prefix):
@@ -179,3 +181,14 @@ def test_merged_view_with_case_different_spellings(spark, base, prefix):
         reg = register_merged(spark, "m", [a, b], database_prefix=prefix, database_location=base)
         rows = sorted(tuple(r) for r in spark.table(reg.catalog_table).collect())
     assert rows == [(1, "x", "A"), (2, "y", "B")]
+
+
+def test_t4_no_silent_empty_table(spark, base, prefix):
+    schema = T.StructType([T.StructField("id", T.IntegerType())])
+    fs.mkdirs(spark, f"{base}/e/parquet/E.parquet")
+    with pytest.raises(MissingDataFilesError):
+        register_table(spark, "e", "E", f"{base}/e/parquet/E.parquet", schema, database_prefix=prefix)
+    with pytest.raises(MissingDataFilesError):
+        register_table(spark, "e", "E", f"{base}/nowhere/parquet/E.parquet", schema, database_prefix=prefix)
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA|Unable to infer"):
+        register_table(spark, "e", "E", f"{base}/e/parquet/E.parquet", database_prefix=prefix)
