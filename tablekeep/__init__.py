@@ -15,6 +15,8 @@ from .operators import (
     read_report,
     report_totals,
     row_counts,
+    row_counts_by_path,
+    table_row_count,
     write_report,
 )
 from .plans import (
@@ -24,7 +26,11 @@ from .plans import (
     publish_merge,
     register_merged,
     register_table,
+    registered_tables,
     replace_table,
+    schema_exists,
+    table_exists,
+    unregister,
 )
 from .sources import discover_tables, empty_tables, file_manifest, scan_table, scan_tables
 
@@ -39,6 +45,8 @@ __all__ = [
     "read_report",
     "report_totals",
     "row_counts",
+    "row_counts_by_path",
+    "table_row_count",
     "write_report",
     "existing_tables",
     "plan_registration",
@@ -47,6 +55,10 @@ __all__ = [
     "register_merged",
     "register_table",
     "replace_table",
+    "registered_tables",
+    "schema_exists",
+    "table_exists",
+    "unregister",
     "discover_tables",
     "empty_tables",
     "file_manifest",
