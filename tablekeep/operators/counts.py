@@ -55,6 +55,8 @@ def row_counts_by_path(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     if not qualified:
         return requested.withColumn("row_count", F.lit(0).cast("long"))
     with_files = [p for p in qualified if fs.is_dir(spark, p)]
+    if not with_files:
+        return requested.withColumn("row_count", F.lit(0).cast("long"))
     files = manifest_by_source(spark, with_files).select("encoded_path", "source_path")
     per_source = (
         rows_per_file(spark, with_files)

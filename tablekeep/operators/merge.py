@@ -140,6 +140,8 @@ def align_schemas(
                 order.append(key)
                 spelled[key] = f.name
                 types[key] = [None] * len(schemas)
+            elif types[key][k] is not None:
+                raise MergeConflictError(f"{labels[k]} has columns whose names differ only by case: {f.name!r}")
             types[key][k] = f.dataType
     if not order:
         raise NoColumnsLeftError("no columns left after removing archive columns")

@@ -89,3 +89,8 @@ def test_no_path_parsing_below_the_per_file_aggregate(spark, base):
     below = plan.split("FileScan parquet")[0].rsplit("HashAggregate", 1)[-1]  # nodes between scan and aggregate
     assert "Project" in below
     assert "UrlCodec" not in below and "split(" not in below and "Filter" not in below
+
+
+def test_counts_by_path_for_missing_folders(spark, base):
+    rows = row_counts_by_path(spark, [f"{base}/nope/parquet/T.parquet"]).collect()
+    assert [r.row_count for r in rows] == [0]

@@ -5,9 +5,17 @@ from __future__ import annotations
 import pytest
 from conftest import SF_SMALL, plan_text, write_df
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablekeep import staging
-from tablekeep.operators.merge import MergeConflictError, MergeGroupError, merge_group, merge_sources, merge_tables
+from tablekeep.operators.merge import (
+    MergeConflictError,
+    MergeGroupError,
+    align_schemas,
+    merge_group,
+    merge_sources,
+    merge_tables,
+)
 from tablekeep.operators.project import NoColumnsLeftError
 from tablekeep.plans.registration import register_merged
 from tablekeep.sources import fs
@@ -140,3 +148,9 @@ def test_b2_partitioned_sources_keep_partition_column(spark, base, prefix):
         f"{SF_SMALL}/orders.parquet"
     ).filter(F.col("o_orderstatus") == "F").count()
     assert "PartitionFilters: [isnotnull(o_orderstatus" in plan_text(view.filter(F.col("o_orderstatus") == "F"))
+
+
+def test_case_twins_in_one_source_are_refused():
+    twin = T.StructType([T.StructField("ID", T.IntegerType()), T.StructField("id", T.IntegerType())])
+    with pytest.raises(MergeConflictError, match="differ only by case"):
+        align_schemas([twin], ["appA"])
