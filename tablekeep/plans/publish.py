@@ -14,6 +14,7 @@ archive columns, a failed DDL) becomes an ``error`` row; the run continues.
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
@@ -41,6 +42,19 @@ from ..sources.manifest import require_files
 from .registration import plan_registration, register_merged, register_table
 
 
+log = logging.getLogger("tablekeep")
+
+
+def _log_outcome(row: dict) -> None:
+    name = f"{row['schema_name']}.{row['table_name']}"
+    if row["status"] == "error":
+        log.warning("%s: error: %s", name, row["error_message"])
+    elif row["status"] == "skipped":
+        log.info("%s: skipped (%s)", name, row["skip_reason"])
+    else:
+        log.info("%s: %s as %s v%s", name, row["action"], row["catalog_table"], row["version"])
+
+
 def _now() -> datetime:
     """UTC now at millisecond precision (what the JSON report keeps)."""
     now = datetime.now(timezone.utc)
@@ -178,6 +192,9 @@ def publish_application(
             failure = count_errors.get((o["schema_name"], o["table_name"]))
             if failure:
                 o.update(status="error", error_message=f"row count failed: {failure}")
+    for o in outcomes:
+        _log_outcome(o)
+    log.info("published %s: %d table(s)", root, len(outcomes))
     return _finish(
         spark,
         load_report(spark, outcomes, counts),
@@ -215,6 +232,7 @@ def publish_merge(
     qualified = [s.path for s in sources]
 
     def finish(row: dict, counts: DataFrame | None = None) -> DataFrame:
+        _log_outcome(row)
         return _finish(
             spark, load_report(spark, [row], counts), report_path, source_root=None, started_at=started_at, n_rows=1
         )
