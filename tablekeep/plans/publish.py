@@ -138,7 +138,7 @@ def publish_application(
     listed = discover_tables(spark, root)
     discovered = spark.createDataFrame(listed.collect(), listed.schema)
     plan = plan_registration(
-        spark, discovered, replace_existing=replace_existing, database_prefix=database_prefix
+        spark, discovered, replace_existing=replace_existing, database_prefix=database_prefix, on_collision="mark"
     ).collect()
     outcomes: list[dict] = []
     todo = []
@@ -154,7 +154,9 @@ def publish_application(
             n_files=r.n_files,
             n_bytes=r.n_bytes,
         )
-        if r.n_files == 0:
+        if r.action == "collision":
+            outcomes.append(outcome(**base, status="error", error_message=f"catalog name collision: {r.clash}"))
+        elif r.n_files == 0:
             outcomes.append(outcome(**base, status="error", error_message=NO_FILES_MESSAGE.format(path=r.table_path)))
         elif r.action == "skip":
             outcomes.append(outcome(**base, status="skipped", action="skip", skip_reason=SKIP_REASON_EXISTS))

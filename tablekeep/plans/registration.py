@@ -168,12 +168,16 @@ def plan_registration(
     replace_existing: bool = False,
     target_schema: str | None = None,
     database_prefix: str = "",
+    on_collision: str = "raise",
 ) -> DataFrame:
     """Add catalog names, ``exists`` and ``action`` (create/replace/skip).
 
-    ``tables`` needs ``schema_name`` and ``table_name``. Raises when two
-    originals normalise to one catalog name.
+    ``tables`` needs ``schema_name`` and ``table_name``. When two originals
+    normalise to one catalog name, ``on_collision="raise"`` raises and
+    ``"mark"`` gives those rows ``action = 'collision'`` and a ``clash`` text.
     """
+    if on_collision not in ("raise", "mark"):
+        raise ValueError("on_collision must be 'raise' or 'mark'")
     schema_col = F.lit(target_schema) if target_schema is not None else F.col("schema_name")
     prefix = catalog_name(database_prefix) if database_prefix else ""
     named = tables.withColumn(
@@ -187,11 +191,13 @@ def plan_registration(
         .agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.concat_ws(".", schema_col, "table_name")).alias("names"))
         .collect()
     )
-    clashes = [r for r in groups if r.n > 1]
-    if clashes:
-        raise NameCollisionError(
-            "; ".join(f"{', '.join(sorted(r.names))} -> {r.catalog_database}.{r.catalog_table}" for r in clashes)
-        )
+    clashes = {
+        (r.catalog_database, r.catalog_table): f"{', '.join(sorted(r.names))} -> {r.catalog_database}.{r.catalog_table}"
+        for r in groups
+        if r.n > 1
+    }
+    if clashes and on_collision == "raise":
+        raise NameCollisionError("; ".join(clashes.values()))
     dbs = sorted({r.catalog_database for r in groups})
     existing = existing_tables(spark, dbs).withColumn("exists", F.lit(True))
     planned = named.join(existing, ["catalog_database", "catalog_table"], "left").withColumn(
@@ -200,7 +206,16 @@ def plan_registration(
     action = F.when(~F.col("exists"), F.lit("create")).otherwise(
         F.lit("replace") if replace_existing else F.lit("skip")
     )
-    return planned.withColumn("action", action)
+    planned = planned.withColumn("action", action)
+    if on_collision == "mark":
+        clash_rows = spark.createDataFrame(
+            [(d, t, text) for (d, t), text in clashes.items()],
+            "catalog_database string, catalog_table string, clash string",
+        )
+        planned = planned.join(F.broadcast(clash_rows), ["catalog_database", "catalog_table"], "left").withColumn(
+            "action", F.when(F.col("clash").isNotNull(), F.lit("collision")).otherwise(F.col("action"))
+        )
+    return planned
 
 
 def _current_version(spark: SparkSession, db: str, table: str) -> int:

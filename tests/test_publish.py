@@ -153,3 +153,14 @@ def test_error_text_drops_jvm_trace():
 
     assert error_text(RuntimeError("boom\n: java.io.IOException: gone\n\tat x.y(z)")) == "boom\n: java.io.IOException: gone"
     assert len(error_text(RuntimeError("x" * 5000))) == 2000
+
+
+def test_name_collision_is_an_error_row(spark, base, prefix):
+    """T1 during a publish: the two clashing tables are error rows, the rest publish."""
+    write_df(spark, [(1,)], "id int", f"{base}/r/parquet/Orders.parquet")
+    write_df(spark, [(2,)], "id int", f"{base}/r/parquet/ORDERS.parquet")
+    write_df(spark, [(3,)], "id int", f"{base}/r/parquet/OTHER.parquet")
+    rows = _by_table(publish_application(spark, f"{base}/r", database_prefix=prefix, database_location=base))
+    assert rows[("r", "Orders")].status == "error" and "collision" in rows[("r", "Orders")].error_message
+    assert rows[("r", "ORDERS")].status == "error"
+    assert rows[("r", "OTHER")].status == "success"
