@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--database-prefix", default="", help="prefix for every catalog database name")
         sp.add_argument("--database-location", help="parent folder for databases that get created")
         sp.add_argument("--report-dir", help="folder to write the JSON report into")
+        sp.add_argument("--workers", type=int, default=8, help="tables (or sources) handled concurrently")
 
     pub = sub.add_parser("publish", help="publish every table of an application root")
     pub.add_argument("root")
@@ -67,9 +68,11 @@ def main(argv: list[str] | None = None) -> int:
         report_path=args.report_dir,
     )
     if args.mode == "publish":
-        report = publish_application(spark, args.root, **kw)
+        report = publish_application(spark, args.root, max_workers=args.workers, **kw)
     else:
-        report = publish_merge(spark, args.paths, args.target_schema, on_conflict=args.on_conflict, **kw)
+        report = publish_merge(
+            spark, args.paths, args.target_schema, on_conflict=args.on_conflict, max_workers=args.workers, **kw
+        )
     for line in report.toJSON().collect():
         print(line)
     totals = report_totals(report).first()

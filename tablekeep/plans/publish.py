@@ -165,6 +165,7 @@ def publish_application(
 
     def publish_one(item):
         r, _ = item
+        spark.sparkContext.setJobDescription(f"tablekeep publish {r.schema_name}.{r.table_name}")
         return register_table(
             spark,
             r.schema_name,
@@ -222,6 +223,7 @@ def publish_merge(
     database_location: str | None = None,
     database_prefix: str = "",
     report_path: str | None = None,
+    max_workers: int = 8,
 ) -> DataFrame:
     """Publish one merged table; the report has exactly one row.
 
@@ -275,6 +277,7 @@ def publish_merge(
             drop=drop,
             database_location=database_location,
             database_prefix=database_prefix,
+            max_workers=max_workers,
             check_files=False,
         )
     except Exception as exc:  # noqa: BLE001 - reported
