@@ -15,6 +15,7 @@ scan: the per-row work stays one hash update.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import astuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,14 +70,24 @@ def row_counts_by_path(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def row_counts(spark: SparkSession, root: str, dirs: list[TableDir] | None = None) -> DataFrame:
-    """(schema_name, table_name, row_count) for every table below ``root``."""
+def row_counts(
+    spark: SparkSession,
+    root: str,
+    dirs: list[TableDir] | None = None,
+    files: DataFrame | None = None,
+) -> DataFrame:
+    """(schema_name, table_name, row_count) for every table below ``root``.
+
+    ``dirs`` limits the count to those table folders; ``files`` (from
+    ``files_by_table``) reuses a manifest already listed.
+    """
     root_q = fs.qualify(spark, root)
     dirs = table_dirs(spark, root_q) if dirs is None else dirs
-    listed = spark.createDataFrame([(d.schema_name, d.table_name, d.schema_path, d.table_path, d.schema_dir, d.table_dir) for d in dirs], TABLE_DIR_SCHEMA)
     if not dirs:
         return spark.createDataFrame([], ROW_COUNT_SCHEMA)
-    files = files_by_table(spark, root_q, dirs).select("encoded_path", "schema_dir", "table_dir")
+    listed = spark.createDataFrame([astuple(d) for d in dirs], TABLE_DIR_SCHEMA)
+    files = files_by_table(spark, root_q, dirs) if files is None else files
+    files = files.select("encoded_path", "schema_dir", "table_dir")
     per_table = (
         rows_per_file(spark, [d.table_path for d in dirs])
         .join(files, "encoded_path")

@@ -19,10 +19,11 @@ import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.counts import ROW_COUNT_SCHEMA, row_counts_by_path
+from ..operators.counts import ROW_COUNT_SCHEMA, row_counts
 from ..operators.merge import PROVENANCE_COLUMN, merge_sources
 from ..operators.project import ARCHIVE_COLUMNS, column_list, parallel_map
 from ..operators.report import (
@@ -37,7 +38,7 @@ from ..operators.report import (
     write_report,
 )
 from ..session import count_scan_conf, scoped_conf, work_dir
-from ..sources.layout import discover_tables
+from ..sources.layout import TableDir, discover_tables, files_by_table, table_dirs
 from ..sources.manifest import require_files
 from .registration import plan_registration, register_merged, register_table
 
@@ -82,34 +83,34 @@ def _finish(
 
 
 def _counts(
-    spark: SparkSession, keyed_paths: dict[str, tuple[str, str]], max_workers: int = 8
+    spark: SparkSession,
+    root: str,
+    dirs: list[TableDir],
+    files: DataFrame,
+    max_workers: int = 8,
 ) -> tuple[DataFrame, dict[tuple[str, str], str]]:
-    """Row counts of registered folders: ((schema_name, table_name, row_count), errors).
+    """Row counts of the registered tables: ((schema_name, table_name, row_count), errors).
 
-    Run now, as ONE scan over every folder with footer-sized splits. Only if
-    that job fails (say a file vanished after listing) are the folders counted
-    one by one, so that the failure lands on its own table's report row.
+    Run now, as ONE scan over every folder with footer-sized splits, joined to
+    the run's manifest. Only if that job fails (say a file vanished after
+    listing) are the tables counted one by one, so that the failure lands on
+    its own table's report row.
     """
-    if not keyed_paths:
+    if not dirs:
         return spark.createDataFrame([], ROW_COUNT_SCHEMA), {}
 
-    def count(paths: list[str]) -> list:
-        keys = spark.createDataFrame(
-            [(p, *keyed_paths[p]) for p in paths], "source_path string, schema_name string, table_name string"
-        )
-        counts = row_counts_by_path(spark, paths).join(keys, "source_path")
-        return counts.select("schema_name", "table_name", "row_count").collect()
+    def count(subset: list[TableDir]) -> list:
+        return row_counts(spark, root, subset, files).collect()
 
     errors: dict[tuple[str, str], str] = {}
     with scoped_conf(spark, count_scan_conf(spark)):  # set once: threads below share the session
         try:
-            rows = count(list(keyed_paths))
+            rows = count(dirs)
         except Exception:  # noqa: BLE001 - isolate the failing table(s)
             rows = []
-            paths = list(keyed_paths)
-            for p, res in zip(paths, parallel_map(lambda q: count([q]), paths, max_workers)):
+            for d, res in zip(dirs, parallel_map(lambda one: count([one]), dirs, max_workers)):
                 if isinstance(res, Exception):
-                    errors[keyed_paths[p]] = error_text(res)
+                    errors[(d.schema_name, d.table_name)] = error_text(res)
                 else:
                     rows.extend(res)
     return spark.createDataFrame(rows, ROW_COUNT_SCHEMA), errors
@@ -133,79 +134,87 @@ def publish_application(
     started_at = _now()
     run_id = uuid.uuid4().hex
     drop = tuple(drop)
-    # The table list is catalog metadata (one row per table folder): list once,
-    # then plan on the materialised rows instead of re-listing for every action.
-    listed = discover_tables(spark, root)
-    discovered = spark.createDataFrame(listed.collect(), listed.schema)
-    plan = plan_registration(
-        spark, discovered, replace_existing=replace_existing, database_prefix=database_prefix, on_collision="mark"
-    ).collect()
-    outcomes: list[dict] = []
-    todo = []
-    for r in plan:
-        base = dict(
-            run_id=run_id,
-            process=PROCESS_APPLICATION,
-            schema_name=r.schema_name,
-            table_name=r.table_name,
-            catalog_table=f"{r.catalog_database}.{r.catalog_table}",
-            schema_path=r.schema_path,
-            table_path=r.table_path,
-            n_files=r.n_files,
-            n_bytes=r.n_bytes,
-        )
-        if r.action == "collision":
-            outcomes.append(outcome(**base, status="error", error_message=f"catalog name collision: {r.clash}"))
-        elif r.n_files == 0:
-            outcomes.append(outcome(**base, status="error", error_message=NO_FILES_MESSAGE.format(path=r.table_path)))
-        elif r.action == "skip":
-            outcomes.append(outcome(**base, status="skipped", action="skip", skip_reason=SKIP_REASON_EXISTS))
-        else:
-            todo.append((r, base))
+    # List the data files once per run: the per-file manifest feeds discovery
+    # now and the row-count join later (recomputed from the listing if lost).
+    dirs = table_dirs(spark, root)
+    files = files_by_table(spark, root, dirs).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # The table list is catalog metadata (one row per table folder): materialise
+        # it once and plan on those rows instead of re-running discovery per action.
+        listed = discover_tables(spark, root, dirs, files)
+        discovered = spark.createDataFrame(listed.collect(), listed.schema)
+        plan = plan_registration(
+            spark, discovered, replace_existing=replace_existing, database_prefix=database_prefix, on_collision="mark"
+        ).collect()
+        outcomes: list[dict] = []
+        todo = []
+        for r in plan:
+            base = dict(
+                run_id=run_id,
+                process=PROCESS_APPLICATION,
+                schema_name=r.schema_name,
+                table_name=r.table_name,
+                catalog_table=f"{r.catalog_database}.{r.catalog_table}",
+                schema_path=r.schema_path,
+                table_path=r.table_path,
+                n_files=r.n_files,
+                n_bytes=r.n_bytes,
+            )
+            if r.action == "collision":
+                outcomes.append(outcome(**base, status="error", error_message=f"catalog name collision: {r.clash}"))
+            elif r.n_files == 0:
+                outcomes.append(outcome(**base, status="error", error_message=NO_FILES_MESSAGE.format(path=r.table_path)))
+            elif r.action == "skip":
+                outcomes.append(outcome(**base, status="skipped", action="skip", skip_reason=SKIP_REASON_EXISTS))
+            else:
+                todo.append((r, base))
 
-    def publish_one(item):
-        r, _ = item
-        spark.sparkContext.setJobDescription(f"tablekeep publish {r.schema_name}.{r.table_name}")
-        return register_table(
-            spark,
-            r.schema_name,
-            r.table_name,
-            r.table_path,
-            policy=policy,
-            mapping=mapping,
-            drop=drop,
-            database_location=database_location,
-            database_prefix=database_prefix,
-        )
+        def publish_one(item):
+            r, _ = item
+            spark.sparkContext.setJobDescription(f"tablekeep publish {r.schema_name}.{r.table_name}")
+            return register_table(
+                spark,
+                r.schema_name,
+                r.table_name,
+                r.table_path,
+                policy=policy,
+                mapping=mapping,
+                drop=drop,
+                database_location=database_location,
+                database_prefix=database_prefix,
+            )
 
-    done = {}
-    for (r, base), res in zip(todo, parallel_map(publish_one, todo, max_workers)):
-        if isinstance(res, Exception):
-            outcomes.append(outcome(**base, status="error", action=r.action, error_message=error_text(res)))
-            continue
-        cols = column_list(res.columns, mapping)
-        outcomes.append(
-            outcome(**base, status="success", action=res.action, n_columns=len(cols), columns=cols, version=res.version)
-        )
-        done[r.table_path] = (r.schema_name, r.table_name)
-    counts = None
-    if verify_row_count:
-        counts, count_errors = _counts(spark, done, max_workers)
+        done: set[tuple[str, str]] = set()
+        for (r, base), res in zip(todo, parallel_map(publish_one, todo, max_workers)):
+            if isinstance(res, Exception):
+                outcomes.append(outcome(**base, status="error", action=r.action, error_message=error_text(res)))
+                continue
+            cols = column_list(res.columns, mapping)
+            outcomes.append(
+                outcome(**base, status="success", action=res.action, n_columns=len(cols), columns=cols, version=res.version)
+            )
+            done.add((r.schema_name, r.table_name))
+        counts = None
+        if verify_row_count:
+            registered = [d for d in dirs if (d.schema_name, d.table_name) in done]
+            counts, count_errors = _counts(spark, root, registered, files, max_workers)
+            for o in outcomes:
+                failure = count_errors.get((o["schema_name"], o["table_name"]))
+                if failure:
+                    o.update(status="error", error_message=f"row count failed: {failure}")
         for o in outcomes:
-            failure = count_errors.get((o["schema_name"], o["table_name"]))
-            if failure:
-                o.update(status="error", error_message=f"row count failed: {failure}")
-    for o in outcomes:
-        _log_outcome(o)
-    log.info("published %s: %d table(s)", root, len(outcomes))
-    return _finish(
-        spark,
-        load_report(spark, outcomes, counts),
-        report_path,
-        source_root=root,
-        started_at=started_at,
-        n_rows=len(outcomes),
-    )
+            _log_outcome(o)
+        log.info("published %s: %d table(s)", root, len(outcomes))
+        return _finish(
+            spark,
+            load_report(spark, outcomes, counts),
+            report_path,
+            source_root=root,
+            started_at=started_at,
+            n_rows=len(outcomes),
+        )
+    finally:
+        files.unpersist()
 
 
 def publish_merge(

@@ -104,16 +104,22 @@ def files_by_table(spark: SparkSession, root: str, dirs: list[TableDir] | None =
     )
 
 
-def discover_tables(spark: SparkSession, root: str) -> DataFrame:
+def discover_tables(
+    spark: SparkSession,
+    root: str,
+    dirs: list[TableDir] | None = None,
+    files: DataFrame | None = None,
+) -> DataFrame:
     """O1 + O22: one row per table folder with its data-file count and size.
 
     (schema_name, table_name, schema_path, table_path, n_files, n_bytes);
-    a table folder without data files has ``n_files = 0``.
+    a table folder without data files has ``n_files = 0``. ``dirs`` and
+    ``files`` (from :func:`files_by_table`) can be passed to reuse a listing.
     """
-    dirs = table_dirs(spark, root)
+    dirs = table_dirs(spark, root) if dirs is None else dirs
+    files = files_by_table(spark, root, dirs) if files is None else files
     per_table = (
-        files_by_table(spark, root, dirs)
-        .groupBy("schema_dir", "table_dir")
+        files.groupBy("schema_dir", "table_dir")
         .agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_bytes").alias("n_bytes"))
     )
     listed = spark.createDataFrame([astuple(t) for t in dirs], TABLE_DIR_SCHEMA)

@@ -130,14 +130,14 @@ def test_count_failure_isolated_to_its_table(spark, base, prefix, monkeypatch):
     failing table becomes an error row (the others keep their counts)."""
     import tablekeep.plans.publish as publish_mod
 
-    real = publish_mod.row_counts_by_path
+    real = publish_mod.row_counts
 
-    def flaky(spark_, paths):
-        if len(paths) > 1 or paths[0].endswith("NATION.parquet"):
+    def flaky(spark_, root_, dirs, files=None):
+        if len(dirs) > 1 or dirs[0].table_name == "NATION":
             raise RuntimeError("file vanished")
-        return real(spark_, paths)
+        return real(spark_, root_, dirs, files)
 
-    monkeypatch.setattr(publish_mod, "row_counts_by_path", flaky)
+    monkeypatch.setattr(publish_mod, "row_counts", flaky)
     root = staging.stage_archive(spark, SF_SMALL, base)
     rows = _by_table(
         publish_application(spark, root, verify_row_count=True, database_prefix=prefix, database_location=base)
