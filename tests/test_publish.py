@@ -164,3 +164,13 @@ def test_name_collision_is_an_error_row(spark, base, prefix):
     assert rows[("r", "Orders")].status == "error" and "collision" in rows[("r", "Orders")].error_message
     assert rows[("r", "ORDERS")].status == "error"
     assert rows[("r", "OTHER")].status == "success"
+
+
+def test_b4_unreadable_table_is_an_error_row(spark, base, prefix):
+    root = staging.stage_archive(spark, SF_SMALL, base)
+    fs.write_text(spark, f"{root}/parquet/BROKEN.parquet/part-0.parquet", "not a parquet file")
+    rows = _by_table(publish_application(spark, root, database_prefix=prefix, database_location=base))
+    broken = rows[("archive", "BROKEN")]
+    assert broken.status == "error" and broken.error_message
+    assert "\tat " not in broken.error_message  # no JVM stack trace in the report
+    assert rows[("archive", "REGION")].status == "success"

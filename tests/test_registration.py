@@ -192,3 +192,14 @@ def test_t4_no_silent_empty_table(spark, base, prefix):
         register_table(spark, "e", "E", f"{base}/nowhere/parquet/E.parquet", schema, database_prefix=prefix)
     with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA|Unable to infer"):
         register_table(spark, "e", "E", f"{base}/e/parquet/E.parquet", database_prefix=prefix)
+
+
+def test_b11_identifiers_are_escaped(spark, base, prefix):
+    path = f"{base}/odd/parquet/ODD.parquet"
+    spark.sql("SELECT 1 AS `a b`, 2 AS `x``y`, 3 AS `dotted.name`, DATE'2024-01-01' AS ArchiveCreationDate").write.parquet(path)
+    reg = register_table(spark, "o'd d", "ODD", path, policy="mapped", database_prefix=prefix, database_location=base)
+    assert reg.catalog_table == f"{prefix}o_d_d.odd"
+    view = spark.table(reg.catalog_table)
+    assert view.columns == ["a b", "x`y", "dotted.name"]
+    assert tuple(view.first()) == (1, 2, 3)
+    assert table_properties(spark, f"{prefix}o_d_d", "odd")["tablekeep.schema_name"] == "o'd d"
