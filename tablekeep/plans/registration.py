@@ -40,7 +40,7 @@ from ..operators.merge import (
 )
 from ..operators.project import ARCHIVE_COLUMNS, kept_fields, parallel_map
 from ..sources import fs
-from ..sources.manifest import require_files
+from ..sources.manifest import BROADCAST_PATHS_LIMIT, require_files
 from ..sources.scan import reader_options, scan_table
 
 KEY = "tablekeep."
@@ -212,7 +212,9 @@ def plan_registration(
             [(d, t, text) for (d, t), text in clashes.items()],
             "catalog_database string, catalog_table string, clash string",
         )
-        planned = planned.join(F.broadcast(clash_rows), ["catalog_database", "catalog_table"], "left").withColumn(
+        if len(clashes) <= BROADCAST_PATHS_LIMIT:  # one row per clashing table: bounded, checked
+            clash_rows = F.broadcast(clash_rows)
+        planned = planned.join(clash_rows, ["catalog_database", "catalog_table"], "left").withColumn(
             "action", F.when(F.col("clash").isNotNull(), F.lit("collision")).otherwise(F.col("action"))
         )
     return planned
