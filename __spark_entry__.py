@@ -59,8 +59,8 @@ def q_scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, _ = _ctx(spark, "scan_table")
     orders = staging.read_table(spark, sf_dir, "orders")
     path = f"{base}/app/parquet/ORDERS.parquet"
-    staging.write_files(orders.filter(F.col("o_orderstatus") == "F"), path, 1)
-    staging.write_files(orders.filter(F.col("o_orderstatus") != "F"), f"{path}/more/deeper", 2)
+    staging.write_files(orders.filter(F.col("o_orderstatus") == "F"), path)
+    staging.write_files(orders.filter(F.col("o_orderstatus") != "F"), f"{path}/more/deeper")
     fs.write_text(spark, f"{path}/.partial.parquet", "junk")
     fs.write_text(spark, f"{path}/_temporary.parquet", "junk")
     return scan_table(spark, path)
@@ -97,7 +97,7 @@ def q_drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_map_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, _ = _ctx(spark, "map_types")
-    path = staging.stage_table(spark, sf_dir, base, "lineitem", archive_column=True, n_files=3)
+    path = staging.stage_table(spark, sf_dir, base, "lineitem", archive_column=True)
     return conform_types(drop_columns(scan_table(spark, path)), "mapped")
 
 
@@ -197,14 +197,14 @@ def q_plan_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, prefix = _ctx(spark, "register_table")
-    path = staging.stage_table(spark, sf_dir, base, "orders", archive_column=True, n_files=3)
+    path = staging.stage_table(spark, sf_dir, base, "orders", archive_column=True)
     reg = register_table(spark, "shop", "ORDERS", path, database_prefix=prefix, database_location=base)
     return spark.table(reg.catalog_table)
 
 
 def q_register_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, prefix = _ctx(spark, "register_mapped")
-    path = staging.stage_table(spark, sf_dir, base, "lineitem", archive_column=True, n_files=3)
+    path = staging.stage_table(spark, sf_dir, base, "lineitem", archive_column=True)
     reg = register_table(spark, "shop", "LINEITEM", path, policy="mapped", database_prefix=prefix, database_location=base)
     return spark.table(reg.catalog_table)
 
@@ -315,12 +315,12 @@ def q_write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_scan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O4 over raw web pages: every html text read back whole."""
     base, _ = _ctx(spark, "scan_pages")
-    return scan_table(spark, staging.stage_table(spark, sf_dir, base, "pages", n_files=3))
+    return scan_table(spark, staging.stage_table(spark, sf_dir, base, "pages"))
 
 
 def q_map_types_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, _ = _ctx(spark, "map_types_events")
-    path = staging.stage_table(spark, sf_dir, base, "events", archive_column=True, n_files=3)
+    path = staging.stage_table(spark, sf_dir, base, "events", archive_column=True)
     return conform_types(drop_columns(scan_table(spark, path)), "mapped")
 
 
@@ -408,16 +408,31 @@ SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey,
 FROM lineitem
 """
 
-# Staged archive layout: (schema, TABLE, driver table, files, columns).
+# Staged archive layout: (schema, TABLE, driver table, columns).
 _ARCHIVE = [
-    ("archive", "REGION", "region", 1, 2),
-    ("archive", "NATION", "nation", 1, 3),
-    ("archive", "CUSTOMER", "customer", 2, 5),
-    ("archive_SALES", "ORDERS", "orders", 3, 6),
-    ("archive_SALES", "LINEITEM", "lineitem", 4, 11),
-    ("archive_PARTS", "PART", "part", 2, 6),
-    ("archive_PARTS", "SUPPLIER", "supplier", 1, 4),
+    ("archive", "REGION", "region", 2),
+    ("archive", "NATION", "nation", 3),
+    ("archive", "CUSTOMER", "customer", 5),
+    ("archive_SALES", "ORDERS", "orders", 6),
+    ("archive_SALES", "LINEITEM", "lineitem", 11),
+    ("archive_PARTS", "PART", "part", 6),
+    ("archive_PARTS", "SUPPLIER", "supplier", 4),
 ]
+_R = staging.ROWS_PER_FILE
+
+
+def _files(rows_sql: str) -> str:
+    """Part files staged for a row count: ceil(rows / ROWS_PER_FILE), at least one."""
+    return f"greatest(1, ceil(({rows_sql}) / {_R}.0))"
+
+
+def _files_sql(table: str) -> str:
+    """Expected data files of a staged archive table (ORDERS keeps its F orders in a sub-folder)."""
+    if table == "ORDERS":
+        f_rows = "sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END)"
+        other_rows = "sum(CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END)"
+        return f"CAST({_files(f_rows)} + {_files(other_rows)} AS BIGINT)"
+    return f"CAST({_files('count(*)')} AS BIGINT)"
 
 
 def _report_sql(action: str, with_version: bool = False) -> str:
@@ -425,8 +440,8 @@ def _report_sql(action: str, with_version: bool = False) -> str:
     empty_version = ", CAST(NULL AS INTEGER) AS version" if with_version else ""
     parts = [
         f"SELECT '{s}' AS schema_name, '{t}' AS table_name, 'success' AS status, '{action}' AS action, "
-        f"CAST({n} AS BIGINT) AS n_files, {c} AS n_columns, count(*) AS row_count{version} FROM {src}"
-        for s, t, src, n, c in _ARCHIVE
+        f"{_files_sql(t)} AS n_files, {c} AS n_columns, count(*) AS row_count{version} FROM {src}"
+        for s, t, src, c in _ARCHIVE
     ]
     parts.append(
         "SELECT 'archive_PARTS' AS schema_name, 'EMPTY' AS table_name, 'error' AS status, "
@@ -436,18 +451,27 @@ def _report_sql(action: str, with_version: bool = False) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _discover_sql() -> str:
+    parts = [
+        f"SELECT '{s}' AS schema_name, '{t}' AS table_name, {_files_sql(t)} AS n_files FROM {src}"
+        for s, t, src, _ in _ARCHIVE
+    ]
+    parts.append("SELECT 'archive_PARTS', 'EMPTY', CAST(0 AS BIGINT)")
+    return "\nUNION ALL\n".join(parts)
+
+
 def _row_counts_sql() -> str:
     parts = [
         f"SELECT '{s}' AS schema_name, '{t}' AS table_name, count(*) AS row_count FROM {src}"
-        for s, t, src, _, _ in _ARCHIVE
+        for s, t, src, _ in _ARCHIVE
     ]
     parts.append("SELECT 'archive_PARTS', 'EMPTY', CAST(0 AS BIGINT)")
     return "\nUNION ALL\n".join(parts)
 
 
 def _describe_sql() -> str:
-    schema_of = " ".join(f"WHEN '{src}' THEN '{s}'" for s, _, src, _, _ in _ARCHIVE)
-    names = ", ".join(f"'{src}'" for _, _, src, _, _ in _ARCHIVE)
+    schema_of = " ".join(f"WHEN '{src}' THEN '{s}'" for s, _, src, _ in _ARCHIVE)
+    names = ", ".join(f"'{src}'" for _, _, src, _ in _ARCHIVE)
     return f"""
 SELECT CASE table_name {schema_of} END AS schema_name,
        upper(table_name) AS table_name,
@@ -490,13 +514,11 @@ def oracle_sql() -> dict[str, str]:
         "drop_columns": "SELECT * FROM orders",
         "map_types": _LINEITEM_MAPPED,
         "describe_tables": _describe_sql(),
-        "discover_tables": "SELECT * FROM (VALUES "
-        + ", ".join(f"('{s}', '{t}', CAST({n} AS BIGINT))" for s, t, _, n, _ in _ARCHIVE)
-        + ", ('archive_PARTS', 'EMPTY', CAST(0 AS BIGINT))) AS t(schema_name, table_name, n_files)",
+        "discover_tables": _discover_sql(),
         "empty_tables": "SELECT 'archive_PARTS' AS schema_name, 'EMPTY' AS table_name",
         "merge_group": (
-            f"SELECT {_APP}, 'ORDERS' AS table_name, CAST(2 AS BIGINT) AS n_files, count(*) AS row_count "
-            "FROM orders GROUP BY o_orderstatus"
+            f"SELECT {_APP}, 'ORDERS' AS table_name, CAST({_files('count(*)')} AS BIGINT) AS n_files, "
+            "count(*) AS row_count FROM orders GROUP BY o_orderstatus"
         ),
         "merge_tables": merged,
         "merge_missing_columns": (
@@ -516,7 +538,7 @@ def oracle_sql() -> dict[str, str]:
         + ", ".join(
             f"('{s}', '{t}', {str(t in ('REGION', 'ORDERS')).upper()}, "
             f"'{'skip' if t in ('REGION', 'ORDERS') else 'create'}')"
-            for s, t, _, _, _ in _ARCHIVE
+            for s, t, _, _ in _ARCHIVE
         )
         + ", ('archive_PARTS', 'EMPTY', FALSE, 'create')) AS t(schema_name, table_name, \"exists\", action)",
         "register_table": "SELECT * FROM orders",
@@ -534,7 +556,8 @@ def oracle_sql() -> dict[str, str]:
         "publish_replace": _report_sql("replace", with_version=True),
         "publish_merge": (
             "SELECT 'merged' AS schema_name, 'ORDERS' AS table_name, 'success' AS status, 'create' AS action, "
-            "CAST(6 AS BIGINT) AS n_files, 6 AS n_columns, count(*) AS row_count, TRUE AS merge, "
+            f"(SELECT CAST(sum({_files('c')}) AS BIGINT) FROM (SELECT count(*) AS c FROM orders "
+            "GROUP BY o_orderstatus)) AS n_files, 6 AS n_columns, count(*) AS row_count, TRUE AS merge, "
             "'appF,appO,appP' AS source_applications FROM orders"
         ),
         "report_totals": (

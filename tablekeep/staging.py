@@ -4,6 +4,8 @@ The archive tool reads folders shaped like ``<app>/parquet/<TABLE>.parquet/``.
 These helpers write whole driver tables into such layouts with Spark, under a
 fresh folder of the shared work directory. Every row of the source table is
 written; splits into applications are by a column value, never by sampling.
+Each folder gets one part file per ``ROWS_PER_FILE`` rows (at least one), so
+the number of files and write tasks grows with the data.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from .session import scratch
 from .sources import fs
 
 ARCHIVE_DATE = "2024-06-30"
+ROWS_PER_FILE = 5_000
 APPLICATION_STATUSES = ("F", "O", "P")  # orders.o_orderstatus values, one application each
 
 
@@ -26,9 +29,18 @@ def with_archive_column(df: DataFrame) -> DataFrame:
     return df.withColumn("ArchiveCreationDate", F.to_date(F.lit(ARCHIVE_DATE)))
 
 
-def write_files(df: DataFrame, path: str, n_files: int) -> str:
-    """Write ``df`` as exactly ``n_files`` part files (round-robin, all rows)."""
-    df.repartition(n_files).write.mode("overwrite").parquet(path)
+def files_for(rows: int, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Part files for ``rows`` rows: ceil(rows / rows_per_file), at least one."""
+    return max(1, -(-rows // rows_per_file))
+
+
+def write_files(df: DataFrame, path: str, n_files: int | None = None, rows_per_file: int = ROWS_PER_FILE) -> str:
+    """Write ``df`` as exactly ``n_files`` part files (round-robin, all rows).
+
+    Without ``n_files``, one file per ``rows_per_file`` rows (a metadata count first).
+    """
+    n = n_files if n_files is not None else files_for(df.count(), rows_per_file)
+    df.repartition(n).write.mode("overwrite").parquet(path)
     return path
 
 
@@ -43,7 +55,7 @@ def stage_applications(
     sf_dir: str,
     base: str,
     *,
-    n_files: int = 2,
+    n_files: int | None = None,
     drop_in: dict[str, str] | None = None,
     cast_in: dict[str, tuple[str, str]] | None = None,
     archive_column: bool = True,
@@ -72,15 +84,15 @@ def stage_applications(
     return out
 
 
-# (schema folder or "" for the root schema, table folder stem, driver table, files)
+# (schema folder or "" for the root schema, table folder stem, driver table)
 ARCHIVE_LAYOUT = (
-    ("", "REGION", "region", 1),
-    ("", "NATION", "nation", 1),
-    ("", "CUSTOMER", "customer", 2),
-    ("archive_SALES", "ORDERS", "orders", 3),
-    ("archive_SALES", "LINEITEM", "lineitem", 4),
-    ("archive_PARTS", "PART", "part", 2),
-    ("archive_PARTS", "SUPPLIER", "supplier", 1),
+    ("", "REGION", "region"),
+    ("", "NATION", "nation"),
+    ("", "CUSTOMER", "customer"),
+    ("archive_SALES", "ORDERS", "orders"),
+    ("archive_SALES", "LINEITEM", "lineitem"),
+    ("archive_PARTS", "PART", "part"),
+    ("archive_PARTS", "SUPPLIER", "supplier"),
 )
 EMPTY_TABLE = ("archive_PARTS", "EMPTY")
 
@@ -90,21 +102,21 @@ def stage_archive(spark: SparkSession, sf_dir: str, base: str, name: str = "arch
 
     Noise the discovery must ignore: a flat ``*.parquet`` file directly under
     ``parquet/``, a child folder without ``parquet/``, hidden and underscore
-    ``*.parquet`` junk inside a table, and a non-Parquet file. ``ORDERS`` has
-    one of its three files in a nested sub-folder.
+    ``*.parquet`` junk inside a table, and a non-Parquet file. ``ORDERS`` keeps
+    its ``F`` orders in a nested sub-folder.
     """
     root = f"{base}/{name}"
-    for schema_dir, table, source, n_files in ARCHIVE_LAYOUT:
+    for schema_dir, table, source in ARCHIVE_LAYOUT:
         folder = f"{root}/{schema_dir}/parquet/{table}.parquet" if schema_dir else f"{root}/parquet/{table}.parquet"
         df = with_archive_column(read_table(spark, sf_dir, source))
         if table == "ORDERS":
-            write_files(df.filter(F.col("o_orderstatus") != "F"), folder, n_files - 1)
-            write_files(df.filter(F.col("o_orderstatus") == "F"), f"{folder}/batch_F", 1)
+            write_files(df.filter(F.col("o_orderstatus") != "F"), folder)
+            write_files(df.filter(F.col("o_orderstatus") == "F"), f"{folder}/batch_F")
             fs.write_text(spark, f"{folder}/.hidden.parquet", "not parquet")
             fs.write_text(spark, f"{folder}/_staging.parquet", "not parquet")
             fs.write_text(spark, f"{folder}/notes.txt", "not parquet")
         else:
-            write_files(df, folder, n_files)
+            write_files(df, folder)
     fs.mkdirs(spark, f"{root}/{EMPTY_TABLE[0]}/parquet/{EMPTY_TABLE[1]}.parquet")
     fs.write_text(spark, f"{root}/parquet/FLAT.parquet", "a file, not a table folder")
     fs.mkdirs(spark, f"{root}/notes/misc")
@@ -119,7 +131,7 @@ def stage_table(
     *,
     app: str = "app",
     table: str | None = None,
-    n_files: int = 2,
+    n_files: int | None = None,
     archive_column: bool = False,
     columns: list[str] | None = None,
 ) -> str:
@@ -136,7 +148,8 @@ def stage_table(
 def stage_partitioned(spark: SparkSession, sf_dir: str, base: str, *, app: str = "app_part") -> str:
     """``orders`` laid out as ``o_orderstatus=<v>/`` partition folders."""
     path = f"{base}/{app}/parquet/ORDERS.parquet"
-    read_table(spark, sf_dir, "orders").repartition(2).write.mode("overwrite").partitionBy("o_orderstatus").parquet(path)
+    orders = read_table(spark, sf_dir, "orders")
+    orders.repartition(files_for(orders.count())).write.mode("overwrite").partitionBy("o_orderstatus").parquet(path)
     return path
 
 
@@ -144,8 +157,8 @@ def stage_schema_drift(spark: SparkSession, sf_dir: str, base: str, *, app: str
     """``orders`` in one table folder whose ``O`` files lack ``o_orderpriority``."""
     path = f"{base}/{app}/parquet/ORDERS.parquet"
     orders = read_table(spark, sf_dir, "orders")
-    write_files(orders.filter(F.col("o_orderstatus") != "O"), f"{path}/with_priority", 2)
-    write_files(orders.filter(F.col("o_orderstatus") == "O").drop("o_orderpriority"), f"{path}/without_priority", 1)
+    write_files(orders.filter(F.col("o_orderstatus") != "O"), f"{path}/with_priority")
+    write_files(orders.filter(F.col("o_orderstatus") == "O").drop("o_orderpriority"), f"{path}/without_priority")
     return path
 
 
@@ -158,7 +171,7 @@ def stage_split(
     *,
     app_prefix: str,
     table: str | None = None,
-    n_files: int = 2,
+    n_files: int | None = None,
     archive_column: bool = True,
 ) -> dict[str, str]:
     """A driver table split into one application per value of column ``by``.
@@ -197,7 +210,7 @@ DRIVER_TABLES = (
 
 
 def stage_all_tables(
-    spark: SparkSession, sf_dir: str, base: str, name: str = "warehouse", rows_per_file: int = 25_000
+    spark: SparkSession, sf_dir: str, base: str, name: str = "warehouse", rows_per_file: int = ROWS_PER_FILE
 ) -> tuple[str, dict]:
     """Every driver table in one root schema, split into part files by row count.
 
@@ -208,7 +221,7 @@ def stage_all_tables(
     for source in DRIVER_TABLES:
         df = with_archive_column(read_table(spark, sf_dir, source))
         rows = df.count()
-        n_files = max(1, min(32, -(-rows // rows_per_file)))
+        n_files = files_for(rows, rows_per_file)
         write_files(df, f"{root}/parquet/{source.upper()}.parquet", n_files)
         stats["tables"] += 1
         stats["files"] += n_files
