@@ -96,6 +96,8 @@ def describe_tables(
     Ordinals count from 1 after archive columns are removed. Tables that have no
     data file or cannot be read are left out (the publish report names them).
     """
+    if "n_files" in tables.columns:  # discovery output: empty folders have no schema to read
+        tables = tables.filter(F.col("n_files") > 0)
     listing = [
         ((r.schema_name, r.table_name), r.table_path)
         for r in tables.select("schema_name", "table_name", "table_path").collect()
