@@ -179,3 +179,14 @@ def test_b4_unreadable_table_is_an_error_row(spark, base, prefix):
     assert broken.status == "error" and broken.error_message
     assert "\tat " not in broken.error_message  # no JVM stack trace in the report
     assert rows[("archive", "REGION")].status == "success"
+
+
+def test_type_conflict_inside_one_table_is_an_error_row(spark, base, prefix):
+    """B19 in publish mode: files of one table disagree on a type; that table fails alone."""
+    root = f"{base}/r"
+    write_df(spark, [(1,)], "id int", f"{root}/parquet/MIXED.parquet/a")
+    write_df(spark, [(2,)], "id bigint", f"{root}/parquet/MIXED.parquet/b")
+    write_df(spark, [(3,)], "id int", f"{root}/parquet/FINE.parquet")
+    rows = _by_table(publish_application(spark, root, database_prefix=prefix, database_location=base))
+    assert rows[("r", "MIXED")].status == "error" and "CANNOT_MERGE" in rows[("r", "MIXED")].error_message
+    assert rows[("r", "FINE")].status == "success"
