@@ -33,6 +33,8 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--database-prefix", default="", help="prefix for every catalog database name")
         sp.add_argument("--database-location", help="parent folder for databases that get created")
         sp.add_argument("--report-dir", help="folder to write the JSON report into")
+        sp.add_argument("--report-format", choices=("rows", "document"), default="rows",
+                        help="JSON lines (one per table) or one nested JSON document")
         sp.add_argument("--workers", type=int, default=8, help="tables (or sources) handled concurrently")
 
     pub = sub.add_parser("publish", help="publish every table of an application root")
@@ -66,6 +68,7 @@ def main(argv: list[str] | None = None) -> int:
         database_prefix=args.database_prefix,
         database_location=args.database_location,
         report_path=args.report_dir,
+        report_format=args.report_format,
     )
     if args.mode == "publish":
         report = publish_application(spark, args.root, max_workers=args.workers, **kw)

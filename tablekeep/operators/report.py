@@ -7,6 +7,7 @@ counts, the optional row count, and for merged tables the sources.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources import fs
+
 STATUSES = ("success", "skipped", "error")
 
 # Fixed values (report texts that must read like the archive tool's reports):
@@ -128,3 +131,62 @@ def write_report(report: DataFrame, folder: str, name: str | None = None) -> str
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """Read a written report back with its exact schema."""
     return spark.read.schema(REPORT_SCHEMA).json(path)
+
+
+def _stamp(value) -> str | None:
+    return value.strftime("%Y-%m-%d %H:%M:%S") if value is not None else None
+
+
+def report_document(report: DataFrame) -> dict:
+    """The report as one nested document: run fields, totals, schemas -> tables.
+
+    Shaped like the archive tool's run report (file lists left out: a table may
+    have millions of files; ``parquet_files_count`` and ``n_bytes`` stay). The
+    report has one row per table, so it is read to the driver whole.
+    """
+    rows = report.orderBy("schema_name", "table_name").collect()
+    doc: dict = {}
+    if rows:
+        first = rows[0]
+        doc["process"] = first.process
+        doc["run_id"] = first.run_id
+        doc["source_path"] = first.source_root if not first.merge else list(first.source_paths or [])
+        doc["start_time"] = _stamp(first.started_at)
+        doc["end_time"] = _stamp(first.finished_at)
+    doc["total_tables_processed_successfully"] = sum(r.status == "success" for r in rows)
+    doc["total_tables_errored_out"] = sum(r.status == "error" for r in rows)
+    doc["total_tables_skipped"] = sum(r.status == "skipped" for r in rows)
+    schemas: dict = {}
+    for r in rows:
+        schema = schemas.setdefault(r.schema_name, {"schema_folder_path": r.schema_path, "tables": {}})
+        entry: dict = {"status": r.status}
+        if r.catalog_table is not None:
+            entry["catalog_table"] = r.catalog_table
+        if r.n_files is not None:
+            entry["parquet_files_count"] = r.n_files
+            entry["parquet_bytes"] = r.n_bytes
+        if r.columns is not None:
+            entry["columns_count"] = r.n_columns
+            entry["column_types"] = list(r.columns)
+        if r.row_count is not None:
+            entry["row_count"] = r.row_count
+        if r.version is not None:
+            entry["version"] = r.version
+        if r.skip_reason is not None:
+            entry["skip_reason"] = r.skip_reason
+        if r.error_message is not None:
+            entry["error_message"] = r.error_message
+        if r.merge:
+            entry["merge"] = True
+            entry["source_applications"] = list(r.source_applications or [])
+            entry["source_paths"] = list(r.source_paths or [])
+        schema["tables"][r.table_name] = entry
+    doc["schemas"] = schemas
+    return doc
+
+
+def write_report_document(report: DataFrame, folder: str, name: str | None = None) -> str:
+    """O20 as one JSON document ``folder/<name>.json`` (only when a table was processed)."""
+    path = f"{folder.rstrip('/')}/{name or report_name()}.json"
+    fs.write_text(report.sparkSession, path, json.dumps(report_document(report), indent=4))
+    return path

@@ -36,6 +36,7 @@ from ..operators.report import (
     load_report,
     outcome,
     write_report,
+    write_report_document,
 )
 from ..session import count_scan_conf, scoped_conf, work_dir
 from ..sources.layout import TableDir, discover_tables, files_by_table, table_dirs
@@ -70,6 +71,7 @@ def _finish(
     source_root: str | None,
     started_at: datetime,
     n_rows: int,
+    report_format: str = "rows",
 ) -> DataFrame:
     """Materialise the report (running the verified counts) and stamp the run."""
     work_dir(spark)  # makes sure a (shared) checkpoint folder is set
@@ -78,7 +80,10 @@ def _finish(
     )
     report = report.checkpoint(eager=True).withColumn("finished_at", F.lit(_now()))
     if report_path and n_rows:  # like the archive tool: no report when nothing was processed
-        write_report(report, report_path)
+        if report_format == "document":
+            write_report_document(report, report_path)
+        else:
+            write_report(report, report_path)
     return report
 
 
@@ -128,9 +133,14 @@ def publish_application(
     database_location: str | None = None,
     database_prefix: str = "",
     report_path: str | None = None,
+    report_format: str = "rows",
     max_workers: int = 8,
 ) -> DataFrame:
-    """Publish every table of an application root; returns the report."""
+    """Publish every table of an application root; returns the report.
+
+    ``report_path`` writes the report there: ``report_format="rows"`` as JSON
+    lines (one per table), ``"document"`` as one nested JSON document.
+    """
     started_at = _now()
     run_id = uuid.uuid4().hex
     drop = tuple(drop)
@@ -212,6 +222,7 @@ def publish_application(
             source_root=root,
             started_at=started_at,
             n_rows=len(outcomes),
+            report_format=report_format,
         )
     finally:
         files.unpersist()
@@ -232,6 +243,7 @@ def publish_merge(
     database_location: str | None = None,
     database_prefix: str = "",
     report_path: str | None = None,
+    report_format: str = "rows",
     max_workers: int = 8,
 ) -> DataFrame:
     """Publish one merged table; the report has exactly one row.
@@ -247,7 +259,13 @@ def publish_merge(
     def finish(row: dict, counts: DataFrame | None = None) -> DataFrame:
         _log_outcome(row)
         return _finish(
-            spark, load_report(spark, [row], counts), report_path, source_root=None, started_at=started_at, n_rows=1
+            spark,
+            load_report(spark, [row], counts),
+            report_path,
+            source_root=None,
+            started_at=started_at,
+            n_rows=1,
+            report_format=report_format,
         )
 
     base = dict(

@@ -99,10 +99,27 @@ def mkdirs(spark: SparkSession, path: str) -> None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file (used only to stage layout fixtures such as stray files)."""
+    """Write a small file (a report document, or a stray file in a staged fixture)."""
     hp = _hpath(spark, path)
     out = _fs(spark, hp).create(hp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Read a small text file (reports, fixtures)."""
+    hp = _hpath(spark, path)
+    stream = _fs(spark, hp).open(hp)
+    try:
+        jvm = _jvm(spark)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()

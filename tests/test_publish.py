@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import pytest
 from conftest import SF_SMALL, write_df
@@ -190,3 +191,21 @@ def test_type_conflict_inside_one_table_is_an_error_row(spark, base, prefix):
     rows = _by_table(publish_application(spark, root, database_prefix=prefix, database_location=base))
     assert rows[("r", "MIXED")].status == "error" and "CANNOT_MERGE" in rows[("r", "MIXED")].error_message
     assert rows[("r", "FINE")].status == "success"
+
+
+def test_report_document(spark, base, prefix):
+    root = staging.stage_archive(spark, SF_SMALL, base)
+    publish_application(
+        spark, root, verify_row_count=True, database_prefix=prefix, database_location=base,
+        report_path=f"{base}/docs", report_format="document",
+    )
+    written = fs.children(spark, f"{base}/docs")
+    assert len(written) == 1 and written[0].name.endswith(".json")
+    doc = json.loads(fs.read_text(spark, written[0].path))
+    assert doc["process"] == "External Table Creation"
+    assert (doc["total_tables_processed_successfully"], doc["total_tables_errored_out"]) == (7, 1)
+    orders = doc["schemas"]["archive_SALES"]["tables"]["ORDERS"]
+    assert orders["status"] == "success" and orders["row_count"] == 1500 and orders["columns_count"] == 6
+    assert orders["column_types"][0] == "o_orderkey TEXT"
+    assert doc["schemas"]["archive_PARTS"]["tables"]["EMPTY"]["status"] == "error"
+    assert doc["start_time"] <= doc["end_time"]
