@@ -38,7 +38,7 @@ from ..operators.report import (
     write_report,
     write_report_document,
 )
-from ..session import count_scan_conf, scoped_conf, work_dir
+from ..session import count_scan_conf, manifest_scan_conf, scoped_conf, work_dir
 from ..sources.layout import TableDir, discover_tables, files_by_table, table_dirs
 from ..sources.manifest import require_files
 from .registration import plan_registration, register_merged, register_table
@@ -152,7 +152,8 @@ def publish_application(
         # The table list is catalog metadata (one row per table folder): materialise
         # it once and plan on those rows instead of re-running discovery per action.
         listed = discover_tables(spark, root, dirs, files)
-        discovered = spark.createDataFrame(listed.collect(), listed.schema)
+        with scoped_conf(spark, manifest_scan_conf(spark)):  # also fills the persisted manifest
+            discovered = spark.createDataFrame(listed.collect(), listed.schema)
         plan = plan_registration(
             spark, discovered, replace_existing=replace_existing, database_prefix=database_prefix, on_collision="mark"
         ).collect()

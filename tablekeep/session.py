@@ -74,10 +74,26 @@ def scoped_conf(spark: SparkSession, conf: dict[str, str]):
 COUNT_SCAN_SPLIT_BYTES = 1 << 30
 
 
-def count_scan_conf(spark: SparkSession) -> dict[str, str]:
-    """Split size for a count-only scan: at least 1 GiB, never below the session's."""
+# A manifest scan (binaryFile with the content pruned) opens no file at all, but
+# Spark still packs files into tasks by byte size: 128 MiB would mean one task
+# per data file. With a 64 GiB cap Spark's own bytes-per-core limit decides,
+# i.e. about one task per core.
+MANIFEST_SCAN_SPLIT_BYTES = 64 << 30
+
+
+def _split_conf(spark: SparkSession, floor: int) -> dict[str, str]:
     try:
         current = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     except Exception:  # noqa: BLE001 - no JVM session (Spark Connect): keep the session's value
         return {}
-    return {"spark.sql.files.maxPartitionBytes": str(max(current, COUNT_SCAN_SPLIT_BYTES))}
+    return {"spark.sql.files.maxPartitionBytes": str(max(current, floor))}
+
+
+def count_scan_conf(spark: SparkSession) -> dict[str, str]:
+    """Split size for a count-only scan: at least 1 GiB, never below the session's."""
+    return _split_conf(spark, COUNT_SCAN_SPLIT_BYTES)
+
+
+def manifest_scan_conf(spark: SparkSession) -> dict[str, str]:
+    """Split size for a listing-only (manifest) scan: at least 64 GiB."""
+    return _split_conf(spark, MANIFEST_SCAN_SPLIT_BYTES)

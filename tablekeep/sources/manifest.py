@@ -4,7 +4,10 @@ A manifest is a DataFrame with one row per data file. It comes from Spark's
 ``binaryFile`` source with the ``content`` column pruned away, so no file is
 opened: Spark's file index lists the folders (in parallel on the executors once
 a listing has more than ``spark.sql.sources.parallelPartitionDiscovery.threshold``
-paths) and the scan only turns file statuses into rows.
+paths) and the scan only turns file statuses into rows. Spark still packs
+files into tasks by byte size, so the actions this package runs on a manifest
+use ``session.manifest_scan_conf`` (about one task per core); run your own
+actions on a large manifest under it too.
 
 Data-file predicate (O9): name matches ``*.parquet`` (case-sensitive glob on the
 file name), regular file, and neither the file nor any folder below the listed
@@ -20,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import manifest_scan_conf, scoped_conf
 from . import fs
 
 DATA_FILE_GLOB = "*.parquet"
@@ -105,15 +109,13 @@ def require_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("n_files"), F.sum("n_bytes").alias("n_bytes")
     )
     requested = spark.createDataFrame([(p,) for p in qualified], "source_path string")
-    rows = (
-        requested.join(per_source, "source_path", "left")
-        .select(
-            "source_path",
-            F.coalesce("n_files", F.lit(0)).cast("long").alias("n_files"),
-            F.coalesce("n_bytes", F.lit(0)).cast("long").alias("n_bytes"),
-        )
-        .collect()
+    joined = requested.join(per_source, "source_path", "left").select(
+        "source_path",
+        F.coalesce("n_files", F.lit(0)).cast("long").alias("n_files"),
+        F.coalesce("n_bytes", F.lit(0)).cast("long").alias("n_bytes"),
     )
+    with scoped_conf(spark, manifest_scan_conf(spark)):
+        rows = joined.collect()
     empty = sorted(r.source_path for r in rows if r.n_files == 0)
     if empty:
         raise MissingDataFilesError(f"no Parquet files found in: {', '.join(empty)}")

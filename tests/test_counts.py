@@ -8,7 +8,9 @@ from conftest import SF_SMALL, plan_text, write_df
 
 from tablekeep import staging
 from tablekeep.operators.counts import row_counts, row_counts_by_path, rows_per_file
-from tablekeep.sources.layout import discover_tables
+from tablekeep.session import count_scan_conf, manifest_scan_conf, scoped_conf
+from tablekeep.sources.layout import discover_tables, table_dirs
+from tablekeep.sources.manifest import file_manifest
 
 
 def test_one_scan_reads_no_columns(spark, base):
@@ -95,3 +97,21 @@ def test_no_path_parsing_below_the_per_file_aggregate(spark, base):
 def test_counts_by_path_for_missing_folders(spark, base):
     rows = row_counts_by_path(spark, [f"{base}/nope/parquet/T.parquet"]).collect()
     assert [r.row_count for r in rows] == [0]
+
+
+def test_metadata_scans_get_large_splits(spark, base):
+    """Listing-only and footer-only scans are packed about one task per core,
+    not one per file (emulated: a 64 KiB session split against larger files)."""
+    root = staging.stage_archive(spark, "/root/testdata/sf0.01", base)
+    paths = [d.table_path for d in table_dirs(spark, root)]
+    with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": "65536", "spark.sql.files.openCostInBytes": "1024"}):
+        small = file_manifest(spark, paths).rdd.getNumPartitions()
+        with scoped_conf(spark, manifest_scan_conf(spark)):
+            big = file_manifest(spark, paths).rdd.getNumPartitions()
+        scan = spark.read.schema("x int").option("recursiveFileLookup", "true").parquet(*paths)
+        tasks = scan.rdd.getNumPartitions()
+        with scoped_conf(spark, count_scan_conf(spark)):
+            fewer = spark.read.schema("x int").option("recursiveFileLookup", "true").parquet(*paths).rdd.getNumPartitions()
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "65536"
+    assert big < small and big <= 2 * spark.sparkContext.defaultParallelism  # whole files bin-packed
+    assert fewer < tasks
