@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..functions import paths as P
 from ..functions.types import conversion, quote
 from ..sources import fs
+from ..sources.manifest import require_files
 from ..sources.scan import scan_table
 from .project import ARCHIVE_COLUMNS, NoColumnsLeftError, parallel_map
 
@@ -203,13 +204,17 @@ def merge_tables(
     on_conflict: str = "error",
     drop: Iterable[str] = ARCHIVE_COLUMNS,
     max_workers: int = 8,
+    check_files: bool = True,
 ) -> DataFrame:
     """O14 + O15: UNION ALL BY NAME of the sources, with a provenance column.
 
     Sources are few (one per application), so each is a separate scan branch
     under one Union: no shuffle, and ``source_application = 'x'`` leaves one scan.
+    A source without data files fails the whole group (O3), naming the folder.
     """
     sources = merge_sources(spark, paths)
+    if check_files:
+        require_files(spark, [s.path for s in sources])
     frames = parallel_map(lambda s: scan_table(spark, s.path), sources, max_workers)
     for s, df in zip(sources, frames):
         if isinstance(df, Exception):

@@ -19,6 +19,7 @@ from tablekeep.operators.merge import (
 from tablekeep.operators.project import NoColumnsLeftError
 from tablekeep.plans.registration import register_merged
 from tablekeep.sources import fs
+from tablekeep.sources.manifest import MissingDataFilesError
 from tablekeep.sources.scan import scan_tables
 
 
@@ -154,3 +155,10 @@ def test_case_twins_in_one_source_are_refused():
     twin = T.StructType([T.StructField("ID", T.IntegerType()), T.StructField("id", T.IntegerType())])
     with pytest.raises(MergeConflictError, match="differ only by case"):
         align_schemas([twin], ["appA"])
+
+
+def test_empty_source_fails_the_group(spark, base):
+    a = write_df(spark, [(1,)], "id int", f"{base}/A/parquet/T.parquet")
+    fs.mkdirs(spark, f"{base}/B/parquet/T.parquet")
+    with pytest.raises(MissingDataFilesError, match="B/parquet/T.parquet"):
+        merge_tables(spark, [a, f"{base}/B/parquet/T.parquet"])
