@@ -1,6 +1,8 @@
 """Benchmark the publisher's headline operations; prints ONE JSON line.
 
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_EVENT_LOG_DIR (optional: write Spark's event log there, for stage and
+task times; each timed step is a Spark job group named after the step).
 
 Staging (untimed) writes every driver table into one application root — each
 table split into part files in proportion to its rows — plus ``orders`` split
@@ -50,23 +52,36 @@ def stage(spark, sf_dir: str, base: str) -> tuple[str, dict[str, str], dict]:
     return root, apps, stats
 
 
+ROUND = {"name": "cold"}
+
+
 def timed(results: dict, name: str, fn):
+    from pyspark import SparkContext
+
+    sc = SparkContext.getOrCreate()
+    sc.setJobGroup(f"bench-{ROUND['name']}-{name}", name)
     t0 = time.perf_counter()
-    out = fn()
-    results[name] = round(time.perf_counter() - t0, 3)
+    try:
+        out = fn()
+    finally:
+        results[name] = round(time.perf_counter() - t0, 3)
+        sc.setLocalProperty("spark.jobGroup.id", None)
     return out
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, app="tablekeep-bench")
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else {}
+    spark = local_session(cpus, app="tablekeep-bench", **extra)
     base = staging.new_base(spark, "bench")
     t0 = time.perf_counter()
     root, apps, stats = stage(spark, sf_dir, base)
     stage_sec = round(time.perf_counter() - t0, 3)
     paths = list(apps.values())
     cold, cold_ok = pipeline(spark, base, root, apps, paths, stats)
+    ROUND["name"] = "warm"
     q, ok = pipeline(spark, base, root, apps, paths, stats)
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(

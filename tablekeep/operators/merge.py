@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from ..functions import paths as P
 from ..functions.types import conversion, quote
 from ..sources import fs
-from ..sources.manifest import require_files
+from ..sources.manifest import check_not_empty
 from ..sources.scan import scan_table
 from .project import ARCHIVE_COLUMNS, NoColumnsLeftError, parallel_map
 
@@ -214,7 +214,7 @@ def merge_tables(
     """
     sources = merge_sources(spark, paths)
     if check_files:
-        require_files(spark, [s.path for s in sources])
+        check_not_empty(spark, [s.path for s in sources])
     frames = parallel_map(lambda s: scan_table(spark, s.path), sources, max_workers)
     for s, df in zip(sources, frames):
         if isinstance(df, Exception):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Hashable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,7 +61,10 @@ def parallel_map(fn: Callable, items: Sequence, max_workers: int = 8) -> list:
     """Run ``fn`` over ``items`` from a small driver thread pool.
 
     Each call submits its own Spark job (a footer read or a catalog call); the
-    pool only overlaps their latencies. Exceptions are returned, not raised.
+    pool only overlaps their latencies. Pool threads inherit the caller's
+    Spark local properties (job group, description, scheduler pool), so the
+    jobs stay attributable and cancellable with the caller's group.
+    Exceptions are returned, not raised.
     """
 
     def guarded(item):
@@ -71,8 +75,10 @@ def parallel_map(fn: Callable, items: Sequence, max_workers: int = 8) -> list:
 
     if not items:
         return []
+    session = SparkSession.getActiveSession()
+    target = inheritable_thread_target(session)(guarded) if session is not None else inheritable_thread_target(guarded)
     with ThreadPoolExecutor(max_workers=max(1, min(max_workers, len(items)))) as pool:
-        return list(pool.map(guarded, items))
+        return list(pool.map(target, items))
 
 
 def read_schemas(

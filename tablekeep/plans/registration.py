@@ -40,7 +40,7 @@ from ..operators.merge import (
 )
 from ..operators.project import ARCHIVE_COLUMNS, kept_fields, parallel_map
 from ..sources import fs
-from ..sources.manifest import BROADCAST_PATHS_LIMIT, require_files
+from ..sources.manifest import BROADCAST_PATHS_LIMIT, check_not_empty
 from ..sources.scan import reader_options, scan_table
 
 KEY = "tablekeep."
@@ -324,7 +324,7 @@ def register_table(
     if schema is None:
         schema = scan_table(spark, path).schema  # fails on a missing or file-less folder
     else:
-        require_files(spark, [path])
+        check_not_empty(spark, [path])
     fields = kept_fields(schema, drop)
     db, table = database_name(schema_name, database_prefix), catalog_name(table_name)
     ensure_database(spark, db, database_location)
@@ -411,7 +411,7 @@ def register_merged(
     check_policy(policy)
     sources = merge_sources(spark, paths)
     if check_files:
-        require_files(spark, [s.path for s in sources])
+        check_not_empty(spark, [s.path for s in sources])
     frames = parallel_map(lambda s: scan_table(spark, s.path), sources, max_workers)
     for df in frames:
         if isinstance(df, Exception):

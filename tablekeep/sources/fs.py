@@ -123,3 +123,27 @@ def read_text(spark: SparkSession, path: str) -> str:
         return "\n".join(lines)
     finally:
         stream.close()
+
+
+def first_data_file(spark: SparkSession, path: str, suffix: str = ".parquet") -> str | None:
+    """The first data file below ``path`` under the manifest's rules, or None.
+
+    A recursive Hadoop iterator that stops at the first match: a few metadata
+    calls to prove a folder is not empty, instead of listing every file. Same
+    predicate as the manifest: name ends with ``suffix`` and no name below
+    ``path`` starts with ``.`` or ``_``.
+    """
+    hp = _hpath(spark, path)
+    fs = _fs(spark, hp)
+    if not fs.exists(hp):
+        return None
+    base = str(fs.makeQualified(hp).toString()).rstrip("/")
+    it = fs.listFiles(hp, True)
+    while it.hasNext():
+        status = it.next()
+        full = str(status.getPath().toString())
+        rel = full[len(base) + 1 :] if full.startswith(base + "/") else status.getPath().getName()
+        parts = rel.split("/")
+        if parts[-1].endswith(suffix) and not any(p.startswith((".", "_")) for p in parts):
+            return full
+    return None

@@ -94,6 +94,22 @@ def manifest_by_source(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return assign_sources(file_manifest(spark, qualified), qualified)
 
 
+def check_not_empty(spark: SparkSession, paths: Sequence[str]) -> None:
+    """O3 without counting: raise unless every folder holds a data file.
+
+    Stops at the first data file of each folder (driver metadata calls), so a
+    pre-check never lists a whole archive; use :func:`require_files` when the
+    per-folder file counts are needed too.
+    """
+    qualified = [fs.qualify(spark, p) for p in paths]
+    missing = [p for p in qualified if not fs.is_dir(spark, p)]
+    if missing:
+        raise MissingDataFilesError(f"not a directory: {', '.join(missing)}")
+    empty = sorted(p for p in qualified if fs.first_data_file(spark, p) is None)
+    if empty:
+        raise MissingDataFilesError(f"no Parquet files found in: {', '.join(empty)}")
+
+
 def require_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """O3 contract: every requested folder must hold at least one data file.
 

@@ -162,3 +162,14 @@ def test_glob_characters_in_folder_names(spark, base, prefix):
     assert merge_tables(spark, [a, b]).count() == 4
     reg = register_merged(spark, "g", [a, b], database_prefix=prefix, database_location=base)
     assert sorted(r.id for r in spark.table(reg.catalog_table).collect()) == [1, 2, 3, 4]
+
+
+def test_first_data_file_follows_the_manifest_rules(spark, base):
+    table = f"{base}/t/parquet/T.parquet"
+    fs.write_text(spark, f"{table}/.hidden.parquet", "x")
+    fs.write_text(spark, f"{table}/_tmp/inner.parquet", "x")
+    fs.write_text(spark, f"{table}/notes.txt", "x")
+    assert fs.first_data_file(spark, table) is None
+    fs.write_text(spark, f"{table}/deep/er/real.parquet", "x")
+    assert fs.first_data_file(spark, table).endswith("deep/er/real.parquet")
+    assert fs.first_data_file(spark, f"{base}/missing") is None
