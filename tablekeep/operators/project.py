@@ -75,8 +75,8 @@ def parallel_map(fn: Callable, items: Sequence, max_workers: int = 8) -> list:
 
     if not items:
         return []
-    session = SparkSession.getActiveSession()
-    target = inheritable_thread_target(session)(guarded) if session is not None else inheritable_thread_target(guarded)
+    session = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()  # the running session
+    target = inheritable_thread_target(session)(guarded)
     with ThreadPoolExecutor(max_workers=max(1, min(max_workers, len(items)))) as pool:
         return list(pool.map(target, items))
 

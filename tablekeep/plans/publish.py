@@ -16,10 +16,11 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ from ..operators.report import (
 from ..session import count_scan_conf, manifest_scan_conf, scoped_conf, work_dir
 from ..sources.layout import TableDir, discover_tables, files_by_table, table_dirs
 from ..sources.manifest import require_files
-from .registration import plan_registration, register_merged, register_table
+from .registration import NotManagedError, plan_registration, register_merged, register_table
 
 
 log = logging.getLogger("tablekeep")
@@ -57,6 +58,27 @@ def _log_outcome(row: dict) -> None:
         log.info("%s: %s as %s v%s", name, row["action"], row["catalog_table"], row["version"])
 
 
+# Errors that come out the same on every attempt: never retried.
+_DETERMINISTIC = (ValueError, LookupError, NotManagedError, AnalysisException)
+
+
+def _once_more(fn: Callable, label: str) -> Callable:
+    """Retry ``fn`` once on an unexpected (possibly transient) error, e.g. a
+    catalog or file-system hiccup; a failed attempt leaves nothing behind that
+    the next version would reuse."""
+
+    def run(item):
+        try:
+            return fn(item)
+        except _DETERMINISTIC:
+            raise
+        except Exception as exc:  # noqa: BLE001 - retried once, then reported
+            log.warning("%s: retrying after %s", label.format(item=item), error_text(exc, 300))
+            return fn(item)
+
+    return run
+
+
 def _now() -> datetime:
     """UTC now at millisecond precision (what the JSON report keeps)."""
     now = datetime.now(timezone.utc)
@@ -196,7 +218,8 @@ def publish_application(
             )
 
         done: set[tuple[str, str]] = set()
-        for (r, base), res in zip(todo, parallel_map(publish_one, todo, max_workers)):
+        attempt = _once_more(publish_one, "table {item[1][schema_name]}.{item[1][table_name]}")
+        for (r, base), res in zip(todo, parallel_map(attempt, todo, max_workers)):
             if isinstance(res, Exception):
                 outcomes.append(outcome(**base, status="error", action=r.action, error_message=error_text(res)))
                 continue

@@ -209,3 +209,23 @@ def test_report_document(spark, base, prefix):
     assert orders["column_types"][0] == "o_orderkey TEXT"
     assert doc["schemas"]["archive_PARTS"]["tables"]["EMPTY"]["status"] == "error"
     assert doc["start_time"] <= doc["end_time"]
+
+
+def test_transient_registration_error_is_retried_once(spark, base, prefix, monkeypatch):
+    import tablekeep.plans.publish as publish_mod
+
+    real = publish_mod.register_table
+    calls = {"REGION": 0}
+
+    def flaky(spark_, schema_name, table_name, *a, **k):
+        if table_name == "REGION":
+            calls["REGION"] += 1
+            if calls["REGION"] == 1:
+                raise RuntimeError("catalog hiccup")
+        return real(spark_, schema_name, table_name, *a, **k)
+
+    monkeypatch.setattr(publish_mod, "register_table", flaky)
+    root = staging.stage_archive(spark, SF_SMALL, base)
+    rows = _by_table(publish_application(spark, root, database_prefix=prefix, database_location=base))
+    assert rows[("archive", "REGION")].status == "success" and calls["REGION"] == 2
+    assert rows[("archive_PARTS", "EMPTY")].status == "error"  # deterministic errors are not retried
