@@ -14,13 +14,17 @@ row. Published databases get a per-call prefix so repeated calls never collide.
 
 from __future__ import annotations
 
+import os
+import sys
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekeep import staging
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # the package sits next to this file
+
+from tablekeep import staging  # noqa: E402
 from tablekeep.operators.counts import row_counts, row_counts_by_path
 from tablekeep.operators.merge import merge_group, merge_tables
 from tablekeep.operators.project import conform_types, describe_tables, drop_columns
