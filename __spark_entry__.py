@@ -203,21 +203,21 @@ def q_register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, prefix = _ctx(spark, "register_table")
     path = staging.stage_table(spark, sf_dir, base, "orders", archive_column=True)
     reg = register_table(spark, "shop", "ORDERS", path, database_prefix=prefix, database_location=base)
-    return spark.table(reg.catalog_table)
+    return spark.table(reg.quoted)
 
 
 def q_register_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, prefix = _ctx(spark, "register_mapped")
     path = staging.stage_table(spark, sf_dir, base, "lineitem", archive_column=True)
     reg = register_table(spark, "shop", "LINEITEM", path, policy="mapped", database_prefix=prefix, database_location=base)
-    return spark.table(reg.catalog_table)
+    return spark.table(reg.quoted)
 
 
 def q_register_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, prefix = _ctx(spark, "register_partitioned")
     path = staging.stage_partitioned(spark, sf_dir, base)
     reg = register_table(spark, "shop", "ORDERS", path, database_prefix=prefix, database_location=base)
-    return spark.table(reg.catalog_table)
+    return spark.table(reg.quoted)
 
 
 def q_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,7 +227,7 @@ def q_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     v2 = staging.stage_table(spark, sf_dir, base, "orders", app="v2", archive_column=True)
     register_table(spark, "shop", "ORDERS", v1, database_prefix=prefix, database_location=base)
     reg = replace_table(spark, "shop", "ORDERS", v2, database_prefix=prefix, database_location=base)
-    return spark.table(reg.catalog_table)
+    return spark.table(reg.quoted)
 
 
 def q_skip_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,7 +244,7 @@ def q_register_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, prefix = _ctx(spark, "register_merged")
     apps = staging.stage_applications(spark, sf_dir, base)
     reg = register_merged(spark, "merged", list(apps.values()), database_prefix=prefix, database_location=base)
-    return spark.table(reg.catalog_table)
+    return spark.table(reg.quoted)
 
 
 def q_register_merged_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,7 +260,7 @@ def q_register_merged_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                count(o_orderpriority) AS n_priority,
                min(o_orderdate) AS first_order,
                max(o_orderdate) AS last_order
-        FROM {reg.catalog_table}
+        FROM {reg.quoted}
         GROUP BY source_application
         """
     )
@@ -339,7 +339,7 @@ def q_register_merged_conversations(spark: SparkSession, sf_dir: str) -> DataFra
     base, prefix = _ctx(spark, "merged_conversations")
     apps = staging.stage_split(spark, sf_dir, base, "conversations", "role", app_prefix="chat_")
     reg = register_merged(spark, "chats", list(apps.values()), database_prefix=prefix, database_location=base)
-    return spark.table(reg.catalog_table)
+    return spark.table(reg.quoted)
 
 
 def q_publish_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -339,7 +339,7 @@ def publish_merge(
     if verify_row_count:
         try:
             with scoped_conf(spark, count_scan_conf(spark)):
-                n_rows = spark.table(res.catalog_table).count()
+                n_rows = spark.table(res.quoted).count()
         except Exception as exc:  # noqa: BLE001 - reported on the table's row
             row.update(status="error", error_message=f"row count failed: {error_text(exc)}")
         else:

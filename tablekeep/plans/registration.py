@@ -64,19 +64,30 @@ class NameCollisionError(ValueError):
 
 @dataclass
 class Registration:
-    catalog_table: str
+    catalog_table: str  # db.table as written in the catalog
     version: int
     action: str  # "create" | "replace"
     columns: list[T.StructField] = field(default_factory=list)
     base_tables: list[str] = field(default_factory=list)
 
+    @property
+    def quoted(self) -> str:
+        """The public name quoted for SQL and ``spark.table`` (names may look like numbers)."""
+        db, table = self.catalog_table.split(".", 1)
+        return f"{quote(db)}.{quote(table)}"
+
 
 # ---------------------------------------------------------------- catalog state
 
 
+def _db_exists(spark: SparkSession, db: str) -> bool:
+    """``databaseExists`` parses its argument: quote, so names like ``2024`` work."""
+    return bool(spark.catalog.databaseExists(quote(db)))
+
+
 def ensure_database(spark: SparkSession, db: str, location: str | None = None) -> None:
     """Create the database if absent; ``location`` is a parent folder for it."""
-    if spark.catalog.databaseExists(db):
+    if _db_exists(spark, db):
         return
     loc = f" LOCATION {sql_string(location.rstrip('/') + '/' + db + '.db')}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(db)}{loc}")
@@ -84,7 +95,7 @@ def ensure_database(spark: SparkSession, db: str, location: str | None = None) -
 
 def table_properties(spark: SparkSession, db: str, table: str) -> dict[str, str] | None:
     """Properties of ``db.table``, or None when no such table or view exists."""
-    if not spark.catalog.databaseExists(db) or not spark.catalog.tableExists(f"{quote(db)}.{quote(table)}"):
+    if not _db_exists(spark, db) or not spark.catalog.tableExists(f"{quote(db)}.{quote(table)}"):
         return None
     rows = spark.sql(f"SHOW TBLPROPERTIES {quote(db)}.{quote(table)}").collect()
     return {r.key: r.value for r in rows}
@@ -92,7 +103,7 @@ def table_properties(spark: SparkSession, db: str, table: str) -> dict[str, str]
 
 def schema_exists(spark: SparkSession, schema_name: str, database_prefix: str = "") -> bool:
     """Does the catalog database of a schema folder exist?"""
-    return bool(spark.catalog.databaseExists(database_name(schema_name, database_prefix)))
+    return _db_exists(spark, database_name(schema_name, database_prefix))
 
 
 def table_exists(spark: SparkSession, schema_name: str, table_name: str, database_prefix: str = "") -> bool:
@@ -121,7 +132,7 @@ def registered_tables(spark: SparkSession, databases: Iterable[str]) -> DataFram
     """
     rows = []
     for db in sorted(set(databases)):
-        if not spark.catalog.databaseExists(db):
+        if not _db_exists(spark, db):
             continue
         for t in spark.sql(f"SHOW TABLES IN {quote(db)}").filter(~F.col("isTemporary")).collect():
             if BASE_PATTERN.match(t.tableName):
@@ -151,7 +162,7 @@ def existing_tables(spark: SparkSession, databases: Iterable[str]) -> DataFrame:
         .filter(~F.col("isTemporary"))
         .select(F.col("namespace").alias("catalog_database"), F.col("tableName").alias("catalog_table"))
         for db in sorted(set(databases))
-        if spark.catalog.databaseExists(db)
+        if _db_exists(spark, db)
     ]
     if not frames:
         return spark.createDataFrame([], EXISTING_SCHEMA)
@@ -289,7 +300,7 @@ def _swap_view(
 
 def _create_base(spark: SparkSession, db: str, name: str, path: str, schema: T.StructType) -> None:
     spark.catalog.createTable(
-        f"{db}.{name}",
+        f"{quote(db)}.{quote(name)}",
         path=fs.glob_escape(path),  # the location is globbed when resolved: keep it literal
         source="parquet",
         schema=schema,
@@ -459,7 +470,7 @@ def register_merged(
 def unregister(spark: SparkSession, schema_name: str, table_name: str, database_prefix: str = "") -> None:
     """Drop a published table: the view and its base tables (files stay)."""
     db, table = database_name(schema_name, database_prefix), catalog_name(table_name)
-    if not spark.catalog.databaseExists(db):
+    if not _db_exists(spark, db):
         return
     _current_version(spark, db, table)  # refuses objects that are not ours
     spark.sql(f"DROP VIEW IF EXISTS {quote(db)}.{quote(table)}")

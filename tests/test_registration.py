@@ -22,6 +22,7 @@ from tablekeep.plans.registration import (
     table_properties,
     unregister,
 )
+from tablekeep.plans.publish import publish_merge
 from tablekeep.session import scoped_conf
 from tablekeep.sources import fs
 from tablekeep.sources.layout import discover_tables
@@ -203,3 +204,14 @@ def test_b11_identifiers_are_escaped(spark, base, prefix):
     assert view.columns == ["a b", "x`y", "dotted.name"]
     assert tuple(view.first()) == (1, 2, 3)
     assert table_properties(spark, f"{prefix}o_d_d", "odd")["tablekeep.schema_name"] == "o'd d"
+
+
+def test_numeric_folder_names(spark, base, prefix):
+    """A schema folder named like a number still becomes a usable database."""
+    path = write_df(spark, [(1,), (2,)], "id int", f"{base}/2024/parquet/2025.parquet")
+    reg = register_table(spark, "2024", "2025", path, database_location=base)
+    assert reg.catalog_table == "2024.2025"
+    assert spark.table("`2024`.`2025`").count() == 2
+    report = publish_merge(spark, [path], "2024", replace_existing=True, verify_row_count=True, database_location=base)
+    row = report.first()
+    assert row.status == "success" and row.row_count == 2
