@@ -2,11 +2,12 @@
 
 Publish an application::
 
-    discover (one listing)  ->  plan (one join against the catalog)
+    discover (one listing, manifest persisted)  ->  plan (one join against the catalog)
     -> per table, from a small driver pool: footer job + catalog DDL
-    -> optional row counts (one scan for every registered table)
-    -> report DataFrame (checkpointed to the shared folder, so reading it
-       again does not rerun the counts)
+    -> optional row counts (one scan for every registered table, joined to
+       the persisted manifest, collected: one row per table)
+    -> report DataFrame built from those per-table rows (a local relation:
+       reading it again reruns nothing)
 
 A bad table (no data file, unreadable schema, nothing left after dropping
 archive columns, a failed DDL) becomes an ``error`` row; the run continues.
@@ -24,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.counts import ROW_COUNT_SCHEMA, row_counts
+from ..operators.counts import row_counts
 from ..operators.merge import PROVENANCE_COLUMN, merge_sources
 from ..operators.project import ARCHIVE_COLUMNS, column_list, parallel_map
 from ..operators.report import (
@@ -39,7 +40,7 @@ from ..operators.report import (
     write_report,
     write_report_document,
 )
-from ..session import count_scan_conf, manifest_scan_conf, scoped_conf, work_dir
+from ..session import count_scan_conf, manifest_scan_conf, scoped_conf
 from ..sources.layout import TableDir, discover_tables, files_by_table, table_dirs
 from ..sources.manifest import require_files
 from .registration import NotManagedError, plan_registration, register_merged, register_table
@@ -87,21 +88,24 @@ def _now() -> datetime:
 
 def _finish(
     spark: SparkSession,
-    report: DataFrame,
+    outcomes: list[dict],
     report_path: str | None,
     *,
     source_root: str | None,
     started_at: datetime,
-    n_rows: int,
     report_format: str = "rows",
 ) -> DataFrame:
-    """Materialise the report (running the verified counts) and stamp the run."""
-    work_dir(spark)  # makes sure a (shared) checkpoint folder is set
-    report = report.withColumn("source_root", F.lit(source_root).cast("string")).withColumn(
-        "started_at", F.lit(started_at)
-    )
-    report = report.checkpoint(eager=True).withColumn("finished_at", F.lit(_now()))
-    if report_path and n_rows:  # like the archive tool: no report when nothing was processed
+    """Stamp the run and build the report.
+
+    Every input (outcomes, verified counts) is already a per-table row on the
+    driver, so the report is a local relation: reading it again recomputes
+    nothing, and no checkpoint is needed to cut lineage.
+    """
+    finished_at = _now()
+    for o in outcomes:
+        o.update(source_root=source_root, started_at=started_at, finished_at=finished_at)
+    report = load_report(spark, outcomes)
+    if report_path and outcomes:  # like the archive tool: no report when nothing was processed
         if report_format == "document":
             write_report_document(report, report_path)
         else:
@@ -115,8 +119,8 @@ def _counts(
     dirs: list[TableDir],
     files: DataFrame,
     max_workers: int = 8,
-) -> tuple[DataFrame, dict[tuple[str, str], str]]:
-    """Row counts of the registered tables: ((schema_name, table_name, row_count), errors).
+) -> tuple[dict[tuple[str, str], int], dict[tuple[str, str], str]]:
+    """Row counts of the registered tables: ({(schema, table): rows}, {(schema, table): error}).
 
     Run now, as ONE scan over every folder with footer-sized splits, joined to
     the run's manifest. Only if that job fails (say a file vanished after
@@ -124,7 +128,7 @@ def _counts(
     its own table's report row.
     """
     if not dirs:
-        return spark.createDataFrame([], ROW_COUNT_SCHEMA), {}
+        return {}, {}
 
     def count(subset: list[TableDir]) -> list:
         return row_counts(spark, root, subset, files).collect()
@@ -140,7 +144,7 @@ def _counts(
                     errors[(d.schema_name, d.table_name)] = error_text(res)
                 else:
                     rows.extend(res)
-    return spark.createDataFrame(rows, ROW_COUNT_SCHEMA), errors
+    return {(r.schema_name, r.table_name): r.row_count for r in rows}, errors
 
 
 def publish_application(
@@ -228,25 +232,20 @@ def publish_application(
                 outcome(**base, status="success", action=res.action, n_columns=len(cols), columns=cols, version=res.version)
             )
             done.add((r.schema_name, r.table_name))
-        counts = None
         if verify_row_count:
             registered = [d for d in dirs if (d.schema_name, d.table_name) in done]
             counts, count_errors = _counts(spark, root, registered, files, max_workers)
             for o in outcomes:
-                failure = count_errors.get((o["schema_name"], o["table_name"]))
-                if failure:
-                    o.update(status="error", error_message=f"row count failed: {failure}")
+                key = (o["schema_name"], o["table_name"])
+                if key in count_errors:
+                    o.update(status="error", error_message=f"row count failed: {count_errors[key]}")
+                elif o["status"] == "success":
+                    o["row_count"] = counts.get(key, 0)
         for o in outcomes:
             _log_outcome(o)
         log.info("published %s: %d table(s)", root, len(outcomes))
         return _finish(
-            spark,
-            load_report(spark, outcomes, counts),
-            report_path,
-            source_root=root,
-            started_at=started_at,
-            n_rows=len(outcomes),
-            report_format=report_format,
+            spark, outcomes, report_path, source_root=root, started_at=started_at, report_format=report_format
         )
     finally:
         files.unpersist()
@@ -280,16 +279,10 @@ def publish_merge(
     table_name = sources[0].table_name
     qualified = [s.path for s in sources]
 
-    def finish(row: dict, counts: DataFrame | None = None) -> DataFrame:
+    def finish(row: dict) -> DataFrame:
         _log_outcome(row)
         return _finish(
-            spark,
-            load_report(spark, [row], counts),
-            report_path,
-            source_root=None,
-            started_at=started_at,
-            n_rows=1,
-            report_format=report_format,
+            spark, [row], report_path, source_root=None, started_at=started_at, report_format=report_format
         )
 
     base = dict(
@@ -335,14 +328,11 @@ def publish_merge(
         return finish(outcome(**base, status="error", action=planned.action, error_message=error_text(exc)))
     cols = column_list(res.columns, mapping)
     row = outcome(**base, status="success", action=res.action, n_columns=len(cols), columns=cols, version=res.version)
-    counts = None
     if verify_row_count:
         try:
             with scoped_conf(spark, count_scan_conf(spark)):
-                n_rows = spark.table(res.quoted).count()
+                row["row_count"] = spark.table(res.quoted).count()
         except Exception as exc:  # noqa: BLE001 - reported on the table's row
             row.update(status="error", error_message=f"row count failed: {error_text(exc)}")
-        else:
-            counts = spark.createDataFrame([(target_schema, table_name, n_rows)], ROW_COUNT_SCHEMA)
-    return finish(row, counts)
+    return finish(row)
 
