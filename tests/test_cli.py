@@ -28,3 +28,16 @@ def test_cli_publish_and_merge(spark, base, prefix, capsys, tmp_path):
     assert code == 0 and row["status"] == "success" and row["merge"] is True
     types = dict(spark.table(f"{prefix}merged.orders").dtypes)
     assert types["o_orderkey"] == "bigint" and types["o_totalprice"] == "string"
+
+
+def test_cli_document_report_and_failure_exit_code(spark, base, prefix, capsys):
+    root = f"{base}/r"
+    spark.range(3).write.parquet(f"{root}/parquet/OK.parquet")
+    fs.mkdirs(spark, f"{root}/parquet/EMPTY.parquet")
+    code = main(["publish", root, "--database-prefix", prefix, "--database-location", base,
+                 "--report-dir", f"{base}/docs", "--report-format", "document"])
+    capsys.readouterr()
+    assert code == 1  # a failed table makes the run exit non-zero (B17)
+    doc = json.loads(fs.read_text(spark, fs.children(spark, f"{base}/docs")[0].path))
+    assert doc["schemas"]["r"]["tables"]["OK"]["status"] == "success"
+    assert doc["schemas"]["r"]["tables"]["EMPTY"]["status"] == "error"
