@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tablekeep import staging
 from tablekeep.operators.merge import MergeGroupError
-from tablekeep.operators.report import read_report, report_name, report_totals, write_report
+from tablekeep.operators.report import error_text, read_report, report_name, report_totals, write_report
+import tablekeep.plans.publish as publish_mod
 from tablekeep.plans.publish import publish_application, publish_merge
 from tablekeep.sources import fs
 
@@ -134,8 +135,6 @@ def test_root_without_schemas(spark, base, prefix):
 def test_count_failure_isolated_to_its_table(spark, base, prefix, monkeypatch):
     """If the one count job fails, folders are counted one by one and only the
     failing table becomes an error row (the others keep their counts)."""
-    import tablekeep.plans.publish as publish_mod
-
     real = publish_mod.row_counts
 
     def flaky(spark_, root_, dirs, files=None):
@@ -155,8 +154,6 @@ def test_count_failure_isolated_to_its_table(spark, base, prefix, monkeypatch):
 
 
 def test_error_text_drops_jvm_trace():
-    from tablekeep.operators.report import error_text
-
     assert error_text(RuntimeError("boom\n: java.io.IOException: gone\n\tat x.y(z)")) == "boom\n: java.io.IOException: gone"
     assert len(error_text(RuntimeError("x" * 5000))) == 2000
 
@@ -212,8 +209,6 @@ def test_report_document(spark, base, prefix):
 
 
 def test_transient_registration_error_is_retried_once(spark, base, prefix, monkeypatch):
-    import tablekeep.plans.publish as publish_mod
-
     real = publish_mod.register_table
     calls = {"REGION": 0}
 
