@@ -43,7 +43,7 @@ from ..operators.report import (
 from ..session import count_scan_conf, manifest_scan_conf, scoped_conf
 from ..sources.layout import TableDir, discover_tables, files_by_table, table_dirs
 from ..sources.manifest import require_files
-from .registration import NotManagedError, plan_registration, register_merged, register_table
+from .registration import NotManagedError, ensure_database, plan_registration, register_merged, register_table
 
 
 log = logging.getLogger("tablekeep")
@@ -183,6 +183,10 @@ def publish_application(
         plan = plan_registration(
             spark, discovered, replace_existing=replace_existing, database_prefix=database_prefix, on_collision="mark"
         ).collect()
+        # Every discovered schema gets its database first, as the archive tool
+        # creates each schema before its tables (even if they all fail).
+        for db in sorted({r.catalog_database for r in plan}):
+            ensure_database(spark, db, database_location)
         outcomes: list[dict] = []
         todo = []
         for r in plan:

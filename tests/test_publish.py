@@ -224,3 +224,12 @@ def test_transient_registration_error_is_retried_once(spark, base, prefix, monke
     rows = _by_table(publish_application(spark, root, database_prefix=prefix, database_location=base))
     assert rows[("archive", "REGION")].status == "success" and calls["REGION"] == 2
     assert rows[("archive_PARTS", "EMPTY")].status == "error"  # deterministic errors are not retried
+
+
+def test_schemas_are_created_even_when_their_tables_fail(spark, base, prefix):
+    root = f"{base}/r"
+    fs.mkdirs(spark, f"{root}/only_empty/parquet/E.parquet")
+    write_df(spark, [(1,)], "id int", f"{root}/good/parquet/T.parquet")
+    rows = _by_table(publish_application(spark, root, database_prefix=prefix, database_location=base))
+    assert rows[("only_empty", "E")].status == "error"
+    assert spark.catalog.databaseExists(f"{prefix}only_empty") and spark.catalog.databaseExists(f"{prefix}good")
