@@ -4,6 +4,8 @@ Discovery, schema merging, counting and reporting are DataFrame operations;
 published tables are ordinary catalog views queried with Spark SQL.
 """
 
+__version__ = "0.1.0"
+
 from .operators import (
     ARCHIVE_COLUMNS,
     conform_types,
