@@ -215,7 +215,7 @@ def merge_tables(
     sources = merge_sources(spark, paths)
     if check_files:
         check_not_empty(spark, [s.path for s in sources])
-    frames = parallel_map(lambda s: scan_table(spark, s.path), sources, max_workers)
+    frames = parallel_map(spark, lambda s: scan_table(spark, s.path), sources, max_workers)
     for s, df in zip(sources, frames):
         if isinstance(df, Exception):
             raise df

@@ -57,7 +57,7 @@ def column_list(fields: Sequence[T.StructField], mapping: dict[str, str] | None
     return [f"{f.name} {declared_type(f.dataType, mapping)}" for f in fields]
 
 
-def parallel_map(fn: Callable, items: Sequence, max_workers: int = 8) -> list:
+def parallel_map(spark: SparkSession, fn: Callable, items: Sequence, max_workers: int = 8) -> list:
     """Run ``fn`` over ``items`` from a small driver thread pool.
 
     Each call submits its own Spark job (a footer read or a catalog call); the
@@ -75,8 +75,7 @@ def parallel_map(fn: Callable, items: Sequence, max_workers: int = 8) -> list:
 
     if not items:
         return []
-    session = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()  # the running session
-    target = inheritable_thread_target(session)(guarded)
+    target = inheritable_thread_target(spark)(guarded)
     with ThreadPoolExecutor(max_workers=max(1, min(max_workers, len(items)))) as pool:
         return list(pool.map(target, items))
 
@@ -85,7 +84,7 @@ def read_schemas(
     spark: SparkSession, tables: Sequence[tuple[Hashable, str]], max_workers: int = 8
 ) -> dict[Hashable, T.StructType | Exception]:
     """Merged schema of each (key, table_path); a failure is returned per key."""
-    results = parallel_map(lambda kp: scan_table(spark, kp[1]).schema, list(tables), max_workers)
+    results = parallel_map(spark, lambda kp: scan_table(spark, kp[1]).schema, list(tables), max_workers)
     return {key: res for (key, _), res in zip(tables, results)}
 
 

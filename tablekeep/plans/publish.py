@@ -139,7 +139,7 @@ def _counts(
             rows = count(dirs)
         except Exception:  # noqa: BLE001 - isolate the failing table(s)
             rows = []
-            for d, res in zip(dirs, parallel_map(lambda one: count([one]), dirs, max_workers)):
+            for d, res in zip(dirs, parallel_map(spark, lambda one: count([one]), dirs, max_workers)):
                 if isinstance(res, Exception):
                     errors[(d.schema_name, d.table_name)] = error_text(res)
                 else:
@@ -227,7 +227,7 @@ def publish_application(
 
         done: set[tuple[str, str]] = set()
         attempt = _once_more(publish_one, "table {item[1][schema_name]}.{item[1][table_name]}")
-        for (r, base), res in zip(todo, parallel_map(attempt, todo, max_workers)):
+        for (r, base), res in zip(todo, parallel_map(spark, attempt, todo, max_workers)):
             if isinstance(res, Exception):
                 outcomes.append(outcome(**base, status="error", action=r.action, error_message=error_text(res)))
                 continue

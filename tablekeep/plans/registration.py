@@ -259,7 +259,7 @@ def _base_tables(spark: SparkSession, db: str, table: str) -> list[tuple[str, in
 
 def _drop(spark: SparkSession, db: str, names: Iterable[str]) -> None:
     """Drop base tables (external: the files stay); tries all, then raises the first failure."""
-    results = parallel_map(lambda n: spark.sql(f"DROP TABLE IF EXISTS {quote(db)}.{quote(n)}"), list(names))
+    results = parallel_map(spark, lambda n: spark.sql(f"DROP TABLE IF EXISTS {quote(db)}.{quote(n)}"), list(names))
     failures = [r for r in results if isinstance(r, Exception)]
     if failures:
         raise failures[0]
@@ -423,7 +423,7 @@ def register_merged(
     sources = merge_sources(spark, paths)
     if check_files:
         check_not_empty(spark, [s.path for s in sources])
-    frames = parallel_map(lambda s: scan_table(spark, s.path), sources, max_workers)
+    frames = parallel_map(spark, lambda s: scan_table(spark, s.path), sources, max_workers)
     for df in frames:
         if isinstance(df, Exception):
             raise df
@@ -439,6 +439,7 @@ def register_merged(
     version = _next_version(spark, db, table, previous)
     bases = [base_table_name(table, version, s.ordinal) for s in sources]
     results = parallel_map(
+        spark,
         lambda k: _create_base(spark, db, bases[k], sources[k].path, schemas[k]), range(len(sources)), max_workers
     )
     failures = [r for r in results if isinstance(r, Exception)]
