@@ -36,6 +36,8 @@ from tablekeep.plans.registration import (
     register_table,
     replace_table,
 )
+from tablekeep.functions.names import catalog_name, database_name
+from tablekeep.functions.types import quote
 from tablekeep.sources import fs
 from tablekeep.sources.layout import discover_tables, empty_tables, table_dirs
 from tablekeep.sources.manifest import manifest_by_source
@@ -52,7 +54,8 @@ def _ctx(spark: SparkSession, label: str) -> tuple[str, str]:
 
 
 def _table(spark: SparkSession, prefix: str, schema: str, table: str) -> DataFrame:
-    return spark.table(f"{prefix}{schema}.{table}".lower())
+    """A published table by its folder names (catalog names are normalised, then quoted)."""
+    return spark.table(f"{quote(database_name(schema, prefix))}.{quote(catalog_name(table))}")
 
 
 # ---------------------------------------------------------------- scans
