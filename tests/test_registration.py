@@ -215,3 +215,14 @@ def test_numeric_folder_names(spark, base, prefix):
     report = publish_merge(spark, [path], "2024", replace_existing=True, verify_row_count=True, database_location=base)
     row = report.first()
     assert row.status == "success" and row.row_count == 2
+
+
+def test_new_partition_folder_after_refresh(spark, base, prefix):
+    """T5: partitions are inferred from folders at read time; no MSCK needed."""
+    path = f"{base}/app/parquet/P.parquet"
+    spark.range(10).selectExpr("id", "'a' AS k").write.partitionBy("k").parquet(path)
+    reg = register_table(spark, "app", "P", path, database_prefix=prefix, database_location=base)
+    assert spark.table(reg.quoted).count() == 10
+    spark.range(5).selectExpr("id").write.parquet(f"{path}/k=b")
+    spark.sql(f"REFRESH TABLE {reg.quoted}")
+    assert spark.table(reg.quoted).filter("k = 'b'").count() == 5
