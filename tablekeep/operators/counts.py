@@ -79,7 +79,12 @@ def row_counts(
     """(schema_name, table_name, row_count) for every table below ``root``.
 
     ``dirs`` limits the count to those table folders; ``files`` (from
-    ``files_by_table``) reuses a manifest already listed.
+    ``files_by_table``) reuses a manifest already listed. The result is lazy;
+    on a large archive run its action under footer-sized splits, as a publish
+    run does::
+
+        with scoped_conf(spark, count_scan_conf(spark)):
+            counts = row_counts(spark, root).collect()
     """
     root_q = fs.qualify(spark, root)
     dirs = table_dirs(spark, root_q) if dirs is None else dirs
