@@ -345,6 +345,21 @@ def q_register_merged_conversations(spark: SparkSession, sf_dir: str) -> DataFra
     return spark.table(reg.quoted)
 
 
+def q_register_documents_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O17 + O7 over whole documents: bigint ids exposed as text, texts untouched."""
+    base, prefix = _ctx(spark, "register_documents")
+    path = staging.stage_table(spark, sf_dir, base, "documents", archive_column=True)
+    reg = register_table(spark, "corpus", "DOCUMENTS", path, policy="mapped", database_prefix=prefix, database_location=base)
+    return spark.table(reg.quoted)
+
+
+def q_merge_embeddings_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O14 with ten sources (one per label) carrying float arrays."""
+    base, _ = _ctx(spark, "merge_embeddings")
+    apps = staging.stage_split(spark, sf_dir, base, "embeddings", "label", app_prefix="emb_")
+    return merge_tables(spark, list(apps.values()))
+
+
 def q_publish_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O25 over every driver table in one application root."""
     base, prefix = _ctx(spark, "publish_all_tables")
@@ -397,6 +412,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_documents_by_lang": q_merge_documents_by_lang,
         "register_merged_conversations": q_register_merged_conversations,
         "publish_all_tables": q_publish_all_tables,
+        "register_documents_mapped": q_register_documents_mapped,
+        "merge_embeddings_by_label": q_merge_embeddings_by_label,
     }
 
 
@@ -584,4 +601,11 @@ def oracle_sql() -> dict[str, str]:
             "SELECT conv_id, turn, role, text, 'chat_' || role AS source_application FROM conversations"
         ),
         "publish_all_tables": _publish_all_sql(),
+        "register_documents_mapped": (
+            "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, "
+            "CAST(n_chars AS VARCHAR) AS n_chars FROM documents"
+        ),
+        "merge_embeddings_by_label": (
+            "SELECT vec_id, embedding, label, 'emb_' || CAST(label AS VARCHAR) AS source_application FROM embeddings"
+        ),
     }
