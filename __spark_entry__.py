@@ -93,6 +93,14 @@ def q_scan_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_columns(df)
 
 
+def q_scan_tables_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O5 as the merge read: one scan, merged schema, NULL where a source lacks a column."""
+    base, _ = _ctx(spark, "scan_tables_missing")
+    apps = staging.stage_applications(spark, sf_dir, base, drop_in={"appO": "o_orderpriority"})
+    df = scan_tables(spark, list(apps.values()), provenance={p: a for a, p in apps.items()})
+    return drop_columns(df)
+
+
 # ---------------------------------------------------------------- projections
 
 
@@ -382,6 +390,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_merge_schema": q_scan_merge_schema,
         "scan_partitioned": q_scan_partitioned,
         "scan_tables": q_scan_tables,
+        "scan_tables_missing_column": q_scan_tables_missing_column,
         "drop_columns": q_drop_columns,
         "map_types": q_map_types,
         "describe_tables": q_describe_tables,
@@ -535,6 +544,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "scan_partitioned": "SELECT * FROM orders",
         "scan_tables": merged,
+        "scan_tables_missing_column": (
+            "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
+            f"CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderpriority END AS o_orderpriority, {_APP} FROM orders"
+        ),
         "drop_columns": "SELECT * FROM orders",
         "map_types": _LINEITEM_MAPPED,
         "describe_tables": _describe_sql(),
