@@ -19,12 +19,36 @@ from ..sources import fs
 
 STATUSES = ("success", "skipped", "error")
 
-# Fixed values (report texts that must read like the archive tool's reports):
+# Fixed values (report texts, formats and document keys that must read like the
+# archive tool's reports):
 PROCESS_APPLICATION = "External Table Creation"
 PROCESS_MERGE = "External Table Creation - Merge Applications"
 MERGED_SCHEMA_PATH = "Merged Applications"
 SKIP_REASON_EXISTS = "Table already exists and replace_existing is false"
 NO_FILES_MESSAGE = "Parquet files not found in {path}"
+REPORT_NAME_TIME_FORMAT = "%d-%m-%Y_%H-%M-%S"
+RUN_TIME_FORMAT = "%Y-%m-%d %H:%M:%S"
+DOCUMENT_KEYS = (
+    "process",
+    "schemas",
+    "schema_folder_path",
+    "tables",
+    "parquet_files_count",
+    "columns_count",
+    "column_types",
+    "status",
+    "row_count",
+    "skip_reason",
+    "error_message",
+    "merge",
+    "source_applications",
+    "source_paths",
+    "source_path",
+    "start_time",
+    "end_time",
+    "total_tables_processed_successfully",
+    "total_tables_errored_out",
+)
 
 REPORT_SCHEMA = T.StructType(
     [
@@ -118,7 +142,7 @@ def report_totals(report: DataFrame) -> DataFrame:
 def report_name(prefix: str = "tablekeep", now: datetime | None = None) -> str:
     """Report folder name carrying the run's UTC time."""
     now = now or datetime.now(timezone.utc)
-    return f"{prefix}-{now.strftime('%d-%m-%Y_%H-%M-%S')}"
+    return f"{prefix}-{now.strftime(REPORT_NAME_TIME_FORMAT)}"
 
 
 def write_report(report: DataFrame, folder: str, name: str | None = None) -> str:
@@ -134,15 +158,17 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _stamp(value) -> str | None:
-    return value.strftime("%Y-%m-%d %H:%M:%S") if value is not None else None
+    return value.strftime(RUN_TIME_FORMAT) if value is not None else None
 
 
 def report_document(report: DataFrame) -> dict:
     """The report as one nested document: run fields, totals, schemas -> tables.
 
-    Shaped like the archive tool's run report (file lists left out: a table may
-    have millions of files; ``parquet_files_count`` and ``n_bytes`` stay). The
-    report has one row per table, so it is read to the driver whole.
+    Shaped like the archive tool's run report, with its key names
+    (``DOCUMENT_KEYS``) plus our own (``run_id``, ``catalog_table``,
+    ``parquet_bytes``, ``version``, ``total_tables_skipped``). File lists are
+    left out: a table may have millions of files. The report has one row per
+    table, so it is read to the driver whole.
     """
     rows = report.orderBy("schema_name", "table_name").collect()
     doc: dict = {}
