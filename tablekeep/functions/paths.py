@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values (the archive layout): schema folders hold a "parquet" folder whose
+# "<TABLE>.parquet" folders are the tables.
 PARQUET_DIR = "parquet"
 SUFFIX = ".parquet"
 

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from ..session import manifest_scan_conf, scoped_conf
 from . import fs
 
+# Fixed value: data files are the "*.parquet" files (case-sensitive) below a table folder.
 DATA_FILE_GLOB = "*.parquet"
 LISTING_OPTIONS = {"recursiveFileLookup": "true", "pathGlobFilter": DATA_FILE_GLOB}
 
