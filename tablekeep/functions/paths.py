@@ -11,15 +11,6 @@ PARQUET_DIR = "parquet"
 SUFFIX = ".parquet"
 
 
-def decode_file_path(col: Column) -> Column:
-    """Decode ``_metadata.file_path`` (URL-encoded) to the plain qualified path.
-
-    A raw ``+`` is legal in an encoded URI path and must stay a ``+``, so it is
-    protected before ``url_decode`` (which would read it as a space).
-    """
-    return F.url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))
-
-
 def relative_to(col: Column, root: str) -> Column:
     """Path below ``root`` (both decoded, qualified); NULL for paths outside it."""
     prefix = root.rstrip("/") + "/"
@@ -30,11 +21,6 @@ def segments(rel: Column) -> Column:
     return F.split(rel, "/")
 
 
-def table_stem(name: Column) -> Column:
-    """``ORDERS.parquet`` -> ``ORDERS`` (the folder's stem)."""
-    return F.regexp_replace(name, r"\.parquet$", "")
-
-
 def layout_keys(rel: Column) -> dict[str, Column]:
     """Schema folder / table folder of a data file, from its path below the root.
 
