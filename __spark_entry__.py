@@ -196,6 +196,13 @@ def q_row_counts_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts(spark, base)
 
 
+def q_row_counts_hot_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O21 with a hot source: documents per language as schemas ('en' holds most rows)."""
+    base, _ = _ctx(spark, "row_counts_hot")
+    staging.stage_split(spark, sf_dir, base, "documents", "lang", app_prefix="docs_")
+    return row_counts(spark, base)
+
+
 # ---------------------------------------------------------------- registration
 
 
@@ -403,6 +410,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_type_conflict_text": q_merge_type_conflict_text,
         "row_counts": q_row_counts,
         "row_counts_apps": q_row_counts_apps,
+        "row_counts_hot_source": q_row_counts_hot_source,
         "plan_registration": q_plan_registration,
         "register_table": q_register_table,
         "register_mapped": q_register_mapped,
@@ -571,6 +579,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT 'app' || o_orderstatus AS schema_name, 'ORDERS' AS table_name, count(*) AS row_count "
             "FROM orders GROUP BY o_orderstatus"
         ),
+        "row_counts_hot_source": (
+            "SELECT 'docs_' || lang AS schema_name, 'DOCUMENTS' AS table_name, count(*) AS row_count "
+            "FROM documents GROUP BY lang"
+        ),
         "plan_registration": "SELECT * FROM (VALUES "
         + ", ".join(
             f"('{s}', '{t}', {str(t in ('REGION', 'ORDERS')).upper()}, "
