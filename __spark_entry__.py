@@ -265,6 +265,16 @@ def q_register_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(reg.quoted)
 
 
+def q_register_merged_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O19 + O7: the merged view under the mapped type policy."""
+    base, prefix = _ctx(spark, "register_merged_mapped")
+    apps = staging.stage_applications(spark, sf_dir, base)
+    reg = register_merged(
+        spark, "merged", list(apps.values()), policy="mapped", database_prefix=prefix, database_location=base
+    )
+    return spark.table(reg.quoted)
+
+
 def q_register_merged_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spark SQL over the merged view: per-application aggregates."""
     base, prefix = _ctx(spark, "register_merged_summary")
@@ -419,6 +429,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "skip_existing": q_skip_existing,
         "register_merged": q_register_merged,
         "register_merged_summary": q_register_merged_summary,
+        "register_merged_mapped": q_register_merged_mapped,
         "publish_application": q_publish_application,
         "publish_replace": q_publish_replace,
         "publish_merge": q_publish_merge,
@@ -596,6 +607,11 @@ def oracle_sql() -> dict[str, str]:
         "replace_table": "SELECT * FROM orders",
         "skip_existing": "SELECT * FROM orders",
         "register_merged": merged,
+        "register_merged_mapped": (
+            "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, "
+            "o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority, "
+            f"{_APP} FROM orders"
+        ),
         "register_merged_summary": (
             f"SELECT {_APP}, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS sum_orderkey, "
             "count(CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END) AS n_priority, "
