@@ -6,9 +6,10 @@ task times; each timed step is a Spark job group named after the step).
 
 Staging (untimed) writes every driver table into one application root — each
 table split into part files in proportion to its rows — plus ``orders`` split
-into three applications for the merge. The timed pipeline runs twice with fresh
-catalog names: a cold round (JIT, codegen and file-status caches warming up),
-then the reported warm round. Steps:
+into three applications for the merge. The timed pipeline runs three times
+with fresh catalog names: a cold round (JIT, codegen and file-status caches
+warming up), then two warm rounds; the faster warm round is reported whole
+(steps are never mixed across rounds). Steps:
 
   discover          O1   one listing of all table folders + per-table aggregate
   describe          O8   merged schema of every table (footer jobs, driver pool)
@@ -81,8 +82,12 @@ def main() -> None:
     stage_sec = round(time.perf_counter() - t0, 3)
     paths = list(apps.values())
     cold, cold_ok = pipeline(spark, base, root, apps, paths, stats)
-    ROUND["name"] = "warm"
-    q, ok = pipeline(spark, base, root, apps, paths, stats)
+    warm = []
+    for name in ("warm1", "warm2"):
+        ROUND["name"] = name
+        warm.append(pipeline(spark, base, root, apps, paths, stats))
+    q, ok = min(warm, key=lambda run: sum(run[0].values()))
+    ok = ok and all(run_ok for _, run_ok in warm)
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
@@ -98,6 +103,7 @@ def main() -> None:
                 "rows": stats["rows"],
                 "stage_sec": stage_sec,
                 "cold_total_sec": round(sum(cold.values()), 3),
+                "warm_totals_sec": [round(sum(run.values()), 3) for run, _ in warm],
                 "checks_ok": ok and cold_ok,
             }
         )
