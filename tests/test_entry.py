@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import inspect
+import re
+
 import duckdb
 import pytest
 from conftest import SF_SMALL
@@ -39,3 +42,11 @@ def test_query_matches_oracle(spark, duck, name):
     want_rows, want_cols = rows_of(rel.columns, rel.fetchall())
     assert got_cols == want_cols
     assert got_rows == want_rows
+
+
+def test_queries_read_whole_tables():
+    """No row caps, samples or modulo subsets in the registered queries or their oracles."""
+    for name, sql in E.oracle_sql().items():
+        assert not re.search(r"\bLIMIT\b|\bSAMPLE\b|%", sql, re.I), name
+    source = inspect.getsource(E)
+    assert not re.search(r"\.limit\(|\.sample\(|\.head\(|\.take\(|%\s*\d", source)
