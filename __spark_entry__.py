@@ -138,10 +138,21 @@ def q_empty_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O2/O3: one row per data file of every table folder (paths are temporary: rows-only)."""
+    """O2/O3: one row per data file of every table folder, as its place in the layout.
+
+    (schema_name, table_name, sub_folder): the folder a file sits in below its
+    table folder ('' at the top). Paths themselves are temporary, so they are
+    projected away; hidden and junk files must not appear.
+    """
     base, _ = _ctx(spark, "file_manifest")
     root = staging.stage_archive(spark, sf_dir, base)
-    return manifest_by_source(spark, [t.table_path for t in table_dirs(spark, root)])
+    dirs = table_dirs(spark, root)
+    names = spark.createDataFrame(
+        [(d.table_path, d.schema_name, d.table_name) for d in dirs], "source_path string, schema_name string, table_name string"
+    )
+    files = manifest_by_source(spark, [d.table_path for d in dirs]).join(names, "source_path")
+    below = F.expr("substring(file_path, length(source_path) + 2)")
+    return files.select("schema_name", "table_name", F.regexp_extract(below, r"^(.*)/[^/]+$", 1).alias("sub_folder"))
 
 
 # ---------------------------------------------------------------- merge
@@ -521,6 +532,25 @@ def _row_counts_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _manifest_sql() -> str:
+    """One row per staged data file: ceil(rows / ROWS_PER_FILE) files per folder."""
+
+    def files_of(schema: str, table: str, sub: str, src: str, rows_sql: str) -> str:
+        return (
+            f"SELECT '{schema}' AS schema_name, '{table}' AS table_name, '{sub}' AS sub_folder "
+            f"FROM (SELECT unnest(range(CAST({_files(rows_sql)} AS BIGINT))) AS i FROM {src})"
+        )
+
+    parts = []
+    for s, t, src, _ in _ARCHIVE:
+        if t == "ORDERS":
+            parts.append(files_of(s, t, "", src, "sum(CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END)"))
+            parts.append(files_of(s, t, "batch_F", src, "sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END)"))
+        else:
+            parts.append(files_of(s, t, "", src, "count(*)"))
+    return "\nUNION ALL\n".join(parts)
+
+
 def _describe_sql() -> str:
     schema_of = " ".join(f"WHEN '{src}' THEN '{s}'" for s, _, src, _ in _ARCHIVE)
     names = ", ".join(f"'{src}'" for _, _, src, _ in _ARCHIVE)
@@ -572,6 +602,7 @@ def oracle_sql() -> dict[str, str]:
         "describe_tables": _describe_sql(),
         "discover_tables": _discover_sql(),
         "empty_tables": "SELECT 'archive_PARTS' AS schema_name, 'EMPTY' AS table_name",
+        "file_manifest": _manifest_sql(),
         "merge_group": (
             f"SELECT {_APP}, 'ORDERS' AS table_name, CAST({_files('count(*)')} AS BIGINT) AS n_files, "
             "count(*) AS row_count FROM orders GROUP BY o_orderstatus"
