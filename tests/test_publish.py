@@ -248,3 +248,14 @@ def test_concurrent_publish_many_tables(spark, base, prefix):
     rows = report.collect()
     assert len(rows) == 30 and all(r.status == "success" and r.row_count == 7 for r in rows)
     assert sum(spark.table(r.catalog_table).count() for r in rows[:3]) == 21
+
+
+def test_publish_merge_reconciles_types_as_text(spark, base, prefix):
+    apps = staging.stage_applications(spark, SF_SMALL, base, cast_in={"appO": ("o_custkey", "int")})
+    row = publish_merge(
+        spark, list(apps.values()), "merged", on_conflict="text", verify_row_count=True,
+        database_prefix=prefix, database_location=base,
+    ).first()
+    assert (row.status, row.row_count) == ("success", 1500)
+    assert "o_custkey TEXT" in row.columns
+    assert dict(spark.table(f"{prefix}merged.orders").dtypes)["o_custkey"] == "string"
