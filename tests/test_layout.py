@@ -173,3 +173,9 @@ def test_first_data_file_follows_the_manifest_rules(spark, base):
     fs.write_text(spark, f"{table}/deep/er/real.parquet", "x")
     assert fs.first_data_file(spark, table).endswith("deep/er/real.parquet")
     assert fs.first_data_file(spark, f"{base}/missing") is None
+
+
+def test_scan_of_a_single_file(spark, base):
+    folder = write_df(spark, [(1,), (2,)], "id int", f"{base}/one")
+    part = next(e.path for e in fs.children(spark, folder) if e.name.endswith(".parquet"))
+    assert sorted(r.id for r in scan_table(spark, part).collect()) == [1, 2]

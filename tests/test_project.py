@@ -144,3 +144,9 @@ def test_describe_tables_orders(spark, base):
         (5, "o_orderdate", "timestamp_ntz", "TEXT"),
         (6, "o_orderpriority", "string", "TEXT"),
     ]
+
+
+def test_custom_mapping_unknown_declared_name_is_text(spark):
+    df = spark.createDataFrame([(1, 2.5)], "a bigint, b double")
+    out = conform_types(df, "mapped", {"LongType": "NUMERIC", "DoubleType": "DOUBLE PRECISION"})
+    assert dict(out.dtypes) == {"a": "string", "b": "double"}
