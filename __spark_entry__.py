@@ -412,7 +412,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_publish_application(spark, SMOKE_DIR)
 
 
+def training_data():
+    """The module of the training-data queries, or None where that subpackage is left out."""
+    try:
+        import corpus_pipeline  # noqa: F401
+        from tablekeep.llm import queries as module
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "tablekeep.llm"):
+            raise
+        return None
+    return module
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    module = training_data()
+    return core_queries() | (module.QUERIES if module else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    module = training_data()
+    return core_oracles() | (module.ORACLES if module else {})
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_table": q_scan_table,
         "scan_merge_schema": q_scan_merge_schema,
@@ -583,7 +605,7 @@ def _publish_all_sql() -> str:
     )
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracles() -> dict[str, str]:
     merged = f"SELECT {_ORDERS}, {_APP} FROM orders"
     return {
         "scan_table": "SELECT * FROM orders",
