@@ -1,10 +1,12 @@
 """Encoding whole texts with a public byte-level tokenizer, word by word from a cache.
 
-A byte-level vocabulary never merges across the start of a word: a space after
-a sign that is not white space always begins a new piece. A text is therefore
-cut before such spaces, each distinct word is encoded once by the tokenizers
-library and kept, and the ids of a text are those of its words in order. Texts
-with other white space before a space take the general cut.
+The pre-tokenizer of a byte-level vocabulary never reaches from a sign that is
+not white space over the white space after it, so where every white space
+stands alone, lines and words can be encoded apart: a line break is a piece of
+its own, a word after a space starts with that space, and a mark that ends a
+word is a piece of its own. Each distinct word is encoded once by the
+tokenizers library and kept. Texts with white space next to white space, at
+their ends or of other kinds are cut before spaces that follow another sign only.
 """
 
 from __future__ import annotations
@@ -12,45 +14,97 @@ from __future__ import annotations
 import re
 from array import array
 
+import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept in one worker process.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
+#: Words encoded in one text.
+RUN = 500
 
-_ODD = re.compile(r"\s ")
+#: White space besides the space and the line break.
+_OTHER = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_PAIRS = ("  ", "\n\n", " \n", "\n ")
 _CUT = re.compile(r"(?<=\S)(?= )")
+_MARKS = frozenset(".,;:!?")
+
+
+def odd(text: str) -> bool:
+    """Whether white space may stand next to white space or at an end, or be of another kind."""
+    if text[:1] in ("", " ", "\n") or text[-1] in (" ", "\n"):
+        return True
+    return any(p in text for p in _PAIRS) or any(c in text for c in (_OTHER[:8] if text.isascii() else _OTHER))
 
 
 class WordEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
-        size = self.tokenizer.get_vocab_size()
-        self.kind = "H" if size <= 1 << 16 else "I"
+        self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.width = array(self.kind).itemsize
+        vocabulary = self.tokenizer.get_vocab()
+        self.starts = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin with a space
+        self.starts[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+        self.plain: dict[str, bytes] = {}  # by text
+        self.spaced: dict[str, bytes] = {}  # by the word that follows a space
+        self.newline = self._one("\n")
+
+    def _pack(self, ids) -> bytes:
+        return array(self.kind, ids).tobytes()
+
+    def _one(self, text: str) -> bytes:
+        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _learn_plain(self, texts) -> None:
+        texts = list(texts)
+        for lo in range(0, len(texts), 4096):
+            part = texts[lo : lo + 4096]
+            for text, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.plain[text] = self._pack(got.ids)
 
-    def words(self, text: str) -> list[str]:
-        if _ODD.search(text):
-            return _CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
+    def _learn_spaced(self, words: set[str]) -> None:
+        marked = {w for w in words if len(w) > 1 and w[-1] in _MARKS and w[-2].isalpha()}
+        bases = {w[:-1] for w in marked}.difference(self.spaced)
+        todo = sorted((words - marked) | bases)
+        for lo in range(0, len(todo), RUN):
+            part = todo[lo : lo + RUN]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join([" " + w for w in part])], add_special_tokens=False)[0].ids)
+            at = np.flatnonzero(self.starts[ids])
+            if len(at) == len(part) and at[0] == 0:
+                packed, edges = ids.astype(f"u{self.width}").tobytes(), np.append(at, len(ids)) * self.width
+                self.spaced.update(zip(part, [packed[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]))
+            else:  # a word without a piece that begins with the space
+                for word in part:
+                    self.spaced[word] = self._one(" " + word)
+        self._learn_plain({w[-1] for w in marked}.difference(self.plain))
+        for word in marked:
+            self.spaced[word] = self.spaced[word[:-1]] + self.plain[word[-1]]
 
     def encode(self, texts: list[str], tail: int | None = None) -> list[bytes]:
         """Little-endian ids of every text (``width`` bytes an id), each with ``tail`` after it."""
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        cut = [self.words(t) for t in texts]
-        unknown = list({w for ws in cut for w in ws if w not in cache})
-        for lo in range(0, len(unknown), 4096):
-            part = unknown[lo : lo + 4096]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                cache[word] = array(self.kind, got.ids).tobytes()
-        end = b"" if tail is None else array(self.kind, [tail]).tobytes()
-        return [b"".join([cache[w] for w in ws]) + end for ws in cut]
-
-    @property
-    def width(self) -> int:
-        return array(self.kind).itemsize
+        if len(self.plain) + len(self.spaced) > CACHE_WORDS:
+            self.plain.clear()
+            self.spaced.clear()
+        cut, first, later = [], set(), set()
+        for text in texts:
+            if odd(text):
+                cut.append(_CUT.split(text))
+                first.update(cut[-1])
+            else:
+                lines = [line.split(" ") for line in text.split("\n")]
+                first.update([words[0] for words in lines])
+                later.update(*lines)
+                cut.append(lines)
+        self._learn_plain(first.difference(self.plain))
+        self._learn_spaced(later.difference(self.spaced))
+        plain, spaced, out = self.plain, self.spaced.__getitem__, []
+        end = b"" if tail is None else self._pack([tail])
+        for parts in cut:
+            if isinstance(parts[0], str):
+                body = b"".join([plain[p] for p in parts])
+            else:
+                body = self.newline.join([b"".join([plain[words[0]], *map(spaced, words[1:])]) for words in parts])
+            out.append(body + end)
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}  # of a worker process
