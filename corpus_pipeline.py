@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablekeep.llm import decontaminate, line_dedup, quality, sentencepiece_nbest, simhash
-from tablekeep.llm.common import read_table, written
+from tablekeep.llm.common import packed, read_table, written
 from tablekeep.llm.queries import tokenizer_path
 
 
@@ -23,9 +23,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines found in ten documents or more; ``n_chars`` follows the text."""
-    kept = line_dedup.dedup_lines(spark, docs, min_docs=10)
-    n_chars = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-    return kept.withColumn("n_chars", n_chars).select(*docs.columns)
+    names = list(docs.columns)
+    flat, _ = packed(line_dedup.dedup_lines(spark, docs, min_docs=10))
+    columns = [F.col(f"c{i}") for i in range(len(names))]
+    text, n_chars = names.index("text"), names.index("n_chars")
+    columns[n_chars] = F.char_length(f"c{text}").cast(docs.schema.fields[n_chars].dataType).alias(f"c{n_chars}")
+    return flat.select(*columns).toDF(*names)
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
