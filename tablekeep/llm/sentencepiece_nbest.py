@@ -6,8 +6,8 @@ these scores are exact heuristics for an A* search backward from the end, which
 therefore pops complete segmentations in order of their score.
 
 Spaces are written as U+2581 and one is put before the text. No piece holds
-U+2581 after another sign (checked when the model is read), so the lattice of
-a text falls apart into words: the best segmentation is that of each word, and
+U+2581 after another sign (checked when the model is read) and none a line
+break, so the lattice of a text falls apart into words: the best segmentation is that of each word, and
 the N best of the text come from the N - 1 words whose second best is closest
 to their best, whose N best lists are merged. The result is the N best of the
 whole lattice. Words are kept in a cache by worker process.
@@ -35,10 +35,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import batches_of, pick
 
 SPACE = "▁"
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
+#: Text that is cut into words at a time.
+SLICE_BYTES = 8 << 20
 
 
 class Lattice:
@@ -50,12 +52,19 @@ class Lattice:
         self.pieces = {model.id_to_piece(i): (i, max(model.get_score(i), self.below)) for i in normal}
         self.bytes = {int(model.id_to_piece(i)[3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.unknown = model.unk_id()
-        self.text = {i: p for p, (i, _) in self.pieces.items()}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
+        self.raw = [b""] * n  # bytes of every piece
+        for piece, (i, _) in self.pieces.items():
+            self.raw[i] = piece.encode()
+        for value, i in self.bytes.items():
+            self.raw[i] = bytes([value])
         self.longest = max(map(len, self.pieces))
+        # every ending of a piece: the piece itself with its score, or empty
+        self.endings: dict[str, tuple] = {p[i:]: () for p in self.pieces for i in range(1, len(p))} | self.pieces
+        self.breaks = not any("\n" in p for p in self.pieces)  # no piece reaches over a line break
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("pieces that reach over words are not supported")
-        self.cache: dict[str, tuple] = {}
+        self.cache: dict[str, tuple] = {}  # word: (ids, score, distance of the second best)
+        self.lists: dict[tuple, list] = {}  # (word, n): its n best
 
     def arcs_to(self, word: str, end: int) -> Iterator[tuple[int, int | None, float]]:
         """(start, piece or None for an unknown sign, score) of the arcs that end at ``end``."""
@@ -68,32 +77,54 @@ class Lattice:
         if not known:
             yield end - 1, None, self.below
 
-    def forward(self, word: str) -> tuple[list[float], list[tuple], list[float]]:
-        """Best score to each position, its last arc, and how much worse the second best last arc is."""
-        get, longest = self.pieces.get, self.longest
-        best, back, gap = [0.0], [()], [float("inf")]
-        for end in range(1, len(word) + 1):
-            top = second = float("-inf")
-            arc, known = (), False
-            for start in range(end - longest if end > longest else 0, end):
+    def extend(self, word: str, best: list[float], back: list[tuple]) -> None:
+        """Carry the forward pass on from the positions that ``best`` and ``back`` hold to the word's end.
+
+        ``best``: best score to each position; ``back``: its last arc as (start, piece), and how much
+        worse the second best last arc is.
+        """
+        get, below = self.endings.get, self.below
+        for end in range(len(best), len(word) + 1):
+            at = start = end - 1
+            got = get(word[at:end])
+            second = float("-inf")
+            if got:
+                piece, top = got[0], best[at] + got[1]
+            else:
+                piece, top = None, best[at] + below
+            while got is not None and start:  # None: no piece ends with these signs
+                start -= 1
                 got = get(word[start:end])
                 if got:
-                    known = known or start == end - 1
                     score = best[start] + got[1]
                     if score > top:
-                        second, top, arc = top, score, (start, got[0])
+                        second, top, at, piece = top, score, start, got[0]
                     elif score > second:
                         second = score
-            if not known:
-                score = best[end - 1] + self.below
-                if score > top:
-                    second, top, arc = top, score, (end - 1, None)
-                elif score > second:
-                    second = score
             best.append(top)
-            back.append(arc)
-            gap.append(top - second)
-        return best, back, gap
+            back.append((at, piece, top - second))
+
+    def learn(self, words: set[str]) -> None:
+        """Best segmentations of new words, in order, so that words share the pass over common beginnings."""
+        before, best, back = "", [0.0], [()]
+        for word in sorted(words):
+            same, most = 0, min(len(before), len(word))
+            while same < most and before[same] == word[same]:
+                same += 1
+            del best[same + 1 :], back[same + 1 :]
+            self.extend(word, best, back)
+            before = word
+            at, least, ids = len(word), float("inf"), []
+            while at:
+                start, piece, gap = back[at]
+                if piece is None:
+                    ids += self.ids_of(word, [(start, at, None)])[::-1]
+                else:
+                    ids.append(piece)
+                if gap < least:
+                    least = gap
+                at = start
+            self.cache[word] = (array("I", ids[::-1]).tobytes(), best[-1], least)
 
     def ids_of(self, word: str, arcs: list[tuple[int, int, int | None]]) -> list[int]:
         out = []
@@ -104,24 +135,10 @@ class Lattice:
                 out.append(piece)
         return out
 
-    def best(self, word: str) -> tuple[bytes, float, float]:
-        """(ids, score, distance of the second best) of a word, cached."""
-        got = self.cache.get(word)
-        if got is None:
-            score, back, gap = self.forward(word)
-            arcs, at, least = [], len(word), float("inf")
-            while at:
-                start, piece = back[at]
-                arcs.append((start, at, piece))
-                least = min(least, gap[at])
-                at = start
-            got = (array("I", self.ids_of(word, arcs[::-1])).tobytes(), score[-1], least)
-            self.cache[word] = got
-        return got
-
     def nbest(self, word: str, n: int) -> list[tuple[float, list[int]]]:
         """The n best segmentations of a word: A* from the end, with the forward scores as heuristics."""
-        ahead, _, _ = self.forward(word)
+        ahead: list[float] = [0.0]
+        self.extend(word, ahead, [()])
         order, out = count(), []
         heap = [(-ahead[len(word)], next(order), len(word), 0.0, None)]
         while heap and len(out) < n:
@@ -137,10 +154,27 @@ class Lattice:
                 heapq.heappush(heap, (-(ahead[start] + done + score), next(order), start, done + score, ((start, at, piece), path)))
         return out
 
+    def words(self, text: str) -> list[str]:
+        """The text's lattice, cut before each space that follows another sign and around line breaks."""
+        text = " " + text.replace(SPACE, " ")
+        if self.breaks and "\n" in text:
+            first, *rest = text.split("\n")
+            out = self.line(first)
+            for line in rest:
+                out.append("\n")
+                out += self.line(line) if line[:1] in ("", " ") else self.line(" " + line, bare=True)
+            return out
+        return self.line(text)
+
     @staticmethod
-    def words(text: str) -> list[str]:
-        """The text's lattice, cut before each space that follows another sign."""
-        parts = (" " + text).replace(SPACE, " ").split(" ")[1:]
+    def line(text: str, bare: bool = False) -> list[str]:
+        """Words of a line that begins with a space; ``bare``: the space was put there only to split."""
+        parts = text.split(" ")[1:]
+        if "" not in parts:
+            out = [SPACE + p for p in parts]
+            if bare:
+                out[0] = parts[0]
+            return out
         out, spaces = [], 0
         for part in parts:
             if part:
@@ -150,25 +184,36 @@ class Lattice:
                 spaces += 1
         if spaces:
             out.append(SPACE * spaces)
+        if bare:
+            out[0] = out[0][1:]
         return out
 
-    def encode(self, text: str | None, n: int = 1) -> list[tuple[float, bytes]]:
-        """(score, little-endian 32-bit ids) of the n best segmentations of the whole text."""
-        if not text:
-            return [(0.0, b"")]
+    def encode(self, texts: list[str | None], n: int = 1) -> list[list[tuple[float, bytes]]]:
+        """(score, little-endian 32-bit ids) of the n best segmentations of each whole text."""
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        words = self.words(text)
-        best = [self.best(w) for w in words]
+            self.lists.clear()
+        cut = [self.words(t) if t else [] for t in texts]
+        self.learn(set().union(*cut).difference(self.cache))
+        return [self.text_nbest(words, n) for words in cut]
+
+    def text_nbest(self, words: list[str], n: int) -> list[tuple[float, bytes]]:
+        best = list(map(self.cache.__getitem__, words))
         total, ids = sum([b[1] for b in best]), [b[0] for b in best]
-        out = [(total, b"".join(ids))]
-        if n > 1:
-            near = heapq.nsmallest(n - 1, [(b[2], i) for i, b in enumerate(best) if b[2] < float("inf")])
+        out = [(float(total), b"".join(ids))]
+        if n > 1 and words:
+            gaps = [b[2] for b in best]
+            near = sorted(heapq.nsmallest(n - 1, range(len(gaps)), key=gaps.__getitem__))
             merged: list[tuple[float, tuple]] = [(0.0, ())]
-            for _, i in sorted(near, key=lambda x: x[1]):
-                found = [(best[i][1] - score, array("I", own).tobytes()) for score, own in self.nbest(words[i], n)]
-                choices = [(0.0, ids[i]), *[f for f in found if f[1] != ids[i]]][:n]  # among ties, the one of the forward pass
-                merged = heapq.nsmallest(n, [(loss + more, chosen + ((i, own),)) for loss, chosen in merged for more, own in choices], key=lambda x: x[0])
+            for i in near:
+                if gaps[i] == float("inf"):
+                    continue
+                key = (words[i], n)
+                if key not in self.lists:
+                    found = [(best[i][1] - score, array("I", own).tobytes()) for score, own in self.nbest(words[i], n)]
+                    # among ties, the one of the forward pass comes first
+                    self.lists[key] = [(0.0, ids[i]), *[f for f in found if f[1] != ids[i]]][:n]
+                merged = heapq.nsmallest(n, [(loss + more, chosen + ((i, own),)) for loss, chosen in merged for more, own in self.lists[key]], key=lambda x: x[0])
             for loss, chosen in merged[1:]:
                 other = list(ids)
                 for i, own in chosen:
@@ -177,13 +222,7 @@ class Lattice:
         return out
 
     def decode(self, ids: bytes) -> str:
-        raw = bytearray()
-        for i in array("I", ids):
-            if i in self.byte_of:
-                raw.append(self.byte_of[i])
-            else:
-                raw += self.text.get(i, "").encode()
-        text = raw.decode("utf-8", "replace").replace(SPACE, " ")
+        text = b"".join(map(self.raw.__getitem__, array("I", ids))).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -203,14 +242,13 @@ def encode(docs: DataFrame, *, model: str, n: int = 1, id_column: str = "doc_id"
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = lattice(model)
         for frame in frames:
-            ids, scores, others, decoded = [], [], [], []
-            for text in frame.column("text"):
-                got = own.encode(text.as_py(), n)
-                ids.append(got[0][1])
-                scores.append([s for s, _ in got])
-                others.append([o for _, o in got[1:]])
-                decoded.append(own.decode(got[0][1]))
-            yield pa.RecordBatch.from_arrays([frame.column("id"), pa.array(ids, pa.binary()), pa.array([s[0] for s in scores]), pa.array(scores, pa.list_(pa.float64())), pa.array(others, pa.list_(pa.binary())), pa.array(decoded, pa.string())], ["id", "ids", "score", "scores", "others", "decoded"])
+            for lo, hi in batches_of(frame.column("text"), SLICE_BYTES):
+                found = own.encode(frame.column("text").slice(lo, hi - lo).to_pylist(), n)
+                ids = [got[0][1] for got in found]
+                scores = [[s for s, _ in got] for got in found]
+                others = [[o for _, o in got[1:]] for got in found]
+                decoded = [own.decode(i) for i in ids]
+                yield pa.RecordBatch.from_arrays([frame.column("id").slice(lo, hi - lo), pa.array(ids, pa.binary()), pa.array([s[0] for s in scores]), pa.array(scores, pa.list_(pa.float64())), pa.array(others, pa.list_(pa.binary())), pa.array(decoded, pa.string())], ["id", "ids", "score", "scores", "others", "decoded"])
 
     rows = pick(docs, id=id_column, text="text")
     kind = rows.schema["id"].dataType.simpleString()

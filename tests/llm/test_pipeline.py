@@ -45,7 +45,7 @@ def test_pipeline_against_brute_force(spark):
     items = [tuple(r) for r in read_table(spark, SF, "benchmark").select("item_id", "text").collect()]
     texts = {i: t for i, t in texts.items() if not brute_hits(t, items)[1]}
     lattice = sentencepiece_nbest.Lattice(Q.tokenizer_path("piece_bpe_32k.model"))
-    want = {i: lattice.encode(t, 1)[0] for i, t in texts.items()}
+    want = {i: lattice.encode([t], 1)[0][0] for i, t in texts.items()}
     got = {r["doc_id"]: (r["score"], bytes(r["ids"])) for r in P.run(spark, SF).collect()}
     assert got == want and 0 < len(got) < 200
 
