@@ -66,8 +66,8 @@ def q_scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, _ = _ctx(spark, "scan_table")
     orders = staging.read_table(spark, sf_dir, "orders")
     path = f"{base}/app/parquet/ORDERS.parquet"
-    staging.write_files(orders.filter(F.col("o_orderstatus") == "F"), path)
-    staging.write_files(orders.filter(F.col("o_orderstatus") != "F"), f"{path}/more/deeper")
+    staging.write_files(orders.filter(F.col("o_orderstatus").eqNullSafe("F")), path)
+    staging.write_files(orders.filter(~F.col("o_orderstatus").eqNullSafe("F")), f"{path}/more/deeper")
     fs.write_text(spark, f"{path}/.partial.parquet", "junk")
     fs.write_text(spark, f"{path}/_temporary.parquet", "junk")
     return scan_table(spark, path)
@@ -404,6 +404,38 @@ def q_publish_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("schema_name", "table_name", "status", "action", "n_columns", "row_count")
 
 
+def _stage_mixed(spark: SparkSession, sf_dir: str, base: str, app: str = "app") -> str:
+    """``orders``: F orders flat, O orders in ``o_orderstatus=O/``, the others in a plain sub-folder."""
+    orders = staging.read_table(spark, sf_dir, "orders")
+    status = F.col("o_orderstatus")
+    path = f"{base}/{app}/parquet/ORDERS.parquet"
+    staging.write_files(orders.filter(status.eqNullSafe("F")), path)
+    staging.write_files(orders.filter(status.eqNullSafe("O")).drop("o_orderstatus"), f"{path}/o_orderstatus=O")
+    staging.write_files(orders.filter(~status.eqNullSafe("F") & ~status.eqNullSafe("O")), f"{path}/more")
+    return path
+
+
+def q_scan_mixed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat, plain and key=value folders in one table; no row is lost and the key is filled in."""
+    base, _ = _ctx(spark, "scan_mixed")
+    return scan_table(spark, _stage_mixed(spark, sf_dir, base))
+
+
+def q_register_mixed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, prefix = _ctx(spark, "register_mixed")
+    path = _stage_mixed(spark, sf_dir, base)
+    register_table(spark, "app", "ORDERS", path, database_prefix=prefix, database_location=base)
+    return _table(spark, prefix, "app", "ORDERS")
+
+
+def q_publish_merge_mixed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O26 over two applications of mixed layout, with verified counts."""
+    base, prefix = _ctx(spark, "merge_mixed")
+    paths = [_stage_mixed(spark, sf_dir, base, app) for app in ("app1", "app2")]
+    report = publish_merge(spark, paths, "merged", verify_row_count=True, database_prefix=prefix, database_location=base)
+    return report.select("schema_name", "table_name", "status", "n_columns", "row_count")
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -475,6 +507,9 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_all_tables": q_publish_all_tables,
         "register_documents_mapped": q_register_documents_mapped,
         "merge_embeddings_by_label": q_merge_embeddings_by_label,
+        "scan_mixed_layout": q_scan_mixed_layout,
+        "register_mixed_layout": q_register_mixed_layout,
+        "publish_merge_mixed_layout": q_publish_merge_mixed_layout,
     }
 
 
@@ -702,4 +737,10 @@ def core_oracles() -> dict[str, str]:
         "merge_embeddings_by_label": (
             "SELECT vec_id, embedding, label, 'emb_' || CAST(label AS VARCHAR) AS source_application FROM embeddings"
         ),
+        "scan_mixed_layout": "SELECT * FROM orders",
+        "register_mixed_layout": "SELECT * FROM orders",
+        "publish_merge_mixed_layout": (
+            "SELECT 'merged' AS schema_name, 'ORDERS' AS table_name, 'success' AS status, 6 AS n_columns, "
+            "2 * count(*) AS row_count FROM orders"
+        ),
     }

@@ -8,6 +8,7 @@ counts, the optional row count, and for merged tables the sources.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 
@@ -81,13 +82,9 @@ REPORT_SCHEMA = T.StructType(
 TOTALS_SCHEMA = "tables_total long, tables_succeeded long, tables_failed long, tables_skipped long"
 
 
-def error_text(exc: BaseException, limit: int = 2000) -> str:
-    """Report text of a failure: the message without a JVM stack trace, bounded."""
-    text = str(exc).strip()
-    for marker in ("\n\tat ", "\nJVM stacktrace:"):
-        if marker in text:
-            text = text.split(marker, 1)[0].rstrip()
-    return text if len(text) <= limit else text[: limit - 3] + "..."
+def error_text(exc: BaseException) -> str:
+    """Report text of a failure: the whole message."""
+    return str(exc).strip()
 
 
 def outcome(**fields) -> dict:
@@ -139,10 +136,10 @@ def report_totals(report: DataFrame) -> DataFrame:
     )
 
 
-def report_name(prefix: str = "tablekeep", now: datetime | None = None) -> str:
-    """Report folder name carrying the run's UTC time."""
+def report_name(prefix: str = "tablekeep", now: datetime | None = None, run_id: str | None = None) -> str:
+    """Report folder name carrying the run's UTC time and id, so that runs of one second stay apart."""
     now = now or datetime.now(timezone.utc)
-    return f"{prefix}-{now.strftime(REPORT_NAME_TIME_FORMAT)}"
+    return f"{prefix}-{now.strftime(REPORT_NAME_TIME_FORMAT)}-{run_id or uuid.uuid4().hex}"
 
 
 def write_report(report: DataFrame, folder: str, name: str | None = None) -> str:

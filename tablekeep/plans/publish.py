@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.counts import row_counts
+from ..operators.counts import row_counts, row_counts_by_path
 from ..operators.merge import PROVENANCE_COLUMN, merge_sources
 from ..operators.project import ARCHIVE_COLUMNS, column_list, parallel_map
 from ..operators.report import (
@@ -40,6 +40,7 @@ from ..operators.report import (
     write_report,
     write_report_document,
 )
+from ..functions.types import quote
 from ..session import count_scan_conf, manifest_scan_conf, scoped_conf
 from ..sources.layout import TableDir, discover_tables, files_by_table, table_dirs
 from ..sources.manifest import require_files
@@ -74,7 +75,7 @@ def _once_more(fn: Callable, label: str) -> Callable:
         except _DETERMINISTIC:
             raise
         except Exception as exc:  # noqa: BLE001 - retried once, then reported
-            log.warning("%s: retrying after %s", label.format(item=item), error_text(exc, 300))
+            log.warning("%s: retrying after %s", label.format(item=item), error_text(exc))
             return fn(item)
 
     return run
@@ -147,6 +148,37 @@ def _counts(
     return {(r.schema_name, r.table_name): r.row_count for r in rows}, errors
 
 
+def _compare_views(spark: SparkSession, published: list[dict], max_workers: int = 8) -> None:
+    """Count what the published views return; a difference from the files' rows is an error.
+
+    One ``count(*)`` per view in a single query; only if that fails are the views
+    counted one by one, so that the failure lands on its own row.
+    """
+    if not published:
+        return
+
+    def count(subset: list[tuple[int, dict]]) -> dict[int, int]:
+        parts = []
+        for i, o in subset:
+            db, table = o["catalog_table"].split(".", 1)
+            parts.append(f"SELECT {i} AS i, count(*) AS n FROM {quote(db)}.{quote(table)}")
+        return {r.i: r.n for r in spark.sql(" UNION ALL ".join(parts)).collect()}
+
+    numbered = list(enumerate(published))
+    with scoped_conf(spark, count_scan_conf(spark)):
+        try:
+            got: dict = count(numbered)
+        except Exception:  # noqa: BLE001 - isolate the failing view(s)
+            got = {}
+            for (i, _), res in zip(numbered, parallel_map(spark, lambda one: count([one]), numbered, max_workers)):
+                got[i] = res if isinstance(res, Exception) else res[i]
+    for i, o in numbered:
+        if isinstance(got[i], Exception):
+            o.update(status="error", error_message=f"row count failed: {error_text(got[i])}")
+        elif got[i] != o["row_count"]:
+            o.update(status="error", error_message=f"the published table has {got[i]} rows, its files have {o['row_count']}")
+
+
 def publish_application(
     spark: SparkSession,
     root: str,
@@ -245,6 +277,7 @@ def publish_application(
                     o.update(status="error", error_message=f"row count failed: {count_errors[key]}")
                 elif o["status"] == "success":
                     o["row_count"] = counts.get(key, 0)
+            _compare_views(spark, [o for o in outcomes if o["status"] == "success"], max_workers)
         for o in outcomes:
             _log_outcome(o)
         log.info("published %s: %d table(s)", root, len(outcomes))
@@ -336,6 +369,9 @@ def publish_merge(
         try:
             with scoped_conf(spark, count_scan_conf(spark)):
                 row["row_count"] = spark.table(res.quoted).count()
+                in_files = row_counts_by_path(spark, qualified).agg(F.sum("row_count")).first()[0]
+            if row["row_count"] != in_files:
+                row.update(status="error", error_message=f"the published table has {row['row_count']} rows, its files have {in_files}")
         except Exception as exc:  # noqa: BLE001 - reported on the table's row
             row.update(status="error", error_message=f"row count failed: {error_text(exc)}")
     return finish(row)

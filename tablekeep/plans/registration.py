@@ -40,8 +40,8 @@ from ..operators.merge import (
 )
 from ..operators.project import ARCHIVE_COLUMNS, kept_fields, parallel_map
 from ..sources import fs
-from ..sources.manifest import BROADCAST_PATHS_LIMIT, check_not_empty
-from ..sources.scan import reader_options, scan_table
+from ..sources.manifest import check_not_empty
+from ..sources.scan import Layout, reader_options, scan_files, scan_table, table_layout
 
 KEY = "tablekeep."
 VERSION_KEY = KEY + "version"
@@ -223,8 +223,6 @@ def plan_registration(
             [(d, t, text) for (d, t), text in clashes.items()],
             "catalog_database string, catalog_table string, clash string",
         )
-        if len(clashes) <= BROADCAST_PATHS_LIMIT:  # one row per clashing table: bounded, checked
-            clash_rows = F.broadcast(clash_rows)
         planned = planned.join(clash_rows, ["catalog_database", "catalog_table"], "left").withColumn(
             "action", F.when(F.col("clash").isNotNull(), F.lit("collision")).otherwise(F.col("action"))
         )
@@ -295,19 +293,29 @@ def _swap_view(
     except Exception:
         _drop_quietly(spark, db, new_bases)
         raise
-    _drop(spark, db, [name for name, v in _base_tables(spark, db, table) if v < version])
+    # the new version is serving: what is left of the old one is not this table's failure
+    _drop_quietly(spark, db, [name for name, v in _base_tables(spark, db, table) if v < version])
 
 
-def _create_base(spark: SparkSession, db: str, name: str, path: str, schema: T.StructType) -> None:
+def _create_base(spark: SparkSession, db: str, name: str, path: str, schema: T.StructType, layout: Layout) -> None:
     spark.catalog.createTable(
         f"{quote(db)}.{quote(name)}",
         path=fs.glob_escape(path),  # the location is globbed when resolved: keep it literal
         source="parquet",
         schema=schema,
-        **reader_options(spark, path, merge_schema=False),
+        **reader_options(spark, path, merge_schema=False, layout=layout),
     )
 
 
+def _relation_sql(db: str, base: str, files: T.StructType, layout: Layout) -> str:
+    """What a view reads: the base table, with the keys of a mixed layout taken from the file paths."""
+    name = f"{quote(db)}.{quote(base)}"
+    if not layout.mixed:
+        return name
+    columns = ", ".join(e if e == quote(n) else f"{e} AS {quote(n)}" for n, e in layout.columns_sql(files))
+    return f"(SELECT {columns} FROM {name})"
+
+
 # ---------------------------------------------------------------- one table
 
 
@@ -332,10 +340,13 @@ def register_table(
     """
     check_policy(policy)
     path = fs.qualify(spark, table_path)
-    if schema is None:
-        schema = scan_table(spark, path).schema  # fails on a missing or file-less folder
+    layout = table_layout(spark, path) if fs.is_dir(spark, path) else Layout()
+    if schema is None or layout.mixed:
+        files = scan_files(spark, path, layout).schema  # fails on a missing or file-less folder
+        schema = scan_table(spark, path, layout).schema if layout.mixed else files
     else:
         check_not_empty(spark, [path])
+        files = schema
     fields = kept_fields(schema, drop)
     db, table = database_name(schema_name, database_prefix), catalog_name(table_name)
     ensure_database(spark, db, database_location)
@@ -343,7 +354,7 @@ def register_table(
     version = _next_version(spark, db, table, previous)
     base = base_table_name(table, version)
     try:
-        _create_base(spark, db, base, path, schema)
+        _create_base(spark, db, base, path, files, layout)
     except Exception:
         _drop_quietly(spark, db, [base])
         raise
@@ -356,7 +367,7 @@ def register_table(
         KEY + "merged": "false",
         KEY + "sources": json.dumps([path]),
     }
-    _swap_view(spark, db, table, version, [base], f"SELECT {select} FROM {quote(db)}.{quote(base)}", props)
+    _swap_view(spark, db, table, version, [base], f"SELECT {select} FROM {_relation_sql(db, base, files, layout)}", props)
     return Registration(f"{db}.{table}", version, "replace" if previous else "create", fields, [base])
 
 
@@ -372,8 +383,7 @@ def replace_table(spark: SparkSession, schema_name: str, table_name: str, table_
 
 
 def _branch_sql(
-    db: str,
-    base: str,
+    relation: str,
     k: int,
     schema: T.StructType,
     columns: Sequence[AlignedColumn],
@@ -397,7 +407,7 @@ def _branch_sql(
             parts.append(own if own == name else f"{own} AS {name}")
     if provenance_col:
         parts.append(f"{sql_string(app)} AS {quote(provenance_col)}")
-    return f"SELECT {', '.join(parts)} FROM {quote(db)}.{quote(base)}"
+    return f"SELECT {', '.join(parts)} FROM {relation}"
 
 
 def register_merged(
@@ -423,11 +433,17 @@ def register_merged(
     sources = merge_sources(spark, paths)
     if check_files:
         check_not_empty(spark, [s.path for s in sources])
-    frames = parallel_map(spark, lambda s: scan_table(spark, s.path), sources, max_workers)
-    for df in frames:
-        if isinstance(df, Exception):
-            raise df
-    schemas = [df.schema for df in frames]
+
+    def read(source):
+        layout = table_layout(spark, source.path)
+        files = scan_files(spark, source.path, layout).schema
+        return layout, files, scan_table(spark, source.path, layout).schema if layout.mixed else files
+
+    found = parallel_map(spark, read, sources, max_workers)
+    for one in found:
+        if isinstance(one, Exception):
+            raise one
+    layouts, files, schemas = ([one[i] for one in found] for i in range(3))
     labels = [f"{s.application} ({s.path})" for s in sources]
     columns = align_schemas(schemas, labels, on_conflict=on_conflict, drop=drop)
     if provenance_col and any(c.name.lower() == provenance_col.lower() for c in columns):
@@ -440,14 +456,14 @@ def register_merged(
     bases = [base_table_name(table, version, s.ordinal) for s in sources]
     results = parallel_map(
         spark,
-        lambda k: _create_base(spark, db, bases[k], sources[k].path, schemas[k]), range(len(sources)), max_workers
+        lambda k: _create_base(spark, db, bases[k], sources[k].path, files[k], layouts[k]), range(len(sources)), max_workers
     )
     failures = [r for r in results if isinstance(r, Exception)]
     if failures:
         _drop_quietly(spark, db, bases)
         raise failures[0]
     union = " UNION ALL ".join(
-        _branch_sql(db, base, k, schemas[k], columns, s.application, provenance_col)
+        _branch_sql(_relation_sql(db, base, files[k], layouts[k]), k, schemas[k], columns, s.application, provenance_col)
         for k, (s, base) in enumerate(zip(sources, bases))
     )
     outer = [exposed_sql(c.name, c.dtype, policy, mapping) for c in columns]

@@ -21,6 +21,8 @@ def work_dir(spark: SparkSession) -> str:
     if not current:
         if configured:
             spark.sparkContext.setCheckpointDir(configured)
+        elif not str(spark.sparkContext.master).startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         else:
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tablekeep-"))
         current = spark.sparkContext.getCheckpointDir()

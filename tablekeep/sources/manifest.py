@@ -39,9 +39,6 @@ MANIFEST_SCHEMA = T.StructType(
     ]
 )
 
-# Paths handed to one broadcast of the requested-path list; larger lists join by shuffle.
-BROADCAST_PATHS_LIMIT = 100_000
-
 
 class MissingDataFilesError(ValueError):
     """A requested table folder holds no data file."""
@@ -79,8 +76,6 @@ def assign_sources(files: DataFrame, sources: Sequence[str], path_col: str = "fi
     """
     spark = files.sparkSession
     src = spark.createDataFrame([(s,) for s in sources], "source_path string")
-    if len(sources) <= BROADCAST_PATHS_LIMIT:
-        src = F.broadcast(src)
     segs = F.split(F.col(path_col), "/")
     ancestors = F.transform(
         F.sequence(F.lit(1), F.size(segs) - 1),

@@ -2,9 +2,11 @@
 
 ``scan_table`` reads one table folder with ``mergeSchema`` so that the columns
 are the union over all data files (a file lacking a column reads it as NULL).
-Flat and nested folders are read with ``recursiveFileLookup``; folders laid out
-as ``key=value`` partitions are read with partition discovery instead, so the
-partition columns appear and filters on them prune folders (B2).
+Flat and nested folders are read with ``recursiveFileLookup``; folders in which
+all files lie below the same ``key=value`` levels are read with partition
+discovery, so the partition columns appear and filters on them prune folders
+(B2). Where files mix these shapes every file is read and the keys are taken
+from its path, so no row is lost.
 
 ``scan_tables`` is one scan over many table folders (the merge scan): one file
 listing and one footer job for all of them, and Spark packs small files of
@@ -13,47 +15,123 @@ different sources into the same tasks.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.types import quote, sql_string
+from ..session import manifest_scan_conf, scoped_conf
 from . import fs
-from .manifest import DATA_FILE_GLOB
+from .manifest import DATA_FILE_GLOB, file_manifest
+
+# Fixed value: folder value that Hive and Spark write for NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a table folder names its sub-folders.
+
+    ``keys``: (name, type) of every ``key=value`` folder level seen; ``uniform``:
+    all files lie below the same keys and no other folder, so that partition
+    discovery reads the folder; ``prefix``: length of the folder's encoded path.
+    """
+
+    keys: tuple[tuple[str, str], ...] = ()
+    uniform: bool = True
+    prefix: int = 0
+
+    @property
+    def mixed(self) -> bool:
+        return bool(self.keys) and not self.uniform
+
+    def value_sql(self, name: str, dtype: str) -> str:
+        """The value of a key in a file's path below the table folder; NULL where the file has none."""
+        below = f"substring(_metadata.file_path, {self.prefix + 1})"
+        pattern = sql_string("/" + re.escape(name) + "=([^/]*)/")
+        raw = f"replace(regexp_extract({below}, {pattern}, 1), '+', '%2B')"
+        once = f"coalesce(try_url_decode({raw}), {raw})"
+        text = f"nullif(coalesce(try_url_decode(replace({once}, '+', '%2B')), {once}), '{NULL_PARTITION}')"
+        return f"CAST(nullif({text}, '') AS {dtype})"
+
+    def columns_sql(self, files: T.StructType) -> list[tuple[str, str]]:
+        """(name, expression) of the table's columns over the file columns ``files``."""
+        keys = {name.lower(): (name, dtype) for name, dtype in self.keys}
+        out = []
+        for f in files.fields:
+            if f.name.lower() in keys:
+                name, _ = keys.pop(f.name.lower())
+                own = self.value_sql(name, f.dataType.simpleString())
+                out.append((f.name, f"coalesce({quote(f.name)}, {own})"))
+            else:
+                out.append((f.name, quote(f.name)))
+        return out + [(name, self.value_sql(name, dtype)) for name, dtype in keys.values()]
+
+
+def table_layout(spark: SparkSession, table_path: str) -> Layout:
+    """The layout of all data files of a folder, from one aggregate over their listing.
+
+    The driver gets one row for each distinct sequence of folder names and one
+    for each key, never one for each file.
+    """
+    q = fs.qualify(spark, table_path)
+    below = F.split(F.expr(f"substring(file_path, {len(q) + 2})"), "/")
+    folders = F.slice(below, F.lit(1), F.size(below) - 1)
+    files = file_manifest(spark, [q]).select(folders.alias("folders"))
+    levels = F.transform("folders", lambda d: F.when(F.contains(d, F.lit("=")), F.substring_index(d, "=", 1)).otherwise(F.lit("/")))
+    value = F.expr("substring(folder, instr(folder, '=') + 1)")
+    fits = (value == NULL_PARTITION) | value.try_cast("bigint").isNotNull()
+    with scoped_conf(spark, manifest_scan_conf(spark)):
+        seen = [r.levels for r in files.select(levels.alias("levels")).distinct().collect()]
+        names = list(dict.fromkeys(n for levels in sorted(seen) for n in levels if n != "/"))
+        if not names:
+            return Layout()
+        folder = files.select(F.explode("folders").alias("folder")).filter("contains(folder, '=')")
+        whole = folder.groupBy(F.substring_index("folder", "=", 1).alias("name")).agg(F.bool_and(fits).alias("fits")).collect()
+    kinds = {r.name: "bigint" if r.fits else "string" for r in whole}
+    uniform = len(seen) == 1 and "/" not in seen[0] and len(set(seen[0])) == len(seen[0])
+    return Layout(tuple((n, kinds[n]) for n in names), uniform, len(fs.encoded(spark, q)))
 
 
 def partition_columns(spark: SparkSession, table_path: str) -> list[str]:
-    """Partition column names when the folder is laid out as ``key=value`` (B2)."""
-    cols: list[str] = []
-    path = table_path
-    while True:
-        sub = [
-            c
-            for c in fs.children(spark, path)
-            if c.is_dir and "=" in c.name and not c.name.startswith((".", "_"))
-        ]
-        if not sub:
-            return cols
-        cols.append(sub[0].name.split("=", 1)[0])
-        path = sub[0].path
-
-
-def reader_options(spark: SparkSession, table_path: str, *, merge_schema: bool = True) -> dict[str, str]:
+    """Names of the ``key=value`` folders below a table folder (B2)."""
+    return [name for name, _ in table_layout(spark, table_path).keys]
+
+
+def reader_options(spark: SparkSession, table_path: str, *, merge_schema: bool = True, layout: Layout | None = None) -> dict[str, str]:
     """Options that read exactly the table's data files (shared with registration)."""
+    layout = table_layout(spark, table_path) if layout is None else layout
     opts = {"pathGlobFilter": DATA_FILE_GLOB}
     if merge_schema:
         opts["mergeSchema"] = "true"
-    if partition_columns(spark, table_path):
+    if layout.keys and layout.uniform:
         opts["basePath"] = fs.qualify(spark, table_path)
     else:
         opts["recursiveFileLookup"] = "true"
     return opts
 
 
-def scan_table(spark: SparkSession, path: str) -> DataFrame:
-    """The table folder as a DataFrame, columns merged over all its files."""
+def scan_files(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
+    """The file columns of a table folder (and its partition columns where the layout is uniform)."""
     q = fs.qualify(spark, path)
-    return spark.read.options(**reader_options(spark, q)).parquet(fs.glob_escape(q))
+    return spark.read.options(**reader_options(spark, q, layout=layout)).parquet(fs.glob_escape(q))
+
+
+def scan_table(spark: SparkSession, path: str, layout: Layout | None = None) -> DataFrame:
+    """The table folder as a DataFrame, columns merged over all its files.
+
+    Folders that mix flat files, plain sub-folders and ``key=value`` folders of
+    any depth are read file by file; the keys come from each file's path.
+    """
+    layout = table_layout(spark, path) if layout is None else layout
+    df = scan_files(spark, path, layout)
+    if not layout.mixed:
+        return df
+    return df.select(*[F.expr(e).alias(name) for name, e in layout.columns_sql(df.schema)])
 
 
 def provenance_column(spark: SparkSession, sources: dict[str, str]) -> Column:

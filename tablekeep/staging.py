@@ -18,7 +18,7 @@ from .sources import fs
 
 ARCHIVE_DATE = "2024-06-30"
 ROWS_PER_FILE = 5_000
-APPLICATION_STATUSES = ("F", "O", "P")  # orders.o_orderstatus values, one application each
+APPLICATION_STATUSES = ("F", "O", "P")  # orders.o_orderstatus values that always get an application; others follow
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,9 +72,10 @@ def stage_applications(
     if archive_column:
         orders = with_archive_column(orders)
     out = {}
-    for status in APPLICATION_STATUSES:
-        app = f"app{status}"
-        part = orders.filter(F.col("o_orderstatus") == status)
+    found = {r[0] for r in orders.select("o_orderstatus").distinct().collect()}  # a handful of split values
+    for status in [*APPLICATION_STATUSES, *sorted(found - {None, *APPLICATION_STATUSES}), *([None] if None in found else [])]:
+        app = f"app{'_null' if status is None else status}"
+        part = orders.filter(F.col("o_orderstatus").eqNullSafe(F.lit(status)))
         if drop_in and app in drop_in:
             part = part.drop(drop_in[app])
         if cast_in and app in cast_in:
@@ -110,8 +111,8 @@ def stage_archive(spark: SparkSession, sf_dir: str, base: str, name: str = "arch
         folder = f"{root}/{schema_dir}/parquet/{table}.parquet" if schema_dir else f"{root}/parquet/{table}.parquet"
         df = with_archive_column(read_table(spark, sf_dir, source))
         if table == "ORDERS":
-            write_files(df.filter(F.col("o_orderstatus") != "F"), folder)
-            write_files(df.filter(F.col("o_orderstatus") == "F"), f"{folder}/batch_F")
+            write_files(df.filter(~F.col("o_orderstatus").eqNullSafe("F")), folder)
+            write_files(df.filter(F.col("o_orderstatus").eqNullSafe("F")), f"{folder}/batch_F")
             fs.write_text(spark, f"{folder}/.hidden.parquet", "not parquet")
             fs.write_text(spark, f"{folder}/_staging.parquet", "not parquet")
             fs.write_text(spark, f"{folder}/notes.txt", "not parquet")
@@ -157,8 +158,8 @@ def stage_schema_drift(spark: SparkSession, sf_dir: str, base: str, *, app: str
     """``orders`` in one table folder whose ``O`` files lack ``o_orderpriority``."""
     path = f"{base}/{app}/parquet/ORDERS.parquet"
     orders = read_table(spark, sf_dir, "orders")
-    write_files(orders.filter(F.col("o_orderstatus") != "O"), f"{path}/with_priority")
-    write_files(orders.filter(F.col("o_orderstatus") == "O").drop("o_orderpriority"), f"{path}/without_priority")
+    write_files(orders.filter(~F.col("o_orderstatus").eqNullSafe("O")), f"{path}/with_priority")
+    write_files(orders.filter(F.col("o_orderstatus").eqNullSafe("O")).drop("o_orderpriority"), f"{path}/without_priority")
     return path
 
 
@@ -177,17 +178,17 @@ def stage_split(
     """A driver table split into one application per value of column ``by``.
 
     Returns {application: table folder}; application = ``app_prefix + value``.
-    Every row lands in exactly one application (``by`` must not be NULL).
+    Every row lands in exactly one application, NULL in ``<app_prefix>_null``.
     """
     df = read_table(spark, sf_dir, source)
     if archive_column:
         df = with_archive_column(df)
     table = table or source.upper()
-    values = sorted(r[0] for r in df.select(by).distinct().collect())  # a handful of split values
+    values = sorted((r[0] for r in df.select(by).distinct().collect()), key=lambda v: (v is None, v))  # a handful of split values
     out = {}
     for value in values:
-        app = f"{app_prefix}{value}"
-        out[app] = write_files(df.filter(F.col(by) == value), f"{base}/{app}/parquet/{table}.parquet", n_files)
+        app = f"{app_prefix}{'_null' if value is None else value}"
+        out[app] = write_files(df.filter(F.col(by).eqNullSafe(F.lit(value))), f"{base}/{app}/parquet/{table}.parquet", n_files)
     return out
 
 
