@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 from .common import batches_of, pick
 
 SPACE = "▁"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 #: Text that is cut into words at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 
 
 class Lattice:
