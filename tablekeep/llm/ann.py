@@ -8,8 +8,9 @@ a vector whose lower bound exceeds the exact distance of the k-th best so far
 is passed over, the others are reranked with exact distances.
 
 All vectors are indexed. The stated query set meets all vectors in blocks: the
-vectors are dealt out in blocks of ``BASE_ROWS``, the queries in blocks of
-``QUERY_ROWS``, and a task holds one block of each. Each block returns its k
+vectors are dealt out in blocks of ``BASE_ROWS``, the queries in blocks of at
+most ``QUERY_BYTES``, and a task holds one block of each; the large block of
+queries keeps the copies of the vectors that travel few. Each block returns its k
 best of each query, and the k best of all blocks are the answer.
 
 Distances are double precision, added up in component order; ties go to the
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import pick, written
 
 BASE_ROWS = 8192
-QUERY_ROWS = 2048
+QUERY_BYTES = 16 << 20
 #: Standard deviations of the estimate that the error bound covers.
 BOUND = 3.0
 RESULT = "query_id long, vec_id long, score double"
@@ -128,20 +129,22 @@ def nearest(spark: SparkSession, vectors: DataFrame, *, is_query, k: int = 10, i
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = written(spark, rows, "ann-vectors")
     n = rows.agg(F.count(F.lit(1)), F.count_if(is_query(F.col("vec_id")))).first()
-    parts, blocks = -(-n[0] // BASE_ROWS), max(1, -(-n[1] // QUERY_ROWS))
+    parts, blocks = -(-n[0] // BASE_ROWS), max(1, -(-n[1] * dim * 8 // QUERY_BYTES))
+    # stored at the width of the column; measured in double precision
+    kind = np.float32 if rows.schema["v"].dataType.elementType.typeName() == "float" else np.float64
     centre, rotate = centre_of(rows, dim), rotation(dim)
 
     def index(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             own = matrix(frame.column("v"), dim)
             codes, norm, match = encode(own, centre, rotate)
-            yield pa.RecordBatch.from_arrays([frame.column("vec_id"), pa.array([x.tobytes() for x in codes], pa.binary()), pa.array(norm), pa.array(match), pa.array([x.tobytes() for x in own], pa.binary())], ["vec_id", "code", "norm", "fit", "v"])
+            yield pa.RecordBatch.from_arrays([frame.column("vec_id"), pa.array([x.tobytes() for x in codes], pa.binary()), pa.array(norm), pa.array(match), pa.array([x.tobytes() for x in own.astype(kind)], pa.binary())], ["vec_id", "code", "norm", "fit", "v"])
 
     def search(key, queries: pd.DataFrame, base: pd.DataFrame) -> pd.DataFrame:
         read = lambda column, kind: np.stack([np.frombuffer(x, kind) for x in column])
         found = []
         if len(queries) and len(base):
-            found = search_block(queries["vec_id"].to_numpy(), read(queries["v"], np.float64), base["vec_id"].to_numpy(), read(base["code"], np.uint8), base["norm"].to_numpy(), base["fit"].to_numpy(), read(base["v"], np.float64), centre, rotate, k)
+            found = search_block(queries["vec_id"].to_numpy(), read(queries["v"], kind).astype(np.float64), base["vec_id"].to_numpy(), read(base["code"], np.uint8), base["norm"].to_numpy(), base["fit"].to_numpy(), read(base["v"], kind).astype(np.float64), centre, rotate, k)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     codes = rows.mapInArrow(index, "vec_id long, code binary, norm double, fit double, v binary")

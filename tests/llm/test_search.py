@@ -88,7 +88,7 @@ def brute_nearest(rows, queries, k):
 
 def test_nearest_ties_and_odd_vectors(spark, monkeypatch):
     monkeypatch.setattr(ann, "BASE_ROWS", 50)
-    monkeypatch.setattr(ann, "QUERY_ROWS", 4)
+    monkeypatch.setattr(ann, "QUERY_BYTES", 512)
     rng = np.random.default_rng(0)
     rows = {i: [float(x) for x in rng.standard_normal(8).round(2)] for i in range(150)}
     for i in range(20, 60):
