@@ -11,9 +11,12 @@ The loss mask covers the text of assistant turns and nothing else: segment
 lengths are summed to boundaries, and the mask is the running sum of +1 where a
 trained segment begins and -1 where it ends.
 
-A turn is one row (conv_id, seq, start, ids, mask); ``start`` is the number of
-ids of the conversation before it, a running sum by Spark. A conversation is
-never collected: readers stream over rows sorted by conversation and turn.
+Turns are range partitioned by conversation and turn, so that a conversation of
+any size is dealt over many tasks. A stored turn is one row (conv_id, part, seq,
+start, ids, mask): ``seq`` and ``start`` count turns and ids within the
+conversation's rows of that part. A conversation that reaches over several parts
+has one row of offsets for each; there are at most two such rows a part, so they
+may be broadcast. No conversation is ever collected.
 
 Defined results: a null text or role is empty; a null turn sorts first; turns
 that tie sort by role, then text, and all count; a null conv_id is one
@@ -43,7 +46,9 @@ TRAINED = "assistant"
 _OPEN = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
 
-TURN = "conv_id long, seq long, ids binary, mask binary"
+TURN = "conv_id long, part int, seq long, start long, ids binary, mask binary"
+#: Code points of role and text that help to place the range bounds; rows sort by whole values.
+BOUND_CHARS = 64
 
 
 def escape(text: str) -> str:
@@ -74,7 +79,7 @@ def splice(head: list[int], body: list[int], tail: list[int], trained: bool, res
 
 
 def format_turns(conversations: DataFrame, *, tokenizer: str) -> DataFrame:
-    """(conv_id, seq, start, ids, mask) of every turn; ids are little-endian 32-bit numbers."""
+    """(conv_id, part, seq, start, ids, mask) of every turn; ids are little-endian 32-bit numbers."""
     rows = pick(conversations, conv_id="conv_id", turn="turn", role="role", text="text")
     rows = rows.select(F.col("conv_id").cast("long"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
 
@@ -83,20 +88,26 @@ def format_turns(conversations: DataFrame, *, tokenizer: str) -> DataFrame:
         size = own.tokenizer.get_vocab_size()
         read = lambda blob: array(own.kind, blob).tolist()
         tail = read(own.encode(["\n"])[0])
+        now, seq, start = object(), 0, 0
         for frame in frames:
-            roles, texts = frame.column("role").to_pylist(), frame.column("text").to_pylist()
+            convs, roles, texts = (frame.column(c).to_pylist() for c in ("conv_id", "role", "text"))
             heads = own.encode([escape_role(r) + "\n" for r in roles])
             bodies = own.encode([escape(t) for t in texts])
-            got = [splice(read(h), read(b), tail, r == TRAINED, (size, size + 1)) for r, h, b in zip(roles, heads, bodies)]
-            ids = pa.array([i.astype("<u4").tobytes() for i, _ in got], pa.binary())
-            yield pa.RecordBatch.from_arrays([frame.column("conv_id"), frame.column("seq"), ids, pa.array([m.tobytes() for _, m in got], pa.binary())], ["conv_id", "seq", "ids", "mask"])
-
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    rows = rows.withColumn("seq", F.row_number().over(order).cast("long")).select("conv_id", "seq", "role", "text")
-    turns = rows.mapInArrow(run, TURN)
-    before = Window.partitionBy("conv_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.octet_length("ids") / 4).over(before), F.lit(0)).cast("long")
-    return turns.select("conv_id", "seq", start.alias("start"), "ids", "mask")
+            out: list[tuple] = []
+            for conv, role, head, body in zip(convs, roles, heads, bodies):
+                if conv != now:
+                    now, seq, start = conv, 0, 0
+                ids, mask = splice(read(head), read(body), tail, role == TRAINED, (size, size + 1))
+                seq += 1
+                out.append((seq, start, ids.astype("<u4").tobytes(), mask.tobytes()))
+                start += len(ids)
+            columns = [pa.array([o[i] for o in out], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([frame.column("conv_id"), frame.column("part"), *columns], ["conv_id", "part", "seq", "start", "ids", "mask"])
+
+    order = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first()]
+    ranges = [F.left(F.col(c), F.lit(BOUND_CHARS)) for c in ("role", "text")]
+    dealt = rows.repartitionByRange(*order, *ranges).sortWithinPartitions(*order, "role", "text")
+    return dealt.select("conv_id", F.spark_partition_id().alias("part"), "role", "text").mapInArrow(run, TURN)
 
 
 def write_turns(spark: SparkSession, conversations: DataFrame, *, tokenizer: str, path: str | None = None) -> str:
@@ -105,6 +116,18 @@ def write_turns(spark: SparkSession, conversations: DataFrame, *, tokenizer: str
     return path
 
 
+def stored_turns(spark: SparkSession, path: str) -> DataFrame:
+    """(conv_id, seq, start, ids, mask) with ``seq`` and ``start`` counted over whole conversations."""
+    rows = spark.read.schema(TURN).parquet(path)
+    sums = rows.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("turns"), F.sum(F.octet_length("mask").cast("long")).alias("tokens"))
+    by_conv = Window.partitionBy("conv_id")
+    before = by_conv.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.withColumn("parts", F.count(F.lit(1)).over(by_conv)).filter("parts > 1")
+    offsets = offsets.select(F.col("conv_id").alias("conv"), F.col("part").alias("at"), *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("turns", "tokens")])
+    found = rows.join(F.broadcast(offsets), F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("part") == F.col("at")), "left")
+    return found.select("conv_id", *[(F.col(own) + F.coalesce(F.col(more), F.lit(0))).alias(own) for own, more in (("seq", "turns"), ("start", "tokens"))], "ids", "mask")
+
+
 def read_turns(spark: SparkSession, path: str, *, tokenizer: str) -> DataFrame:
     """(conv_id, seq, role, text, loss, formatted) decoded from ids and mask alone; ``loss`` is the
     unescaped text under the mask (null where the mask is empty), ``formatted`` the whole turn."""
@@ -128,7 +151,7 @@ def read_turns(spark: SparkSession, path: str, *, tokenizer: str) -> DataFrame:
             columns = [pa.array([o[i] for o in out], pa.string()) for i in range(4)]
             yield pa.RecordBatch.from_arrays([frame.column("conv_id"), frame.column("seq"), *columns], ["conv_id", "seq", "role", "text", "loss", "formatted"])
 
-    rows = spark.read.parquet(path).select("conv_id", "seq", "ids", "mask")
+    rows = stored_turns(spark, path).select("conv_id", "seq", "ids", "mask")
     return rows.mapInArrow(run, "conv_id long, seq long, role string, text string, loss string, formatted string")
 
 
@@ -140,19 +163,24 @@ class _Digest:
         self.conv_id, self.turns, self.loss = conv_id, hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.loss_chars = self.formatted_chars = 0
 
-    def add(self, role, text, loss, formatted) -> None:
+    def add(self, role, text, loss, loss_is_text, n_formatted) -> None:
+        loss = text if loss_is_text else loss
         self.n_turns += 1
         self.turns.update(f"{role}\n{text}\n".encode())
         self.loss.update((loss or "").encode())
         self.loss_chars += len(loss or "")
-        self.formatted_chars += len(formatted)
+        self.formatted_chars += n_formatted
 
     def row(self) -> tuple:
         return (self.conv_id, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.formatted_chars)
 
 
 def summarise(turns: DataFrame) -> DataFrame:
-    """One row of digests a conversation, streamed over turns in order."""
+    """One row of digests a conversation, streamed over turns in order.
+
+    A digest over a conversation needs its turns in one stream; each text is shuffled once
+    (a loss text equal to it is not sent again, nor is the formatted text, only its length).
+    """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split(" ")[0] for c in SUMMARY.split(", ")]
@@ -161,7 +189,7 @@ def summarise(turns: DataFrame) -> DataFrame:
         now = None
         for frame in frames:
             done = []
-            for conv_id, *values in zip(*[frame.column(c).to_pylist() for c in ("conv_id", "role", "text", "loss", "formatted")]):
+            for conv_id, *values in zip(*[frame.column(c).to_pylist() for c in ("conv_id", "role", "text", "loss", "loss_is_text", "n_formatted")]):
                 if now is None or now.conv_id != conv_id:
                     if now is not None:
                         done.append(now.row())
@@ -171,4 +199,6 @@ def summarise(turns: DataFrame) -> DataFrame:
         if now is not None:
             yield batch([now.row()])
 
-    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "seq").mapInArrow(run, SUMMARY)
+    same = F.coalesce(F.col("loss") == F.col("text"), F.lit(False))
+    sent = turns.select("conv_id", "seq", "role", "text", F.when(~same, F.col("loss")).alias("loss"), same.alias("loss_is_text"), F.length("formatted").cast("long").alias("n_formatted"))
+    return sent.repartition("conv_id").sortWithinPartitions("conv_id", "seq").mapInArrow(run, SUMMARY)

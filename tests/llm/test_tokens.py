@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tablekeep.llm import chat, sentencepiece_nbest, token_store
 from tablekeep.llm import queries as Q
 from tablekeep.llm.common import read_table
 from tablekeep.llm.tokens import WordEncoder
-from tablekeep.session import scratch
+from tablekeep.session import scoped_conf, scratch
 from tests.llm.conftest import clash, frame
 
 SF = "/root/testdata/sf0.001"
@@ -100,7 +102,7 @@ def test_chat_round_trip_and_mask(spark):
     assert [by[2, s]["text"] for s in (1, 2, 3, 4)] == ["first", "a", "a", "b"]
     assert by[None, 1]["role"] == "a\nb\\" and by[3, 1]["role"] == ""
     assert by[1, 1]["formatted"] == "<|im_start|>system\n" + chat.escape(evil) + "<|im_end|>\n"
-    stored = {(r["conv_id"], r["seq"]): r for r in spark.read.parquet(path).collect()}
+    stored = {(r["conv_id"], r["seq"]): r for r in chat.stored_turns(spark, path).collect()}
     assert stored[1, 2]["start"] == len(stored[1, 1]["ids"]) // 4
     done = {r["conv_id"]: r for r in chat.summarise(chat.read_turns(spark, path, tokenizer=PATH)).collect()}
     assert done[1]["n_turns"] == 4 and done[1]["loss_chars"] == len(evil) and done[None]["loss_chars"] == 0
@@ -108,6 +110,27 @@ def test_chat_round_trip_and_mask(spark):
     assert chat.summarise(chat.read_turns(spark, none, tokenizer=PATH)).collect() == []
 
 
+def test_chat_conversation_over_many_parts(spark):
+    rows = [(7, i // 2, "user" if i % 3 else "assistant", f"turn {i} " * (i % 5)) for i in range(400)] + [(None, i, "assistant", f"n{i}") for i in range(40)] + [(8, 0, "user", "x")]
+    df = spark.createDataFrame(rows, TALK).repartition(5)
+    with scoped_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):  # so few rows would be one part
+        path = chat.write_turns(spark, df, tokenizer=PATH)
+    parts = spark.read.parquet(path).groupBy("conv_id").agg(F.countDistinct("part").alias("n")).collect()
+    assert {r["conv_id"]: r["n"] for r in parts}[7] > 1
+    stored = sorted((r for r in chat.stored_turns(spark, path).collect() if r["conv_id"] == 7), key=lambda r: r["seq"])
+    assert [r["seq"] for r in stored] == list(range(1, 401))
+    at = 0
+    for r in stored:
+        assert r["start"] == at
+        at += len(r["ids"]) // 4
+    read = {(r["conv_id"], r["seq"]): (r["role"], r["text"]) for r in chat.read_turns(spark, path, tokenizer=PATH).collect()}
+    want = sorted((r for r in rows if r[0] == 7), key=lambda r: r[1:])
+    assert [read[7, i + 1] for i in range(400)] == [r[2:] for r in want]
+    done = {r["conv_id"]: r for r in chat.summarise(chat.read_turns(spark, path, tokenizer=PATH)).collect()}
+    assert done[7]["turns_sha256"] == hashlib.sha256("".join(f"{r[2]}\n{r[3]}\n" for r in want).encode()).hexdigest()
+    assert (done[None]["n_turns"], done[8]["n_turns"]) == (40, 1)
+
+
 @pytest.fixture(scope="module")
 def lattice():
     return sentencepiece_nbest.Lattice(Q.tokenizer_path("piece_bpe_32k.model"))
