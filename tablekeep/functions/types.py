@@ -53,9 +53,13 @@ def declared_type(dtype: T.DataType, mapping: dict[str, str] | None = None) -> s
     return table.get(type(dtype).__name__, DEFAULT_DECLARED)
 
 
-def check_policy(policy: str) -> None:
+def check_policy(policy: str, mapping: dict[str, str] | None = None) -> None:
+    """Refuses an unknown policy, and a mapping that declares a type no column can be exposed as."""
     if policy not in POLICIES:
         raise ValueError(f"unknown type policy {policy!r}; expected one of {POLICIES}")
+    unknown = sorted({v for v in (mapping or {}).values() if v.upper() not in DECLARED_TO_SPARK})
+    if unknown:
+        raise ValueError(f"unknown declared type(s) {', '.join(unknown)}; known: {', '.join(DECLARED_TO_SPARK)}")
 
 
 def conversion(dtype: T.DataType, policy: str, mapping: dict[str, str] | None = None):
@@ -87,6 +91,33 @@ def sql_string(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def same_type(a: T.DataType, b: T.DataType) -> bool:
+    return a.simpleString() == b.simpleString()
+
+
+def reshape_sql(expr: str, own: T.DataType, wanted: T.DataType, depth: int = 0) -> str:
+    """``expr`` of type ``own`` as ``wanted``: struct fields by name (NULL where ``own`` has none), at any depth."""
+    if same_type(own, wanted):
+        return expr
+    if isinstance(own, T.StructType) and isinstance(wanted, T.StructType):
+        has = {f.name.lower(): f for f in own.fields}
+        parts = []
+        for f in wanted.fields:
+            mine = has.get(f.name.lower())
+            value = f"CAST(NULL AS {sql_type(f.dataType)})"
+            if mine is not None:
+                value = reshape_sql(f"{expr}.{quote(mine.name)}", mine.dataType, f.dataType, depth)
+            parts.append(f"{sql_string(f.name)}, {value}")
+        return f"IF({expr} IS NULL, NULL, named_struct({', '.join(parts)}))"
+    if isinstance(own, T.ArrayType) and isinstance(wanted, T.ArrayType):
+        inner = reshape_sql(f"e{depth}", own.elementType, wanted.elementType, depth + 1)
+        return f"transform({expr}, e{depth} -> {inner})"
+    if isinstance(own, T.MapType) and isinstance(wanted, T.MapType):
+        inner = reshape_sql(f"v{depth}", own.valueType, wanted.valueType, depth + 1)
+        return f"transform_values({expr}, (k{depth}, v{depth}) -> {inner})"
+    return f"CAST({expr} AS {sql_type(wanted)})"
+
+
 def exposed_column(name: str, dtype: T.DataType, policy: str, mapping=None) -> Column:
     kind, target = conversion(dtype, policy, mapping)
     col = F.col(quote(name))

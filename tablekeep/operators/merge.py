@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import paths as P
-from ..functions.types import conversion, quote
+from ..functions.types import conversion, quote, reshape_sql, same_type
 from ..sources import fs
 from ..sources.manifest import check_not_empty
 from ..sources.scan import scan_table
@@ -60,7 +60,7 @@ def merge_sources(spark: SparkSession, paths: Sequence[str]) -> list[Source]:
     Rules: at least one path; each an existing directory named ``*.parquet``;
     no path given twice and none inside another (their files would be read
     twice); exactly one table name across all paths. The application is the
-    folder two levels above the table folder.
+    folder two levels above the table folder (see :func:`application_names`).
     """
     if not paths:
         raise MergeGroupError("at least one Parquet path is required")
@@ -85,12 +85,19 @@ def merge_sources(spark: SparkSession, paths: Sequence[str]) -> list[Source]:
             f"Discovered tables: {', '.join(sorted(names))}"
         )
     table = names.pop()
-    out = []
-    for i, q in enumerate(qualified):
-        parts = q.split("/")
-        app = parts[-3] if len(parts) >= 3 else ""
-        out.append(Source(i, app, q, table))
-    return out
+    return [Source(i, app, q, table) for i, (app, q) in enumerate(zip(application_names(qualified), qualified))]
+
+
+def application_names(paths: Sequence[str]) -> list[str]:
+    """One name per table folder: the folder two levels above, with as many of its
+    parents as tell every two sources apart (``x/app`` and ``y/app``)."""
+    above = [p.split("/")[:-2] for p in paths]
+    depth = 1
+    while True:
+        names = ["/".join(parts[-depth:]) for parts in above]
+        if len(set(names)) == len(set(map(tuple, above))) or depth >= max(map(len, above)):
+            return names
+        depth += 1
 
 
 def merge_group(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -110,9 +117,31 @@ class AlignedColumn:
 
 
 def _widen(a: T.DataType, b: T.DataType) -> T.DataType | None:
-    """Type both merge to without loss, as Parquet schema merging allows."""
-    if a.simpleString() == b.simpleString():
+    """Type both merge to without loss, as Parquet schema merging allows.
+
+    Structs merge field by field by name (case-insensitively, first-seen order),
+    also inside arrays and map values; map keys must agree.
+    """
+    if same_type(a, b):
         return a
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        other = {f.name.lower(): f for f in b.fields}
+        if len(other) < len(b.fields) or len({f.name.lower() for f in a.fields}) < len(a.fields):
+            return None  # names that differ only by case cannot be matched
+        fields = []
+        for f in a.fields:
+            mate = other.pop(f.name.lower(), None)
+            dtype = f.dataType if mate is None else _widen(f.dataType, mate.dataType)
+            if dtype is None:
+                return None
+            fields.append(T.StructField(f.name, dtype, True))
+        return T.StructType(fields + [T.StructField(f.name, f.dataType, True) for f in b.fields if f.name.lower() in other])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        element = _widen(a.elementType, b.elementType)
+        return element and T.ArrayType(element, True)
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType) and same_type(a.keyType, b.keyType):
+        value = _widen(a.valueType, b.valueType)
+        return value and T.MapType(a.keyType, value, True)
     if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType) and a.scale == b.scale:
         return T.DecimalType(max(a.precision, b.precision), a.scale)
     return None
@@ -190,8 +219,8 @@ def aligned_branch(df: DataFrame, k: int, columns: Sequence[AlignedColumn]) -> l
         if c.as_text:
             kind, _ = conversion(src_type, "mapped", {})
             col = F.to_json(col) if kind == "json" else col.cast(T.StringType())
-        elif src_type.simpleString() != c.dtype.simpleString():
-            col = col.cast(c.dtype)
+        elif not same_type(src_type, c.dtype):
+            col = F.expr(reshape_sql(quote(source_name(df.schema, c.name)), src_type, c.dtype))
         exprs.append(col.alias(c.name))
     return exprs
 

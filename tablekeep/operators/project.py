@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.types import declared_type, exposed_column, quote
+from ..functions.types import conversion, declared_type, exposed_column, quote
 from ..sources.scan import scan_table
 
 # Fixed value: archive bookkeeping column removed from every table (exact, case-sensitive name).
@@ -57,6 +57,11 @@ def column_list(fields: Sequence[T.StructField], mapping: dict[str, str] | None
     return [f"{f.name} {declared_type(f.dataType, mapping)}" for f in fields]
 
 
+def exposed_list(fields: Sequence[T.StructField], policy: str, mapping: dict[str, str] | None = None) -> list[str]:
+    """``name type`` entries of the report: the Spark type that the published view exposes."""
+    return [f"{f.name} {conversion(f.dataType, policy, mapping)[1].simpleString()}" for f in fields]
+
+
 def parallel_map(spark: SparkSession, fn: Callable, items: Sequence, max_workers: int = 8) -> list:
     """Run ``fn`` over ``items`` from a small driver thread pool.
 

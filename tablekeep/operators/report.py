@@ -68,6 +68,7 @@ REPORT_SCHEMA = T.StructType(
         T.StructField("n_bytes", T.LongType(), True),
         T.StructField("n_columns", T.IntegerType(), True),
         T.StructField("columns", T.ArrayType(T.StringType()), True),
+        T.StructField("exposed_columns", T.ArrayType(T.StringType()), True),
         T.StructField("row_count", T.LongType(), True),
         T.StructField("merge", T.BooleanType(), False),
         T.StructField("source_applications", T.ArrayType(T.StringType()), True),
@@ -191,6 +192,7 @@ def report_document(report: DataFrame) -> dict:
         if r.columns is not None:
             entry["columns_count"] = r.n_columns
             entry["column_types"] = list(r.columns)
+            entry["exposed_types"] = list(r.exposed_columns)
         if r.row_count is not None:
             entry["row_count"] = r.row_count
         if r.version is not None:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..operators.counts import row_counts, row_counts_by_path
 from ..operators.merge import PROVENANCE_COLUMN, merge_sources
-from ..operators.project import ARCHIVE_COLUMNS, column_list, parallel_map
+from ..operators.project import ARCHIVE_COLUMNS, column_list, exposed_list, parallel_map
 from ..operators.report import (
     MERGED_SCHEMA_PATH,
     NO_FILES_MESSAGE,
@@ -265,7 +265,10 @@ def publish_application(
                 continue
             cols = column_list(res.columns, mapping)
             outcomes.append(
-                outcome(**base, status="success", action=res.action, n_columns=len(cols), columns=cols, version=res.version)
+                outcome(
+                    **base, status="success", action=res.action, n_columns=len(cols), columns=cols,
+                    exposed_columns=exposed_list(res.columns, policy, mapping), version=res.version,
+                )
             )
             done.add((r.schema_name, r.table_name))
         if verify_row_count:
@@ -364,7 +367,10 @@ def publish_merge(
     except Exception as exc:  # noqa: BLE001 - reported
         return finish(outcome(**base, status="error", action=planned.action, error_message=error_text(exc)))
     cols = column_list(res.columns, mapping)
-    row = outcome(**base, status="success", action=res.action, n_columns=len(cols), columns=cols, version=res.version)
+    row = outcome(
+        **base, status="success", action=res.action, n_columns=len(cols), columns=cols,
+        exposed_columns=exposed_list(res.columns, policy, mapping), version=res.version,
+    )
     if verify_row_count:
         try:
             with scoped_conf(spark, count_scan_conf(spark)):

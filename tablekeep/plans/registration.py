@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import BASE_PATTERN, base_table_name, catalog_name, catalog_name_col, database_name
-from ..functions.types import check_policy, conversion, exposed_sql, quote, sql_string, sql_type
+from ..functions.types import check_policy, conversion, exposed_sql, quote, reshape_sql, same_type, sql_string, sql_type
 from ..operators.merge import (
     PROVENANCE_COLUMN,
     AlignedColumn,
@@ -338,7 +338,7 @@ def register_table(
     job). Either way the folder must hold data files: a catalog table over a
     missing or empty location would silently read zero rows (trap T4).
     """
-    check_policy(policy)
+    check_policy(policy, mapping)
     path = fs.qualify(spark, table_path)
     layout = table_layout(spark, path) if fs.is_dir(spark, path) else Layout()
     if schema is None or layout.mixed:
@@ -401,8 +401,8 @@ def _branch_sql(
         if c.as_text:
             kind, _ = conversion(src, "mapped", {})
             parts.append(f"to_json({own}) AS {name}" if kind == "json" else f"CAST({own} AS STRING) AS {name}")
-        elif src.simpleString() != c.dtype.simpleString():
-            parts.append(f"CAST({own} AS {sql_type(c.dtype)}) AS {name}")
+        elif not same_type(src, c.dtype):
+            parts.append(f"{reshape_sql(own, src, c.dtype)} AS {name}")
         else:
             parts.append(own if own == name else f"{own} AS {name}")
     if provenance_col:
@@ -429,7 +429,7 @@ def register_merged(
 
     ``check_files=False`` skips the O3 listing when the caller already did it.
     """
-    check_policy(policy)
+    check_policy(policy, mapping)
     sources = merge_sources(spark, paths)
     if check_files:
         check_not_empty(spark, [s.path for s in sources])
