@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -55,20 +56,35 @@ def local_session(cores: int | str = "*", app: str = "tablekeep", **conf) -> Spa
     return spark
 
 
+_conf_lock = threading.Lock()
+_conf_held: dict[tuple[int, str], tuple[str | None, list[str]]] = {}  # (session, key) -> (value before, values in force)
+
+
 @contextmanager
 def scoped_conf(spark: SparkSession, conf: dict[str, str]):
-    """Set session confs for the actions run inside the block, then restore them."""
-    old = {k: spark.conf.get(k, None) for k in conf}
-    try:
+    """Set session confs for the actions run inside the block, then restore them.
+
+    Blocks may overlap in threads that share the session: the value from before
+    the first of them comes back when the last one ends, in whatever order they end.
+    """
+    with _conf_lock:
         for k, v in conf.items():
+            _conf_held.setdefault((id(spark), k), (spark.conf.get(k, None), []))[1].append(v)
             spark.conf.set(k, v)
+    try:
         yield
     finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        with _conf_lock:
+            for k, v in conf.items():
+                before, values = _conf_held[id(spark), k]
+                values.remove(v)
+                if not values:
+                    del _conf_held[id(spark), k]
+                now = values[-1] if values else before
+                if now is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, now)
 
 
 # A count-only scan reads footers, not column bytes: 1 GiB splits cut the task
