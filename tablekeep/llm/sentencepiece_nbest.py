@@ -17,8 +17,8 @@ the model's byte pieces. Pieces that the model itself puts out of reach (runs
 of spaces, at -1e9) count with this score as well.
 
 Defined results: a null or empty text has no piece and one segmentation of
-score 0; ties are broken by order of discovery, the same on each run; fewer
-segmentations than N are returned if the lattice has fewer; U+2581 in a text
+score 0; ties are broken by the search (nearest to the start, then order of
+discovery), the same on each run; fewer segmentations than N are returned if the lattice has fewer; U+2581 in a text
 decodes to a space; repeated rows are encoded each; null ids and extra columns
 stay as they are.
 """
@@ -136,13 +136,22 @@ class Lattice:
         return out
 
     def nbest(self, word: str, n: int) -> list[tuple[float, list[int]]]:
-        """The n best segmentations of a word: A* from the end, with the forward scores as heuristics."""
+        """The n best segmentations of a word: A* from the end, with the forward scores as heuristics.
+
+        Of equal scores the one nearest to the start goes first, so that tied segmentations are
+        completed one after the other and not side by side. The partial segmentations that reach one
+        position leave it in the order of their scores and go on alike, so that those after the first
+        n of a position are in no list of n best: a position is left n times at most.
+        """
         ahead: list[float] = [0.0]
         self.extend(word, ahead, [()])
-        order, out = count(), []
-        heap = [(-ahead[len(word)], next(order), len(word), 0.0, None)]
+        order, out, left = count(), [], [0] * (len(word) + 1)
+        heap = [(-ahead[len(word)], len(word), next(order), 0.0, None)]
         while heap and len(out) < n:
-            _, _, at, done, path = heapq.heappop(heap)
+            _, at, _, done, path = heapq.heappop(heap)
+            left[at] += 1
+            if left[at] > n:
+                continue
             if at == 0:
                 arcs = []
                 while path:
@@ -151,7 +160,7 @@ class Lattice:
                 out.append((done, self.ids_of(word, arcs)))
                 continue
             for start, piece, score in self.arcs_to(word, at):
-                heapq.heappush(heap, (-(ahead[start] + done + score), next(order), start, done + score, ((start, at, piece), path)))
+                heapq.heappush(heap, (-(ahead[start] + done + score), start, next(order), done + score, ((start, at, piece), path)))
         return out
 
     def words(self, text: str) -> list[str]:

@@ -166,6 +166,48 @@ def test_astar_pops_in_order(lattice):
     assert scores == sorted(scores, reverse=True) and scores[0] == lattice.encode(["strawberries"])[0][0][0]
 
 
+@pytest.mark.parametrize("sign", ["-", "=", "a", "日"])
+@pytest.mark.parametrize("length", [7, 1007, 10_007])
+def test_long_runs_of_one_sign(lattice, monkeypatch, sign, length):
+    """Tied segmentations are completed one by one: pops grow with the word, not with the number of ties."""
+    pops, pop = [], sentencepiece_nbest.heapq.heappop
+
+    def counted(heap):
+        pops.append(1)
+        assert len(pops) <= 3 * (length + 2)
+        return pop(heap)
+
+    monkeypatch.setattr(sentencepiece_nbest.heapq, "heappop", counted)
+    text = sign * length
+    got = lattice.encode([text], 3)[0]
+    scores = [s for s, _ in got]
+    assert len({i for _, i in got}) == len(got) and scores == sorted(scores, reverse=True)
+    assert all(lattice.decode(i) == text for _, i in got)
+    # forward pass that keeps the three best scores of every position
+    word = sentencepiece_nbest.SPACE + text
+    best = [[0.0]]
+    for end in range(1, len(word) + 1):
+        best.append(sorted((s + score for start, _, score in lattice.arcs_to(word, end) for s in best[start]), reverse=True)[:3])
+    assert len(scores) == len(best[-1]) and np.allclose(scores, best[-1])
+
+
+def test_near_ties_by_rounding(monkeypatch):
+    """Scores that are no whole numbers: equal sums differ by rounding, and the search still ends."""
+    lattice = sentencepiece_nbest.Lattice(Q.tokenizer_path("piece_bpe_32k.model"))
+    lattice.pieces = {p: (i, s / 7 - 0.1) for p, (i, s) in lattice.pieces.items()}
+    lattice.endings = {p[i:]: () for p in lattice.pieces for i in range(1, len(p))} | lattice.pieces
+    pops, pop = [], sentencepiece_nbest.heapq.heappop
+
+    def counted(heap):
+        pops.append(1)
+        assert len(pops) <= 200_000
+        return pop(heap)
+
+    monkeypatch.setattr(sentencepiece_nbest.heapq, "heappop", counted)
+    got = lattice.encode(["-" * 1007], 3)[0]
+    assert len({i for _, i in got}) == 3 and all(lattice.decode(i) == "-" * 1007 for _, i in got)
+
+
 def test_encode_odd_rows(spark, odd_texts):
     docs = clash(frame(spark, odd_texts))
     model = Q.tokenizer_path("piece_bpe_32k.model")
