@@ -11,7 +11,9 @@ their highest bits, and a fingerprint is sent once to each bucket in which it
 has variants; the receiving task writes out the rest of the variants, the upper
 half first and the lower half only where two or more share an upper half (a
 variant that one fingerprint has alone cannot collide). The variants that meet
-are the same as without factoring, in a fraction of the shuffled rows.
+are the same as without factoring, in a fraction of the shuffled rows. Buckets
+that hold very many variants are dealt out by more of the highest bits, so that
+near copies of one template spread over many tasks; equal variants still meet.
 
 All fingerprints that meet in one variant are within r of it and so within 2r
 of each other. A variant's members are therefore linked as a star to its
@@ -31,6 +33,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -46,6 +49,8 @@ HALF = 32
 BLOCK = 1 << 15
 #: Entries of one bucket that a task expands at a time.
 EXPAND = 1 << 21
+#: Variants of one bucket from which it is split over more tasks.
+SPLIT = 1 << 24
 
 
 def fingerprint(text: str | None, words: int) -> int:
@@ -90,88 +95,165 @@ def flips(bits: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array([m for m, _ in masks], np.uint64), np.array([k for _, k in masks], np.int64)
 
 
-def shuffled(fps: DataFrame, radius: int, top: int) -> DataFrame:
-    """(bucket, members): the fingerprints that have a variant whose ``top`` highest bits are the bucket.
-
-    Each task packs the fingerprints of a bucket into one blob, so a bucket
-    receives few rows.
-    """
-    masks, _ = flips(top, radius)
+def counted(fps: DataFrame, radius: int, top: int) -> DataFrame:
+    """(bucket, n0, n1, ...): how many fingerprints have a variant whose ``top`` highest bits are the
+    bucket, by the number of their bits that differ from it. One row of a task for each bucket and number."""
+    masks, cost = flips(top, radius)
+    kinds = radius + 1
 
     def make(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for frame in frames:
             fp = frame.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            bucket = ((fp >> np.uint64(64 - top))[:, None] ^ masks[None]).ravel()
-            order = np.argsort(bucket, kind="stable")
-            bucket, member = bucket[order], np.repeat(fp, len(masks))[order]
-            cut = np.flatnonzero(np.diff(bucket)) + 1
-            heads = bucket[np.concatenate([[0], cut])] if len(bucket) else bucket
-            blobs = [x.tobytes() for x in np.split(member, cut)] if len(bucket) else []
-            yield pa.RecordBatch.from_arrays([pa.array(heads.astype(np.int64)), pa.array(blobs, pa.binary())], ["bucket", "members"])
+            own = ((fp >> np.uint64(64 - top))[:, None] ^ masks[None]) * np.uint64(kinds) + cost.astype(np.uint64)[None]
+            found, n = np.unique(own, return_counts=True)
+            keys, at = np.unique(np.concatenate([keys, found]), return_inverse=True)
+            sizes = np.bincount(at, np.concatenate([sizes, n])).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array((keys // np.uint64(kinds)).view(np.int64)), pa.array((keys % np.uint64(kinds)).view(np.int64)), pa.array(sizes)], ["bucket", "spent", "n"])
+
+    sizes = fps.select("fp").mapInArrow(make, "bucket long, spent long, n long").groupBy("bucket")
+    return sizes.agg(*[F.sum(F.when(F.col("spent") == s, F.col("n")).otherwise(0)).alias(f"n{s}") for s in range(kinds)])
+
 
-    return fps.select("fp").mapInArrow(make, "bucket long, members binary")
+def completions(bits: int, radius: int) -> list[int]:
+    """Number of variants that ``bits`` bits have, by the number of flips that are already spent."""
+    return [sum(comb(bits, k) for k in range(radius - s + 1)) for s in range(radius + 1)]
 
 
-def variants(part: np.ndarray, member: np.ndarray, spent: np.ndarray, bits: int, radius: int, turn: int, turns: int) -> tuple[np.ndarray, np.ndarray]:
-    """(variant of ``part``, its member) with the flips that are left in the lowest ``bits`` bits.
+def hot_buckets(fps: DataFrame, radius: int, top: int) -> dict[int, tuple[int, int]]:
+    """(depth, parts) of the buckets of over ``SPLIT`` variants. They are split by their ``depth``
+    highest bits, the fewest at which no piece can hold more variants than that, even if all
+    fingerprints agree in them; the pieces are dealt over ``parts`` groups.
 
-    Of all variants only those of residue ``turn``, so that a caller can take a
-    large group in turns; all variants of one value fall into the same turn.
+    There are at most all variants / ``SPLIT`` such buckets.
+    """
+    weights = completions(64 - top, radius)
+    held = sum(F.col(f"n{s}") * w for s, w in enumerate(weights))
+    out = {}
+    for row in counted(fps, radius, top).filter(held > SPLIT).collect():
+        fits = (d for d in range(top + 1, 64) if sum(row[f"n{s}"] * w for s, w in enumerate(completions(64 - d, radius))) <= SPLIT)
+        out[row["bucket"]] = next(fits, 64), -(-sum(row[f"n{s}"] * w for s, w in enumerate(weights)) // SPLIT)
+    return out
+
+
+def shuffled(fps: DataFrame, radius: int, top: int, hot: dict[int, tuple[int, int]]) -> DataFrame:
+    """(depth, bucket, part, keys, members): the fingerprints that have a variant whose ``top`` highest
+    bits are the bucket. Those of a hot bucket come once for each variant of the ``depth`` highest
+    bits; ``keys`` are these, with the other bits of the member.
+
+    Each task packs the fingerprints of a bucket into one blob, so a bucket
+    receives few rows.
     """
-    masks, cost = flips(bits, radius)
-    step = max(1, EXPAND // len(masks))
-    keys, members = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    masks, cost = flips(top, radius)
+    split = np.array(sorted(hot), np.uint64)
+    depths, parts = (np.array([hot[b][i] for b in sorted(hot)], np.uint64) for i in range(2))
+    # rows whose entries are made at a time
+    step = max(1, EXPAND // completions(max([top, *[d for d, _ in hot.values()]]), radius)[0])
+
+    def blobs(depth: int, bucket: np.ndarray, part: np.ndarray, key: np.ndarray | None, member: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((part, bucket)) if key is not None else np.argsort(bucket, kind="stable")
+        bucket, part, member = bucket[order], part[order], member[order]
+        cut = np.flatnonzero((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])) + 1
+        heads = np.concatenate([[0], cut])
+        packs = lambda x: pa.array([y.tobytes() for y in np.split(x, cut)], pa.binary())
+        keys = packs(key[order]) if key is not None else pa.nulls(len(heads), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(heads), depth, np.int32)), pa.array(bucket[heads].view(np.int64)), pa.array(part[heads].view(np.int64)), keys, packs(member)], ["depth", "bucket", "part", "keys", "members"])
+
+    def make(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            every = frame.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+            for lo in range(0, len(every), step):
+                fp = every[lo : lo + step]
+                bucket = ((fp >> np.uint64(64 - top))[:, None] ^ masks[None]).ravel()
+                member = np.repeat(fp, len(masks))
+                cold = np.ones(len(bucket), bool)
+                if len(split):
+                    at = np.minimum(np.searchsorted(split, bucket), len(split) - 1)
+                    cold = split[at] != bucket
+                    for d in np.unique(depths[at[~cold]]).tolist():
+                        own = ~cold & (depths[at] == d)
+                        key, who, _ = flipped(high(bucket[own], member[own], top), member[own], np.tile(cost, len(fp))[own], 64 - top, 64 - d, radius)
+                        home = key >> np.uint64(64 - top)
+                        with np.errstate(over="ignore"):
+                            part = ((key >> np.uint64(64 - d)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % parts[np.searchsorted(split, home)]
+                        yield blobs(d, home, part, key, who)
+                if cold.any():
+                    yield blobs(top, bucket[cold], np.zeros(cold.sum(), np.uint64), None, member[cold])
+
+    return fps.select("fp").mapInArrow(make, "depth int, bucket long, part long, keys binary, members binary")
+
+
+def high(bucket, fp: np.ndarray, top: int) -> np.ndarray:
+    """``fp`` with the bits of ``bucket`` as its ``top`` highest."""
+    return (bucket << np.uint64(64 - top)) | (fp & np.uint64((1 << (64 - top)) - 1))
+
+
+def flipped(key: np.ndarray, member: np.ndarray, spent: np.ndarray, bits: int, rest: int, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(variant, its member, flips spent) of the variants of ``key`` by flips that are left, in the
+    lowest ``bits`` bits except the lowest ``rest``."""
+    masks, cost = flips(bits - rest, radius)
+    keys, members, costs = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for s in range(radius + 1):
-        usable, at = masks[cost <= radius - s], np.flatnonzero(spent == s)
-        for lo in range(0, len(at), step):
-            own = at[lo : lo + step]
-            key = part[own][:, None] ^ usable[None]
-            who = np.broadcast_to(member[own][:, None], key.shape)
-            if turns > 1:
-                with np.errstate(over="ignore"):
-                    mine = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(turns) == turn
-                key, who = key[mine], who[mine]
-            keys.append(key.ravel())
-            members.append(who.ravel())
-    return np.concatenate(keys), np.concatenate(members)
-
-
-def turns_for(spent: np.ndarray, bits: int, radius: int) -> int:
-    _, cost = flips(bits, radius)
-    total = sum(int((cost <= radius - s).sum()) * int((spent == s).sum()) for s in range(radius + 1))
-    return max(1, -(-total // EXPAND))
+        usable, at = cost <= radius - s, np.flatnonzero(spent == s)
+        if len(at):
+            keys.append((key[at][:, None] ^ (masks[usable] << np.uint64(rest))[None]).ravel())
+            members.append(np.repeat(member[at], usable.sum()))
+            costs.append(np.tile(s + cost[usable], len(at)))
+    return np.concatenate(keys), np.concatenate(members), np.concatenate(costs)
 
 
 def meet(bucket: int, top: int, fp: np.ndarray, radius: int, distance: int) -> np.ndarray:
-    """Verified pairs that connect all fingerprints sharing a variant whose highest bits are ``bucket``."""
+    """Verified pairs that connect all fingerprints sharing a variant whose ``top`` highest bits are ``bucket``."""
     fp = np.unique(fp)
-    rest, found = HALF - top, Forest()
-    spent = np.bitwise_count((fp >> np.uint64(64 - top)) ^ np.uint64(bucket)).astype(np.int64)
-    upper = (np.uint64(bucket) << np.uint64(rest)) | (fp >> np.uint64(HALF) & np.uint64((1 << rest) - 1))
-    turns = turns_for(spent, rest, radius)
-    for turn in range(turns):
-        u, who = variants(upper, fp, spent, rest, radius, turn, turns)
-        order = np.argsort(u, kind="stable")
-        u, who = u[order], who[order]
-        same = u[1:] == u[:-1]
-        shared = np.zeros(len(u), bool)
+    return meet_at(high(np.uint64(bucket), fp, top), fp, 64 - top, radius, distance)
+
+
+def meet_at(key: np.ndarray, fp: np.ndarray, bits: int, radius: int, distance: int) -> np.ndarray:
+    """Verified pairs that connect all fingerprints sharing a variant of their ``key`` by the lowest ``bits`` bits.
+
+    A large group is taken in parts: variants that agree in their highest bits
+    stay together, and a group that is too large by itself goes on by fewer
+    bits. So every variant is made once, and the work grows with their number.
+    """
+    found = Forest()
+    spent = np.bitwise_count(key ^ fp).astype(np.int64)
+    order = np.flatnonzero(spent <= radius)
+    order = order[np.argsort(key[order] >> np.uint64(bits), kind="stable")]
+    todo = [(key[order], fp[order], spent[order], bits)]  # sorted by the key's bits above the lowest ``bits``
+    while todo:
+        key, member, spent, bits = todo.pop()
+        rest = HALF if bits > HALF else 0
+        size = np.array(completions(bits - rest, radius))[spent]
+        if size.sum() > EXPAND and bits:
+            group = key >> np.uint64(bits)
+            heads = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1])
+            if len(heads) > 1:
+                turn = (np.cumsum(np.add.reduceat(size, heads)) - 1) // EXPAND
+                cut = heads[np.flatnonzero(np.diff(turn)) + 1]
+                if not len(cut):  # the first group alone is too large
+                    cut = heads[1:2]
+                todo += [(*part, bits) for part in zip(np.split(key, cut), np.split(member, cut), np.split(spent, cut))]
+                continue
+            n = np.bincount(spent, minlength=radius + 1)
+            rest = next((r for r in range(rest, bits - 1) if n @ completions(bits - r, radius) <= EXPAND), bits - 1)
+        key, member, spent = flipped(key, member, spent, bits, rest, radius)
+        order = np.lexsort((member, key)) if not rest else np.argsort(key >> np.uint64(rest), kind="stable")
+        key, member, spent = key[order], member[order], spent[order]
+        same = key[1:] >> np.uint64(rest) == key[:-1] >> np.uint64(rest)
+        shared = np.zeros(len(key), bool)
         shared[1:] |= same
         shared[:-1] |= same
-        u, who = u[shared], who[shared]
-        whole = (u << np.uint64(HALF)) | (who & np.uint64((1 << HALF) - 1))
-        left = np.bitwise_count(u ^ (who >> np.uint64(HALF))).astype(np.int64)
-        inner = turns_for(left, HALF, radius)
-        for part in range(inner):
-            key, member = variants(whole, who, left, HALF, radius, part, inner)
-            if not len(key):
-                continue
-            order = np.lexsort((member, key))
-            key, member = key[order], member[order]
-            head = np.concatenate([[True], key[1:] != key[:-1]])
-            smallest = member[np.flatnonzero(head)][np.cumsum(head) - 1]
-            linked = (smallest != member) & (np.bitwise_count(smallest ^ member) <= distance)
-            if linked.any():
-                found.add(np.unique(np.stack([smallest[linked], member[linked]], 1), axis=0))
+        key, member, spent = key[shared], member[shared], spent[shared]
+        if not len(key):
+            continue
+        if rest:
+            todo.append((key, member, spent, rest))
+            continue
+        head = np.concatenate([[True], key[1:] != key[:-1]])
+        smallest = member[np.flatnonzero(head)][np.cumsum(head) - 1]
+        linked = (smallest != member) & (np.bitwise_count(smallest ^ member) <= distance)
+        if linked.any():
+            found.add(np.unique(np.stack([smallest[linked], member[linked]], 1), axis=0))
     return found.pairs()
 
 
@@ -212,12 +294,15 @@ def links(spark: SparkSession, fps: DataFrame, distance: int = 4) -> DataFrame:
     top = min(HALF - 2, max(least, entries >> 20).bit_length())
 
     def expand(key, frame: pd.DataFrame) -> pd.DataFrame:
-        fp = np.concatenate([np.frombuffer(x, np.uint64) for x in frame["members"]])
-        pairs = meet(int(key[0]), top, fp, radius, distance)
+        whole = lambda column: np.concatenate([np.frombuffer(x, np.uint64) for x in frame[column]])
+        if key[0] == top:
+            pairs = meet(int(key[1]), top, whole("members"), radius, distance)
+        else:
+            pairs = meet_at(whole("keys"), whole("members"), 64 - int(key[0]), radius, distance)
         return pd.DataFrame({"a": pairs[:, 0].view(np.int64), "b": pairs[:, 1].view(np.int64)})
 
-    blobs = shuffled(distinct, radius, top)
-    return blobs.groupBy("bucket").applyInPandas(expand, "a long, b long").distinct()
+    blobs = shuffled(distinct, radius, top, hot_buckets(distinct, radius, top))
+    return blobs.groupBy("depth", "bucket", "part").applyInPandas(expand, "a long, b long").distinct()
 
 
 def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> DataFrame:

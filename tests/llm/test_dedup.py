@@ -84,6 +84,56 @@ def test_turns_do_not_change_the_result(monkeypatch):
     assert members(whole) == members(sliced)
 
 
+def test_hot_buckets_are_split_and_lose_no_link(spark, monkeypatch):
+    """Near copies of one template: no group of the shuffle keeps most of the work, and the components are those of all pairs."""
+    rng = np.random.default_rng(6)
+    fps = sorted({near(rng, 2**63 + 987654321, int(rng.integers(1, 6))) for _ in range(400)} | {int(x) for x in rng.integers(0, 2**63, 100)})
+    signed = [int(np.uint64(f).astype(np.int64)) for f in fps]
+    distinct = spark.createDataFrame([(f,) for f in signed], "fp long")
+    monkeypatch.setattr(simhash, "SPLIT", 20_000)
+    top = 6
+    hot = simhash.hot_buckets(distinct, 2, top)
+    assert len(hot) > 1 and all(d > top for d, _ in hot.values())
+
+    def heaviest(hot):
+        work = Counter()
+        for r in simhash.shuffled(distinct, 2, top, hot).collect():
+            fp = np.frombuffer(r["members"], np.uint64)
+            key = simhash.high(np.uint64(r["bucket"]), fp, top) if r["keys"] is None else np.frombuffer(r["keys"], np.uint64)
+            spent = np.bitwise_count(key ^ fp)
+            work[r["depth"], r["bucket"], r["part"]] += int(np.array(simhash.completions(64 - r["depth"], 2))[spent].sum())
+        assert sum(work.values()) == len(fps) * (1 + 64 + 64 * 63 // 2)  # every variant lies in one group
+        return max(work.values())
+
+    assert heaviest({}) > 100_000 and heaviest(hot) <= 60_000
+    edges = [(a, b) for i, a in enumerate(fps) for b in fps[:i] if bin(a ^ b).count("1") <= 4]
+    pairs = [(r["a"] & (2**64 - 1), r["b"] & (2**64 - 1)) for r in simhash.links(spark, distinct, 4).collect()]
+    assert all(bin(a ^ b).count("1") <= 4 for a, b in pairs)
+    assert roots(fps, pairs) == roots(fps, edges)
+
+
+def test_work_of_a_large_group_grows_with_its_size(monkeypatch):
+    """Variants are made once, however many parts a group is taken in."""
+    rng = np.random.default_rng(8)
+    made, flipped = [0], simhash.flipped
+
+    def noted(*args):
+        out = flipped(*args)
+        made[0] += len(out[0])
+        return out
+
+    monkeypatch.setattr(simhash, "flipped", noted)
+    monkeypatch.setattr(simhash, "EXPAND", 20_000)
+    work = []
+    for n in (500, 2000):
+        made[0] = 0
+        fps = np.array([near(rng, 99, 3) for _ in range(n)], np.uint64)
+        pairs = simhash.meet(0, 4, fp=fps, radius=2, distance=4)
+        assert (np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= 4).all()
+        work.append(made[0] / len(np.unique(fps)))
+    assert work[1] < 2 * work[0] < 20_000
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "a long, b long")
     got = {r["node"]: r["root"] for r in simhash.components(spark, edges).collect()}
