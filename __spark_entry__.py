@@ -119,7 +119,7 @@ def q_map_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_describe_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, _ = _ctx(spark, "describe_tables")
     root = staging.stage_archive(spark, sf_dir, base)
-    return describe_tables(spark, discover_tables(spark, root)).drop("nullable")
+    return describe_tables(spark, discover_tables(spark, root)).drop("nullable", "error_message")
 
 
 # ---------------------------------------------------------------- discovery

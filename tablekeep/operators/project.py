@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.types import conversion, declared_type, exposed_column, quote
 from ..sources.scan import scan_table
+from .report import error_text
 
 # Fixed value: archive bookkeeping column removed from every table (exact, case-sensitive name).
 ARCHIVE_COLUMNS: tuple[str, ...] = ("ArchiveCreationDate",)
@@ -20,11 +21,12 @@ DESCRIBE_SCHEMA = T.StructType(
     [
         T.StructField("schema_name", T.StringType(), False),
         T.StructField("table_name", T.StringType(), False),
-        T.StructField("ordinal", T.IntegerType(), False),
-        T.StructField("column_name", T.StringType(), False),
-        T.StructField("spark_type", T.StringType(), False),
-        T.StructField("declared_type", T.StringType(), False),
-        T.StructField("nullable", T.BooleanType(), False),
+        T.StructField("ordinal", T.IntegerType(), True),
+        T.StructField("column_name", T.StringType(), True),
+        T.StructField("spark_type", T.StringType(), True),
+        T.StructField("declared_type", T.StringType(), True),
+        T.StructField("nullable", T.BooleanType(), True),
+        T.StructField("error_message", T.StringType(), True),
     ]
 )
 
@@ -103,8 +105,9 @@ def describe_tables(
 ) -> DataFrame:
     """One row per column of every table (schema_name, table_name, table_path).
 
-    Ordinals count from 1 after archive columns are removed. Tables that have no
-    data file or cannot be read are left out (the publish report names them).
+    Ordinals count from 1 after archive columns are removed. A table that cannot
+    be read or has no column left is one row with just its name and the whole
+    ``error_message``; tables that have no data file are left out.
     """
     if "n_files" in tables.columns:  # discovery output: empty folders have no schema to read
         tables = tables.filter(F.col("n_files") > 0)
@@ -117,14 +120,15 @@ def describe_tables(
     drop = tuple(drop)
     for (schema_name, table_name), _ in listing:
         schema = schemas[(schema_name, table_name)]
-        if isinstance(schema, Exception):
-            continue
         try:
+            if isinstance(schema, Exception):
+                raise schema
             fields = kept_fields(schema, drop)
-        except NoColumnsLeftError:
+        except Exception as exc:  # noqa: BLE001 - reported per table
+            rows.append((schema_name, table_name, None, None, None, None, None, error_text(exc)))
             continue
         for i, f in enumerate(fields, start=1):
             rows.append(
-                (schema_name, table_name, i, f.name, f.dataType.simpleString(), declared_type(f.dataType, mapping), f.nullable)
+                (schema_name, table_name, i, f.name, f.dataType.simpleString(), declared_type(f.dataType, mapping), f.nullable, None)
             )
     return spark.createDataFrame(rows, DESCRIBE_SCHEMA)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tablekeep import staging
 from tablekeep.functions.types import DECLARED_TYPES, conversion, declared_type, sql_type
 from tablekeep.operators.project import NoColumnsLeftError, conform_types, describe_tables, drop_columns
+from tablekeep.sources import fs
 from tablekeep.sources.layout import discover_tables
 from tablekeep.sources.scan import scan_table
 
@@ -146,6 +147,23 @@ def test_describe_tables_orders(spark, base):
     ]
 
 
+def test_describe_tables_names_unreadable_tables(spark, base):
+    """A folder with one junk file and a table of archive columns only are one row each, with the error."""
+    good = staging.stage_table(spark, SF_SMALL, base, "region")
+    only = f"{base}/only"
+    spark.createDataFrame([(dt.date(2024, 1, 1),)], "ArchiveCreationDate date").write.parquet(only)
+    fs.write_text(spark, f"{base}/junk/part-0.parquet", "this is not parquet")
+    tables = spark.createDataFrame(
+        [("s", "GOOD", good, 1), ("s", "ONLY", only, 1), ("s", "JUNK", f"{base}/junk", 1)],
+        "schema_name string, table_name string, table_path string, n_files int",
+    )
+    rows = describe_tables(spark, tables).collect()
+    bad = {r.table_name: r for r in rows if r.error_message is not None}
+    assert sorted(bad) == ["JUNK", "ONLY"] and len(rows) == len(bad) + 2
+    assert "part-0.parquet" in bad["JUNK"].error_message and "no columns left" in bad["ONLY"].error_message
+    assert all(r.ordinal is None and r.column_name is None for r in bad.values())
+
+
 def test_custom_mapping_unknown_declared_name_is_text(spark):
     df = spark.createDataFrame([(1, 2.5)], "a bigint, b double")
     out = conform_types(df, "mapped", {"LongType": "NUMERIC", "DoubleType": "DOUBLE PRECISION"})
