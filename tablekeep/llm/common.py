@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+import zlib
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch
 
+#: Bytes of one part that ``spooled`` brings to the driver at a time.
+SPOOL_BYTES = 1 << 25
+
 
 def share_package(spark: SparkSession) -> None:
     """Send this package to the executors' Python, once a session; for sessions that were started
@@ -59,6 +64,29 @@ def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spooled(spark: SparkSession, df: DataFrame, label: str) -> pd.DataFrame:
+    """All rows of ``df`` (doc_id, y, ..., x binary), ordered; each ``x`` is an array of bytes.
+
+    The rows come to the driver in parts of about ``SPOOL_BYTES`` and ``x`` goes to a file there that
+    is mapped into memory, so that neither the driver's memory nor ``spark.driver.maxResultSize``
+    bounds their total.
+    """
+    saved = written(spark, df, label)
+    total = saved.agg(F.sum(F.octet_length("x").cast("long"))).first()[0] or 0
+    rows, at = [], 0
+    with tempfile.TemporaryFile() as file:
+        for row in saved.repartition(max(8, -(-total // SPOOL_BYTES))).toLocalIterator():
+            *others, x = row
+            file.write(x)
+            rows.append((*others, at, at + len(x), zlib.crc32(x)))
+            at += len(x)
+        file.flush()
+        raw = np.memmap(file, np.uint8, "r") if at else np.zeros(0, np.uint8)
+    got = pd.DataFrame(rows, columns=[*saved.columns[:-1], "start", "stop", "crc"]).sort_values(["doc_id", "y", "crc"], kind="stable")
+    got["x"] = [raw[a:b] for a, b in zip(got["start"], got["stop"])]
+    return got.drop(columns=["start", "stop", "crc"])
+
+
 def fold(column: str, parts: int):
     """crc32 of the id as text, modulo ``parts``; -1 for a null id."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % parts, F.lit(-1))

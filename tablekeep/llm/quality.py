@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import batches_of, fold, packed, pick, text_bytes
+from .common import batches_of, fold, packed, pick, spooled, text_bytes
 
 PASSAGE_WORDS = 128
 PAIRS = 512  # hashed byte pairs
@@ -182,8 +182,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, *, parts: int,
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN) -> AttentionModel:
-    """Features of the training documents are made on the executors; the driver gets at most
-    ``max_train`` small arrays and fits the model."""
+    """Features of the training documents are made on the executors (2 KB a passage); the driver gets
+    at most ``max_train`` arrays of whole texts, part by part into a file, and fits the model."""
 
     def describe(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -196,7 +196,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TR
 
     rows = training_rows(docs, labels, "quality", parts=3, held=1, max_train=max_train)
     rows = rows.select(F.col("doc_id").cast("long"), "text", F.col("y").cast("int"))
-    got = rows.mapInArrow(describe, "doc_id long, y int, x binary").toPandas().sort_values(["doc_id", "y"], kind="stable")
+    got = spooled(docs.sparkSession, rows.mapInArrow(describe, "doc_id long, y int, x binary"), "quality-train")
     features = [np.frombuffer(x, np.float16).reshape(-1, DIMS) for x in got["x"]]
     return fit(features, got["y"].to_numpy())
 

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tablekeep.llm import quality, toxicity
+from tablekeep.llm import common, quality, toxicity
 from tablekeep.llm import queries as Q
 from tablekeep.llm.common import read_table
 from tests.llm.conftest import clash, frame
@@ -82,6 +82,29 @@ def test_odd_rows(spark, odd_texts, train, score, label):
     assert score(empty, train(empty, none)).collect() == []
 
 
+@pytest.mark.parametrize("train,label", [(quality.train_quality, "quality"), (toxicity.train_toxicity, "toxic")])
+def test_training_rows_may_pass_the_result_limit(spark, monkeypatch, train, label):
+    """Long labelled texts whose features together exceed spark.driver.maxResultSize are all trained on."""
+    rng = np.random.default_rng(3)
+    docs = frame(spark, [" ".join(f"w{x}" for x in rng.integers(0, 10**9, 12_000)) for _ in range(24)]).repartition(24)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(24)], f"doc_id long, {label} int")
+    got = []
+    fit = lambda bags, y, **_: got.append((sum(b.nbytes for b in bags), len(y), y.tolist()))
+    module = quality if label == "quality" else toxicity
+    monkeypatch.setattr(module, "fit", fit)
+    monkeypatch.setattr(toxicity, "calibrate", lambda model, bags, y, langs: got.append((sum(b.nbytes for b in bags), len(y), y.tolist())))
+    monkeypatch.setattr(common, "SPOOL_BYTES", 1 << 17)
+    conf = spark.sparkContext._jsc.sc().conf()
+    before = conf.get("spark.driver.maxResultSize", "1g")
+    conf.set("spark.driver.maxResultSize", "1m")
+    try:
+        train(docs, labels)
+    finally:
+        conf.set("spark.driver.maxResultSize", before)
+    held = docs.filter(common.fold("doc_id", 3 if label == "quality" else 5) == (1 if label == "quality" else 0)).count()
+    assert sum(n for _, n, _ in got) == 24 - held and sum(size for size, _, _ in got) > 1 << 20
+
+
 def test_keep_quality_returns_all_columns(spark, odd_texts):
     docs = clash(frame(spark, odd_texts))
     kept = quality.keep_quality(docs, quality.AttentionModel({}, 0.9))
