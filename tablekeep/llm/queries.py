@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch
-from . import ann, chat, decontaminate, line_dedup, quality, secret_scan, sentencepiece_nbest, simhash, token_store, toxicity
+from . import ann, bpe, chat, decontaminate, line_dedup, quality, secret_scan, sentencepiece_nbest, simhash, token_store, toxicity
 from .common import fold, pick, read_table, share_package
 
 
@@ -96,6 +96,12 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.summarise(chat.read_turns(spark, path, tokenizer=tokenizer_path()))
 
 
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("word_bpe_49k.json")
+    decoded = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), tokenizer=path), tokenizer=path)
+    return decoded.select(F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -122,6 +128,7 @@ _QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_store": op9_token_store,
     "op10_chat": op10_chat,
+    "op12_bpe": op12_bpe,
     "pipeline": pipeline,
 }
 QUERIES = {name: shared(query) for name, query in _QUERIES.items()}
