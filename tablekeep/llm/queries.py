@@ -5,13 +5,15 @@ from __future__ import annotations
 
 from functools import wraps
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch
-from . import ann, bpe, chat, decontaminate, line_dedup, quality, secret_scan, sentencepiece_nbest, simhash, token_store, toxicity
-from .common import fold, pick, read_table, share_package
+from . import ann, bpe, chat, decontaminate, line_dedup, periods, quality, secret_scan, sentencepiece_nbest, simhash, token_store, toxicity
+from .common import batches_of, fold, pick, read_table, share_package
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -96,6 +98,45 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.summarise(chat.read_turns(spark, path, tokenizer=tokenizer_path()))
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the repeats that the contract of op11 plants: where crc32(doc_id) % 10 is 0, word i
+    from a on becomes word a + (i - a) % p."""
+    rows = pick(docs, doc_id="doc_id", text="text").withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    chosen = F.coalesce(F.col("h") % 10 == 0, F.lit(False))
+
+    def run(frames):
+        for frame in frames:
+            for lo, hi in batches_of(frame.column("text"), periods.TEXT_BYTES):
+                part = frame.slice(lo, hi - lo)
+                words, rows = periods.words_of(part.column("text"))
+                n, g = rows[1:] - rows[:-1], part.column("h").to_numpy() // 10
+                a = g % np.maximum(n, 1)
+                p = 1 + (n - a) // (3 + g % 8)
+                i = np.arange(len(words)) - np.repeat(rows[:-1], n)
+                from_a = i - np.repeat(a, n)
+                i = np.where(from_a >= 0, np.repeat(a, n) + from_a % np.repeat(p, n), i) + np.repeat(rows[:-1], n)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), periods.joined(words.take(pa.array(i)), rows)], ["doc_id", "text"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.filter(~chosen).select("doc_id", "text").unionByName(rows.filter(chosen).mapInArrow(run, f"doc_id {kind}, text string"))
+
+
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.collapse_runs(spark, planted(read_table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("word_bpe_49k.json")
     decoded = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), tokenizer=path), tokenizer=path)
@@ -128,6 +169,7 @@ _QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_store": op9_token_store,
     "op10_chat": op10_chat,
+    "op11_periods": op11_periods,
     "op12_bpe": op12_bpe,
     "pipeline": pipeline,
 }
