@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch
-from . import ann, bpe, chat, decontaminate, line_dedup, periods, quality, secret_scan, sentencepiece_nbest, simhash, token_store, toxicity
+from . import ann, bpe, chat, decontaminate, line_dedup, merkle, periods, quality, secret_scan, sentencepiece_nbest, simhash, token_store, toxicity
 from .common import batches_of, fold, pick, read_table, share_package
 
 
@@ -143,6 +143,12 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select(F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    found = merkle.documents_manifest(spark, read_table(spark, sf_dir, "documents"), tampered)
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -171,6 +177,7 @@ _QUERIES = {
     "op10_chat": op10_chat,
     "op11_periods": op11_periods,
     "op12_bpe": op12_bpe,
+    "op13_merkle": op13_merkle,
     "pipeline": pipeline,
 }
 QUERIES = {name: shared(query) for name, query in _QUERIES.items()}
@@ -243,9 +250,50 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+#: One step of CRC-32 (polynomial 0xEDB88320) for a bit, and the whole over an id's digits.
+_CRC_SQL = """
+xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ord(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [CAST(0 AS BIGINT) for i in range(8)]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)
+"""
+
+
+def _merkle_sql(levels: int = 6) -> str:
+    """Trees of up to ``levels`` levels a source, and as many over the sources."""
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    parts = [
+        f"""WITH named AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s FROM documents),
+leaves AS (SELECT doc_id, s, sha256({head} || {field('text')}) AS leaf, sha256({head} || {field(f"translate(text, {_UPPER})")}) AS changed,
+           coalesce({_CRC_SQL} % 5 = 0, FALSE) AS tampered FROM named),
+p0 AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+g0 AS (SELECT s AS t, pos, leaf AS d, count(*) OVER (PARTITION BY s) AS n FROM p0)"""
+    ]
+    climb = """{new} AS (SELECT t, pos // CASE WHEN n > 1 THEN 16 ELSE 1 END AS pos, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(d, '' ORDER BY pos)) ELSE any_value(d) END AS d,
+          any_value(n + 15) // 16 AS n FROM {old} GROUP BY t, pos // CASE WHEN n > 1 THEN 16 ELSE 1 END)"""
+    parts += [climb.format(new=f"g{k + 1}", old=f"g{k}") for k in range(levels)]
+    parts.append(f"u0 AS (SELECT 0 AS t, t AS pos, d, count(*) OVER () AS n FROM g{levels})")
+    parts += [climb.format(new=f"u{k + 1}", old=f"u{k}") for k in range(levels)]
+    parts.append("f0 AS (SELECT *, s AS u, pos AS place, CASE WHEN tampered THEN changed ELSE leaf END AS f, '' AS proof FROM p0)")
+    last = "f0"
+    for k, (table, tree, place) in enumerate([(f"g{k}", "s", "place") for k in range(levels)] + [(f"u{k}", "0", "u") for k in range(levels)]):
+        around = f"""w{k} AS (SELECT a.t, a.pos, any_value(a.n) AS n, coalesce(string_agg(b.d, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+           coalesce(string_agg(b.d, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r FROM {table} a JOIN {table} b ON a.t = b.t AND a.pos // 16 = b.pos // 16 WHERE a.n > 1 GROUP BY a.t, a.pos)"""
+        moved = f"CASE WHEN w.n IS NULL THEN {place} ELSE {place} // 16 END AS {place}"
+        step = f"f{k + 1} AS (SELECT x.* REPLACE ({moved}, CASE WHEN w.n IS NULL THEN f ELSE sha256(l || f || r) END AS f, CASE WHEN w.n IS NULL THEN proof ELSE proof || l || r END AS proof) FROM {last} x LEFT JOIN w{k} w ON w.t = x.{tree if tree != '0' else 'zero'} AND w.pos = x.{place})"
+        if tree == "0":
+            step = step.replace("w.t = x.zero AND ", "")
+        parts += [around, step]
+        last = f"f{k + 1}"
+    return ",\n".join(parts) + f"""
+SELECT doc_id, leaf, g.d AS subroot, r.d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = r.d AS verified
+FROM {last} x JOIN g{levels} g ON g.t = x.s JOIN u{levels} r ON TRUE
+"""
+
+
 ORACLES = {
     "op3_line_dedup": _LINES_SQL,
     "op5_nearest": _NEAREST_SQL,
     "op8_decontaminate": _DECONTAMINATE_SQL,
     "op10_chat": _CHAT_SQL,
+    "op13_merkle": _merkle_sql(),
 }
