@@ -45,13 +45,13 @@ from .common import batches_of, pick
 from .ragged import binary_rows, distinct_words, edges_of, runs_of, split_rows, take_rows
 
 #: Text handled at a time, in bytes.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 #: Words kept in one worker.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 #: Words encoded as one text.
 RUN = 2000
 #: Pairs kept in the compatibility table.
-PAIRS = 2_000_000
+PAIRS = 300_000
 
 #: The end-of-word mark inside this module: a sign that no byte maps to.
 END = "\n"
@@ -170,7 +170,7 @@ class Pieces:
 
 
 class Bpe:
-    """Encoder and decoder of one tokenizer file."""
+    """Encoder of one tokenizer file."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -195,12 +195,6 @@ class Bpe:
         if steps != _NORMALIZER or (cuts[0].get("pattern") or {}).get("Regex") != _SPLIT:
             raise ValueError("a vocabulary of lower-cased words without white space is needed")
         self._forget()
-        names = self.tokenizer.get_vocab(with_added_tokens=True)
-        table = [b""] * (max(names.values()) + 1)
-        for name, i in names.items():
-            table[i] = b" " + name.encode()
-        self.signs = np.frombuffer(b"".join(table), np.uint8)
-        self.places = edges_of(np.array([len(t) for t in table]))
 
     def _forget(self) -> None:
         """Begin the cache of words anew: the special tokens alone."""
@@ -261,6 +255,20 @@ class Bpe:
         ids, id_edges = take_rows(self.ids, self.edges, words)
         return ids, id_edges[word_edges[rows]]
 
+
+class OffsetTable:
+    """The strings of all pieces in one array, each after a space, and where each begins."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        names = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+        table = [b""] * (max(names.values()) + 1)
+        for name, i in names.items():
+            table[i] = b" " + name.encode()
+        self.signs = np.frombuffer(b"".join(table), np.uint8)
+        self.places = edges_of(np.array([len(t) for t in table]))
+
     def decode(self, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """UTF-8 bytes of every row's pieces with a space between, and the row offsets."""
         known = ids < len(self.places) - 1
@@ -274,20 +282,27 @@ class Bpe:
         return signs[keep], starts - np.searchsorted(first, starts, side="left")
 
 
-_OPEN: dict[str, Bpe] = {}  # of a worker process
+_ENCODERS: dict[str, Bpe] = {}  # of a worker process
+_TABLES: dict[str, OffsetTable] = {}
+
+
+def encoder(path: str) -> Bpe:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Bpe(path)
+    return _ENCODERS[path]
 
 
-def opened(path: str) -> Bpe:
-    if path not in _OPEN:
-        _OPEN[path] = Bpe(path)
-    return _OPEN[path]
+def offset_table(path: str) -> OffsetTable:
+    if path not in _TABLES:
+        _TABLES[path] = OffsetTable(path)
+    return _TABLES[path]
 
 
 def encode(docs: DataFrame, *, tokenizer: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, ids): little-endian 32-bit piece ids of every whole text."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = opened(tokenizer)
+        own = encoder(tokenizer)
         for frame in frames:
             for lo, hi in batches_of(frame.column("text"), TEXT_BYTES):
                 part = frame.slice(lo, hi - lo)
@@ -302,7 +317,7 @@ def decode(encoded: DataFrame, *, tokenizer: str) -> DataFrame:
     """(id, ids, text) of rows (id, ids): the pieces' strings with a space between. Null ids are none."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = opened(tokenizer)
+        own = offset_table(tokenizer)
         for frame in frames:
             packed = frame.column("ids").cast(pa.large_binary()).fill_null(b"")
             ends = edges_of(pc.binary_length(packed).to_numpy(zero_copy_only=False) // 4)
