@@ -15,38 +15,37 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from .common import batches_of
+from .ragged import distinct_words, edges_of, split_rows, take_rows
+
 #: Words kept in one worker process.
 CACHE_WORDS = 700_000
+#: Text encoded at a time, in bytes.
+TEXT_BYTES = 2 << 20
 #: Words encoded in one text.
 RUN = 500
 
-#: White space besides the space and the line break.
-_OTHER = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-_PAIRS = ("  ", "\n\n", " \n", "\n ")
+#: Texts with white space next to white space, at an end or of other kinds than space and line break.
+_ODD = "^$|^[ \n]|[ \n]$|[ \n][ \n]|[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _CUT = re.compile(r"(?<=\S)(?= )")
 _MARKS = frozenset(".,;:!?")
 
 
-def odd(text: str) -> bool:
-    """Whether white space may stand next to white space or at an end, or be of another kind."""
-    if text[:1] in ("", " ", "\n") or text[-1] in (" ", "\n"):
-        return True
-    return any(p in text for p in _PAIRS) or any(c in text for c in (_OTHER[:8] if text.isascii() else _OTHER))
-
-
 class WordEncoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.width = array(self.kind).itemsize
+        self.dtype = f"<u{self.width}"
         vocabulary = self.tokenizer.get_vocab()
         self.starts = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin with a space
         self.starts[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
         self.plain: dict[str, bytes] = {}  # by text
         self.spaced: dict[str, bytes] = {}  # by the word that follows a space
-        self.newline = self._one("\n")
 
     def _pack(self, ids) -> bytes:
         return array(self.kind, ids).tobytes()
@@ -81,30 +80,60 @@ class WordEncoder:
 
     def encode(self, texts: list[str], tail: int | None = None) -> list[bytes]:
         """Little-endian ids of every text (``width`` bytes an id), each with ``tail`` after it."""
+        column, out = pa.array(texts, pa.large_string()), []
+        for lo, hi in batches_of(column, TEXT_BYTES):
+            ids, rows = self.encode_array(column.slice(lo, hi - lo), tail)
+            raw, edges = ids.tobytes(), (rows * self.width).tolist()
+            out += [raw[a:b] for a, b in zip(edges[:-1], edges[1:])]
+        return out
+
+    def encode_array(self, texts: pa.Array, tail: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (none null), each text's with ``tail`` after them, and the row offsets."""
         if len(self.plain) + len(self.spaced) > CACHE_WORDS:
             self.plain.clear()
             self.spaced.clear()
-        cut, first, later = [], set(), set()
-        for text in texts:
-            if odd(text):
-                cut.append(_CUT.split(text))
-                first.update(cut[-1])
-            else:
-                lines = [line.split(" ") for line in text.split("\n")]
-                first.update([words[0] for words in lines])
-                later.update(*lines)
-                cut.append(lines)
-        self._learn_plain(first.difference(self.plain))
-        self._learn_spaced(later.difference(self.spaced))
-        plain, spaced, out = self.plain, self.spaced.__getitem__, []
-        end = b"" if tail is None else self._pack([tail])
-        for parts in cut:
-            if isinstance(parts[0], str):
-                body = b"".join([plain[p] for p in parts])
-            else:
-                body = self.newline.join([b"".join([plain[words[0]], *map(spaced, words[1:])]) for words in parts])
-            out.append(body + end)
-        return out
+        texts = texts.cast(pa.large_string())
+        uneven = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        even_ids, even_rows = self._even(texts.filter(pa.array(~uneven)))
+        odd_ids, odd_rows = self._odd(texts.filter(pa.array(uneven)).to_pylist())
+        order = np.empty(len(texts), np.int64)
+        order[~uneven], order[uneven] = np.arange((~uneven).sum()), np.arange((~uneven).sum(), len(texts))
+        rows = np.concatenate([even_rows, odd_rows[1:] + even_rows[-1]])
+        ids, rows = take_rows(np.concatenate([even_ids, odd_ids]), rows, order)
+        if tail is None:
+            return ids, rows
+        rows = rows + np.arange(len(rows))
+        out = np.full(rows[-1], tail, ids.dtype)
+        own = np.ones(len(out), bool)
+        own[rows[1:] - 1] = False
+        out[own] = ids
+        return out, rows
+
+    def _even(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Texts where all white space stands alone: Arrow cuts them and finds the distinct words."""
+        words, rows = split_rows(pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " "))
+        names, place = distinct_words(words)
+        names = names.to_pylist()
+        breaks = place == (names.index("\n") if "\n" in names else -1)
+        alone = breaks.copy()  # no space goes before line breaks, the words after them, and first words
+        alone[rows[:-1]] = True
+        alone[1:] |= breaks[:-1]
+        codes = place * 2 + alone
+        used = np.flatnonzero(np.bincount(codes, minlength=2 * len(names)))
+        spaced, plain = [names[c >> 1] for c in used[used % 2 == 0].tolist()], [names[c >> 1] for c in used[used % 2 == 1].tolist()]
+        self._learn_plain(set(plain).difference(self.plain))
+        self._learn_spaced(set(spaced).difference(self.spaced))
+        packed = [*map(self.spaced.__getitem__, spaced), *map(self.plain.__getitem__, plain)]
+        where = np.zeros(2 * len(names), np.int64)
+        where[np.concatenate([used[used % 2 == 0], used[used % 2 == 1]])] = np.arange(len(used))
+        ids, edges = take_rows(np.frombuffer(b"".join(packed), self.dtype), edges_of(np.array([len(x) // self.width for x in packed], np.int64)), where[codes])
+        return ids, edges[rows]
+
+    def _odd(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        cut = [_CUT.split(text) for text in texts]
+        self._learn_plain({p for parts in cut for p in parts}.difference(self.plain))
+        packed = [b"".join([self.plain[p] for p in parts]) for parts in cut]
+        return np.frombuffer(b"".join(packed), self.dtype), edges_of(np.array([len(x) // self.width for x in packed], np.int64))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}  # of a worker process

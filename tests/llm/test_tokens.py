@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -67,13 +68,38 @@ def test_store_with_odd_rows_and_look_ups(spark, odd_texts, tokenizer):
     assert token_store.read_documents(spark, empty).collect() == []
 
 
+def plan_of(df):
+    with scoped_conf(df.sparkSession, {"spark.sql.maxMetadataStringLength": "100000"}):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_look_up_reads_the_shards_of_its_keys_only(spark):
+    docs = frame(spark, [f"text number {i} of many" for i in range(3000)]).repartition(4)
+    path = scratch(spark, "test-store")
+    with scoped_conf(spark, {"spark.sql.shuffle.partitions": "6", "spark.sql.adaptive.enabled": "false"}):
+        token_store.write_store(spark, docs, path, tokenizer=PATH, shard_bytes=512)
+    listed = token_store.directory(spark, path).orderBy("start").collect()
+    assert len(listed) > 40 and len({r["part"] for r in listed}) > 3 and sum(r["n_docs"] for r in listed) == 3000
+    for keys in ([1234], [5, 2999], list(range(0, 3000, 30))):
+        hits = token_store.found_shards(spark, path, keys)
+        assert "GreaterThanOrEqual(last_key," in plan_of(hits) and "LessThanOrEqual(first_key," in plan_of(hits)
+        assert hits.count() <= 2 * len(keys)
+        assert sorted(r["doc_id"] for r in token_store.look_up(spark, path, keys).collect()) == keys
+    plan = plan_of(token_store.look_up(spark, path, [1234]))
+    assert re.search(r"PartitionFilters: \[[^]]*part#", plan) and re.search(r"PushedFilters: \[[^]]*EqualTo\(seq,", plan) and "LessThanOrEqual(first_key,1234)" in plan
+    whole = token_store.read_documents(spark, path)
+    assert "SinglePartition" not in plan_of(whole) and "Exchange" not in plan_of(whole).replace("BroadcastExchange", "")
+    starts = [r["start"] for r in listed]
+    assert starts == sorted(starts) and {r["start"] for r in whole.collect()} >= set(starts)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 30_000])
 def test_perfect_hash_is_minimal(n):
     keys = np.random.default_rng(n).integers(-(2**62), 2**62, n)
     keys = np.unique(keys)
     mphf = token_store.PerfectHash.from_bytes(token_store.PerfectHash.build(keys).to_bytes())
     assert sorted(mphf.slots(keys).tolist()) == list(range(len(keys)))
-    row = dict(zip(token_store._COLUMNS, token_store.shard_row(0, 0, keys.tolist(), [b"\x01\x00"] * len(keys), 2)))
+    row = dict(zip(token_store._COLUMNS, token_store.shard_row(0, 0, 0, keys.tolist(), [b"\x01\x00"] * len(keys), 2)))
     shard = token_store.Shard(row)
     assert shard.find(keys).tolist() == list(range(len(keys)))
     assert (shard.find(keys + 1)[~np.isin(keys + 1, keys)] == -1).all()
