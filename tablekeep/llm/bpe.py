@@ -47,7 +47,7 @@ from .ragged import binary_rows, distinct_words, edges_of, runs_of, split_rows,
 #: Text handled at a time, in bytes.
 TEXT_BYTES = 2 << 20
 #: Words kept in one worker.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 #: Words encoded as one text.
 RUN = 2000
 #: Pairs kept in the compatibility table.
