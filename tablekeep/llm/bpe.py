@@ -42,12 +42,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .common import batches_of, pick
-from .ragged import binary_rows, distinct_words, edges_of, runs_of, split_rows, take_rows
+from .ragged import WordRows, binary_rows, distinct_words, edges_of, runs_of, split_rows, take_rows
 
 #: Text handled at a time, in bytes.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 4 << 20
 #: Words kept in one worker.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 #: Words encoded as one text.
 RUN = 2000
 #: Pairs kept in the compatibility table.
@@ -194,28 +194,15 @@ class Bpe:
         cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         if steps != _NORMALIZER or (cuts[0].get("pattern") or {}).get("Regex") != _SPLIT:
             raise ValueError("a vocabulary of lower-cased words without white space is needed")
-        self._forget()
-
-    def _forget(self) -> None:
-        """Begin the cache of words anew: the special tokens alone."""
-        self.words = {t: row for row, t in enumerate([*self.added, ""])}  # row of its ids
-        self.ids = np.array(list(self.added.values()), "<u4")
-        self.edges = edges_of(np.array([1] * len(self.added) + [0]))
-
-    def _rows_of(self, words: list[str]) -> np.ndarray:
-        """Rows of distinct words in the cache, after encoding the new ones."""
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self._forget()
-            new = [w for w in words if w not in self.words]
-        ids, edges = [self.ids], [self.edges]
-        for lo in range(0, len(new), RUN):
-            got, ends = self.pieces.encode([w[1:] if w[0] == END else w if w.isascii() else w.translate(_SIGNS) for w in new[lo : lo + RUN]])
-            ids.append(got)
+        self.words = WordRows("<u4", CACHE_WORDS, {t: [i] for t, i in added.items()} | {"": []})
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat, edges = [np.zeros(0, "<u4")], [np.zeros(1, np.int64)]
+        for lo in range(0, len(words), RUN):
+            ids, ends = self.pieces.encode([w[1:] if w[0] == END else w if w.isascii() else w.translate(_SIGNS) for w in words[lo : lo + RUN]])
+            flat.append(ids)
             edges.append(ends + edges[-1][-1])
-        self.words.update(zip(new, range(len(self.words), len(self.words) + len(new))))
-        self.ids, self.edges = np.concatenate(ids), np.concatenate(edges)
-        return np.array([self.words[w] for w in words], np.int64)
+        return np.concatenate(flat), np.concatenate(edges)
 
     def _cut(self, stretch: str) -> list[str]:
         """Words and special tokens of any stretch without ASCII white space; words of byte-level signs
@@ -242,17 +229,17 @@ class Bpe:
         word, tail = pc.utf8_rtrim(pc.utf8_lower(plain), _SIGNS_ONLY), pc.replace_substring_regex(plain, f"^[{_LETTERS}]*", "")
         parts, at = distinct_words(pa.concat_arrays([word, tail]))
         cuts = [self._cut(name) for name in names.filter(pa.array(~simple)).to_pylist()]
-        parts = parts.to_pylist()
-        others = list({w for c in cuts for w in c}.difference(parts))
-        row = self._rows_of(parts + others)
-        place_of = dict(zip(parts + others, row.tolist())) if cuts else {}
-        of_others = np.array([place_of[w] for c in cuts for w in c], np.int64)
+        others, other_at = distinct_words(pa.array([w for c in cuts for w in c], pa.large_string()))
+        extra = others.filter(pc.is_null(pc.index_in(others, parts)))
+        known = pa.concat_arrays([parts, extra])
+        row = self.words.rows(known, self._learn)
+        of_others = row[pc.index_in(others, known).to_numpy(zero_copy_only=False).astype(np.int64)][other_at]
         of_plain = row[at].reshape(2, -1).T.ravel()  # a word and the signs after it
         units = edges_of(np.concatenate([np.full(len(plain), 2), np.array([len(c) for c in cuts], np.int64)]))
         order = np.empty(len(names), np.int64)
         order[simple], order[~simple] = np.arange(len(plain)), np.arange(len(plain), len(names))
         words, word_edges = take_rows(np.concatenate([of_plain, of_others]), units, order[place])
-        ids, id_edges = take_rows(self.ids, self.edges, words)
+        ids, id_edges = take_rows(self.words.flat, self.words.edges, words)
         return ids, id_edges[word_edges[rows]]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,3 +51,34 @@ def split_rows(split: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Flat words and row offsets of a list array (as Arrow's split functions return)."""
     offsets = split.offsets.to_numpy().astype(np.int64)
     return split.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
+
+
+class WordRows:
+    """Rows of numbers kept for words in Arrow and numpy, so that a batch's words are looked up together."""
+
+    def __init__(self, dtype: str, most: int, first: dict[str, list[int]] | None = None):
+        self.dtype, self.most, self.first = dtype, most, first or {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.names = pa.array(list(self.first), pa.large_string())
+        self.flat = np.array([x for row in self.first.values() for x in row], self.dtype)
+        self.edges = edges_of(np.array([len(row) for row in self.first.values()], np.int64))
+
+    def rows(self, words: pa.Array, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Row of each of some distinct words; ``learn`` gives the flat rows and offsets of new ones.
+        Beyond ``most`` words the rest is forgotten, so rows hold until the next call."""
+        found = pc.index_in(words, self.names)
+        new = words.filter(pc.is_null(found))
+        if len(new) and len(self.names) + len(new) > self.most:
+            self._forget()
+            found = pc.index_in(words, self.names)
+            new = words.filter(pc.is_null(found))
+        at = found.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(new):
+            flat, edges = learn(new.to_pylist())
+            at[at < 0] = np.arange(len(self.names), len(self.names) + len(new))
+            self.names = pa.concat_arrays([self.names, new])
+            self.flat = np.concatenate([self.flat, flat])
+            self.edges = np.concatenate([self.edges, edges[1:] + self.edges[-1]])
+        return at

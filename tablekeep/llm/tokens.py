@@ -20,19 +20,18 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from .common import batches_of
-from .ragged import distinct_words, edges_of, split_rows, take_rows
+from .ragged import WordRows, distinct_words, edges_of, split_rows, take_rows
 
-#: Words kept in one worker process.
-CACHE_WORDS = 700_000
+#: Words kept in one worker process, of each kind.
+CACHE_WORDS = 1_000_000
 #: Text encoded at a time, in bytes.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 4 << 20
 #: Words encoded in one text.
 RUN = 500
 
 #: Texts with white space next to white space, at an end or of other kinds than space and line break.
 _ODD = "^$|^[ \n]|[ \n]$|[ \n][ \n]|[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _CUT = re.compile(r"(?<=\S)(?= )")
-_MARKS = frozenset(".,;:!?")
 
 
 class WordEncoder:
@@ -44,39 +43,28 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.starts = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin with a space
         self.starts[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
-        self.plain: dict[str, bytes] = {}  # by text
-        self.spaced: dict[str, bytes] = {}  # by the word that follows a space
+        self.plain = WordRows(self.dtype, CACHE_WORDS)  # by text
+        self.spaced = WordRows(self.dtype, CACHE_WORDS)  # by the word that follows a space
 
-    def _pack(self, ids) -> bytes:
-        return array(self.kind, ids).tobytes()
-
-    def _one(self, text: str) -> bytes:
-        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _learn_plain(self, texts) -> None:
-        texts = list(texts)
+    def _learn_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = []
         for lo in range(0, len(texts), 4096):
-            part = texts[lo : lo + 4096]
-            for text, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.plain[text] = self._pack(got.ids)
-
-    def _learn_spaced(self, words: set[str]) -> None:
-        marked = {w for w in words if len(w) > 1 and w[-1] in _MARKS and w[-2].isalpha()}
-        bases = {w[:-1] for w in marked}.difference(self.spaced)
-        todo = sorted((words - marked) | bases)
-        for lo in range(0, len(todo), RUN):
-            part = todo[lo : lo + RUN]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join([" " + w for w in part])], add_special_tokens=False)[0].ids)
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast(texts[lo : lo + 4096], add_special_tokens=False)]
+        return np.array([i for one in ids for i in one], self.dtype), edges_of(np.array([len(one) for one in ids], np.int64))
+
+    def _learn_spaced(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words are encoded in one text a run and cut where a piece begins with a space."""
+        flat, edges = [np.zeros(0, self.dtype)], [np.zeros(1, np.int64)]
+        for lo in range(0, len(words), RUN):
+            part = words[lo : lo + RUN]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
             at = np.flatnonzero(self.starts[ids])
-            if len(at) == len(part) and at[0] == 0:
-                packed, edges = ids.astype(f"u{self.width}").tobytes(), np.append(at, len(ids)) * self.width
-                self.spaced.update(zip(part, [packed[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]))
-            else:  # a word without a piece that begins with the space
-                for word in part:
-                    self.spaced[word] = self._one(" " + word)
-        self._learn_plain({w[-1] for w in marked}.difference(self.plain))
-        for word in marked:
-            self.spaced[word] = self.spaced[word[:-1]] + self.plain[word[-1]]
+            if len(at) != len(part) or at[0]:  # a word without a piece that begins with the space
+                ids, own = self._learn_plain([" " + w for w in part])
+                at = own[:-1]
+            flat.append(ids)
+            edges.append(edges[-1][-1] + np.append(at[1:], len(ids)))
+        return np.concatenate(flat), np.concatenate(edges)
 
     def encode(self, texts: list[str], tail: int | None = None) -> list[bytes]:
         """Little-endian ids of every text (``width`` bytes an id), each with ``tail`` after it."""
@@ -89,9 +77,6 @@ class WordEncoder:
 
     def encode_array(self, texts: pa.Array, tail: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (none null), each text's with ``tail`` after them, and the row offsets."""
-        if len(self.plain) + len(self.spaced) > CACHE_WORDS:
-            self.plain.clear()
-            self.spaced.clear()
         texts = texts.cast(pa.large_string())
         uneven = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
         even_ids, even_rows = self._even(texts.filter(pa.array(~uneven)))
@@ -113,27 +98,25 @@ class WordEncoder:
         """Texts where all white space stands alone: Arrow cuts them and finds the distinct words."""
         words, rows = split_rows(pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " "))
         names, place = distinct_words(words)
-        names = names.to_pylist()
-        breaks = place == (names.index("\n") if "\n" in names else -1)
+        breaks = place == pc.index(names, pa.scalar("\n", pa.large_string())).as_py()
         alone = breaks.copy()  # no space goes before line breaks, the words after them, and first words
         alone[rows[:-1]] = True
         alone[1:] |= breaks[:-1]
         codes = place * 2 + alone
-        used = np.flatnonzero(np.bincount(codes, minlength=2 * len(names)))
-        spaced, plain = [names[c >> 1] for c in used[used % 2 == 0].tolist()], [names[c >> 1] for c in used[used % 2 == 1].tolist()]
-        self._learn_plain(set(plain).difference(self.plain))
-        self._learn_spaced(set(spaced).difference(self.spaced))
-        packed = [*map(self.spaced.__getitem__, spaced), *map(self.plain.__getitem__, plain)]
-        where = np.zeros(2 * len(names), np.int64)
-        where[np.concatenate([used[used % 2 == 0], used[used % 2 == 1]])] = np.arange(len(used))
-        ids, edges = take_rows(np.frombuffer(b"".join(packed), self.dtype), edges_of(np.array([len(x) // self.width for x in packed], np.int64)), where[codes])
+        used = np.bincount(codes, minlength=2 * len(names)).astype(bool)
+        row = np.zeros(2 * len(names), np.int64)
+        row[0::2][used[0::2]] = self.spaced.rows(names.filter(pa.array(used[0::2])), self._learn_spaced)
+        row[1::2][used[1::2]] = self.plain.rows(names.filter(pa.array(used[1::2])), self._learn_plain) + len(self.spaced.names)
+        edges = np.concatenate([self.spaced.edges, self.plain.edges[1:] + self.spaced.edges[-1]])
+        ids, edges = take_rows(np.concatenate([self.spaced.flat, self.plain.flat]), edges, row[codes])
         return ids, edges[rows]
 
     def _odd(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         cut = [_CUT.split(text) for text in texts]
-        self._learn_plain({p for parts in cut for p in parts}.difference(self.plain))
-        packed = [b"".join([self.plain[p] for p in parts]) for parts in cut]
-        return np.frombuffer(b"".join(packed), self.dtype), edges_of(np.array([len(x) // self.width for x in packed], np.int64))
+        names, place = distinct_words(pa.array([p for parts in cut for p in parts], pa.large_string()))
+        row = self.plain.rows(names, self._learn_plain)
+        ids, edges = take_rows(self.plain.flat, self.plain.edges, row[place])
+        return ids, edges[edges_of(np.array([len(parts) for parts in cut], np.int64))]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}  # of a worker process

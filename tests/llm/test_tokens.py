@@ -249,3 +249,21 @@ def test_encode_odd_rows(spark, odd_texts):
 def test_query_round_trips(spark):
     rows = Q.QUERIES["op7_sentencepiece"](spark, SF).collect()
     assert len(rows) == 200 and all(r["round_trip"] and len(r["scores"]) == 3 for r in rows)
+
+
+def test_word_rows_forget_and_learn_again():
+    import pyarrow as pa
+
+    from tablekeep.llm.ragged import WordRows, edges_of
+
+    learned = []
+
+    def learn(words):
+        learned.extend(words)
+        return np.array([len(w) for w in words for _ in w], "<u4"), edges_of(np.array([len(w) for w in words]))
+
+    kept = WordRows("<u4", 4, {"": []})
+    for words in (["a", "bb"], ["bb", "", "ccc"], ["dddd", "a", "e"], ["f", "g", "h", "i", "j", "kk"]):
+        at = kept.rows(pa.array(words, pa.large_string()), learn)
+        assert [kept.flat[kept.edges[i] : kept.edges[i + 1]].tolist() for i in at] == [[len(w)] * len(w) for w in words]
+    assert learned == ["a", "bb", "ccc", "dddd", "a", "e", "f", "g", "h", "i", "j", "kk"]
