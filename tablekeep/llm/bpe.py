@@ -45,13 +45,13 @@ from .common import batches_of, pick
 from .ragged import WordRows, binary_rows, distinct_words, edges_of, runs_of, split_rows, take_rows
 
 #: Text handled at a time, in bytes.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 #: Words kept in one worker.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 #: Words encoded as one text.
 RUN = 2000
 #: Pairs kept in the compatibility table.
-PAIRS = 300_000
+PAIRS = 200_000
 
 #: The end-of-word mark inside this module: a sign that no byte maps to.
 END = "\n"
