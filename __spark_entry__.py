@@ -27,13 +27,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # the package si
 from tablekeep import staging  # noqa: E402
 from tablekeep.operators.counts import row_counts, row_counts_by_path
 from tablekeep.operators.merge import merge_group, merge_tables
-from tablekeep.operators.project import conform_types, describe_tables, drop_columns
+from tablekeep.operators.project import conform_types, describe_tables, drop_columns, parallel_map
 from tablekeep.operators.report import read_report, report_totals, write_report
 from tablekeep.plans.publish import publish_application, publish_merge
 from tablekeep.plans.registration import (
     plan_registration,
     register_merged,
     register_table,
+    registered_tables,
     replace_table,
 )
 from tablekeep.functions.names import catalog_name, database_name
@@ -436,6 +437,35 @@ def q_publish_merge_mixed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("schema_name", "table_name", "status", "n_columns", "row_count")
 
 
+def q_publish_versioned_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders ``ORDERS`` and ``ORDERS__V1``, published three times; what is registered, with its rows."""
+    base, prefix = _ctx(spark, "versioned_names")
+    orders = staging.read_table(spark, sf_dir, "orders")
+    path = f"{base}/shop/parquet"
+    staging.write_files(orders, f"{path}/ORDERS.parquet")
+    staging.write_files(orders.filter(F.col("o_orderstatus").eqNullSafe("F")), f"{path}/ORDERS__V1.parquet")
+    for _ in range(3):
+        report = publish_application(
+            spark, f"{base}/shop", replace_existing=True, verify_row_count=True, database_prefix=prefix, database_location=base
+        )
+    listed = registered_tables(spark, [database_name("shop", prefix)]).select("table_name", "version")
+    return listed.join(report.select("table_name", "status", "action", "row_count"), "table_name")
+
+
+def q_replace_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight replaces of one table at the same time, each by another copy of ``orders``; the view
+    serves one of them whole."""
+    base, prefix = _ctx(spark, "replace_at_once")
+    copies = [staging.stage_table(spark, sf_dir, base, "orders", app=f"v{i}", archive_column=True) for i in range(4)]
+    done = parallel_map(
+        spark, lambda p: register_table(spark, "shop", "ORDERS", p, database_prefix=prefix, database_location=base), copies * 2, 4
+    )
+    for one in done:
+        if isinstance(one, Exception):
+            raise one
+    return _table(spark, prefix, "shop", "orders")
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -510,6 +540,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_mixed_layout": q_scan_mixed_layout,
         "register_mixed_layout": q_register_mixed_layout,
         "publish_merge_mixed_layout": q_publish_merge_mixed_layout,
+        "publish_versioned_names": q_publish_versioned_names,
+        "replace_at_once": q_replace_at_once,
     }
 
 
@@ -743,4 +775,9 @@ def core_oracles() -> dict[str, str]:
             "SELECT 'merged' AS schema_name, 'ORDERS' AS table_name, 'success' AS status, 6 AS n_columns, "
             "2 * count(*) AS row_count FROM orders"
         ),
+        "publish_versioned_names": (
+            "SELECT 'ORDERS' AS table_name, 3 AS version, 'success' AS status, 'replace' AS action, count(*) AS row_count FROM orders "
+            "UNION ALL SELECT 'ORDERS__V1', 3, 'success', 'replace', count(*) FROM orders WHERE o_orderstatus = 'F'"
+        ),
+        "replace_at_once": "SELECT * FROM orders",
     }

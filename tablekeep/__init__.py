@@ -26,6 +26,8 @@ from .plans import (
     plan_registration,
     publish_application,
     publish_merge,
+    published_versions,
+    recover,
     register_merged,
     register_table,
     registered_tables,
@@ -57,6 +59,8 @@ __all__ = [
     "register_merged",
     "register_table",
     "replace_table",
+    "published_versions",
+    "recover",
     "registered_tables",
     "schema_exists",
     "table_exists",

@@ -29,12 +29,3 @@ def catalog_name_col(col: Column) -> Column:
 def database_name(schema_name: str, prefix: str = "") -> str:
     """Catalog database of a schema folder, optionally namespaced by ``prefix``."""
     return (catalog_name(prefix) if prefix else "") + catalog_name(schema_name)
-
-
-def base_table_name(table: str, version: int, source: int | None = None) -> str:
-    """Versioned base table behind a public view: ``t__v3`` / ``t__v3_s0``."""
-    suffix = f"__v{version}" if source is None else f"__v{version}_s{source}"
-    return f"{table}{suffix}"
-
-
-BASE_PATTERN = re.compile(r"^(?P<table>.+)__v(?P<version>\d+)(?:_s(?P<source>\d+))?$")

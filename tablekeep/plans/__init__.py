@@ -13,12 +13,15 @@ from .registration import (
     table_properties,
     unregister,
 )
+from .registry import published_versions, recover
 
 __all__ = [
     "publish_application",
     "publish_merge",
     "existing_tables",
     "plan_registration",
+    "published_versions",
+    "recover",
     "register_merged",
     "registered_tables",
     "schema_exists",

@@ -2,34 +2,41 @@
 
 Every published table is two catalog objects:
 
-* a versioned **base table** ``<db>.<table>__v<N>`` — an external Parquet table
-  over the table folder, declared with the inferred columns and the same read
-  options the scan uses (so it reads exactly the manifest's files; ``key=value``
-  folders become partition columns that prune). Dropping it keeps the files.
+* a **base table** under a unique name in the registry's own database
+  (``tablekeep_bases``) — an external Parquet table over the table folder,
+  declared with the inferred columns and the same read options the scan uses (so
+  it reads exactly the manifest's files; ``key=value`` folders become partition
+  columns that prune). Dropping it keeps the files.
 * the **public view** ``<db>.<table>`` — drops archive columns and applies the
   type policy. Its properties record the original names, the version and the
   source folders; they mark the object as ours.
 
-Replacing (O18) creates ``__v<N+1>`` and then swaps the view with one
-``CREATE OR REPLACE VIEW``: if anything fails before the swap, the old view
-keeps serving the old base. Old bases are dropped only after the swap.
-
-A merged table (O19) has one base table per source (``__v<N>_s<K>``) and the
-view is their UNION ALL BY NAME with a literal ``source_application`` column, so
-a filter on the application removes the other branches at planning time.
+Replacing (O18) claims the next version in the registry (``registry.py``), makes
+that version's bases, and swaps the view with one ``ALTER VIEW`` under the
+table's lock: if anything fails before the swap, the old view keeps serving
+the old base, and the failed version's own bases are dropped. A version that was
+overtaken by a later one while it was made is not swapped in. Bases of earlier
+versions are dropped by record at a later swap, when no reader can be left that
+looked the view up before.
+
+A merged table (O19) has one base table per source and the view is their UNION
+ALL BY NAME with a literal ``source_application`` column, so a filter on the
+application removes the other branches at planning time.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+import logging
+import re
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.names import BASE_PATTERN, base_table_name, catalog_name, catalog_name_col, database_name
+from ..functions.names import catalog_name, catalog_name_col, database_name
 from ..functions.types import check_policy, conversion, exposed_sql, quote, reshape_sql, same_type, sql_string, sql_type
 from ..operators.merge import (
     PROVENANCE_COLUMN,
@@ -42,6 +49,9 @@ from ..operators.project import ARCHIVE_COLUMNS, kept_fields, parallel_map
 from ..sources import fs
 from ..sources.manifest import check_not_empty
 from ..sources.scan import Layout, reader_options, scan_files, scan_table, table_layout
+from .registry import Claim, Registry
+
+log = logging.getLogger("tablekeep")
 
 KEY = "tablekeep."
 VERSION_KEY = KEY + "version"
@@ -66,7 +76,7 @@ class NameCollisionError(ValueError):
 class Registration:
     catalog_table: str  # db.table as written in the catalog
     version: int
-    action: str  # "create" | "replace"
+    action: str  # "create" | "replace"; "overtaken" where a later version was swapped in meanwhile
     columns: list[T.StructField] = field(default_factory=list)
     base_tables: list[str] = field(default_factory=list)
 
@@ -135,8 +145,6 @@ def registered_tables(spark: SparkSession, databases: Iterable[str]) -> DataFram
         if not _db_exists(spark, db):
             continue
         for t in spark.sql(f"SHOW TABLES IN {quote(db)}").filter(~F.col("isTemporary")).collect():
-            if BASE_PATTERN.match(t.tableName):
-                continue
             props = table_properties(spark, db, t.tableName) or {}
             if VERSION_KEY not in props:
                 continue
@@ -229,77 +237,88 @@ def plan_registration(
     return planned
 
 
-def _current_version(spark: SparkSession, db: str, table: str) -> int:
-    """Version the public view serves (0 when absent); refuses objects not made here."""
+_SERVED = re.compile(r"/\* tablekeep v(\d+) \*/")
+
+
+def served_version(spark: SparkSession, db: str, table: str) -> int:
+    """Version the public view serves (0 when absent); refuses objects not made here.
+
+    The view's own text says it, so it is never out of step with what the view reads.
+    """
     props = table_properties(spark, db, table)
     if props is None:
         return 0
     if VERSION_KEY not in props:
         raise NotManagedError(f"{db}.{table} exists and was not registered by tablekeep; not replacing it")
-    return int(props[VERSION_KEY])
-
-
-def _next_version(spark: SparkSession, db: str, table: str, current: int) -> int:
-    """A version above the served one and above any base left by an unfinished run,
-    so creating it never touches a table another run may still point at."""
-    return max([current, *(v for _, v in _base_tables(spark, db, table))]) + 1
-
-
-def _base_tables(spark: SparkSession, db: str, table: str) -> list[tuple[str, int]]:
-    rows = spark.sql(f"SHOW TABLES IN {quote(db)} LIKE {sql_string(table + '__v*')}").collect()
-    out = []
-    for r in rows:
-        m = BASE_PATTERN.match(r.tableName)
-        if m and m.group("table") == table:
-            out.append((r.tableName, int(m.group("version"))))
-    return out
-
-
-def _drop(spark: SparkSession, db: str, names: Iterable[str]) -> None:
-    """Drop base tables (external: the files stay); tries all, then raises the first failure."""
-    results = parallel_map(spark, lambda n: spark.sql(f"DROP TABLE IF EXISTS {quote(db)}.{quote(n)}"), list(names))
-    failures = [r for r in results if isinstance(r, Exception)]
-    if failures:
-        raise failures[0]
-
-
-def _drop_quietly(spark: SparkSession, db: str, names: Iterable[str]) -> None:
-    """Best-effort cleanup on a failure path: the original error is what gets raised."""
-    try:
-        _drop(spark, db, names)
-    except Exception:  # noqa: BLE001
-        pass
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quote(db)}.{quote(table)}").filter("col_name = 'View Text'").first()
+    found = _SERVED.search(described.data_type) if described else None
+    return int(found[1] if found else props[VERSION_KEY])
+
+
+def _swap_view(spark: SparkSession, db: str, table: str, version: int, exists: bool, body: str, props: dict[str, str]) -> None:
+    """Point the public view to ``body`` (a SELECT). ``CREATE OR REPLACE VIEW`` drops the view before it
+    makes the new one, so a reader in between finds none; ``ALTER VIEW`` changes it in one step."""
+    view, text = f"{quote(db)}.{quote(table)}", body.replace("SELECT ", f"SELECT /* tablekeep v{version} */ ", 1)
+    properties = _properties_sql(props | {VERSION_KEY: str(version)})
+    if exists:
+        spark.sql(f"ALTER VIEW {view} AS {text}")
+        spark.sql(f"ALTER VIEW {view} SET TBLPROPERTIES ({properties})")
+    else:
+        spark.sql(f"CREATE VIEW {view} TBLPROPERTIES ({properties}) AS {text}")
 
 
 def _properties_sql(props: dict[str, str]) -> str:
     return ", ".join(f"{sql_string(k)} = {sql_string(v)}" for k, v in props.items())
 
 
-def _swap_view(
+def _publish_version(
     spark: SparkSession,
-    db: str,
-    table: str,
-    version: int,
-    new_bases: list[str],
+    registry: Registry,
+    claim: Claim,
+    make_bases: Callable[[], None],
     body: str,
     props: dict[str, str],
-) -> None:
-    """Create the public view over the new bases, then retire older bases."""
+) -> bool:
+    """Make the claimed version's bases and swap the public view to them.
+
+    Returns whether the version is served now; False when a later version was swapped in
+    meanwhile. Whatever happens, only bases on the claim's own record are dropped here, and
+    only while the view does not read them.
+    """
+    db, table = claim.db, claim.table
+    swapped = False
     try:
-        spark.sql(
-            f"CREATE OR REPLACE VIEW {quote(db)}.{quote(table)} "
-            f"TBLPROPERTIES ({_properties_sql(props)}) AS {body}"
-        )
+        make_bases()
+        with registry.lock(db, table):
+            before = served_version(spark, db, table)
+            if "dropped" in registry.events(db, table).get(claim.version, ()):
+                raise TimeoutError(f"{db}.{table} v{claim.version} took so long that its bases were dropped as left behind")
+            if before > claim.version:
+                log.info("%s.%s v%s: overtaken by v%s", db, table, claim.version, before)
+            else:
+                try:
+                    _swap_view(spark, db, table, claim.version, before > 0, body, props)
+                except Exception:
+                    # the view may read the new bases already: its properties come second
+                    swapped = served_version(spark, db, table) == claim.version
+                    if not swapped:
+                        raise
+                swapped = True
+                registry.close(claim.record, "served")
+                registry.retire(db, table, claim.version)
     except Exception:
-        _drop_quietly(spark, db, new_bases)
-        raise
-    # the new version is serving: what is left of the old one is not this table's failure
-    _drop_quietly(spark, db, [name for name, v in _base_tables(spark, db, table) if v < version])
+        if not swapped:
+            registry.drop_version(claim.record)
+            raise
+        log.warning("%s.%s v%s is served, but older versions were not retired", db, table, claim.version, exc_info=True)
+    if not swapped:
+        registry.drop_version(claim.record)
+    return swapped
 
 
-def _create_base(spark: SparkSession, db: str, name: str, path: str, schema: T.StructType, layout: Layout) -> None:
+def _create_base(spark: SparkSession, name: str, path: str, schema: T.StructType, layout: Layout) -> None:
     spark.catalog.createTable(
-        f"{quote(db)}.{quote(name)}",
+        name,
         path=fs.glob_escape(path),  # the location is globbed when resolved: keep it literal
         source="parquet",
         schema=schema,
@@ -307,9 +326,8 @@ def _create_base(spark: SparkSession, db: str, name: str, path: str, schema: T.S
     )
 
 
-def _relation_sql(db: str, base: str, files: T.StructType, layout: Layout) -> str:
+def _relation_sql(name: str, files: T.StructType, layout: Layout) -> str:
     """What a view reads: the base table, with the keys of a mixed layout taken from the file paths."""
-    name = f"{quote(db)}.{quote(base)}"
     if not layout.mixed:
         return name
     columns = ", ".join(e if e == quote(n) else f"{e} AS {quote(n)}" for n, e in layout.columns_sql(files))
@@ -349,26 +367,33 @@ def register_table(
         files = schema
     fields = kept_fields(schema, drop)
     db, table = database_name(schema_name, database_prefix), catalog_name(table_name)
+    registry = Registry(spark, database_prefix, database_location)
+    registry.check_name(db)
     ensure_database(spark, db, database_location)
-    previous = _current_version(spark, db, table)
-    version = _next_version(spark, db, table, previous)
-    base = base_table_name(table, version)
-    try:
-        _create_base(spark, db, base, path, files, layout)
-    except Exception:
-        _drop_quietly(spark, db, [base])
-        raise
+    previous = served_version(spark, db, table)
+    record = {"schema_name": schema_name, "table_name": table_name, "policy": policy, "merged": False, "sources": [path]}
+    claim = registry.claim(db, table, 1, above=previous, **record)
+    base = registry.base_name(claim.bases[0])
     select = ", ".join(exposed_sql(f.name, f.dataType, policy, mapping) for f in fields)
-    props = {
-        VERSION_KEY: str(version),
-        KEY + "schema_name": schema_name,
-        KEY + "table_name": table_name,
-        KEY + "policy": policy,
-        KEY + "merged": "false",
-        KEY + "sources": json.dumps([path]),
-    }
-    _swap_view(spark, db, table, version, [base], f"SELECT {select} FROM {_relation_sql(db, base, files, layout)}", props)
-    return Registration(f"{db}.{table}", version, "replace" if previous else "create", fields, [base])
+    served = _publish_version(
+        spark,
+        registry,
+        claim,
+        lambda: _create_base(spark, base, path, files, layout),
+        f"SELECT {select} FROM {_relation_sql(base, files, layout)}",
+        _view_properties(record),
+    )
+    return _registration(claim, served, previous, fields)
+
+
+def _view_properties(record: dict) -> dict[str, str]:
+    """Properties of a public view from its version's record; lists and flags as JSON."""
+    return {KEY + k: v if isinstance(v, str) else json.dumps(v) for k, v in record.items()}
+
+
+def _registration(claim: Claim, served: bool, previous: int, fields: list[T.StructField]) -> Registration:
+    action = "overtaken" if not served else "replace" if previous else "create"
+    return Registration(f"{claim.db}.{claim.table}", claim.version, action, fields, claim.bases if served else [])
 
 
 def replace_table(spark: SparkSession, schema_name: str, table_name: str, table_path: str, **kwargs) -> Registration:
@@ -450,45 +475,51 @@ def register_merged(
         raise ValueError(f"a source already has a column named {provenance_col!r}; choose another provenance_col")
     table_name = sources[0].table_name
     db, table = database_name(target_schema, database_prefix), catalog_name(table_name)
+    registry = Registry(spark, database_prefix, database_location)
+    registry.check_name(db)
     ensure_database(spark, db, database_location)
-    previous = _current_version(spark, db, table)
-    version = _next_version(spark, db, table, previous)
-    bases = [base_table_name(table, version, s.ordinal) for s in sources]
-    results = parallel_map(
-        spark,
-        lambda k: _create_base(spark, db, bases[k], sources[k].path, files[k], layouts[k]), range(len(sources)), max_workers
-    )
-    failures = [r for r in results if isinstance(r, Exception)]
-    if failures:
-        _drop_quietly(spark, db, bases)
-        raise failures[0]
+    previous = served_version(spark, db, table)
+    record = {
+        "schema_name": target_schema,
+        "table_name": table_name,
+        "policy": policy,
+        "merged": True,
+        "sources": [s.path for s in sources],
+        "applications": [s.application for s in sources],
+    }
+    claim = registry.claim(db, table, len(sources), above=previous, **record)
+    bases = [registry.base_name(b) for b in claim.bases]
+
+    def make_bases() -> None:
+        results = parallel_map(
+            spark, lambda k: _create_base(spark, bases[k], sources[k].path, files[k], layouts[k]), range(len(sources)), max_workers
+        )
+        failures = [r for r in results if isinstance(r, Exception)]
+        if failures:
+            raise failures[0]
+
     union = " UNION ALL ".join(
-        _branch_sql(_relation_sql(db, base, files[k], layouts[k]), k, schemas[k], columns, s.application, provenance_col)
+        _branch_sql(_relation_sql(base, files[k], layouts[k]), k, schemas[k], columns, s.application, provenance_col)
         for k, (s, base) in enumerate(zip(sources, bases))
     )
     outer = [exposed_sql(c.name, c.dtype, policy, mapping) for c in columns]
     if provenance_col:
         outer.append(quote(provenance_col))
-    props = {
-        VERSION_KEY: str(version),
-        KEY + "schema_name": target_schema,
-        KEY + "table_name": table_name,
-        KEY + "policy": policy,
-        KEY + "merged": "true",
-        KEY + "sources": json.dumps([s.path for s in sources]),
-        KEY + "applications": json.dumps([s.application for s in sources]),
-    }
     body = f"SELECT {', '.join(outer)} FROM ({union}) AS merged"
-    _swap_view(spark, db, table, version, bases, body, props)
-    fields = [T.StructField(c.name, c.dtype, True) for c in columns]
-    return Registration(f"{db}.{table}", version, "replace" if previous else "create", fields, bases)
+    served = _publish_version(spark, registry, claim, make_bases, body, _view_properties(record))
+    return _registration(claim, served, previous, [T.StructField(c.name, c.dtype, True) for c in columns])
 
 
 def unregister(spark: SparkSession, schema_name: str, table_name: str, database_prefix: str = "") -> None:
-    """Drop a published table: the view and its base tables (files stay)."""
+    """Drop a published table: the view and the bases on its record (files stay).
+
+    A replace that is under way in another writer is left to it.
+    """
     db, table = database_name(schema_name, database_prefix), catalog_name(table_name)
     if not _db_exists(spark, db):
         return
-    _current_version(spark, db, table)  # refuses objects that are not ours
-    spark.sql(f"DROP VIEW IF EXISTS {quote(db)}.{quote(table)}")
-    _drop(spark, db, [name for name, _ in _base_tables(spark, db, table)])
+    registry = Registry(spark, database_prefix)
+    with registry.lock(db, table):
+        served_version(spark, db, table)  # refuses objects that are not ours
+        spark.sql(f"DROP VIEW IF EXISTS {quote(db)}.{quote(table)}")
+        registry.retire(db, table, 0)

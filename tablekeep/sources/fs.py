@@ -11,8 +11,11 @@ raise ``RuntimeError`` (trap T9 in the survey).
 
 from __future__ import annotations
 
+import threading
+import time
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _GLOB_CHARS = "\\*?[]{}"
@@ -108,6 +111,41 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+_create_guard = threading.Lock()
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file only if there is none of that name; whether this call made it."""
+    hp = _hpath(spark, path)
+    fs = _fs(spark, hp)
+    with _create_guard:  # a local file system checks and creates in two steps
+        try:
+            out = fs.create(hp, False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+    return True
+
+
+def age_seconds(spark: SparkSession, path: str) -> float | None:
+    """Seconds since a file was written; None where there is none."""
+    hp = _hpath(spark, path)
+    fs = _fs(spark, hp)
+    if not fs.exists(hp):
+        return None
+    return time.time() - fs.getFileStatus(hp).getModificationTime() / 1000.0
+
+
+def delete_file(spark: SparkSession, path: str) -> None:
+    hp = _hpath(spark, path)
+    _fs(spark, hp).delete(hp, False)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """Read a small text file (reports, fixtures)."""
     hp = _hpath(spark, path)

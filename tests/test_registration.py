@@ -22,6 +22,7 @@ from tablekeep.plans.registration import (
     table_properties,
     unregister,
 )
+from tablekeep.plans import registry
 from tablekeep.plans.publish import publish_merge
 from tablekeep.session import scoped_conf
 from tablekeep.sources import fs
@@ -29,6 +30,10 @@ from tablekeep.sources.layout import discover_tables
 from tablekeep.sources.manifest import MissingDataFilesError
 
 
+def names_in(spark, db):
+    return {r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").collect()}
+
+
 def test_register_creates_external_base_and_view(spark, base, prefix):
     path = staging.stage_table(spark, SF_SMALL, base, "orders", archive_column=True)
     reg = register_table(spark, "Shop", "ORDERS", path, database_prefix=prefix, database_location=base)
@@ -37,7 +42,7 @@ def test_register_creates_external_base_and_view(spark, base, prefix):
     assert "ArchiveCreationDate" not in view.columns and view.count() == 1500
     props = table_properties(spark, f"{prefix}shop", "orders")
     assert props["tablekeep.schema_name"] == "Shop" and props["tablekeep.table_name"] == "ORDERS"
-    spark.sql(f"DROP TABLE {prefix}shop.orders__v1")
+    spark.sql(f"DROP TABLE {prefix}tablekeep_bases.{reg.base_tables[0]}")
     assert fs.exists(spark, path)  # external: files stay
 
 
@@ -67,7 +72,7 @@ def test_mapped_policy_view(spark, base, prefix):
     assert spark.table(reg.catalog_table).first().embedding.startswith("[")
 
 
-def test_replace_is_atomic(spark, base, prefix):
+def test_replace_is_atomic(spark, base, prefix, monkeypatch):
     v1 = staging.stage_table(spark, SF_SMALL, base, "orders", app="v1", columns=["o_orderkey"])
     v2 = staging.stage_table(spark, SF_SMALL, base, "orders", app="v2")
     broken = f"{base}/v3/parquet/ORDERS.parquet"
@@ -77,10 +82,14 @@ def test_replace_is_atomic(spark, base, prefix):
         replace_table(spark, "shop", "ORDERS", broken, database_prefix=prefix, database_location=base)
     assert spark.table(f"{prefix}shop.orders").columns == ["o_orderkey"]  # old definition still serves
     reg = replace_table(spark, "shop", "ORDERS", v2, database_prefix=prefix, database_location=base)
-    assert reg.action == "replace" and reg.version == 2
+    assert reg.action == "replace" and reg.version == 2  # the broken folder never got as far as a version
     assert len(spark.table(reg.catalog_table).columns) == 6
-    names = {r.tableName for r in spark.sql(f"SHOW TABLES IN {prefix}shop").collect()}
-    assert names == {"orders", "orders__v2"}  # old base retired after the swap
+    assert names_in(spark, f"{prefix}shop") == {"orders"}
+    assert len(names_in(spark, f"{prefix}tablekeep_bases")) == 2  # the version just replaced stays for readers
+    monkeypatch.setattr(registry, "GRACE_SECONDS", 0)
+    third = replace_table(spark, "shop", "ORDERS", v1, database_prefix=prefix, database_location=base)
+    assert names_in(spark, f"{prefix}tablekeep_bases") == set(third.base_tables)
+    assert third.version > reg.version
 
 
 def test_not_ours_is_never_replaced(spark, base, prefix):
@@ -127,8 +136,8 @@ def test_register_merged_view(spark, base, prefix):
     assert props["tablekeep.merged"] == "true"
     again = register_merged(spark, "merged", list(apps.values()), database_prefix=prefix, database_location=base)
     assert again.version == 2 and spark.table(again.catalog_table).count() == 1500
-    bases = sorted(r.tableName for r in spark.sql(f"SHOW TABLES IN {prefix}merged").collect())
-    assert bases == ["orders", "orders__v2_s0", "orders__v2_s1", "orders__v2_s2"]
+    assert names_in(spark, f"{prefix}merged") == {"orders"}
+    assert names_in(spark, f"{prefix}tablekeep_bases") == {*reg.base_tables, *again.base_tables}
 
 
 def test_register_merged_type_conflict(spark, base, prefix):
@@ -163,16 +172,16 @@ def test_existence_and_registry(spark, base, prefix):
     assert rows[0].sources[0].endswith("geo/parquet/REGION.parquet")
 
 
-def test_unfinished_run_leftover_is_skipped_not_dropped_first(spark, base, prefix):
-    """A base left by an unfinished run is never reused: the new version goes above it,
-    and the leftover is retired only after the swap."""
+def test_tables_named_like_ours_are_left_alone(spark, base, prefix):
+    """Bases are known by record, never by a name pattern."""
     path = staging.stage_table(spark, SF_SMALL, base, "region")
     register_table(spark, "geo", "REGION", path, database_prefix=prefix, database_location=base)
-    spark.catalog.createTable(f"{prefix}geo.region__v2", path=path, source="parquet")  # stray leftover
-    reg = register_table(spark, "geo", "REGION", path, database_prefix=prefix, database_location=base)
-    assert reg.version == 3 and spark.table(reg.catalog_table).count() == 5
-    names = {r.tableName for r in spark.sql(f"SHOW TABLES IN {prefix}geo").collect()}
-    assert names == {"region", "region__v3"}
+    spark.catalog.createTable(f"{prefix}geo.region__v2", path=path, source="parquet")
+    for version in (2, 3):
+        reg = register_table(spark, "geo", "REGION", path, database_prefix=prefix, database_location=base)
+        assert reg.version == version and spark.table(reg.catalog_table).count() == 5
+    unregister(spark, "geo", "REGION", database_prefix=prefix)
+    assert names_in(spark, f"{prefix}geo") == {"region__v2"} and names_in(spark, f"{prefix}tablekeep_bases") == set()
 
 
 def test_merged_view_with_case_different_spellings(spark, base, prefix):
