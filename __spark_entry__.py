@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # the package sits next to this file
 
 from tablekeep import staging  # noqa: E402
-from tablekeep.operators.counts import row_counts, row_counts_by_path
+from tablekeep.operators.counts import footer_row_counts, row_counts, row_counts_by_path
 from tablekeep.operators.merge import merge_group, merge_tables
 from tablekeep.operators.project import conform_types, describe_tables, drop_columns, parallel_map
-from tablekeep.operators.report import read_report, report_totals, write_report
+from tablekeep.operators.report import read_report, report_totals, run_history, write_report
 from tablekeep.plans.publish import publish_application, publish_merge
 from tablekeep.plans.registration import (
     plan_registration,
@@ -466,6 +466,24 @@ def q_replace_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, prefix, "shop", "orders")
 
 
+def q_row_counts_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O21 with the counts pushed into the scans."""
+    base, _ = _ctx(spark, "row_counts_footers")
+    return footer_row_counts(spark, staging.stage_archive(spark, sf_dir, base))
+
+
+def q_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O24 over two runs: the second skips what the first has published."""
+    base, prefix = _ctx(spark, "run_history")
+    root = staging.stage_archive(spark, sf_dir, base)
+    for _ in range(2):
+        publish_application(
+            spark, root, verify_row_count=True, database_prefix=prefix, database_location=base, report_path=f"{base}/reports"
+        )
+    reports = read_report(spark, f"{base}/reports/*")
+    return run_history(reports).drop("last_run", "last_error")
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -542,6 +560,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_merge_mixed_layout": q_publish_merge_mixed_layout,
         "publish_versioned_names": q_publish_versioned_names,
         "replace_at_once": q_replace_at_once,
+        "row_counts_footers": q_row_counts_footers,
+        "run_history": q_run_history,
     }
 
 
@@ -780,4 +800,12 @@ def core_oracles() -> dict[str, str]:
             "UNION ALL SELECT 'ORDERS__V1', 3, 'success', 'replace', count(*) FROM orders WHERE o_orderstatus = 'F'"
         ),
         "replace_at_once": "SELECT * FROM orders",
+        "row_counts_footers": _row_counts_sql(),
+        "run_history": (
+            "SELECT *, CAST(2 AS BIGINT) AS n_runs, CAST(CASE WHEN row_count IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_success, "
+            "CAST(CASE WHEN row_count IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_skipped, "
+            "CAST(CASE WHEN row_count IS NULL THEN 2 ELSE 0 END AS BIGINT) AS n_error, "
+            "CASE WHEN row_count IS NULL THEN 'error' ELSE 'skipped' END AS last_status "
+            f"FROM (SELECT schema_name, table_name, CASE WHEN table_name <> 'EMPTY' THEN row_count END AS row_count FROM ({_row_counts_sql()}))"
+        ),
     }

@@ -11,6 +11,7 @@ from .operators import (
     conform_types,
     describe_tables,
     drop_columns,
+    footer_row_counts,
     load_report,
     merge_group,
     merge_tables,
@@ -18,7 +19,7 @@ from .operators import (
     report_totals,
     row_counts,
     row_counts_by_path,
-    table_row_count,
+    run_history,
     write_report,
 )
 from .plans import (
@@ -43,6 +44,7 @@ __all__ = [
     "conform_types",
     "describe_tables",
     "drop_columns",
+    "footer_row_counts",
     "load_report",
     "merge_group",
     "merge_tables",
@@ -50,7 +52,7 @@ __all__ = [
     "report_totals",
     "row_counts",
     "row_counts_by_path",
-    "table_row_count",
+    "run_history",
     "write_report",
     "existing_tables",
     "plan_registration",

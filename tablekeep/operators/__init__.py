@@ -1,15 +1,15 @@
 """Operators over tables: projections, merge, counts and the run report."""
 
-from .counts import row_counts, row_counts_by_path, rows_per_file, table_row_count
+from .counts import footer_row_counts, row_counts, row_counts_by_path, rows_per_file
 from .merge import align_schemas, merge_group, merge_sources, merge_tables
 from .project import ARCHIVE_COLUMNS, conform_types, describe_tables, drop_columns
-from .report import load_report, read_report, report_totals, write_report
+from .report import load_report, read_report, report_totals, run_history, write_report
 
 __all__ = [
+    "footer_row_counts",
     "row_counts",
     "row_counts_by_path",
     "rows_per_file",
-    "table_row_count",
     "align_schemas",
     "merge_group",
     "merge_sources",
@@ -21,5 +21,6 @@ __all__ = [
     "load_report",
     "read_report",
     "report_totals",
+    "run_history",
     "write_report",
 ]

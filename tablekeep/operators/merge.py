@@ -63,31 +63,36 @@ def merge_sources(spark: SparkSession, paths: Sequence[str]) -> list[Source]:
     folder two levels above the table folder (see :func:`application_names`).
     """
     if not paths:
-        raise MergeGroupError("at least one Parquet path is required")
+        raise MergeGroupError("a merge needs one table folder at least")
     qualified = []
     for raw in paths:
         q = fs.qualify(spark, raw)
         if not fs.is_dir(spark, q):
-            raise MergeGroupError(f"{raw} does not exist or is not a directory")
+            raise MergeGroupError(f"no folder at {raw}")
         if not q.rsplit("/", 1)[-1].endswith(P.SUFFIX):
-            raise MergeGroupError(f"invalid Parquet path {raw}: give the path up to the <table>.parquet folder")
-        if q in qualified:
-            raise MergeGroupError(f"path given twice: {raw}")
+            raise MergeGroupError(f"not a table folder (<table>{P.SUFFIX}): {raw}")
         qualified.append(q)
-    for a in qualified:
-        for b in qualified:
-            if a != b and b.startswith(a + "/"):
-                raise MergeGroupError(f"overlapping paths: {b} lies inside {a}")
+    check_disjoint(qualified)
     names = {q.rsplit("/", 1)[-1][: -len(P.SUFFIX)] for q in qualified}
     if len(names) != 1:
-        raise MergeGroupError(
-            "the paths belong to different tables; all must be one logical table. "
-            f"Discovered tables: {', '.join(sorted(names))}"
-        )
+        raise MergeGroupError(f"a merge is of one table, these are {len(names)}: {', '.join(sorted(names))}")
     table = names.pop()
     return [Source(i, app, q, table) for i, (app, q) in enumerate(zip(application_names(qualified), qualified))]
 
 
+def check_disjoint(paths: Sequence[str]) -> None:
+    """Raise if a folder is given twice or lies inside another.
+
+    Sorted with a closing slash, whatever lies inside a folder comes right after it, so neighbours tell.
+    """
+    ordered = sorted(p + "/" for p in paths)
+    for a, b in zip(ordered, ordered[1:]):
+        if a == b:
+            raise MergeGroupError(f"path given twice: {a[:-1]}")
+        if b.startswith(a):
+            raise MergeGroupError(f"overlapping paths: {b[:-1]} lies inside {a[:-1]}")
+
+
 def application_names(paths: Sequence[str]) -> list[str]:
     """One name per table folder: the folder two levels above, with as many of its
     parents as tell every two sources apart (``x/app`` and ``y/app``)."""

@@ -29,27 +29,6 @@ SKIP_REASON_EXISTS = "Table already exists and replace_existing is false"
 NO_FILES_MESSAGE = "Parquet files not found in {path}"
 REPORT_NAME_TIME_FORMAT = "%d-%m-%Y_%H-%M-%S"
 RUN_TIME_FORMAT = "%Y-%m-%d %H:%M:%S"
-DOCUMENT_KEYS = (
-    "process",
-    "schemas",
-    "schema_folder_path",
-    "tables",
-    "parquet_files_count",
-    "columns_count",
-    "column_types",
-    "status",
-    "row_count",
-    "skip_reason",
-    "error_message",
-    "merge",
-    "source_applications",
-    "source_paths",
-    "source_path",
-    "start_time",
-    "end_time",
-    "total_tables_processed_successfully",
-    "total_tables_errored_out",
-)
 
 REPORT_SCHEMA = T.StructType(
     [
@@ -137,6 +116,28 @@ def report_totals(report: DataFrame) -> DataFrame:
     )
 
 
+def run_history(reports: DataFrame) -> DataFrame:
+    """O24 over many runs: one row a table, from the reports of all runs (``read_report`` of their folder).
+
+    (schema_name, table_name, n_runs, n_success, n_skipped, n_error, last_run, last_status, last_error,
+    row_count): the last outcome by the run's start, and the rows of the last run that counted them. One
+    aggregate with map-side combine, so neither a table with many runs nor a run with many tables is hot.
+    """
+    when = F.struct("started_at", "run_id")
+    count = lambda status: F.count_if(F.col("status") == status)
+    counted = F.when(F.col("row_count").isNotNull(), when)  # max_by leaves out rows whose ordering is null
+    return reports.groupBy("schema_name", "table_name").agg(
+        F.countDistinct("run_id").alias("n_runs"),
+        count("success").alias("n_success"),
+        count("skipped").alias("n_skipped"),
+        count("error").alias("n_error"),
+        F.max_by("run_id", when).alias("last_run"),
+        F.max_by("status", when).alias("last_status"),
+        F.max_by("error_message", when).alias("last_error"),
+        F.max_by("row_count", counted).alias("row_count"),
+    )
+
+
 def report_name(prefix: str = "tablekeep", now: datetime | None = None, run_id: str | None = None) -> str:
     """Report folder name carrying the run's UTC time and id, so that runs of one second stay apart."""
     now = now or datetime.now(timezone.utc)
@@ -162,8 +163,7 @@ def _stamp(value) -> str | None:
 def report_document(report: DataFrame) -> dict:
     """The report as one nested document: run fields, totals, schemas -> tables.
 
-    Shaped like the archive tool's run report, with its key names
-    (``DOCUMENT_KEYS``) plus our own (``run_id``, ``catalog_table``,
+    Shaped like the archive tool's run report, with its key names plus our own (``run_id``, ``catalog_table``,
     ``parquet_bytes``, ``version``, ``total_tables_skipped``). File lists are
     left out: a table may have millions of files. The report has one row per
     table, so it is read to the driver whole.

@@ -4,8 +4,8 @@ Publish an application::
 
     discover (one listing, manifest persisted)  ->  plan (one join against the catalog)
     -> per table, from a small driver pool: footer job + catalog DDL
-    -> optional row counts (one scan for every registered table, joined to
-       the persisted manifest, collected: one row per table)
+    -> optional row counts (pushed into the scans of the registered tables:
+       footers only, collected: one row per table)
     -> report DataFrame built from those per-table rows (a local relation:
        reading it again reruns nothing)
 
@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.counts import row_counts, row_counts_by_path
+from ..operators.counts import footer_row_counts, row_counts_by_path
 from ..operators.merge import PROVENANCE_COLUMN, merge_sources
 from ..operators.project import ARCHIVE_COLUMNS, column_list, exposed_list, parallel_map
 from ..operators.report import (
@@ -118,13 +118,11 @@ def _counts(
     spark: SparkSession,
     root: str,
     dirs: list[TableDir],
-    files: DataFrame,
     max_workers: int = 8,
 ) -> tuple[dict[tuple[str, str], int], dict[tuple[str, str], str]]:
     """Row counts of the registered tables: ({(schema, table): rows}, {(schema, table): error}).
 
-    Run now, as ONE scan over every folder with footer-sized splits, joined to
-    the run's manifest. Only if that job fails (say a file vanished after
+    Run now, from the files' footers. Only if that fails (say a file vanished after
     listing) are the tables counted one by one, so that the failure lands on
     its own table's report row.
     """
@@ -132,7 +130,7 @@ def _counts(
         return {}, {}
 
     def count(subset: list[TableDir]) -> list:
-        return row_counts(spark, root, subset, files).collect()
+        return footer_row_counts(spark, root, subset).collect()
 
     errors: dict[tuple[str, str], str] = {}
     with scoped_conf(spark, count_scan_conf(spark)):  # set once: threads below share the session
@@ -202,8 +200,7 @@ def publish_application(
     started_at = _now()
     run_id = uuid.uuid4().hex
     drop = tuple(drop)
-    # List the data files once per run: the per-file manifest feeds discovery
-    # now and the row-count join later (recomputed from the listing if lost).
+    # List the data files once for discovery: the table list is read from this manifest.
     dirs = table_dirs(spark, root)
     files = files_by_table(spark, root, dirs).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -273,7 +270,7 @@ def publish_application(
             done.add((r.schema_name, r.table_name))
         if verify_row_count:
             registered = [d for d in dirs if (d.schema_name, d.table_name) in done]
-            counts, count_errors = _counts(spark, root, registered, files, max_workers)
+            counts, count_errors = _counts(spark, root, registered, max_workers)
             for o in outcomes:
                 key = (o["schema_name"], o["table_name"])
                 if key in count_errors:

@@ -7,7 +7,7 @@ import uuid
 from conftest import SF_SMALL, plan_text, write_df
 
 from tablekeep import staging
-from tablekeep.operators.counts import row_counts, row_counts_by_path, rows_per_file
+from tablekeep.operators.counts import FOOTER_TABLES, footer_counts, footer_row_counts, footer_scan_conf, row_counts, row_counts_by_path, rows_per_file
 from tablekeep.session import count_scan_conf, manifest_scan_conf, scoped_conf
 from tablekeep.sources.layout import discover_tables, table_dirs
 from tablekeep.sources.manifest import file_manifest
@@ -115,3 +115,23 @@ def test_metadata_scans_get_large_splits(spark, base):
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "65536"
     assert big < small and big <= 2 * spark.sparkContext.defaultParallelism  # whole files bin-packed
     assert fewer < tasks
+
+
+def test_counts_from_footers(spark, base):
+    """The count is pushed into the scans; nested, hidden and partitioned files as in the row scan."""
+    root = staging.stage_archive(spark, SF_SMALL, base)
+    dirs = table_dirs(spark, root)
+    with scoped_conf(spark, footer_scan_conf(spark) | {"spark.sql.maxMetadataStringLength": "10000"}):
+        plan = plan_text(footer_counts(spark, [d.table_path for d in dirs]))
+    assert plan.count("PushedAggregation: [COUNT(*)]") == len(dirs)
+    whole = sorted(map(tuple, row_counts(spark, root).collect()))
+    assert sorted(map(tuple, footer_row_counts(spark, root).collect())) == whole and len(whole) == 8
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"  # the session is as before
+
+
+def test_counts_from_footers_of_many_tables(spark, base):
+    n = FOOTER_TABLES + 3
+    for i in range(n):
+        write_df(spark, [(j,) for j in range(i % 5)], "id int", f"{base}/r/parquet/T{i}.parquet/k={i}")
+    got = {r.table_name: r.row_count for r in footer_row_counts(spark, f"{base}/r").collect()}
+    assert got == {f"T{i}": i % 5 for i in range(n)}

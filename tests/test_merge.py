@@ -32,12 +32,12 @@ def test_merge_group_names_applications(spark, base):
 @pytest.mark.parametrize(
     "case, match",
     [
-        ("empty", "at least one"),
-        ("missing", "does not exist"),
-        ("not_parquet", "invalid Parquet path"),
+        ("empty", "at least"),
+        ("missing", "no folder at"),
+        ("not_parquet", "not a table folder"),
         ("duplicate", "given twice"),
         ("overlap", "overlapping"),
-        ("two_tables", "Discovered tables: A, ORDERS"),
+        ("two_tables", "one table, these are 2: A, ORDERS"),
     ],
 )
 def test_merge_group_rules(spark, base, case, match):
@@ -162,3 +162,23 @@ def test_empty_source_fails_the_group(spark, base):
     fs.mkdirs(spark, f"{base}/B/parquet/T.parquet")
     with pytest.raises(MissingDataFilesError, match="B/parquet/T.parquet"):
         merge_tables(spark, [a, f"{base}/B/parquet/T.parquet"])
+
+
+def test_disjoint_paths_are_found_by_their_neighbours():
+    import random
+    import time
+
+    from tablekeep.operators.merge import MergeGroupError, check_disjoint
+
+    rng = random.Random(1)
+    for _ in range(2000):
+        paths = ["/".join(rng.choice(["a", "a-", "a!", "b"]) for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(1, 4))]
+        clash = any(i != j and (p == q or q.startswith(p + "/")) for i, p in enumerate(paths) for j, q in enumerate(paths))
+        try:
+            check_disjoint(paths)
+            assert not clash
+        except MergeGroupError:
+            assert clash
+    many, begin = [f"/archive/app{i}/parquet/T.parquet" for i in range(10_000)], time.perf_counter()
+    check_disjoint(many)
+    assert time.perf_counter() - begin < 1

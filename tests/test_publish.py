@@ -135,14 +135,14 @@ def test_root_without_schemas(spark, base, prefix):
 def test_count_failure_isolated_to_its_table(spark, base, prefix, monkeypatch):
     """If the one count job fails, folders are counted one by one and only the
     failing table becomes an error row (the others keep their counts)."""
-    real = publish_mod.row_counts
+    real = publish_mod.footer_row_counts
 
-    def flaky(spark_, root_, dirs, files=None):
+    def flaky(spark_, root_, dirs):
         if len(dirs) > 1 or dirs[0].table_name == "NATION":
             raise RuntimeError("file vanished")
-        return real(spark_, root_, dirs, files)
+        return real(spark_, root_, dirs)
 
-    monkeypatch.setattr(publish_mod, "row_counts", flaky)
+    monkeypatch.setattr(publish_mod, "footer_row_counts", flaky)
     root = staging.stage_archive(spark, SF_SMALL, base)
     rows = _by_table(
         publish_application(spark, root, verify_row_count=True, database_prefix=prefix, database_location=base)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import time
 
 import pytest
 from conftest import SF_SMALL, write_df
@@ -23,7 +24,7 @@ def names_in(spark, db):
 
 
 def test_simultaneous_replaces_leave_a_readable_view(spark, base, prefix):
-    """4 threads x 25 rounds; a reader looks the view up all the while."""
+    """4 threads, ten rounds; a reader looks the view up all the while."""
     paths = [write_df(spark, [(i,)] * (i + 1), "id int", f"{base}/v{i}/parquet/T.parquet") for i in range(4)]
     schema = spark.read.parquet(paths[0]).schema
     view = f"{prefix}s.t"
@@ -36,6 +37,7 @@ def test_simultaneous_replaces_leave_a_readable_view(spark, base, prefix):
                 rows = [r.id for r in spark.table(view).collect()]
                 assert rows and len(rows) == rows[0] + 1
                 reads.append(rows[0])
+                time.sleep(0.05)
             except Exception as exc:  # noqa: BLE001 - shown below
                 failures.append(exc)
 
@@ -43,7 +45,7 @@ def test_simultaneous_replaces_leave_a_readable_view(spark, base, prefix):
     reader.start()
     versions = []
     try:
-        for _ in range(25):
+        for _ in range(10):
             done = parallel_map(spark, lambda p: register_table(spark, "s", "T", p, schema, database_prefix=prefix, database_location=base), paths, 4)
             assert not [r for r in done if isinstance(r, Exception)]
             assert len({r.version for r in done}) == 4
@@ -55,13 +57,13 @@ def test_simultaneous_replaces_leave_a_readable_view(spark, base, prefix):
     finally:
         stop.set()
         reader.join()
-    assert failures == [] and len(reads) > 20
-    assert sorted(versions) == list(range(2, 102))
+    assert failures == [] and len(reads) > 5
+    assert sorted(versions) == list(range(2, 42))
     (now,) = registered_tables(spark, [f"{prefix}s"]).collect()
-    assert now.version == 101
+    assert now.version == 41
     recover(spark, prefix, grace_seconds=0)
     states = {r.version: r.state for r in published_versions(spark, prefix).collect()}
-    assert len(states) == 101 and {v: s for v, s in states.items() if s != "dropped"} == {101: "served"}
+    assert len(states) == 41 and {v: s for v, s in states.items() if s != "dropped"} == {41: "served"}
     assert len(names_in(spark, f"{prefix}tablekeep_bases") - {"registry"}) == 1 and spark.table(view).count() >= 1
 
 
