@@ -67,21 +67,24 @@ def file_manifest(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
+def source_depths(sources: Sequence[str]) -> set[int]:
+    """The numbers of path parts that the sources have."""
+    return {s.count("/") + 1 for s in sources}
+
+
 def assign_sources(files: DataFrame, sources: Sequence[str], path_col: str = "file_path") -> DataFrame:
     """Tag each file with the requested folder it lies under (``source_path``).
 
-    Exact for any number of sources and any nesting depth: each file's ancestor
-    folders are generated and equi-joined to the source list, so no per-source
-    CASE chain is evaluated. Sources must not overlap (see ``merge_group``).
+    A file's path is cut at the depth of the sources and equi-joined to the
+    source list: one row a file goes into the join, or one for each distinct
+    depth where the sources lie at several. Sources must not overlap (see
+    ``merge_group``).
     """
     spark = files.sparkSession
     src = spark.createDataFrame([(s,) for s in sources], "source_path string")
-    segs = F.split(F.col(path_col), "/")
-    ancestors = F.transform(
-        F.sequence(F.lit(1), F.size(segs) - 1),
-        lambda i: F.array_join(F.slice(segs, 1, i), "/"),
-    )
-    return files.withColumn("source_path", F.explode(ancestors)).join(src, "source_path", "inner")
+    cuts = [F.substring_index(F.col(path_col), "/", depth) for depth in sorted(source_depths(sources))]
+    cut = cuts[0] if len(cuts) == 1 else F.explode(F.array_distinct(F.array(*cuts)))
+    return files.withColumn("source_path", cut).join(src, "source_path", "inner")
 
 
 def manifest_by_source(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
