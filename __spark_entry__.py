@@ -28,7 +28,7 @@ from tablekeep import staging  # noqa: E402
 from tablekeep.operators.counts import footer_row_counts, row_counts, row_counts_by_path
 from tablekeep.operators.merge import merge_group, merge_tables
 from tablekeep.operators.project import conform_types, describe_tables, drop_columns, parallel_map
-from tablekeep.operators.report import read_report, report_totals, run_history, write_report
+from tablekeep.operators.report import read_file_list, read_report, report_totals, run_history, write_report
 from tablekeep.plans.publish import publish_application, publish_merge
 from tablekeep.plans.registration import (
     plan_registration,
@@ -484,6 +484,55 @@ def q_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_history(reports).drop("last_run", "last_error")
 
 
+def _stage_years(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
+    """``orders`` by priority: 1-URGENT in ``order_year=`` folders alone, 2-HIGH in such folders except for
+    the F orders, which lie flat, the others without any folder; ``order_year`` is a date."""
+    orders = staging.read_table(spark, sf_dir, "orders")
+    year = F.trunc("o_orderdate", "year").alias("order_year")
+    one, two = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority") == "2-HIGH"
+    flat = F.col("o_orderstatus").eqNullSafe("F")
+    paths = {app: f"{base}/{app}/parquet/ORDERS.parquet" for app in ("years", "mixed", "flat")}
+    for app, rows in (("years", orders.filter(one)), ("mixed", orders.filter(two & ~flat))):
+        rows.select("*", year).repartition("order_year").write.partitionBy("order_year").parquet(paths[app])
+    staging.write_files(orders.filter(two & flat), f"{paths['mixed']}/rest")
+    staging.write_files(orders.filter(F.coalesce(~one & ~two, F.lit(True))), paths["flat"])
+    return paths
+
+
+def q_merge_mixed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O14 over sources whose key folders differ: the key is a date in each."""
+    base, _ = _ctx(spark, "merge_mixed_keys")
+    return merge_tables(spark, list(_stage_years(spark, sf_dir, base).values()))
+
+
+def q_scan_tables_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O5 over the same sources: one scan, with the key and the source label from the files' paths."""
+    base, _ = _ctx(spark, "scan_tables_partitioned")
+    apps = _stage_years(spark, sf_dir, base)
+    return scan_tables(spark, list(apps.values()), provenance={p: a for a, p in apps.items()})
+
+
+def q_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of every table in the file list of a run."""
+    base, prefix = _ctx(spark, "report_files")
+    root = staging.stage_archive(spark, sf_dir, base)
+    publish_application(spark, root, database_prefix=prefix, database_location=base, files_path=f"{base}/files")
+    files = read_file_list(spark, f"{base}/files")
+    return files.groupBy("schema_name", "table_name", "status").agg(F.countDistinct("file_path").alias("n_files"))
+
+
+def q_publish_only_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second publication after ORDERS has got its rows once more; what was replaced, with its rows."""
+    base, prefix = _ctx(spark, "only_changed")
+    root = staging.stage_archive(spark, sf_dir, base)
+    options = dict(replace_existing=True, verify_row_count=True, database_prefix=prefix, database_location=base, files_path=f"{base}/files")
+    publish_application(spark, root, **options)
+    orders = discover_tables(spark, root).filter("table_name = 'ORDERS'").first()
+    staging.write_files(staging.read_table(spark, sf_dir, "orders"), f"{orders.table_path}/again")
+    report = publish_application(spark, root, only_changed=True, **options)
+    return report.select("schema_name", "table_name", "status", "action", "row_count")
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -562,6 +611,10 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replace_at_once": q_replace_at_once,
         "row_counts_footers": q_row_counts_footers,
         "run_history": q_run_history,
+        "merge_mixed_keys": q_merge_mixed_keys,
+        "scan_tables_partitioned": q_scan_tables_partitioned,
+        "report_files": q_report_files,
+        "publish_only_changed": q_publish_only_changed,
     }
 
 
@@ -580,6 +633,13 @@ SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey,
 FROM lineitem
 """
 
+_KEYED_ORDERS = """
+SELECT *, CASE WHEN o_orderpriority = '1-URGENT' OR (o_orderpriority = '2-HIGH' AND coalesce(o_orderstatus, '') <> 'F')
+       THEN CAST(date_trunc('year', o_orderdate) AS DATE) END AS order_year,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'years' WHEN '2-HIGH' THEN 'mixed' ELSE 'flat' END AS source_application
+FROM orders
+"""
+
 # Staged archive layout: (schema, TABLE, driver table, columns).
 _ARCHIVE = [
     ("archive", "REGION", "region", 2),
@@ -800,6 +860,16 @@ def core_oracles() -> dict[str, str]:
             "UNION ALL SELECT 'ORDERS__V1', 3, 'success', 'replace', count(*) FROM orders WHERE o_orderstatus = 'F'"
         ),
         "replace_at_once": "SELECT * FROM orders",
+        "merge_mixed_keys": _KEYED_ORDERS,
+        "scan_tables_partitioned": _KEYED_ORDERS,
+        "report_files": (
+            f"SELECT schema_name, table_name, 'success' AS status, count(*) AS n_files FROM ({_manifest_sql()}) GROUP BY ALL"
+        ),
+        "publish_only_changed": (
+            "SELECT schema_name, table_name, CASE table_name WHEN 'EMPTY' THEN 'error' WHEN 'ORDERS' THEN 'success' ELSE 'skipped' END AS status, "
+            "CASE table_name WHEN 'EMPTY' THEN NULL WHEN 'ORDERS' THEN 'replace' ELSE 'skip' END AS action, "
+            f"CASE table_name WHEN 'ORDERS' THEN 2 * row_count END AS row_count FROM ({_row_counts_sql()})"
+        ),
         "row_counts_footers": _row_counts_sql(),
         "run_history": (
             "SELECT *, CAST(2 AS BIGINT) AS n_runs, CAST(CASE WHEN row_count IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_success, "

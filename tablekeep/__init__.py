@@ -12,7 +12,10 @@ from .operators import (
     describe_tables,
     drop_columns,
     footer_row_counts,
+    changed_tables,
     load_report,
+    published_files,
+    read_file_list,
     merge_group,
     merge_tables,
     read_report,
@@ -45,7 +48,10 @@ __all__ = [
     "describe_tables",
     "drop_columns",
     "footer_row_counts",
+    "changed_tables",
     "load_report",
+    "published_files",
+    "read_file_list",
     "merge_group",
     "merge_tables",
     "read_report",

@@ -35,10 +35,12 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--report-dir", help="folder to write the JSON report into")
         sp.add_argument("--report-format", choices=("rows", "document"), default="rows",
                         help="JSON lines (one per table) or one nested JSON document")
+        sp.add_argument("--files-dir", help="dataset to append the run's file list to")
         sp.add_argument("--workers", type=int, default=8, help="tables (or sources) handled concurrently")
 
     pub = sub.add_parser("publish", help="publish every table of an application root")
     pub.add_argument("root")
+    pub.add_argument("--only-changed", action="store_true", help="replace only tables whose files differ from the last list")
     common(pub)
     mer = sub.add_parser("merge", help="publish one table merged from several applications")
     mer.add_argument("paths", nargs="+", help="<application>/parquet/<TABLE>.parquet folders")
@@ -69,9 +71,10 @@ def main(argv: list[str] | None = None) -> int:
         database_location=args.database_location,
         report_path=args.report_dir,
         report_format=args.report_format,
+        files_path=args.files_dir,
     )
     if args.mode == "publish":
-        report = publish_application(spark, args.root, max_workers=args.workers, **kw)
+        report = publish_application(spark, args.root, max_workers=args.workers, only_changed=args.only_changed, **kw)
     else:
         report = publish_merge(
             spark, args.paths, args.target_schema, on_conflict=args.on_conflict, max_workers=args.workers, **kw

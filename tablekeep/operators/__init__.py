@@ -3,7 +3,7 @@
 from .counts import footer_row_counts, row_counts, row_counts_by_path, rows_per_file
 from .merge import align_schemas, merge_group, merge_sources, merge_tables
 from .project import ARCHIVE_COLUMNS, conform_types, describe_tables, drop_columns
-from .report import load_report, read_report, report_totals, run_history, write_report
+from .report import changed_tables, load_report, published_files, read_file_list, read_report, report_totals, run_history, write_report
 
 __all__ = [
     "footer_row_counts",
@@ -18,7 +18,10 @@ __all__ = [
     "conform_types",
     "describe_tables",
     "drop_columns",
+    "changed_tables",
     "load_report",
+    "published_files",
+    "read_file_list",
     "read_report",
     "report_totals",
     "run_history",

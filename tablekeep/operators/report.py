@@ -3,6 +3,11 @@
 The report is a flat DataFrame with one row per table instead of a nested
 document: status ``success`` / ``skipped`` / ``error``, why, file and column
 counts, the optional row count, and for merged tables the sources.
+
+The files that a run found are a dataset of their own (``write_file_list``),
+one row a file, partitioned by run: they are written by the tasks that listed
+them and never come to the driver. ``changed_tables`` compares a listing with
+the one of each table's last publication.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ PROCESS_MERGE = "External Table Creation - Merge Applications"
 MERGED_SCHEMA_PATH = "Merged Applications"
 SKIP_REASON_EXISTS = "Table already exists and replace_existing is false"
 NO_FILES_MESSAGE = "Parquet files not found in {path}"
+SKIP_REASON_UNCHANGED = "Files unchanged since the table was published"
 REPORT_NAME_TIME_FORMAT = "%d-%m-%Y_%H-%M-%S"
 RUN_TIME_FORMAT = "%Y-%m-%d %H:%M:%S"
 
@@ -156,6 +162,64 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REPORT_SCHEMA).json(path)
 
 
+#: One row a file of a run's file list; ``status`` is that of its table in the run.
+FILE_LIST_SCHEMA = (
+    "schema_name string, table_name string, table_path string, file_path string, n_bytes long, "
+    "modified_at timestamp, status string, listed_at timestamp, run_id string"
+)
+_TABLE_KEY = ["schema_name", "table_name", "table_path"]
+
+
+def write_file_list(files: DataFrame, outcomes: Iterable[Mapping], folder: str) -> None:
+    """Append the run's files (schema_name, table_name, table_path, file_path, n_bytes, modified_at) to ``folder``.
+
+    ``outcomes`` are the run's finished report rows; files of tables without one are left out.
+    """
+    rows = [(o["schema_name"], o["table_name"], o["status"], o["started_at"], o["run_id"]) for o in outcomes]
+    known = files.sparkSession.createDataFrame(rows, "schema_name string, table_name string, status string, listed_at timestamp, run_id string")
+    listed = files.join(known, ["schema_name", "table_name"])
+    names = [f.split()[0] for f in FILE_LIST_SCHEMA.split(", ")]
+    listed.select(*names).write.mode("append").partitionBy("run_id").parquet(folder)
+
+
+def read_file_list(spark: SparkSession, folder: str) -> DataFrame:
+    """The file lists of all runs below ``folder``; empty where none has been written."""
+    if not fs.is_dir(spark, folder):
+        return spark.createDataFrame([], FILE_LIST_SCHEMA)
+    return spark.read.schema(FILE_LIST_SCHEMA).parquet(folder)
+
+
+def published_files(lists: DataFrame) -> DataFrame:
+    """Of all file lists, the files that each table had when it was last published with success."""
+    done = lists.filter("status = 'success'")
+    last = done.groupBy(*_TABLE_KEY).agg(F.max(F.struct("listed_at", "run_id")).alias("last"))
+    last = last.select(*_TABLE_KEY, F.col("last.run_id").alias("run_id"))
+    return done.join(last, [*_TABLE_KEY, "run_id"], "left_semi")
+
+
+def changed_tables(files: DataFrame, published: DataFrame) -> DataFrame:
+    """One row for every table of ``files``: (schema_name, table_name, table_path, n_added, n_removed, n_changed).
+
+    Files are matched by path, and changed when their size or time differs. The join is on the whole path, so a
+    table with very many files is spread over all tasks, and the counts are combined before they are shuffled.
+    """
+    key = [*_TABLE_KEY, "file_path"]
+    now = files.select(*key, F.struct("n_bytes", "modified_at").alias("now"))
+    then = published.select(*key, F.struct("n_bytes", "modified_at").alias("then"))
+    return (
+        now.join(then, key, "full")
+        .groupBy(*_TABLE_KEY)
+        .agg(
+            F.count_if(F.col("then").isNull()).alias("n_added"),
+            F.count_if(F.col("now").isNull()).alias("n_removed"),
+            F.count_if(F.col("now") != F.col("then")).alias("n_changed"),
+            F.count("now").alias("n_now"),
+        )
+        .filter("n_now > 0")
+        .drop("n_now")
+    )
+
+
 def _stamp(value) -> str | None:
     return value.strftime(RUN_TIME_FORMAT) if value is not None else None
 
@@ -164,9 +228,10 @@ def report_document(report: DataFrame) -> dict:
     """The report as one nested document: run fields, totals, schemas -> tables.
 
     Shaped like the archive tool's run report, with its key names plus our own (``run_id``, ``catalog_table``,
-    ``parquet_bytes``, ``version``, ``total_tables_skipped``). File lists are
-    left out: a table may have millions of files. The report has one row per
-    table, so it is read to the driver whole.
+    ``parquet_bytes``, ``version``, ``total_tables_skipped``). The files of a
+    table, of which there may be millions, are in the run's file list
+    (``write_file_list``) under the same ``run_id``. The report has one row
+    per table, so it is read to the driver whole.
     """
     rows = report.orderBy("schema_name", "table_name").collect()
     doc: dict = {}

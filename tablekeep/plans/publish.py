@@ -18,6 +18,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import astuple
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
@@ -34,16 +35,22 @@ from ..operators.report import (
     PROCESS_APPLICATION,
     PROCESS_MERGE,
     SKIP_REASON_EXISTS,
+    SKIP_REASON_UNCHANGED,
+    changed_tables,
     error_text,
     load_report,
     outcome,
+    published_files,
+    read_file_list,
+    write_file_list,
     write_report,
     write_report_document,
 )
 from ..functions.types import quote
 from ..session import count_scan_conf, manifest_scan_conf, scoped_conf
-from ..sources.layout import TableDir, discover_tables, files_by_table, table_dirs
-from ..sources.manifest import require_files
+from ..sources import fs
+from ..sources.layout import TABLE_DIR_SCHEMA, TableDir, discover_tables, files_by_table, table_dirs
+from ..sources.manifest import manifest_by_source, require_files
 from .registration import NotManagedError, ensure_database, plan_registration, register_merged, register_table
 
 
@@ -95,6 +102,8 @@ def _finish(
     source_root: str | None,
     started_at: datetime,
     report_format: str = "rows",
+    files: DataFrame | None = None,
+    files_path: str | None = None,
 ) -> DataFrame:
     """Stamp the run and build the report.
 
@@ -105,6 +114,9 @@ def _finish(
     finished_at = _now()
     for o in outcomes:
         o.update(source_root=source_root, started_at=started_at, finished_at=finished_at)
+    if files_path and outcomes:
+        with scoped_conf(spark, manifest_scan_conf(spark)):
+            write_file_list(files, outcomes, files_path)
     report = load_report(spark, outcomes)
     if report_path and outcomes:  # like the archive tool: no report when nothing was processed
         if report_format == "document":
@@ -177,6 +189,13 @@ def _compare_views(spark: SparkSession, published: list[dict], max_workers: int
             o.update(status="error", error_message=f"the published table has {got[i]} rows, its files have {o['row_count']}")
 
 
+def _unchanged(spark: SparkSession, files: DataFrame, files_path: str) -> set[str]:
+    """Table folders whose files are those of their last publication (one row a table comes to the driver)."""
+    changes = changed_tables(files, published_files(read_file_list(spark, files_path)))
+    with scoped_conf(spark, manifest_scan_conf(spark)):
+        return {r.table_path for r in changes.filter("n_added + n_removed + n_changed = 0").select("table_path").collect()}
+
+
 def publish_application(
     spark: SparkSession,
     root: str,
@@ -190,13 +209,21 @@ def publish_application(
     database_prefix: str = "",
     report_path: str | None = None,
     report_format: str = "rows",
+    files_path: str | None = None,
+    only_changed: bool = False,
     max_workers: int = 8,
 ) -> DataFrame:
     """Publish every table of an application root; returns the report.
 
     ``report_path`` writes the report there: ``report_format="rows"`` as JSON
     lines (one per table), ``"document"`` as one nested JSON document.
+    ``files_path`` appends the run's file list there (``read_file_list``).
+    ``only_changed`` replaces, of the tables that exist, only those whose files
+    differ from the ones they were last published with according to the lists
+    in ``files_path``; the others are skipped, whatever the other arguments are.
     """
+    if only_changed and not (files_path and replace_existing):
+        raise ValueError("only_changed needs files_path and replace_existing")
     started_at = _now()
     run_id = uuid.uuid4().hex
     drop = tuple(drop)
@@ -212,6 +239,9 @@ def publish_application(
         plan = plan_registration(
             spark, discovered, replace_existing=replace_existing, database_prefix=database_prefix, on_collision="mark"
         ).collect()
+        listed_dirs = spark.createDataFrame([astuple(d) for d in dirs], TABLE_DIR_SCHEMA)
+        run_files = files.join(listed_dirs, ["schema_dir", "table_dir"])
+        unchanged = _unchanged(spark, run_files, files_path) if only_changed else set()
         # Every discovered schema gets its database first, as the archive tool
         # creates each schema before its tables (even if they all fail).
         for db in sorted({r.catalog_database for r in plan}):
@@ -236,6 +266,8 @@ def publish_application(
                 outcomes.append(outcome(**base, status="error", error_message=NO_FILES_MESSAGE.format(path=r.table_path)))
             elif r.action == "skip":
                 outcomes.append(outcome(**base, status="skipped", action="skip", skip_reason=SKIP_REASON_EXISTS))
+            elif r.action == "replace" and r.table_path in unchanged:
+                outcomes.append(outcome(**base, status="skipped", action="skip", skip_reason=SKIP_REASON_UNCHANGED))
             else:
                 todo.append((r, base))
 
@@ -282,7 +314,8 @@ def publish_application(
             _log_outcome(o)
         log.info("published %s: %d table(s)", root, len(outcomes))
         return _finish(
-            spark, outcomes, report_path, source_root=root, started_at=started_at, report_format=report_format
+            spark, outcomes, report_path, source_root=root, started_at=started_at, report_format=report_format,
+            files=run_files, files_path=files_path,
         )
     finally:
         files.unpersist()
@@ -304,12 +337,14 @@ def publish_merge(
     database_prefix: str = "",
     report_path: str | None = None,
     report_format: str = "rows",
+    files_path: str | None = None,
     max_workers: int = 8,
 ) -> DataFrame:
     """Publish one merged table; the report has exactly one row.
 
     An invalid merge group (O13) raises before anything is registered; a
-    failure after validation is an ``error`` row.
+    failure after validation is an ``error`` row. ``files_path`` appends the
+    list of all sources' files there.
     """
     started_at = _now()
     sources = merge_sources(spark, paths)
@@ -318,8 +353,14 @@ def publish_merge(
 
     def finish(row: dict) -> DataFrame:
         _log_outcome(row)
+        files = None
+        if files_path:
+            found = [p for p in qualified if fs.is_dir(spark, p)]
+            files = manifest_by_source(spark, found).withColumnRenamed("source_path", "table_path")
+            files = files.withColumns({"schema_name": F.lit(target_schema), "table_name": F.lit(table_name)})
         return _finish(
-            spark, [row], report_path, source_root=None, started_at=started_at, report_format=report_format
+            spark, [row], report_path, source_root=None, started_at=started_at, report_format=report_format,
+            files=files, files_path=files_path,
         )
 
     base = dict(

@@ -259,3 +259,43 @@ def test_publish_merge_reconciles_types_as_text(spark, base, prefix):
     assert (row.status, row.row_count) == ("success", 1500)
     assert "o_custkey TEXT" in row.columns
     assert dict(spark.table(f"{prefix}merged.orders").dtypes)["o_custkey"] == "string"
+
+
+def test_only_changed_tables_are_published_again(spark, base, prefix):
+    from tablekeep.operators.report import SKIP_REASON_UNCHANGED, read_file_list
+
+    root, lists = f"{base}/shop", f"{base}/files"
+    paths = {t: f"{root}/parquet/{t}.parquet" for t in ("SAME", "MORE", "LESS", "BAD", "REWRITTEN")}
+    for t, path in paths.items():
+        for part in "ab":
+            write_df(spark, [(1,)], "id long", f"{path}/{part}")
+    fs.write_text(spark, f"{paths['BAD']}/junk.parquet", "junk")
+    options = dict(replace_existing=True, verify_row_count=True, database_prefix=prefix, database_location=base, files_path=lists)
+    first = _by_table(publish_application(spark, root, only_changed=True, **options))
+    assert {t: r.status for (_, t), r in first.items()} == {t: "error" if t == "BAD" else "success" for t in paths}
+    again = _by_table(publish_application(spark, root, only_changed=True, **options))
+    assert {t for (_, t), r in again.items() if r.skip_reason == SKIP_REASON_UNCHANGED} == set(paths) - {"BAD"}
+    assert again[("shop", "BAD")].status == "error"  # never published, so never unchanged
+
+    write_df(spark, [(2,)], "id long", f"{paths['MORE']}/c")
+    fs.delete_file(spark, [e.path for e in fs.children(spark, f"{paths['LESS']}/b") if e.path.endswith(".parquet")][0])
+    write_df(spark, [(5,)], "id long", f"{paths['REWRITTEN']}/a")
+    third = _by_table(publish_application(spark, root, only_changed=True, **options))
+    assert {t: (r.status, r.row_count) for (_, t), r in third.items() if t != "BAD"} == {
+        "SAME": ("skipped", None), "MORE": ("success", 3), "LESS": ("success", 1), "REWRITTEN": ("success", 2)
+    }
+    lists_of = read_file_list(spark, lists)
+    assert lists_of.select("run_id").distinct().count() == 3
+    assert lists_of.filter("table_name = 'MORE'").groupBy("listed_at").count().orderBy("listed_at").toPandas()["count"].tolist() == [2, 2, 3]
+    with pytest.raises(ValueError, match="files_path"):
+        publish_application(spark, root, only_changed=True)
+
+
+def test_file_list_of_a_merge(spark, base, prefix):
+    from tablekeep.operators.report import read_file_list
+
+    paths = [write_df(spark, [(i,)], "id long", f"{base}/a{i}/parquet/T.parquet") for i in range(2)]
+    report = publish_merge(spark, paths, "m", database_prefix=prefix, database_location=base, files_path=f"{base}/files")
+    rows = read_file_list(spark, f"{base}/files").collect()
+    assert {(r.schema_name, r.table_name, r.status, r.run_id) for r in rows} == {("m", "T", "success", report.first().run_id)}
+    assert sorted(r.table_path for r in rows) == sorted(fs.qualify(spark, p) for p in paths)
