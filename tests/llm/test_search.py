@@ -48,6 +48,13 @@ def test_spans_against_brute_force(spark, odd_texts):
     assert secret_scan.scan_secrets(docs.limit(0)).collect() == []
 
 
+def test_very_many_matches_in_one_text(spark):
+    word = "password=" + "x" * 8 + " é "
+    texts = [word * n for n in (511, 512, 513, 1024, 1025, 30_000)] + [("token=short " + word) * 900]
+    got = secret_scan.scan_secrets(frame(spark, texts)).select("doc_id", secret_scan.span_text(F.col("found")).alias("s")).collect()
+    assert {r["doc_id"]: r["s"] for r in got} == dict(enumerate(map(brute_spans, texts)))
+
+
 def test_query_matches_brute_force(spark):
     texts = {r["doc_id"]: r["text"] for r in read_table(spark, SF, "documents").collect()}
     for r in Q.QUERIES["op4_secrets"](spark, SF).collect():
@@ -63,19 +70,112 @@ def test_own_rules_add_spans(spark):
 
 
 def test_trigram_queries_and_postings(spark):
-    rules = {r.kind: r for r in secret_scan.RULES}
+    rules = {r.kind: r.pattern for r in secret_scan.RULES}
     assert secret_scan.trigram_query(rules["hex"]) == []
     assert ["ken", "oke", "tok"] in secret_scan.trigram_query(rules["assign"])
     docs = frame(spark, ["a ToKeN", "tok", "tokken oke", "none"])
     index = secret_scan.postings(docs.select("doc_id", "text"), ["ken", "oke", "tok"])
     assert {(r["trigram"], tuple(r["ids"])) for r in index.collect()} == {("tok", (0, 1, 2)), ("oke", (0, 2)), ("ken", (0, 2))}
-    got = {r["doc_id"] for r in secret_scan.candidates(index, [secret_scan.Rule("t", "token", (("token",),))]).collect()}
+    got = {r["doc_id"] for r in secret_scan.candidates(index, [secret_scan.Rule("t", "token")]).collect()}
     assert got == {0, 2}  # doc 2 has all trigrams but not the word: a candidate that verification drops
 
 
+@pytest.mark.parametrize(
+    ("pattern", "query"),
+    [
+        ("abcd", [["abc", "bcd"]]),
+        ("(?i)ABC", [["abc"]]),
+        ("abc|xyz", [["abc"], ["xyz"]]),
+        ("abc|x", []),  # one branch asks for nothing
+        ("ab?cd", [["abc", "bcd"], ["acd"]]),
+        ("a[bc]d", [["abd"], ["acd"]]),
+        ("abc[a-z]def", [["abc", "def"]]),
+        ("abc.*", [["abc"]]),
+        ("(?:abc)*xyz", [["xyz"]]),
+        ("(?:ab){2}", [["aba", "bab"]]),
+        ("[0-9]+ab(?=c)cd", [["abc", "bcd"]]),
+        ("(foo).\\1bar", [["bar", "foo"]]),
+        ("\u00e9abc\u00c9", [["abc"]]),
+        ("[a-z&&[^b]]abc", []),  # the JVM's own syntax: nothing is taken for granted
+        ("\\p{L}abc", []),
+        ("(?iu)abcd", []),
+    ],
+)
+def test_queries_derived_from_patterns(pattern, query):
+    assert secret_scan.trigram_query(pattern) == query
+
+
+def random_pattern(rng, depth=0):
+    """(pattern, sampler of texts that it matches)"""
+    kind = rng.choice(["text", "class", "any", "digits"] if depth > 2 else ["text", "class", "any", "cat", "cat", "alt", "alt", "opt", "star", "plus", "count", "case"])
+    if kind == "text":
+        word = "".join(rng.choice("abcKLM_ ") for _ in range(rng.randint(1, 4)))
+        return re.escape(word), lambda: word
+    if kind == "class":
+        signs = rng.choice(["ab", "xyz", "abcdefgh", "Q"])
+        return f"[{signs}]", lambda: rng.choice(signs)
+    if kind == "any":
+        return ".", lambda: rng.choice("ab\u00c9z0")
+    if kind == "digits":
+        return r"\d+", lambda: str(rng.randint(0, 999))
+    parts = [random_pattern(rng, depth + 1) for _ in range(rng.randint(2, 4))]
+    first, sample = parts[0]
+    if kind == "cat":
+        return "".join(f"(?:{p})" for p, _ in parts), lambda: "".join(s() for _, s in parts)
+    if kind == "alt":
+        return "(?:" + "|".join(p for p, _ in parts) + ")", lambda: rng.choice(parts)[1]()
+    if kind == "opt":
+        return f"(?:{first})?", lambda: sample() if rng.random() < 0.5 else ""
+    if kind == "case":
+        return f"(?i:{first})", lambda: rng.choice([str.upper, str.lower])(sample()) if sample().isascii() else sample()
+    low = {"star": 0, "plus": 1, "count": 2}[kind]
+    mark = {"star": "*", "plus": "+", "count": "{2,5}"}[kind]
+    return f"(?:{first}){mark}", lambda: "".join(sample() for _ in range(rng.randint(low, 5)))
+
+
+def test_every_match_satisfies_the_derived_query():
+    rng = random.Random(11)
+    tried = asked = 0
+    for _ in range(4000):
+        pattern, sample = random_pattern(rng)
+        query = secret_scan.trigram_query(pattern)
+        for _ in range(5):
+            text = "zz" + sample() + "zz"
+            if re.search(pattern, text, re.S):
+                tried += 1
+                found = set(secret_scan.trigrams(text.lower()))
+                assert not query or any(set(branch) <= found for branch in query), (pattern, text, query)
+        asked += bool(query)
+    assert tried > 15_000 and asked > 500
+
+
+def test_other_rules_lose_no_match(spark):
+    """Whole scan with rules given as patterns only, against a plain search of every text."""
+    rng = random.Random(12)
+    rules, samples = [], []
+    while len(rules) < 6:
+        pattern, sample = random_pattern(rng)
+        if secret_scan.trigram_query(pattern) and not re.search(pattern, ""):
+            rules.append(secret_scan.Rule(f"r{len(rules)}", pattern))
+            samples.append(sample)
+    texts = ["".join(rng.choice(samples)() + rng.choice(["", " ", "-"]) for _ in range(rng.randint(0, 4))) for _ in range(120)]
+    got = secret_scan.scan_secrets(frame(spark, texts), tuple(rules)).select("doc_id", F.expr("transform(found, s -> concat_ws(':', s.kind, s.start, s.end))").alias("s")).collect()
+    want = {i: sorted(f"{r.kind}:{m.start()}:{m.end()}" for r in rules for m in re.finditer(r.pattern, t)) for i, t in enumerate(texts)}
+    assert {r["doc_id"]: sorted(r["s"]) for r in got} == want and any(want.values())
+
+
 def test_secret_scan_stays_in_the_jvm(spark):
-    plan = secret_scan.scan_secrets(frame(spark, ["a"]))._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    docs = frame(spark, ["a"])
+    index = secret_scan.candidates(secret_scan.postings(docs, ["tok"]), [secret_scan.Rule("t", "tok")])
+    for df in (index, secret_scan.scan_secrets(docs)):
+        plan = df._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_texts_are_not_shuffled_for_few_candidates(spark):
+    docs = read_table(spark, SF, "documents")
+    plan = secret_scan.scan_secrets(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
 def brute_nearest(rows, queries, k):
