@@ -225,10 +225,12 @@ def trigram_query(pattern: str) -> list[list[str]]:
 def postings(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     """(trigram, block, ids): sorted ids of the documents of a block that contain the trigram."""
     low = F.lower(F.col("text"))
-    present = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in vocabulary]))
-    # in a projection of its own, so that a text is lower-cased once and not for every trigram
-    rows = docs.filter("doc_id IS NOT NULL").select("doc_id", present.alias("present")).filter(F.size("present") > 0)
-    rows = rows.select("doc_id", F.explode("present").alias("trigram"))
+    present = F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in vocabulary])
+    # A projection of its own and no function with a lambda over the array, so that generated code lower-cases a
+    # text once and not for every trigram; and the outer form, as Spark would else put a filter on the array below
+    # the projection and make the array twice.
+    rows = docs.filter("doc_id IS NOT NULL").select("doc_id", present.alias("present"))
+    rows = rows.select("doc_id", F.explode_outer("present").alias("trigram")).filter("trigram IS NOT NULL")
     block = F.floor(F.col("doc_id") / BLOCK).cast("long")
     return rows.groupBy("trigram", block.alias("block")).agg(F.array_sort(F.collect_set("doc_id")).alias("ids"))
 
