@@ -44,8 +44,90 @@ def test_toxic_stems_are_learned():
     assert fresh[0] >= 0.5 > fresh[1] and fresh[2] == fresh[3] < 0.5
 
 
-def test_attention_gradient_matches_differences():
-    """One Adam step from a fixed start moves against the numeric gradient of the loss."""
+def sigmoid(x):
+    return 1 / (1 + np.exp(-x))
+
+
+def plain_quality(p, passages):
+    """Score of one document, passage by passage."""
+    codes = [np.tanh(x @ p["W"] + p["b"]) for x in passages]
+    power = np.array([p["a"] @ (np.tanh(h @ p["V"]) * sigmoid(h @ p["U"])) for h in codes])
+    share = np.exp(power) / np.exp(power).sum()
+    return sigmoid(sum(s * h for s, h in zip(share, codes)) @ p["c"] + p["d"][0])
+
+
+def plain_toxicity(p, words):
+    """Logit of one document, filter by filter and window by window; past its words there are empty ones."""
+    vectors = [p["E"][row].sum(0) for row in words] or [np.zeros(toxicity.WIDTH)]
+    total, n = p["d"][0], 0
+    for k in toxicity.SPANS:
+        for f in range(toxicity.FILTERS):
+            windows = [sum(vectors[i + j] @ p[f"W{k}"][j][:, f] for j in range(k) if i + j < len(vectors)) for i in range(len(vectors))]
+            total, n = total + p["c"][n] * max(0, max(windows) + p[f"b{k}"][f]), n + 1
+    return total
+
+
+def check_first_step(fit, loss, rate, seed):
+    """The first Adam step from the start goes by ``rate`` against the sign of each derivative; derivatives are
+    central differences of a plain loss in double precision, for entries of every parameter. Returns how many."""
+    start, moved = (fit(epochs).p for epochs in (0, 1))
+    rng, checked = np.random.default_rng(seed), {}
+    for name in start:
+        if name == "known":
+            continue
+        for at in rng.permutation(start[name].size)[:60]:
+            sides = []
+            for move in (1e-5, -1e-5):
+                p = {k: x.astype(np.float64) if k != "known" else x for k, x in start.items()}
+                p[name].flat[at] += move
+                sides.append(loss(p))
+            slope = (sides[0] - sides[1]) / 2e-5
+            if abs(slope) > 1e-5:
+                step = float(moved[name].flat[at]) - float(start[name].flat[at])
+                assert step == pytest.approx(-rate * np.sign(slope), rel=0.15), (name, at, slope)
+                checked[name] = checked.get(name, 0) + 1
+    return checked
+
+
+def test_quality_gradient_and_plain_scorer():
+    rng = np.random.default_rng(1)
+    bags = [rng.random((k, quality.DIMS)).astype(np.float32) for k in (1, 3, 2, 5)]
+    y = np.array([1, 0, 1, 0])
+    wide = [b.astype(np.float64) for b in bags]
+
+    def loss(p):
+        s = np.array([plain_quality(p, b) for b in wide])
+        return -np.mean(y * np.log(s) + (1 - y) * np.log(1 - s)) + 0.5e-4 * (p["W"] ** 2).sum()
+
+    checked = check_first_step(lambda epochs: quality.fit(bags, y, epochs=epochs, batch=4), loss, 0.0044, 2)
+    assert set(checked) == {"W", "b", "V", "U", "a", "c", "d"} and sum(checked.values()) > 100
+    model = quality.fit(bags, y, epochs=3, batch=2)
+    texts = pa.array(["one two three", None, "", "word " * 700, "x" * 9000])
+    x, counts = quality.passage_features(texts)
+    want = [plain_quality(model.p, b) for b in np.split(x, np.cumsum(counts)[:-1])]
+    assert np.allclose(model.score(texts), want, atol=1e-5)
+
+
+def test_toxicity_gradient_and_plain_scorer():
+    rng = np.random.default_rng(4)
+    bags = [rng.integers(0, 25, (n, len(toxicity.PARTS))) for n in (7, 1, 12, 30, 4, 9, 15, 2, 40, 22, 5, 3)]
+    y = np.arange(12) % 3 == 0
+    weight = np.where(y, 2.0, 1.0)
+
+    def loss(p):
+        s = sigmoid(np.array([plain_toxicity(p, p["known"][b]) for b in bags]))
+        return -np.mean(weight * (y * np.log(s) + (1 - y) * np.log(1 - s))) + 0.5e-4 * (p["c"] ** 2).sum() + 1e-5 * (p["E"] ** 2).sum()
+
+    checked = check_first_step(lambda epochs: toxicity.fit(bags, y.astype(int), epochs=epochs, batch=12), loss, 0.011, 5)
+    assert {"E", "W1", "W2", "W3", "c", "d"} <= set(checked) and sum(checked.values()) > 150
+    model = toxicity.fit(bags, y.astype(int), epochs=2, batch=4)
+    texts = pa.array(["one two three", None, "", "word other " * 50, "Zz"])
+    ids, counts = toxicity.word_ids(texts)
+    want = [sigmoid(plain_toxicity(model.p, model.p["known"][b])) for b in np.split(ids, np.cumsum(counts)[:-1])]
+    assert np.allclose(model.score(texts), want, atol=1e-5)
+
+
+def test_attention_learns_a_few_bags():
     rng = np.random.default_rng(1)
     bags = [rng.random((k, quality.DIMS)).astype(np.float32) for k in (1, 3, 2)]
     y = np.array([1, 0, 1], np.float32)
