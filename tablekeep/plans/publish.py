@@ -51,6 +51,7 @@ from ..session import count_scan_conf, manifest_scan_conf, scoped_conf
 from ..sources import fs
 from ..sources.layout import TABLE_DIR_SCHEMA, TableDir, discover_tables, files_by_table, table_dirs
 from ..sources.manifest import manifest_by_source, require_files
+from ..sources.scan import table_layouts
 from .registration import NotManagedError, ensure_database, plan_registration, register_merged, register_table
 
 
@@ -271,6 +272,10 @@ def publish_application(
             else:
                 todo.append((r, base))
 
+        # The one listing also gives the layouts, with the same jobs for any number of tables.
+        below = F.expr("substring(file_path, length(table_path) + 2)").alias("below")
+        layouts = table_layouts(spark, run_files.select("table_path", below)) if todo else {}
+
         def publish_one(item):
             r, _ = item
             spark.sparkContext.setJobDescription(f"tablekeep publish {r.schema_name}.{r.table_name}")
@@ -284,6 +289,7 @@ def publish_application(
                 drop=drop,
                 database_location=database_location,
                 database_prefix=database_prefix,
+                layout=layouts.get(r.table_path),
             )
 
         done: set[tuple[str, str]] = set()

@@ -349,16 +349,18 @@ def register_table(
     drop: Iterable[str] = ARCHIVE_COLUMNS,
     database_location: str | None = None,
     database_prefix: str = "",
+    layout: Layout | None = None,
 ) -> Registration:
     """O17 (and O18 when the table exists): publish one table folder.
 
     ``schema`` is the folder's merged schema when already known (saves a footer
-    job). Either way the folder must hold data files: a catalog table over a
+    job), ``layout`` the folder's (saves its listing). Either way the folder must hold data files: a catalog table over a
     missing or empty location would silently read zero rows (trap T4).
     """
     check_policy(policy, mapping)
     path = fs.qualify(spark, table_path)
-    layout = table_layout(spark, path) if fs.is_dir(spark, path) else Layout()
+    if layout is None:
+        layout = table_layout(spark, path) if fs.is_dir(spark, path) else Layout()
     if schema is None or layout.mixed:
         files = scan_files(spark, path, layout).schema  # fails on a missing or file-less folder
         schema = scan_table(spark, path, layout).schema if layout.mixed else files

@@ -89,40 +89,44 @@ KEY_TYPES = {
 }
 
 
-def key_levels(spark: SparkSession, files: DataFrame) -> tuple[list[list[str]], dict[str, str]]:
-    """The distinct sequences of folder names and the type of every key, for files with their path ``below``
-    the table folder: key names and ``/`` for other folders.
+def table_layouts(spark: SparkSession, files: DataFrame) -> dict[str, Layout]:
+    """The layout of every table folder among ``files``: (table_path, below), a file's path below its table folder.
 
-    Aggregates over the listing: the driver gets one row for each distinct
-    sequence and one for each key, never one for each file.
+    Aggregates over the listing, the same two for any number of tables: the
+    driver gets one row for each distinct sequence of folder names of a table
+    and one for each of its keys, never one for each file.
     """
     parts = F.split("below", "/")
-    files = files.select(F.slice(parts, F.lit(1), F.size(parts) - 1).alias("folders"))
+    files = files.select("table_path", F.slice(parts, F.lit(1), F.size(parts) - 1).alias("folders"))
     levels = F.transform("folders", lambda d: F.when(F.contains(d, F.lit("=")), F.substring_index(d, "=", 1)).otherwise(F.lit("/")))
+    seen: dict[str, list[list[str]]] = {}
+    kinds: dict[str, dict[str, str]] = {}
     with scoped_conf(spark, manifest_scan_conf(spark)):
-        seen = sorted(r.levels for r in files.select(levels.alias("levels")).distinct().collect())
-        names = list(dict.fromkeys(n for one in seen for n in one if n != "/"))
-        if not names:
-            return seen, {}
-        folder = files.select(F.explode("folders").alias("folder")).filter("contains(folder, '=')")
-        raw = F.expr("substring(folder, instr(folder, '=') + 1)")
-        text = F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)
-        values = folder.select(F.substring_index("folder", "=", 1).alias("name"), F.nullif(F.nullif(text, F.lit(NULL_PARTITION)), F.lit("")).alias("value"))
-        value = F.col("value")
-        fits = [F.bool_and(F.when(value.isNotNull(), value.rlike(p) & value.try_cast(t).isNotNull())).alias(t) for t, p in KEY_TYPES.items()]
-        whole = values.groupBy("name").agg(*fits).collect()
-    return seen, {n: next((t for r in whole if r.name == n for t in KEY_TYPES if r[t]), "string") for n in names}
+        for r in files.select("table_path", levels.alias("levels")).distinct().collect():
+            seen.setdefault(r.table_path, []).append(r.levels)
+        if any(n != "/" for shapes in seen.values() for one in shapes for n in one):
+            folder = files.select("table_path", F.explode("folders").alias("folder")).filter("contains(folder, '=')")
+            raw = F.expr("substring(folder, instr(folder, '=') + 1)")
+            text = F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)
+            name = F.substring_index("folder", "=", 1).alias("name")
+            values = folder.select("table_path", name, F.nullif(F.nullif(text, F.lit(NULL_PARTITION)), F.lit("")).alias("value"))
+            value = F.col("value")
+            fits = [F.bool_and(F.when(value.isNotNull(), value.rlike(p) & value.try_cast(t).isNotNull())).alias(t) for t, p in KEY_TYPES.items()]
+            for r in values.groupBy("table_path", "name").agg(*fits).collect():
+                kinds.setdefault(r.table_path, {})[r.name] = next((t for t in KEY_TYPES if r[t]), "string")
+    out = {}
+    for path, shapes in seen.items():
+        names = dict.fromkeys(n for one in sorted(shapes) for n in one if n != "/")
+        uniform = len(shapes) == 1 and "/" not in shapes[0] and len(set(shapes[0])) == len(shapes[0])
+        out[path] = Layout(tuple((n, kinds[path][n]) for n in names), uniform, len(fs.encoded(spark, path))) if names else Layout()
+    return out
 
 
 def table_layout(spark: SparkSession, table_path: str) -> Layout:
     """The layout of all data files of a folder, from their listing."""
     q = fs.qualify(spark, table_path)
-    files = file_manifest(spark, [q]).select(F.expr(f"substring(file_path, {len(q) + 2})").alias("below"))
-    seen, kinds = key_levels(spark, files)
-    if not kinds:
-        return Layout()
-    uniform = len(seen) == 1 and "/" not in seen[0] and len(set(seen[0])) == len(seen[0])
-    return Layout(tuple(kinds.items()), uniform, len(fs.encoded(spark, q)))
+    files = file_manifest(spark, [q]).select(F.lit(q).alias("table_path"), F.expr(f"substring(file_path, {len(q) + 2})").alias("below"))
+    return table_layouts(spark, files).get(q, Layout())
 
 
 def partition_columns(spark: SparkSession, table_path: str) -> list[str]:
@@ -223,16 +227,17 @@ def scan_tables(
     """
     qualified = [fs.qualify(spark, p) for p in paths]
     files = assign_sources(file_manifest(spark, qualified), qualified)
-    _, kinds = key_levels(spark, files.select(F.expr("substring(file_path, length(source_path) + 2)").alias("below")))
+    together = files.select(F.lit(qualified[0]).alias("table_path"), F.expr("substring(file_path, length(source_path) + 2)").alias("below"))
+    keys = table_layouts(spark, together).get(qualified[0], Layout()).keys
     df = (
         spark.read.option("mergeSchema", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", DATA_FILE_GLOB)
         .parquet(*[fs.glob_escape(p) for p in qualified])
     )
-    layout, below = Layout(tuple(kinds.items()), uniform=False), "__tablekeep_below"
+    layout, below = Layout(keys, uniform=False), "__tablekeep_below"
     columns = {name: F.expr(e) for name, e in layout.columns_sql(df.schema, quote(below))}
-    if kinds:
+    if keys:
         df = df.select("*", SourcePart(spark, qualified).below().alias(below), "_metadata")
     if provenance:
         labels = {fs.qualify(spark, k): v for k, v in provenance.items()}

@@ -299,3 +299,28 @@ def test_file_list_of_a_merge(spark, base, prefix):
     rows = read_file_list(spark, f"{base}/files").collect()
     assert {(r.schema_name, r.table_name, r.status, r.run_id) for r in rows} == {("m", "T", "success", report.first().run_id)}
     assert sorted(r.table_path for r in rows) == sorted(fs.qualify(spark, p) for p in paths)
+
+
+def test_layouts_come_from_the_one_listing(spark, base, prefix, monkeypatch):
+    """Flat, keyed, mixed and empty tables: no table folder is listed again for its layout."""
+    from tablekeep.plans import registration
+    from tablekeep.sources.scan import scan_table
+
+    path = f"{base}/shop one/parquet"
+    for table, folders in {"FLAT": [""], "KEYED": ["/d=2024-01-05", "/d=2024-02-06"], "MIXED": ["/part", "/d=2024-01-05/k=a b"]}.items():
+        for i, folder in enumerate(folders):
+            write_df(spark, [(i,)], "id long", f"{path}/{table}.parquet{folder}")
+    fs.mkdirs(spark, f"{path}/EMPTY.parquet")
+    want = {t: sorted(map(str, scan_table(spark, f"{path}/{t}.parquet").collect())) for t in ("FLAT", "KEYED", "MIXED")}
+
+    def listed(*_):
+        raise AssertionError("listed again")
+
+    monkeypatch.setattr(registration, "table_layout", listed)
+    report = publish_application(spark, f"{base}/shop one", verify_row_count=True, database_prefix=prefix, database_location=base)
+    rows = {r.table_name: r for r in report.collect()}
+    assert {t: r.status for t, r in rows.items()} == {"FLAT": "success", "KEYED": "success", "MIXED": "success", "EMPTY": "error"}
+    for table, expected in want.items():
+        published = spark.table(rows[table].catalog_table)
+        assert sorted(map(str, published.collect())) == expected
+        assert dict(published.dtypes).get("d", "date") == "date"
