@@ -9,7 +9,7 @@ import pytest
 from tablekeep.llm import common, quality, toxicity
 from tablekeep.llm import queries as Q
 from tablekeep.llm.common import read_table
-from tests.llm.conftest import clash, frame
+from tests.llm.conftest import DOC, clash, frame
 
 SF = "/root/testdata/sf0.01"
 
@@ -192,3 +192,64 @@ def test_keep_quality_returns_all_columns(spark, odd_texts):
     kept = quality.keep_quality(docs, quality.AttentionModel({}, 0.9))
     assert kept.columns == docs.columns and kept.count() == docs.count()
     assert quality.keep_quality(docs, quality.AttentionModel({}, 0.1)).count() == 0
+
+
+def toxic_rows(spark, n):
+    """Documents whose label hangs on one of two words, by id; German ones by another."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(60)]
+    rows, marks = [], []
+    for i in range(n):
+        toxic, german = int(rng.random() < 0.3), i % 4 == 0
+        text = [words[j] for j in rng.integers(0, 60, 12)]
+        text.insert(int(rng.integers(0, 12)), ("Dreckskerl" if german else "bastard") if toxic else ("Nachbar" if german else "neighbour"))
+        rows.append((i, " ".join(text), "de" if german else "en", "s", 0))
+        marks.append((i, toxic))
+    return spark.createDataFrame(rows, DOC), spark.createDataFrame(marks, "doc_id long, toxic int")
+
+
+def test_toxicity_trains_on_every_label(spark, monkeypatch):
+    """Beyond the driver's bound all training documents are counted, in each epoch and in the thresholds."""
+    docs, labels = toxic_rows(spark, 900)
+    monkeypatch.setattr(toxicity, "LOCAL_DOCS", 50)
+    monkeypatch.setattr(toxicity, "GROUP_DOCS", 200)
+    seen, weights, cells = [], [], []
+    initial, averaged, set_thresholds = toxicity.initial, toxicity.averaged, toxicity.set_thresholds
+    monkeypatch.setattr(toxicity, "initial", lambda counts, pos, neg, rng: (seen.append((pos, neg, counts.copy())), initial(counts, pos, neg, rng))[1])
+    monkeypatch.setattr(toxicity, "averaged", lambda p, blocks: (weights.append([n for b, n, *_ in blocks if b < 0]), averaged(p, blocks))[1])
+    monkeypatch.setattr(toxicity, "set_thresholds", lambda model, logit, spread, pos, total, langs: (cells.append((pos.sum(), total.sum())), set_thresholds(model, logit, spread, pos, total, langs))[1])
+    model = toxicity.train_toxicity(docs, labels)
+    known = labels.filter(common.fold("doc_id", 5) != 0)
+    n, toxic = known.count(), known.filter("toxic = 1").count()
+    (pos, neg, counts), (late_toxic, late) = seen[0], cells[0]
+    assert (pos + late_toxic, pos + neg + late) == (toxic, n) and 0.1 * n < late < 0.3 * n
+    assert weights == [[pos + neg]] * 4
+    bastard, neighbour = (int(toxicity.word_ids(pa.array([w]))[0][0, 0]) for w in ("bastard", "neighbour"))
+    assert counts[0, bastard] == 0 and counts[1, neighbour] == 0 and counts[:, [bastard, neighbour]].sum() > 0.5 * n  # three of four are English, a fifth is set aside
+    assert set(model.thresholds) == {"de", "en"}
+    right = labels.join(toxicity.score_toxicity(docs, model), "doc_id").filter("(score >= 0.5) = (toxic = 1)").count()
+    assert right > 0.97 * 900
+    again = toxicity.train_toxicity(docs.repartition(7), labels)
+    assert all(np.array_equal(model.p[k], again.p[k]) for k in model.p) and model.thresholds == again.thresholds
+
+
+def test_toxicity_beyond_the_driver_with_odd_rows(spark, odd_texts, monkeypatch):
+    monkeypatch.setattr(toxicity, "LOCAL_DOCS", 1)
+    docs = frame(spark, odd_texts)
+    for marks in ([(i, i % 2) for i in range(9)], [(i, 1) for i in range(9)], [(i, 0) for i in range(9)]):
+        model = toxicity.train_toxicity(docs, spark.createDataFrame(marks, "doc_id long, toxic int"))
+        scores = [r["score"] for r in toxicity.score_toxicity(docs, model).collect()]
+        assert len(scores) == len(odd_texts) and all(0 <= s <= 1 for s in scores)
+        if len({y for _, y in marks}) == 1:
+            assert set(scores) == {float(marks[0][1])}
+
+
+def test_best_threshold_is_that_of_trying_all():
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        score, y = rng.integers(0, 12, 40) / 4, rng.integers(0, 2, 40)
+        cut = np.unique(score)
+        cut = np.concatenate([[cut[0]], (cut[1:] + cut[:-1]) / 2])
+        f1 = np.array([2 * (y[score >= t] == 1).sum() / max(1, (score >= t).sum() + (y == 1).sum()) for t in cut])
+        good = np.flatnonzero(f1 >= f1.max() - 1e-12)
+        assert toxicity.best_threshold(score, y, np.ones(40, int)) == cut[good[len(good) // 2]]
