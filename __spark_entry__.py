@@ -528,7 +528,7 @@ def q_publish_only_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = dict(replace_existing=True, verify_row_count=True, database_prefix=prefix, database_location=base, files_path=f"{base}/files")
     publish_application(spark, root, **options)
     orders = discover_tables(spark, root).filter("table_name = 'ORDERS'").first()
-    staging.write_files(staging.read_table(spark, sf_dir, "orders"), f"{orders.table_path}/again")
+    staging.write_files(staging.read_table(spark, sf_dir, "orders"), f"{orders.table_path}/again", scan=True)
     report = publish_application(spark, root, only_changed=True, **options)
     return report.select("schema_name", "table_name", "status", "action", "row_count")
 
