@@ -233,6 +233,57 @@ def test_toxicity_trains_on_every_label(spark, monkeypatch):
     assert all(np.array_equal(model.p[k], again.p[k]) for k in model.p) and model.thresholds == again.thresholds
 
 
+def test_toxicity_groups_train_as_long_as_the_driver(spark, monkeypatch):
+    """Beyond the driver's bound a group goes through all its documents as often, by as small steps and at the same
+    rates as ``fit``."""
+    docs, labels = toxic_rows(spark, 300)
+    asked, steps, trained_parts, descend = [], [], toxicity.trained_parts, toxicity.descend
+    monkeypatch.setattr(toxicity, "LOCAL_DOCS", 50)
+    monkeypatch.setattr(toxicity, "trained_parts", lambda model, weight, **how: (asked.append((model, weight, how)), trained_parts(model, weight, **how))[1])
+    toxicity.train_toxicity(docs, labels)
+    # what the executors were asked for, once more in this process
+    monkeypatch.setattr(toxicity, "descend", lambda p, opt, rows, y, *other, rate, batch: (steps.append((len(rows), y.tolist(), rate, batch)), descend(p, opt, rows, y, *other, rate=rate, batch=batch))[1])
+    bags = [np.frombuffer(x, np.uint32).reshape(-1, 3) for x in toxicity.word_blobs(pa.array(["a b c", "", "bastard d", "e"] * 40))]
+    y = np.array([0, 0, 1, 0] * 40)
+    group = pa.RecordBatch.from_pydict({"g": [1] * len(bags), "y": y.tolist(), "x": [x.tobytes() for x in bags]})
+    for model, weight, how in asked:
+        out = pa.Table.from_batches(list(trained_parts(model, weight, **how)(iter([group]))))
+        assert set(out.column("n").to_pylist()) == {len(bags)}
+    of_groups = steps.copy()
+    steps.clear()
+    toxicity.fit(bags, y)
+    assert of_groups == steps and len(steps) == 10
+
+
+def test_toxicity_step_moves_every_row(monkeypatch):
+    """Rows that no document of a step holds move by their decay and moments; slices of rows and words change nothing."""
+    rng = np.random.default_rng(6)
+    rows = [rng.integers(1, 20, (n, 3)) for n in (5, 0, 9, 1, 14)]
+    y = np.array([1, 0, 1, 0, 0], np.float32)
+    seen = np.full((2, 1 << toxicity.BITS), toxicity.MIN_DOCS * (np.arange(1 << toxicity.BITS) < 30))
+    start = toxicity.initial(seen, 2, 3, np.random.default_rng(1))
+
+    def trained():
+        p = dict(start)
+        opt, order = toxicity.Adam(p), np.random.default_rng(2)
+        for _ in range(3):
+            toxicity.descend(p, opt, rows, y, np.ones(5, np.float32), order, rate=0.01, batch=5)
+        return p
+
+    whole = trained()
+    row = start["E"][25].astype(np.float64)
+    m, v = np.zeros(toxicity.WIDTH), np.zeros(toxicity.WIDTH)
+    for step in (1, 2, 3):
+        g = 2e-5 * row
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        row = row - 0.01 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+    assert np.allclose(whole["E"][25], row, atol=1e-5) and not np.allclose(start["E"][25], row, atol=1e-4)
+    monkeypatch.setattr(toxicity, "STEP_ROWS", 7)
+    monkeypatch.setattr(toxicity, "SLICE_WORDS", 4)
+    again = trained()
+    assert all(np.array_equal(whole[k], again[k]) for k in whole)
+
+
 def test_toxicity_beyond_the_driver_with_odd_rows(spark, odd_texts, monkeypatch):
     monkeypatch.setattr(toxicity, "LOCAL_DOCS", 1)
     docs = frame(spark, odd_texts)
